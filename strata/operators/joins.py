@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is broadcast only when it has at most this many rows; beyond
+# it the planner's shuffle join (with AQE runtime conversion) is used.
+DEFAULT_BROADCAST_ROW_LIMIT = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Hint a broadcast only if ``df`` provably holds ≤ ``max_rows`` rows.
+
+    The check is a ``limit(max_rows + 1).count()`` — it stops early on big
+    inputs, so a dimension that grew unexpectedly costs one bounded scan and
+    falls back to a shuffle join instead of exhausting executor memory.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

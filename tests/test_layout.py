@@ -1,0 +1,79 @@
+from pyspark.sql import types as T
+
+from strata.plans import layout, tables
+
+SCHEMA = T.StructType([T.StructField("trip_month", T.StringType()), T.StructField("n", T.LongType())])
+
+
+def _append(spark, t, month, values):
+    df = spark.createDataFrame([(month, v) for v in values], SCHEMA).coalesce(1)
+    df.select("n", "trip_month").write.mode("append").insertInto(t.qualified)
+
+
+def test_compaction_merges_one_month(spark, lake):
+    t = lake.table("bronze", "tiny_trips")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    for i in range(4):
+        _append(spark, t, "2024-01", [i, i, i])
+    before = layout.partition_file_stats(t).collect()
+    assert before[0].file_count == 4 and before[0].record_count == 12
+    report = layout.compact_partitions(t).collect()
+    assert [(r.files_before, r.files_after, r.rows, r.rewritten) for r in report] == [(4, 1, 12, True)]
+    after = layout.partition_file_stats(t).collect()
+    assert after[0].file_count == 1 and after[0].record_count == 12
+    assert tables.table_properties(t)[tables.WRITE_TARGET_PROPERTY] == str(2 * 1024**3)
+    assert sorted(r.n for r in t.read().collect()) == sorted([0, 0, 0, 1, 1, 1, 2, 2, 2, 3, 3, 3])
+
+
+def test_compaction_skips_single_file(spark, lake):
+    t = lake.table("bronze", "wide_trips")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    _append(spark, t, "2024-02", [1])
+    report = layout.compact_partitions(t).collect()
+    assert [r.rewritten for r in report] == [False]
+    assert layout.partition_file_stats(t).first().file_count == 1
+
+
+def test_median_even_count_truncates(spark, lake):
+    t = lake.table("bronze", "median_trips")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    _append(spark, t, "2024-03", [1])
+    _append(spark, t, "2024-03", list(range(500)))
+    inv = sorted(r.file_size for r in layout.file_inventory(t).collect())
+    stats = layout.partition_file_stats(t).first()
+    assert stats.median_bytes == int((inv[0] + inv[1]) / 2)
+    assert stats.min_bytes == inv[0] and stats.max_bytes == inv[1]
+
+
+def test_size_cap_rule():
+    assert layout.needs_compaction(2, 10) is True
+    assert layout.needs_compaction(1, 10) is False
+    assert layout.needs_compaction(3, 300, max_bytes_per_file=100) is False
+    assert layout.needs_compaction(4, 300, max_bytes_per_file=100) is True
+
+
+def test_month_filter_prunes_partitions(spark, lake):
+    t = lake.table("bronze", "pruned_trips")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    _append(spark, t, "2024-01", [1, 2])
+    _append(spark, t, "2024-02", [3])
+    from strata.operators import marts
+
+    q = marts.month_count(t.read(), "2024-02")
+    assert "PartitionFilters: [isnotnull(trip_month" in layout.explain_text(q)
+    assert q.first().rows == 1
+    assert layout.files_read(t.read().filter("trip_month = '2024-02'")) == 1
+
+
+def test_sized_write_one_file_per_month(spark, lake):
+    t = lake.table("bronze", "sized_trips")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    df = spark.createDataFrame([("2024-01", i) for i in range(12)] + [("2024-02", 1)], SCHEMA).repartition(4)
+    tables.replace_months(df, t)
+    stats = {r.partition_value: r.file_count for r in layout.partition_file_stats(t).collect()}
+    assert stats == {"2024-01": 1, "2024-02": 1}

@@ -20,14 +20,31 @@ from strata.operators.joins import broadcast_if_small
 SCHEMA = "test_name string, model string, column_name string, failures bigint"
 
 
-def unique_failures(df: DataFrame, column: str, *, model: str) -> DataFrame:
-    dups = (
-        df.select(F.col(column).alias("k"))
-        .filter(F.col("k").isNotNull())
-        .groupBy("k")
-        .count()
-        .filter(F.col("count") > 1)
-    )
+# Candidate hashes beyond this count are not broadcast; the exact
+# key-level aggregation is used instead.
+MAX_HASH_CANDIDATES = 1_000_000
+
+
+def unique_failures(df: DataFrame, column: str, *, model: str, hashed: bool = True) -> DataFrame:
+    """Key values that occur more than once.
+
+    ``hashed``: first aggregate 64-bit hashes of the key (an 8-byte shuffle
+    with map-side combining instead of the full key), then compare full keys
+    only for the colliding hashes — broadcast when their number is proven
+    small, else the exact key-level aggregation.
+    """
+    keys = df.select(F.col(column).alias("k")).filter(F.col("k").isNotNull())
+    if hashed:
+        colliding = (
+            keys.select(F.xxhash64("k").alias("h")).groupBy("h").count().filter(F.col("count") > 1).select("h")
+        )
+        found = colliding.limit(MAX_HASH_CANDIDATES + 1).collect()
+        if not found:
+            keys = keys.limit(0)  # no colliding hash: no duplicate key, nothing left to scan
+        elif len(found) <= MAX_HASH_CANDIDATES:
+            cand = F.broadcast(df.sparkSession.createDataFrame(found, "h bigint"))
+            keys = keys.join(cand, F.xxhash64("k") == cand.h, "left_semi")
+    dups = keys.groupBy("k").count().filter(F.col("count") > 1)
     return dups.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
         F.lit("unique").alias("test_name"),
         F.lit(model).alias("model"),

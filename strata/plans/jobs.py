@@ -131,10 +131,14 @@ def silver_month_checks(projected: DataFrame, kept: Column, contract: contract_m
     data check counted over the kept rows (so stats and validation share
     one scan of bronze)."""
     checks = contract_mod._data_checks(projected, contract)
-    return projected.groupBy("trip_month").agg(
+    # The rule conjunction is materialised once as a column; inlined, the
+    # optimizer would re-evaluate it inside every check.
+    flagged = projected.withColumn("_kept", kept)
+    k = F.col("_kept")
+    return flagged.groupBy("trip_month").agg(
         F.count(F.lit(1)).cast("bigint").alias("input_rows"),
-        F.count_if(kept).cast("bigint").alias("output_rows"),
-        *[F.count_if(kept & cond).cast("bigint").alias(f"c{i}") for i, (_, _, cond) in enumerate(checks)],
+        F.count_if(k).cast("bigint").alias("output_rows"),
+        *[F.count_if(k & cond).cast("bigint").alias(f"c{i}") for i, (_, _, cond) in enumerate(checks)],
     )
 
 
@@ -208,7 +212,7 @@ def staging_sql(silver_table: str) -> str:
     return f"SELECT {cols} FROM {silver_table}"
 
 
-def build_gold(lake: Lake, zone_lookup: DataFrame) -> dict[str, str]:
+def build_gold(lake: Lake, zone_lookup: DataFrame, *, skew_safe: bool = True) -> dict[str, str]:
     """Staging view → fact (partitioned by month), zone and date dimensions.
 
     Full rebuild, like a table materialisation. The fact needs one hash
@@ -219,7 +223,7 @@ def build_gold(lake: Lake, zone_lookup: DataFrame) -> dict[str, str]:
     ns = lake.ensure_namespace("gold")
     spark.sql(f"CREATE OR REPLACE VIEW {ns}.{STAGING_VIEW} AS {staging_sql(silver_t.qualified)}")
     stg = spark.table(f"{ns}.{STAGING_VIEW}")
-    overwrite_table(gold.fact_trips(stg), lake.table("gold", "fact_trips"))
+    overwrite_table(gold.fact_trips(stg, skew_safe=skew_safe), lake.table("gold", "fact_trips"))
     overwrite_table(gold.dim_zone(zone_lookup), lake.table("gold", "dim_zone"), partition_cols=())
     overwrite_table(gold.dim_date(stg), lake.table("gold", "dim_date"), partition_cols=())
     return {

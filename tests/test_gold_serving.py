@@ -121,3 +121,11 @@ def test_payment_labels(spark):
     df = spark.createDataFrame([(1,), (9,), (None,), (0,)], "code long")
     got = [r.l for r in df.select(payment_label(F.col("code")).alias("l")).collect()]
     assert got == ["Credit card", "Type 9", "Unknown", "Flex fare"]
+
+
+def test_unique_detects_duplicates_both_ways(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,), ("c",), ("c",), ("c",)], "k string")
+    for hashed in (True, False):
+        assert quality.unique_failures(df, "k", model="m", hashed=hashed).first().failures == 2
+    ok = spark.createDataFrame([("a",), ("b",)], "k string")
+    assert quality.unique_failures(ok, "k", model="m").first().failures == 0

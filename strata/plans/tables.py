@@ -185,7 +185,9 @@ def _write(df: DataFrame, table: Table, *, target_bytes: int | None, max_records
     }
     if max_records_per_file:
         conf["spark.sql.files.maxRecordsPerFile"] = str(max_records_per_file)
-    with session_conf(table.spark, conf):
+    # The writing session is the frame's own (a streaming micro-batch runs in
+    # a cloned session), so the overwrite mode is applied there.
+    with session_conf(df.sparkSession, conf):
         df.hint("rebalance", PARTITION_COLUMN).write.insertInto(table.qualified, overwrite=True)
 
 

@@ -247,9 +247,63 @@ def check_gold(lake: Lake, seed: DataFrame | None = None) -> DataFrame:
     return quality.gold_checks(fact, zones, dates, seed)
 
 
+class QualityError(ValueError):
+    pass
+
+
+def run_gold(lake: Lake, zone_lookup: DataFrame, *, fail_on_error: bool = True) -> DataFrame:
+    """Build order of the gold layer: staging → models → tests.
+
+    Returns the test report; raises ``QualityError`` naming failing tests."""
+    build_gold(lake, zone_lookup)
+    report = check_gold(lake, zone_lookup)
+    failing = [r for r in report.collect() if r.failures]
+    if failing and fail_on_error:
+        detail = ", ".join(f"{r.test_name}({r.model}.{r.column_name})={r.failures}" for r in failing)
+        raise QualityError(f"gold tests failed: {detail}")
+    return report
+
+
 # ---------------------------------------------------------------- backfill
 
 
+def bootstrap(lake: Lake) -> list[str]:
+    """Create the layer namespaces (idempotent)."""
+    return [lake.ensure_namespace(layer) for layer in ("bronze", "silver", "gold")]
+
+
+def backfill_files(
+    lake: Lake,
+    month_paths: dict[str, str],
+    *,
+    start: str | None = None,
+    end: str | None = None,
+    limits: TripLimits = TripLimits(),
+) -> DataFrame:
+    """Bronze + silver for a month range from delivered files, one job per layer.
+
+    ``month_paths`` maps ``YYYY-MM`` to a landed file; months of the range
+    without a file are cleared in both layers. Returns the silver statistics.
+    """
+    s, e = months_mod.resolve_range(start, end)
+    wanted = months_mod.month_strings(s, e)
+    bootstrap(lake)
+    paths = [month_paths[m] for m in wanted if m in month_paths]
+    stamp = utc_now_iso()
+    if paths:
+        land_bronze(lake, bronze_from_files(lake.spark, paths, loaded_at=stamp), months=wanted)
+    else:
+        bronze_t = lake.table("bronze", TRIPS)
+        if bronze_t.exists():
+            drop_months(bronze_t, wanted)
+    if not lake.table("bronze", TRIPS).exists():
+        return lake.spark.createDataFrame(
+            [(m, 0, 0, 0) for m in wanted],
+            "trip_month string, input_rows bigint, output_rows bigint, rejected_rows bigint",
+        )
+    return build_silver(lake, wanted, limits=limits)
+
+
 def backfill_coverage(lake: Lake, planned: DataFrame) -> DataFrame:
     """Planned months ⟕ landed bronze rows."""
     landed = rows_by_month(lake.table("bronze", TRIPS).read())

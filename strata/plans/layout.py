@@ -179,3 +179,38 @@ def scan_audit(tables: dict[str, Table], month: str, *, queries: Sequence[str] |
         "table string, query string, trip_month string, files_read bigint, result_rows bigint, "
         "seconds double, partition_pruned boolean",
     )
+
+
+def compact_tables(tables: dict[str, Table], *, max_bytes_per_file: int | None = None) -> DataFrame:
+    """Compact several tables (bronze and silver) into one report."""
+    reports = [
+        compact_partitions(t, table_name=label, max_bytes_per_file=max_bytes_per_file)
+        for label, t in tables.items()
+    ]
+    out = reports[0]
+    for r in reports[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def review(tables: dict[str, Table], month: str, *, compact: bool = True) -> dict[str, DataFrame]:
+    """Layout + scan audit, then (optionally) compaction and the same again.
+
+    Returns bounded, already-computed frames: ``layout_before``,
+    ``audit_before`` and, when compacting, ``compaction``, ``layout_after``,
+    ``audit_after``.
+    """
+    spark = next(iter(tables.values())).spark
+
+    def snapshot(df: DataFrame) -> DataFrame:
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    out = {
+        "layout_before": snapshot(collect_layout(tables)),
+        "audit_before": scan_audit(tables, month),
+    }
+    if compact:
+        out["compaction"] = compact_tables(tables)
+        out["layout_after"] = snapshot(collect_layout(tables))
+        out["audit_after"] = scan_audit(tables, month)
+    return out

@@ -179,6 +179,10 @@ def drop_months(table: Table, months: Iterable[str]) -> list[str]:
 
 
 def _write(df: DataFrame, table: Table, *, target_bytes: int | None, max_records_per_file: int | None) -> None:
+    if target_bytes is not None and target_bytes < 1:
+        raise ValueError("target_bytes must be positive")
+    if max_records_per_file is not None and max_records_per_file < 1:
+        raise ValueError("max_records_per_file must be positive")
     conf = {
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes or DEFAULT_ADVISORY_BYTES),

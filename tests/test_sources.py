@@ -71,3 +71,42 @@ def test_register_view_and_gold_discovery(spark, lake):
     assert ns == lake.namespace("gold") and catalog.gold_tables_present(spark, ns)
     checks = {(r.test_name, r.column_name): r.failures for r in jobs.check_gold(lake, zones).collect()}
     assert checks[("unique", "trip_sk")] == 0 and checks[("relationships", "dropoff_zone_key")] == 2
+
+
+def test_backfill_from_files_and_coverage(spark, tmp_path, lake):
+    files = {
+        "2024-01": _write_month(tmp_path, "2024-01", n=2),
+        "2024-03": _write_month(tmp_path, "2024-03", n=1),
+    }
+    stats = {r.trip_month: (r.input_rows, r.output_rows) for r in jobs.backfill_files(lake, files, start="2024-01", end="2024-03").collect()}
+    assert stats == {"2024-01": (2, 2), "2024-02": (0, 0), "2024-03": (1, 1)}
+    from strata.sources import months
+
+    cov = {r.trip_month: (r.rows, r.landed) for r in jobs.backfill_coverage(lake, months.month_range(spark, "2023-12", "2024-03")).collect()}
+    assert cov == {"2023-12": (0, False), "2024-01": (2, True), "2024-02": (0, False), "2024-03": (1, True)}
+
+
+def test_sized_write_rejects_non_positive_budget(spark, lake):
+    from tests.conftest import bronze_frame
+
+    with pytest.raises(ValueError):
+        jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 1), target_bytes=0)
+
+
+def test_review_compacts_both_layers(spark, lake):
+    from strata.plans import layout, tables
+    from tests.conftest import bronze_frame
+
+    b = lake.table("bronze", jobs.TRIPS)
+    lake.ensure_namespace("bronze")
+    frame = bronze_frame(spark, "2024-01", 30)
+    tables.create_table(b, frame.schema)
+    tables.replace_months(frame, b, max_records_per_file=10)
+    jobs.build_silver(lake, processed_at="p")
+    out = layout.review({"bronze": b, "silver": lake.table("silver", jobs.TRIPS)}, "2024-01")
+    before = {r.table: r.file_count for r in out["layout_before"].collect()}
+    after = {r.table: r.file_count for r in out["layout_after"].collect()}
+    assert before["bronze"] == 3 and after == {"bronze": 1, "silver": 1}
+    audit = {(r.table, r.query): (r.files_read, r.partition_pruned) for r in out["audit_after"].collect()}
+    assert audit[("bronze", "month_count")] == (1, True)
+    assert ("bronze", "daily_fare") not in audit and ("silver", "daily_fare") in audit

@@ -139,20 +139,25 @@ def avg_fare_by_day_of_week(
 
 def dashboard_kpis(fact: DataFrame, trip_months: Sequence[str] | None = None) -> DataFrame:
     """Trips (sum of the daily panel), revenue (sum of the rounded monthly
-    panel — exact in cents), months in the filter — one aggregation pass."""
-    scoped = month_filter(fact, trip_months)
+    panel — exact in cents), months in the filter.
+
+    Two-level aggregation: per month first (partial aggregation, one row per
+    month), then one row. No DISTINCT aggregate, so rows are not expanded.
+    """
+    per_month = month_filter(fact, trip_months).groupBy("trip_month").agg(
+        F.count_if(F.col("date_key").isNotNull()).alias("trips"),
+        F.sum(cents("total_amount")).alias("c"),
+    )
     months = (
         F.lit(len(trip_months)).cast("bigint")
         if trip_months
-        else F.count_distinct(F.when(F.col("trip_month").isNotNull(), F.col("trip_month")))
+        else F.count(F.col("trip_month"))
     )
-    return scoped.agg(
-        F.count_if(F.col("date_key").isNotNull()).cast("bigint").alias("total_trips"),
-        from_cents(
-            F.coalesce(
-                F.sum(F.when(F.col("trip_month").isNotNull(), cents("total_amount"))), F.lit(0)
-            )
-        ).alias("total_revenue"),
+    return per_month.agg(
+        F.coalesce(F.sum("trips"), F.lit(0)).cast("bigint").alias("total_trips"),
+        from_cents(F.coalesce(F.sum(F.when(F.col("trip_month").isNotNull(), F.col("c"))), F.lit(0))).alias(
+            "total_revenue"
+        ),
         months.cast("bigint").alias("months_in_filter"),
     )
 

@@ -52,7 +52,8 @@ def skew_safe_rank(
     hot_rows: int = 5_000_000,
     sample_rows: int = 200_000,
     max_hot_keys: int = 1_000,
-    buckets: int = 64,
+    rows_per_bucket: int = 1_000_000,
+    buckets: int | None = None,
     seed: int = 17,
 ) -> DataFrame:
     """``row_number() OVER (PARTITION BY key ORDER BY order_cols ASC NULLS LAST)``.
@@ -60,6 +61,10 @@ def skew_safe_rank(
     ``hot_rows`` — estimated group size from which a group is split.
     ``sample_rows`` — target size of the sample used to find hot groups and
     split points (bounds what reaches the driver).
+    ``rows_per_bucket`` — target rows per sub-range: a hot group gets
+    ``ceil(estimated rows / rows_per_bucket)`` sub-ranges, at most one per
+    sampled row of the group (``buckets`` fixes the number instead).
+    Hot groups beyond ``max_hot_keys`` take the plain path (exact, slower).
     """
     ordering = [F.col(c).asc_nulls_last() for c in order_cols]
     total = df.count()
@@ -76,12 +81,17 @@ def skew_safe_rank(
         .filter(F.col("_n") >= min_hits)
         .orderBy(F.col("_n").desc())
         .limit(max_hot_keys)
-        .select(
-            *key,
-            F.expr(
-                f"transform(sequence(1, {buckets - 1}), i -> _s[cast(floor(i * size(_s) / {buckets}) as int)])"
-            ).alias("_splits"),
-        )
+    )
+    if buckets is not None:
+        n_buckets = F.lit(max(2, buckets))
+    else:
+        estimate = F.ceil(F.col("_n") / F.lit(fraction) / F.lit(float(rows_per_bucket)))
+        n_buckets = F.least(F.col("_n"), F.greatest(F.lit(2), estimate)).cast("int")
+    hot = hot.withColumn("_b", n_buckets).select(
+        *key,
+        F.expr("transform(sequence(1, _b - 1), i -> _s[cast(floor(i * size(_s) / _b) as int)])").alias(
+            "_splits"
+        ),
     )
     hot_rows_local = hot.collect()  # ≤ max_hot_keys rows of ≤ buckets split points
     if not hot_rows_local:

@@ -81,7 +81,13 @@ def collect_layout(tables: dict[str, Table]) -> DataFrame:
 
 
 def needs_compaction(file_count: int, total_bytes: int, max_bytes_per_file: int | None = None) -> bool:
-    """More than one file per month — or, with a size cap, more files than the cap needs."""
+    """More files than the size target needs (``ceil(bytes / target)``).
+
+    Without a target this is "more than one file". With the table's target
+    it is the same rule for every month below the target, and it stops a
+    month larger than the target (written by many tasks) from being
+    rewritten on every run.
+    """
     if max_bytes_per_file is None:
         return file_count > 1
     return file_count > max(1, -(-total_bytes // max_bytes_per_file))
@@ -104,13 +110,11 @@ def compact_partitions(
     spark: SparkSession = table.spark
     label = table_name or table.qualified
     ensure_write_target(table)
+    target = max_bytes_per_file or write_target(table)
     before = {r.partition_value: r for r in partition_file_stats(table, table_name=label).collect()}
-    todo = sorted(
-        m for m, r in before.items() if needs_compaction(r.file_count, r.total_bytes, max_bytes_per_file)
-    )
+    todo = sorted(m for m, r in before.items() if needs_compaction(r.file_count, r.total_bytes, target))
     if todo:
         data = table.read().filter(F.col(PARTITION_COLUMN).isin(todo))
-        target = max_bytes_per_file or write_target(table)
         _write(data, table, target_bytes=target, max_records_per_file=None)
         spark.catalog.refreshTable(table.qualified)
     after = {r.partition_value: r for r in partition_file_stats(table, table_name=label).collect()}

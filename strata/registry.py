@@ -510,8 +510,21 @@ def q_bench_daily_fare(spark, sf_dir):
     return marts.daily_fare(_silver(spark, sf_dir), BENCH_MONTH)
 
 
+def _utc(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Run with the session clock on UTC (lineage stamps and date rendering
+    of naive timestamps must not depend on the host zone)."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
+    name[2:]: _utc(fn) for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
 
 # Queries whose output depends on file bytes, timings or catalog metadata:
@@ -521,4 +534,4 @@ ROWS_ONLY = {"table_properties", "partition_file_stats", "scan_audit"}
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw tables → clean → contract → fact → top pickup zones."""
-    return q_top_pickup_zones(spark, sf_dir)
+    return QUERIES["top_pickup_zones"](spark, sf_dir)

@@ -37,3 +37,10 @@ def test_skew_safe_rank_splits_one_giant_group_of_identical_rows(spark):
         same = same & F.col(k).eqNullSafe(F.lit(base_row[k]))
     ranks = sorted(r.trip_dup_rank for r in safe.filter(same).collect())
     assert ranks == list(range(1, 302))
+
+
+def test_skew_safe_rank_sizes_buckets_from_the_sample(spark):
+    base_row = _stg(spark).orderBy("pickup_datetime", "total_amount").first()
+    big = spark.createDataFrame([base_row] * 200, _stg(spark).schema).unionByName(_stg(spark).limit(50))
+    safe = gold.dup_rank(big, gold.DUP_KEY, skew_safe=True, hot_rows=40, sample_rows=10**9, rows_per_bucket=25)
+    assert _sorted(safe) == _sorted(gold.dup_rank(big, gold.DUP_KEY))

@@ -290,6 +290,7 @@ FROM ({SILVER_SQL}) s GROUP BY trip_month""".replace(
     "contract_report": contract_checks_sql(CONTRACT, PROJECTED_ALL_SQL, structural=True, data=True),
     # ---- sinks
     "replace_month_rerun": _month_counts(BRONZE_SQL),
+    "stream_landing": _month_counts(BRONZE_SQL),
     "replace_month_newcount": _month_counts(BRONZE_SQL),
     "replace_month_independent": _month_counts(BRONZE_SQL),
     "clear_month": _month_counts(BRONZE_SQL, f"trip_month NOT IN ({_in_list(CLEARED_MONTHS)})"),

@@ -353,6 +353,21 @@ def q_scan_audit(spark, sf_dir):
     )
 
 
+def q_stream_landing(spark, sf_dir):
+    """Monthly files dropped in a landing folder, drained by the file stream."""
+    from strata.streaming.landing import start_landing
+
+    lake = new_lake(spark, "stream")
+    landing = f"{lake.root}/landing"
+    raw = bronze_frame(spark, sf_dir).select(*trips.RAW_COLUMNS, "trip_month")
+    raw.repartition("trip_month").write.partitionBy("trip_month").parquet(landing)
+    query = start_landing(lake, landing, checkpoint=f"{lake.root}/landing-checkpoint", loaded_at=LOADED_AT)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return _month_rows(_bronze_table(lake).read())
+
+
 # -------------------------------------------------------------------- gold
 
 

@@ -45,7 +45,17 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]
-MONTH_IN_FILE_NAME = r"(\d{4}-\d{2})"
+# A month in a file name, not touching letters/hex digits (so the UUID of a
+# Spark part file never matches): ``yellow_tripdata_2024-01.parquet``.
+MONTH_IN_FILE_NAME = r"(?<![0-9A-Za-z])(\d{4}-(?:0[1-9]|1[0-2]))(?![0-9A-Za-z])"
+MONTH_IN_FOLDER = r"trip_month=(\d{4}-\d{2})/[^/]*$"
+
+
+def month_of_file() -> Column:
+    """``YYYY-MM`` from a ``trip_month=`` folder, else from the file name."""
+    by_folder = F.regexp_extract(F.col("_metadata.file_path"), MONTH_IN_FOLDER, 1)
+    by_name = F.regexp_extract(F.col("_metadata.file_name"), MONTH_IN_FILE_NAME, 1)
+    return F.coalesce(F.nullif(by_folder, F.lit("")), F.nullif(by_name, F.lit("")))
 
 
 def read_raw_files(
@@ -58,9 +68,7 @@ def read_raw_files(
         .withColumns(
             {
                 "_file_path": F.col("_metadata.file_path"),
-                "_file_month": F.regexp_extract(
-                    F.col("_metadata.file_name"), MONTH_IN_FILE_NAME, 1
-                ),
+                "_file_month": month_of_file(),
             }
         )
     )

@@ -22,20 +22,21 @@ from strata.operators.rules import TripLimits
 from strata.plans import jobs
 from strata.plans.tables import Lake
 from strata.session import shared_scratch
-from strata.sources.trips import MONTH_IN_FILE_NAME, RAW_SCHEMA
+from strata.sources.trips import RAW_SCHEMA, month_of_file
 
 
-def raw_file_stream(spark: SparkSession, source_dir: str, *, max_files_per_trigger: int = 4) -> DataFrame:
+def raw_file_stream(spark: SparkSession, source_dir: str, *, max_files_per_trigger: int = 32) -> DataFrame:
     raw = (
         spark.readStream.schema(RAW_SCHEMA)
         .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .parquet(source_dir)
     )
     return raw.withColumns(
         {
             "_file_path": F.col("_metadata.file_path"),
-            "_file_month": F.regexp_extract(F.col("_metadata.file_name"), MONTH_IN_FILE_NAME, 1),
+            "_file_month": month_of_file(),
         }
     )
 
@@ -49,9 +50,12 @@ def start_landing(
     build_silver: bool = False,
     limits: TripLimits = TripLimits(),
     available_now: bool = True,
-    max_files_per_trigger: int = 4,
+    max_files_per_trigger: int = 32,
 ) -> StreamingQuery:
-    """Start the landing stream; ``available_now`` drains what is there and stops."""
+    """Start the landing stream; ``available_now`` drains what is there and stops.
+
+    Files may sit directly in ``source_dir`` (month in the file name) or in
+    ``trip_month=YYYY-MM`` folders (one file per month)."""
     spark = lake.spark
     stream = raw_file_stream(spark, source_dir, max_files_per_trigger=max_files_per_trigger)
 

@@ -110,3 +110,18 @@ def test_review_compacts_both_layers(spark, lake):
     audit = {(r.table, r.query): (r.files_read, r.partition_pruned) for r in out["audit_after"].collect()}
     assert audit[("bronze", "month_count")] == (1, True)
     assert ("bronze", "daily_fare") not in audit and ("silver", "daily_fare") in audit
+
+
+def test_month_of_file_ignores_part_file_uuids(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("2024-03", 1), ("2024-04", 2)], "trip_month string, n long")
+    df.write.partitionBy("trip_month").parquet(str(tmp_path / "by_folder"))
+    got = spark.read.parquet(str(tmp_path / "by_folder")).select(trips.month_of_file().alias("m"), "n").collect()
+    assert sorted((r.m, r.n) for r in got) == [("2024-03", 1), ("2024-04", 2)]
+    names = spark.createDataFrame(
+        [("part-00000-a1b2c3d4-1234-1234-1234-123456789abc.c000.snappy.parquet",), ("yellow_tripdata_2024-01.parquet",)],
+        "name string",
+    )
+    out = [r.m for r in names.select(F.regexp_extract("name", trips.MONTH_IN_FILE_NAME, 1).alias("m")).collect()]
+    assert out == ["", "2024-01"]

@@ -31,3 +31,8 @@ def test_manifest(spark):
     r = m.first()
     assert r.local_path == "/s/yellow_tripdata_2024-01.parquet"
     assert r.source_url == "s3://b/x/yellow_tripdata_2024-01.parquet"
+
+
+def test_backfill_plan_keys():
+    keys = months.month_strings("2024-01", "2025-12")
+    assert keys[0] == "2024-01" and keys[-1] == "2025-12" and all(len(k) == 7 for k in keys)

@@ -90,3 +90,28 @@ def test_align_reorders_and_casts(spark):
     out = tables.align(df, target)
     assert out.schema == target or [f.dataType for f in out.schema] == [T.LongType(), T.IntegerType()]
     assert out.columns == ["a", "b"]
+
+
+def test_contract_failure_raises_before_write_and_old_month_survives(spark, lake):
+    import pytest
+
+    from strata.operators.contract import ContractError
+
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 2))
+    jobs.build_silver(lake, ["2024-01"], processed_at="p")
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 3, VendorID=None))
+    with pytest.raises(ContractError) as err:
+        jobs.build_silver(lake, ["2024-01"], processed_at="p")
+    assert ("vendor_id", "not_null", 3) in err.value.failures
+    assert _counts(lake, "silver") == {"2024-01": 2}
+
+
+def test_namespace_and_table_creation_are_idempotent(spark, lake):
+    from pyspark.sql import types as T
+
+    assert jobs.bootstrap(lake) == jobs.bootstrap(lake)
+    t = lake.table("bronze", "idem")
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("trip_month", T.StringType())])
+    assert tables.create_table(t, schema) is True
+    assert tables.create_table(t, schema) is False
+    assert tables.ensure_write_target(t) is True and tables.ensure_write_target(t) is False

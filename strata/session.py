@@ -100,3 +100,29 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def scale_settings(
+    input_bytes: int,
+    *,
+    total_cores: int,
+    partition_bytes: int = 256 * 1024 * 1024,
+) -> dict[str, str]:
+    """Session settings sized to the input (pass to ``build_session(conf=…)``).
+
+    The initial shuffle width is input / partition size (at least three
+    waves of the cluster's cores); AQE then coalesces small partitions and
+    splits skewed ones at runtime, so every task handles about
+    ``partition_bytes`` and spills stay bounded. Example: 100 TB on 8,000
+    cores → ~400,000 initial shuffle partitions, scan splits of 256 MiB.
+    """
+    width = max(total_cores * 3, -(-input_bytes // partition_bytes))
+    size = f"{partition_bytes // (1024 * 1024)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * partition_bytes // (1024 * 1024)}m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }

@@ -36,3 +36,11 @@ def test_manifest(spark):
 def test_backfill_plan_keys():
     keys = months.month_strings("2024-01", "2025-12")
     assert keys[0] == "2024-01" and keys[-1] == "2025-12" and all(len(k) == 7 for k in keys)
+
+
+def test_scale_settings():
+    from strata.session import scale_settings
+
+    conf = scale_settings(100 * 10**12, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) > 300_000
+    assert scale_settings(10**6, total_cores=8)["spark.sql.shuffle.partitions"] == "24"

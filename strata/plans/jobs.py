@@ -33,6 +33,7 @@ from strata.plans.tables import (
     replace_months,
 )
 from strata.sources import months as months_mod
+from strata.sources import storage
 from strata.sources.trips import (
     RAW_COLUMNS,
     month_file_name,
@@ -312,3 +313,39 @@ def backfill_coverage(lake: Lake, planned: DataFrame) -> DataFrame:
 
 def clear_months(table: Table, months: Sequence[str]) -> list[str]:
     return drop_months(table, months)
+
+
+# ---------------------------------------------------------------- attach
+
+KNOWN_TABLES: tuple[tuple[str, str], ...] = (
+    ("bronze", TRIPS),
+    ("silver", TRIPS),
+    ("gold", "fact_trips"),
+    ("gold", "dim_zone"),
+    ("gold", "dim_date"),
+)
+
+
+def attach(lake: Lake, *, limits: TripLimits = TripLimits()) -> list[str]:
+    """Register tables already stored under the lake root (a new session with
+    no persistent metastore). Silver gets its declared schema (old files may
+    predate evolved columns); the others take the merged schema of their files
+    (a distributed footer read). Returns the tables attached."""
+    spark = lake.spark
+    attached = []
+    for layer, name in KNOWN_TABLES:
+        t = lake.table(layer, name)
+        if t.exists() or not storage.exists(spark, t.location):
+            continue
+        children = storage.list_children(spark, t.location)
+        if not any(c.endswith(".parquet") or c.startswith("trip_month=") for c in children):
+            continue
+        partitioned = any(c.startswith("trip_month=") for c in children)
+        if (layer, name) == ("silver", TRIPS):
+            schema = contract_mod.silver_contract(limits).schema()
+        else:
+            schema = spark.read.option("mergeSchema", "true").parquet(t.location).schema
+        lake.ensure_namespace(layer)
+        create_table(t, schema, partition_cols=("trip_month",) if partitioned else ())
+        attached.append(t.qualified)
+    return attached

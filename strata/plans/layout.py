@@ -7,6 +7,8 @@ batches), so the inventory scales with the number of files, not the driver.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import time
 from collections.abc import Callable, Sequence
 
@@ -146,11 +148,11 @@ def files_read(df: DataFrame) -> int:
 
 
 def explain_text(df: DataFrame, mode: str = "formatted") -> str:
-    try:
-        jvm = df.sparkSession.sparkContext._jvm
-        return str(jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode))
-    except Exception:  # pragma: no cover - depends on the JVM helper
-        return ""
+    """The text ``df.explain(mode)`` prints."""
+    buffer = io.StringIO()
+    with contextlib.redirect_stdout(buffer):
+        df.explain(mode)
+    return buffer.getvalue()
 
 
 def timed(action: Callable[[], object]) -> float:

@@ -51,6 +51,15 @@ MONTH_IN_FILE_NAME = r"(?<![0-9A-Za-z])(\d{4}-(?:0[1-9]|1[0-2]))(?![0-9A-Za-z])"
 MONTH_IN_FOLDER = r"trip_month=(\d{4}-\d{2})/[^/]*$"
 
 
+def re_month(path: str) -> str | None:
+    """Driver-side twin of ``month_of_file`` for a path string (CLI arguments)."""
+    import re
+
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    m = re.search(r"trip_month=(\d{4}-\d{2})/[^/]*$", path) or re.search(MONTH_IN_FILE_NAME, name)
+    return m.group(1) if m else None
+
+
 def month_of_file() -> Column:
     """``YYYY-MM`` from a ``trip_month=`` folder, else from the file name."""
     by_folder = F.regexp_extract(F.col("_metadata.file_path"), MONTH_IN_FOLDER, 1)

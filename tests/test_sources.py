@@ -125,3 +125,36 @@ def test_month_of_file_ignores_part_file_uuids(spark, tmp_path):
     )
     out = [r.m for r in names.select(F.regexp_extract("name", trips.MONTH_IN_FILE_NAME, 1).alias("m")).collect()]
     assert out == ["", "2024-01"]
+
+
+def test_attach_reregisters_tables_after_catalog_loss(spark, tmp_path, lake):
+    from tests.conftest import bronze_frame
+
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 2))
+    jobs.build_silver(lake, processed_at="p")
+    for layer in ("bronze", "silver"):
+        spark.sql(f"DROP TABLE {lake.table(layer, jobs.TRIPS).qualified}")  # external: files stay
+    attached = jobs.attach(lake)
+    assert len(attached) == 2
+    assert jobs.rows_by_month(lake.table("silver", jobs.TRIPS).read()).first().rows == 2
+    assert "_silver_version" in lake.table("silver", jobs.TRIPS).read().columns
+
+
+def test_cli_end_to_end(spark, tmp_path, capsys):
+    import json
+
+    from strata.__main__ import main
+
+    files = [_write_month(tmp_path, "2024-01", n=2), _write_month(tmp_path, "2024-02", n=1)]
+    zones = tmp_path / "zones.csv"
+    zones.write_text('"LocationID","Borough","Zone","service_zone"\n161,"Manhattan","Midtown Center","Yellow Zone"\n162,"Manhattan","Midtown East","Yellow Zone"\n')
+    root = str(tmp_path / "cli-lake")
+    base = ["--root", root, "--prefix", "cli_"]
+    assert trips.re_month(files[0]) == "2024-01"
+    main(base + ["land", *files, "--start", "2024-01", "--end", "2024-02"])
+    main(base + ["gold", "--zones", str(zones)])
+    capsys.readouterr()
+    main(base + ["marts", "--months", "2024-01"])
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    kpi = lines[lines.index({"section": "kpis"}) + 1]
+    assert kpi["total_trips"] == 2 and kpi["total_revenue"] == 29.0

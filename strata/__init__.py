@@ -1,4 +1,4 @@
-"""strata — a Spark-native medallion lakehouse for trip-style event data.
+"""strata — a Spark-native medallion lake for trip-style event data.
 
 Layers: raw monthly Parquet → bronze (raw + lineage) → silver (renamed,
 rule-filtered, contract-checked) → gold (trip fact + zone/date dimensions)

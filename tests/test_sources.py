@@ -43,7 +43,7 @@ def test_zone_seed_keeps_na_strings(spark, tmp_path):
     csv = tmp_path / "zones.csv"
     csv.write_text(
         '"LocationID","Borough","Zone","service_zone"\n1,"EWR","Newark Airport","EWR"\n'
-        '264,"Unknown","N/A","N/A"\n265,"N/A","Outside of NYC","N/A"\n'
+        '264,"Unknown","N/A","N/A"\n265,"N/A","Outside of City","N/A"\n'
     )
     rows = trips.read_zone_seed(spark, str(csv)).orderBy("LocationID").collect()
     assert [r.LocationID for r in rows] == [1, 264, 265]

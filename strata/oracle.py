@@ -308,6 +308,7 @@ FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
     # ---- gold
     "stg_trips": STG_SQL,
     "dup_rank": ranked_sql(COARSE_DUP_KEY),
+    "dup_rank_skew_safe": ranked_sql(COARSE_DUP_KEY),
     "dup_rank_histogram": f"SELECT trip_dup_rank, CAST(count(*) AS BIGINT) AS rows FROM ({ranked_sql(COARSE_DUP_KEY)}) r GROUP BY trip_dup_rank",
     "surrogate_key": f"SELECT trip_sk, pickup_datetime, dropoff_datetime, vendor_id, total_amount FROM ({FACT_SQL}) f",
     "fact_trips": FACT_SQL,

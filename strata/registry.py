@@ -380,6 +380,15 @@ def q_dup_rank(spark, sf_dir):
     return gold.dup_rank(q_stg_trips(spark, sf_dir), COARSE_DUP_KEY)
 
 
+def q_dup_rank_skew_safe(spark, sf_dir):
+    """The duplicate rank through the hot-group path: every group the sample
+    sees at least three times is split into ordered sub-ranges."""
+    return gold.dup_rank(
+        q_stg_trips(spark, sf_dir), COARSE_DUP_KEY, skew_safe=True,
+        hot_rows=3, sample_rows=10**12, rows_per_bucket=2, max_hot_keys=100_000,
+    )
+
+
 def q_dup_rank_histogram(spark, sf_dir):
     ranked = q_dup_rank(spark, sf_dir)
     return ranked.groupBy("trip_dup_rank").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))

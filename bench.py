@@ -107,8 +107,13 @@ def main() -> None:
     tables.replace_months(lake.table("bronze", jobs.TRIPS).read(), small, max_records_per_file=500)
     month_scan = lambda: small.read().filter(F.col("trip_month") == BENCH_MONTH)
     extra["files_read_before_compaction"] = layout.files_read(month_scan())
+    small_count = lambda: run(marts.month_count(small.read(), BENCH_MONTH))
+    small_count()
+    q["month_count_small_files"], _ = timed(small_count)
     q["compact_partitions"], report = timed(lambda: layout.compact_partitions(small).collect())
     extra["files_read_after_compaction"] = layout.files_read(month_scan())
+    small_count()
+    q["month_count_compacted"], _ = timed(small_count)
     extra["partitions_rewritten"] = sum(1 for r in report if r.rewritten)
 
     total = round(sum(q.values()), 3)

@@ -17,5 +17,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROW_LIMI
     inputs, so a dimension that grew unexpectedly costs one bounded scan and
     falls back to a shuffle join instead of exhausting executor memory.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROW_LIMIT) -> bool:
+    """Whether ``df`` provably has at most ``max_rows`` rows (bounded scan)."""
+    return df.limit(max_rows + 1).count() <= max_rows

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import broadcast_if_small
+from strata.operators.joins import DEFAULT_BROADCAST_ROW_LIMIT, is_small
 
 SCHEMA = "test_name string, model string, column_name string, failures bigint"
 
@@ -73,16 +73,25 @@ def relationship_failures(
     parent_col: str,
     *,
     model: str,
-    max_parent_rows: int | None = None,
+    max_parent_rows: int = DEFAULT_BROADCAST_ROW_LIMIT,
 ) -> DataFrame:
+    """Child rows whose non-null key has no parent row.
+
+    Parent key set provably small → broadcast anti-join streaming the child
+    (no shuffle of the child). Otherwise the child is first reduced to
+    ``(key, rows)`` — map-side combining collapses hot keys — and only
+    those distinct keys take part in the shuffle anti-join.
+    """
     keys = parent.select(F.col(parent_col).alias("_pk")).distinct()
-    keys = broadcast_if_small(keys) if max_parent_rows is None else broadcast_if_small(keys, max_parent_rows)
-    orphans = (
-        child.select(F.col(child_col).alias("_ck"))
-        .filter(F.col("_ck").isNotNull())
-        .join(keys, F.col("_ck") == F.col("_pk"), "left_anti")
-    )
-    return orphans.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
+    child_keys = child.select(F.col(child_col).alias("_ck")).filter(F.col("_ck").isNotNull())
+    if is_small(keys, max_parent_rows):
+        orphans = child_keys.join(F.broadcast(keys), F.col("_ck") == F.col("_pk"), "left_anti")
+        failures = F.count(F.lit(1))
+    else:
+        per_key = child_keys.groupBy("_ck").agg(F.count(F.lit(1)).alias("_rows"))
+        orphans = per_key.join(keys, F.col("_ck") == F.col("_pk"), "left_anti")
+        failures = F.coalesce(F.sum("_rows"), F.lit(0))
+    return orphans.agg(failures.cast("bigint").alias("failures")).select(
         F.lit("relationships").alias("test_name"),
         F.lit(model).alias("model"),
         F.lit(child_col).alias("column_name"),

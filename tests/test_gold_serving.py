@@ -129,3 +129,11 @@ def test_unique_detects_duplicates_both_ways(spark):
         assert quality.unique_failures(df, "k", model="m", hashed=hashed).first().failures == 2
     ok = spark.createDataFrame([("a",), ("b",)], "k string")
     assert quality.unique_failures(ok, "k", model="m").first().failures == 0
+
+
+def test_relationships_both_join_paths(spark):
+    child = spark.createDataFrame([(1,), (1,), (2,), (5,), (5,), (5,), (None,)], "k long")
+    parent = spark.createDataFrame([(1,), (2,), (3,)], "k long")
+    small = quality.relationship_failures(child, "k", parent, "k", model="m").first().failures
+    big = quality.relationship_failures(child, "k", parent, "k", model="m", max_parent_rows=1).first().failures
+    assert small == big == 3

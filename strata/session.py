@@ -63,6 +63,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: point it at a folder every executor "
+            "can reach (HDFS / object store) before running lake jobs"
+        )
     local = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)

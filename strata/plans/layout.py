@@ -179,11 +179,11 @@ def scan_audit(tables: dict[str, Table], month: str, *, queries: Sequence[str] |
             secs = timed(lambda q=q: q.write.format("noop").mode("overwrite").save())
             plan = explain_text(q)
             nrows = q.count()
-            rows.append((label, name, month, nfiles, nrows, float(secs), "PartitionFilters" in plan))
+            rows.append((label, name, month, nfiles, nrows, float(secs), "PartitionFilters" in plan, plan))
     return spark.createDataFrame(
         rows,
         "table string, query string, trip_month string, files_read bigint, result_rows bigint, "
-        "seconds double, partition_pruned boolean",
+        "seconds double, partition_pruned boolean, plan string",
     )
 
 

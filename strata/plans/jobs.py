@@ -213,7 +213,7 @@ def staging_sql(silver_table: str) -> str:
     return f"SELECT {cols} FROM {silver_table}"
 
 
-def build_gold(lake: Lake, zone_lookup: DataFrame, *, skew_safe: bool = True) -> dict[str, str]:
+def build_gold(lake: Lake, zone_lookup: DataFrame, *, skew_safe: bool = True) -> dict[str, object]:
     """Staging view → fact (partitioned by month), zone and date dimensions.
 
     Full rebuild, like a table materialisation. The fact needs one hash
@@ -227,11 +227,19 @@ def build_gold(lake: Lake, zone_lookup: DataFrame, *, skew_safe: bool = True) ->
     overwrite_table(gold.fact_trips(stg, skew_safe=skew_safe), lake.table("gold", "fact_trips"))
     overwrite_table(gold.dim_zone(zone_lookup), lake.table("gold", "dim_zone"), partition_cols=())
     overwrite_table(gold.dim_date(stg), lake.table("gold", "dim_date"), partition_cols=())
+    # Spine length: one outlier pickup date stretches the calendar (reported,
+    # not corrected). The spine is one row per day, so this reads a tiny table.
+    spine = lake.table("gold", "dim_date").read().agg(
+        F.count(F.lit(1)).alias("days"), F.min("date_key").alias("first"), F.max("date_key").alias("last")
+    ).first()
     return {
         "staging": f"{ns}.{STAGING_VIEW}",
         "fact_trips": f"{ns}.fact_trips",
         "dim_zone": f"{ns}.dim_zone",
         "dim_date": f"{ns}.dim_date",
+        "calendar_days": int(spine.days),
+        "calendar_first": str(spine.first),
+        "calendar_last": str(spine.last),
     }
 
 

@@ -1,31 +1,40 @@
 """Skew-safe ``row_number()`` within groups.
 
 A plain ``Window.partitionBy(key)`` sends every row of a group to one task;
-if one group holds a third of the data, that task does a third of the
-work. Here hot groups are found from a bounded sample and split into
-ordered sub-ranges at sampled split points (collected once, so they are
-plan literals and the plan is deterministic on every retry):
-
-    rank(row) = row_number within (key, sub-range) + rows of the same key
-                in earlier sub-ranges
-
-The per-(key, sub-range) counts and the split points are bounded by
-``max_hot_keys × buckets`` and broadcast. Cold groups keep the plain window.
-Rows tied on every ordering column are interchangeable, so a row id breaks
-the tie inside hot groups without changing the result.
+if one group holds a third of the data, that task does a third of the work.
+Here hot groups are split into ordered sub-ranges ("buckets"):
+
+    rank(row) = row_number within (key, bucket) + rows of the key in earlier buckets
+
+Passes:
+
+A. a sampled scan of the KEY COLUMNS only (column-pruned) finds keys whose
+   estimated size reaches ``hot_rows``; none → the plain window (the
+   common case: one keys-only pass more than the plain window);
+B. for hot keys only: a per-key bounded sample of their rows gives the split
+   points of each key's order (collected, so they are plan literals and
+   every retry sees the same plan);
+C. for hot keys only: exact row counts per (key, bucket) → per-bucket
+   offsets (collected: bounded by the number of buckets);
+final: ONE scan; a broadcast left join attaches splits and offsets to hot
+   rows (cold rows get bucket 0, offset 0); one window exchange on
+   (key, bucket).
+
+Everything collected is bounded by ``max_hot_keys`` × buckets ≤ the sample
+size. Rows tied on every ordering column are interchangeable, so a row id
+breaks such ties inside buckets without changing the result. The row id is
+taken directly over the scan, so every pass numbers rows identically.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-
-def _null_safe_eq(left: DataFrame, right: DataFrame, key: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in key])
+from pyspark.sql import types as T
 
 
 def plain_rank(df: DataFrame, key: Sequence[str], ordering: Sequence[Column], rank_col: str) -> DataFrame:
@@ -43,6 +52,24 @@ def _order_struct(order_cols: Sequence[str]) -> Column:
     return F.struct(*fields)
 
 
+def _key_match(key: Sequence[str], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in key])
+
+
+def _hot_keys(df, key, *, fraction, min_hits, max_hot_keys, seed):
+    """Pass A: keys seen at least ``min_hits`` times in a keys-only sample."""
+    counts = (
+        df.select(*key)
+        .sample(fraction=fraction, seed=seed)
+        .groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") >= min_hits)
+        .orderBy(F.col("_n").desc())
+        .limit(max_hot_keys)
+    )
+    return counts.collect()
+
+
 def skew_safe_rank(
     df: DataFrame,
     key: Sequence[str],
@@ -50,6 +77,7 @@ def skew_safe_rank(
     *,
     rank_col: str = "rank",
     hot_rows: int = 5_000_000,
+    key_sample_fraction: float | None = None,
     sample_rows: int = 200_000,
     max_hot_keys: int = 1_000,
     rows_per_bucket: int = 1_000_000,
@@ -59,77 +87,117 @@ def skew_safe_rank(
     """``row_number() OVER (PARTITION BY key ORDER BY order_cols ASC NULLS LAST)``.
 
     ``hot_rows`` — estimated group size from which a group is split.
-    ``sample_rows`` — target size of the sample used to find hot groups and
-    split points (bounds what reaches the driver).
+    ``key_sample_fraction`` — sampling rate of pass A (default: ~50 expected
+    hits for a group of ``hot_rows``).
+    ``sample_rows`` — bound on the rows sampled for split points (pass B),
+    i.e. on what reaches the driver.
     ``rows_per_bucket`` — target rows per sub-range: a hot group gets
     ``ceil(estimated rows / rows_per_bucket)`` sub-ranges, at most one per
-    sampled row of the group (``buckets`` fixes the number instead).
+    sampled row (``buckets`` fixes the number instead).
     Hot groups beyond ``max_hot_keys`` take the plain path (exact, slower).
     """
     ordering = [F.col(c).asc_nulls_last() for c in order_cols]
-    total = df.count()
-    if total == 0 or total < hot_rows:
+    total = df.count()  # reads no columns
+    if total < max(hot_rows, 2):
+        return plain_rank(df, key, ordering, rank_col)
+    spark = df.sparkSession
+    p = key_sample_fraction or min(1.0, 50.0 / hot_rows)
+    min_hits = max(2, int(math.ceil(hot_rows * p)))
+    hot = _hot_keys(df, key, fraction=p, min_hits=min_hits, max_hot_keys=max_hot_keys, seed=seed)
+    if not hot:
         return plain_rank(df, key, ordering, rank_col)
-    fraction = min(1.0, sample_rows / total)
+
+    key_schema = T.StructType([df.schema[k] for k in key])
+    renamed = {k: f"_h_{k}" for k in key}
     with_id = df.withColumn("_row_id", F.monotonically_increasing_id())
     ord_struct = _order_struct([*order_cols, "_row_id"])
-    sample = with_id.sample(fraction=fraction, seed=seed).select(*key, ord_struct.alias("_o"))
-    min_hits = max(2, int(hot_rows * fraction))
-    hot = (
-        sample.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.sort_array(F.collect_list("_o")).alias("_s"))
-        .filter(F.col("_n") >= min_hits)
-        .orderBy(F.col("_n").desc())
-        .limit(max_hot_keys)
+
+    # Pass B: per-key sampling rate so each hot key yields up to its share of
+    # ``sample_rows`` (at least 64) rows; split points from the sorted sample.
+    per_key_target = max(64, sample_rows // len(hot))
+    rates = [
+        (*[r[k] for k in key], min(1.0, per_key_target / (r["_n"] / p)), r["_n"] / p) for r in hot
+    ]
+    rate_schema = T.StructType(
+        [T.StructField(renamed[f.name], f.dataType, True) for f in key_schema.fields]
+        + [T.StructField("_rate", T.DoubleType()), T.StructField("_est", T.DoubleType())]
+    )
+    rate_df = F.broadcast(spark.createDataFrame(rates, rate_schema))
+    sampled = (
+        with_id.join(rate_df, _key_match(key, "_h_"), "inner")
+        .filter(F.rand(seed) < F.col("_rate"))
+        .groupBy(*key)
+        .agg(
+            F.count(F.lit(1)).alias("_m"),
+            F.first("_est").alias("_est"),
+            F.sort_array(F.collect_list(ord_struct)).alias("_s"),
+        )
+        .filter(F.col("_m") >= 2)
     )
     if buckets is not None:
-        n_buckets = F.lit(max(2, buckets))
+        n_buckets = F.least(F.col("_m"), F.lit(max(2, buckets)))
     else:
-        estimate = F.ceil(F.col("_n") / F.lit(fraction) / F.lit(float(rows_per_bucket)))
-        n_buckets = F.least(F.col("_n"), F.greatest(F.lit(2), estimate)).cast("int")
-    hot = hot.withColumn("_b", n_buckets).select(
-        *key,
-        F.expr("transform(sequence(1, _b - 1), i -> _s[cast(floor(i * size(_s) / _b) as int)])").alias(
-            "_splits"
-        ),
+        wanted = F.ceil(F.col("_est") / F.lit(float(rows_per_bucket)))
+        n_buckets = F.least(F.col("_m"), F.greatest(F.lit(2), wanted))
+    splits_rows = (
+        sampled.withColumn("_b", n_buckets.cast("int"))
+        .select(
+            *key,
+            F.expr("transform(sequence(1, _b - 1), i -> _s[cast(floor(i * size(_s) / _b) as int)])").alias(
+                "_splits"
+            ),
+        )
+        .collect()
     )
-    hot_rows_local = hot.collect()  # ≤ max_hot_keys rows of ≤ buckets split points
-    if not hot_rows_local:
+    if not splits_rows:
         return plain_rank(df, key, ordering, rank_col)
-    spark = df.sparkSession
-    hot_df = F.broadcast(spark.createDataFrame(hot_rows_local, hot.schema))
-
-    cold = with_id.join(hot_df, _null_safe_eq(with_id, hot_df, key), "left_anti")
-    cold_ranked = plain_rank(cold, key, ordering, rank_col)
-
-    hot_part = with_id.join(hot_df.withColumnsRenamed({k: f"_h_{k}" for k in key}),
-                            reduce(lambda a, b: a & b, [with_id[k].eqNullSafe(F.col(f"_h_{k}")) for k in key]),
-                            "inner")
+    split_type = T.ArrayType(ord_struct_type(with_id, [*order_cols, "_row_id"]))
+    split_schema = T.StructType(
+        [T.StructField(renamed[f.name], f.dataType, True) for f in key_schema.fields]
+        + [T.StructField("_splits", split_type)]
+    )
+    splits_df = spark.createDataFrame([tuple(r) for r in splits_rows], split_schema)
     bucket = F.size(F.filter(F.col("_splits"), lambda s: s <= ord_struct))
-    hot_part = hot_part.withColumn("_bucket", bucket).drop("_splits", *[f"_h_{k}" for k in key])
-    local = hot_part.withColumn(
-        "_local",
-        F.row_number().over(
-            Window.partitionBy(*key, "_bucket").orderBy(*ordering, F.col("_row_id").asc())
-        ),
+
+    # Pass C: exact rows per (key, bucket) of the hot keys → offsets.
+    sizes = (
+        with_id.join(F.broadcast(splits_df), _key_match(key, "_h_"), "inner")
+        .withColumn("_bucket", bucket)
+        .groupBy(*key, "_bucket")
+        .agg(F.count(F.lit(1)).alias("_c"))
+        .collect()
+    )
+    counts: dict[tuple, dict[int, int]] = {}
+    for r in sizes:
+        counts.setdefault(tuple(r[k] for k in key), {})[r["_bucket"]] = r["_c"]
+    plan_rows = []
+    for r in splits_rows:
+        k = tuple(r[c] for c in key)
+        per_bucket = counts.get(k, {})
+        offsets, running = [], 0
+        for b in range(len(r["_splits"]) + 1):
+            offsets.append(running)
+            running += per_bucket.get(b, 0)
+        plan_rows.append((*k, r["_splits"], offsets))
+    plan_schema = T.StructType(
+        split_schema.fields + [T.StructField("_offsets", T.ArrayType(T.LongType()))]
     )
-    sizes = hot_part.groupBy(*key, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = sizes.withColumn(
+    plan_df = F.broadcast(spark.createDataFrame(plan_rows, plan_schema))
+
+    # Final: one scan; cold rows get bucket 0 / offset 0 and rank as usual.
+    joined = with_id.join(plan_df, _key_match(key, "_h_"), "left")
+    hot_row = F.col("_splits").isNotNull()
+    joined = joined.withColumn("_bucket", F.when(hot_row, bucket).otherwise(F.lit(0)))
+    joined = joined.withColumn(
         "_offset",
-        F.coalesce(
-            F.sum("_cnt").over(
-                Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ),
-    ).drop("_cnt")
-    offsets = F.broadcast(offsets.withColumnsRenamed({k: f"_o_{k}" for k in key}))
-    cond = reduce(
-        lambda a, b: a & b, [local[k].eqNullSafe(F.col(f"_o_{k}")) for k in key]
-    ) & (local["_bucket"] == offsets["_bucket"])
-    hot_ranked = (
-        local.join(offsets, cond, "inner")
-        .withColumn(rank_col, (F.col("_local") + F.col("_offset")).cast("bigint"))
-        .select(*df.columns, rank_col)
+        F.when(hot_row, F.element_at(F.col("_offsets"), F.col("_bucket") + 1)).otherwise(F.lit(0)),
     )
-    return cold_ranked.select(*df.columns, rank_col).unionByName(hot_ranked)
+    w = Window.partitionBy(*key, "_bucket").orderBy(*ordering, F.col("_row_id").asc())
+    return joined.withColumn(rank_col, (F.row_number().over(w) + F.col("_offset")).cast("bigint")).select(
+        *df.columns, rank_col
+    )
+
+
+def ord_struct_type(df: DataFrame, order_cols: Sequence[str]) -> T.StructType:
+    """Data type of ``_order_struct(order_cols)`` over ``df``."""
+    return df.select(_order_struct(order_cols).alias("_o")).schema["_o"].dataType

@@ -21,7 +21,7 @@ def _sorted(df):
 def test_skew_safe_rank_equals_plain_window(spark):
     stg = _stg(spark)
     plain = gold.dup_rank(stg, COARSE_DUP_KEY)
-    safe = gold.dup_rank(stg, COARSE_DUP_KEY, skew_safe=True, hot_rows=4, sample_rows=10**9, buckets=3, max_hot_keys=50)
+    safe = gold.dup_rank(stg, COARSE_DUP_KEY, skew_safe=True, hot_rows=4, key_sample_fraction=1.0, sample_rows=10**9, buckets=3, max_hot_keys=50)
     assert _sorted(plain) == _sorted(safe)
     assert safe.agg(F.max("trip_dup_rank")).first()[0] >= 3
 
@@ -29,7 +29,7 @@ def test_skew_safe_rank_equals_plain_window(spark):
 def test_skew_safe_rank_splits_one_giant_group_of_identical_rows(spark):
     base_row = _stg(spark).orderBy("pickup_datetime", "total_amount").first()
     big = spark.createDataFrame([base_row] * 300, _stg(spark).schema).unionByName(_stg(spark))
-    safe = gold.dup_rank(big, gold.DUP_KEY, skew_safe=True, hot_rows=50, sample_rows=10**9, buckets=8)
+    safe = gold.dup_rank(big, gold.DUP_KEY, skew_safe=True, hot_rows=50, key_sample_fraction=1.0, sample_rows=10**9, buckets=8)
     plain = gold.dup_rank(big, gold.DUP_KEY)
     assert _sorted(safe) == _sorted(plain)
     same = F.lit(True)
@@ -42,5 +42,5 @@ def test_skew_safe_rank_splits_one_giant_group_of_identical_rows(spark):
 def test_skew_safe_rank_sizes_buckets_from_the_sample(spark):
     base_row = _stg(spark).orderBy("pickup_datetime", "total_amount").first()
     big = spark.createDataFrame([base_row] * 200, _stg(spark).schema).unionByName(_stg(spark).limit(50))
-    safe = gold.dup_rank(big, gold.DUP_KEY, skew_safe=True, hot_rows=40, sample_rows=10**9, rows_per_bucket=25)
+    safe = gold.dup_rank(big, gold.DUP_KEY, skew_safe=True, hot_rows=40, key_sample_fraction=1.0, sample_rows=10**9, rows_per_bucket=25)
     assert _sorted(safe) == _sorted(gold.dup_rank(big, gold.DUP_KEY))

@@ -158,3 +158,23 @@ def test_cli_end_to_end(spark, tmp_path, capsys):
     lines = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
     kpi = lines[lines.index({"section": "kpis"}) + 1]
     assert kpi["total_trips"] == 2 and kpi["total_revenue"] == 29.0
+
+
+def test_serving_surface_over_a_reopened_lake(spark, tmp_path, lake):
+    from strata import serving
+    from tests.conftest import bronze_frame
+
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 2))
+    jobs.build_silver(lake, processed_at="p")
+    zones = spark.createDataFrame([(161, "Manhattan", "Midtown", "Yellow Zone")], trips.ZONE_SEED_SCHEMA)
+    jobs.build_gold(lake, zones)
+    for layer, name in jobs.KNOWN_TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {lake.table(layer, name).qualified}")
+    reopened = serving.open_gold(spark, lake.root, prefix=lake.prefix)
+    assert serving.gold_tables_present(reopened)
+    assert serving.list_trip_months(reopened) == ["2024-01"]
+    assert serving.monthly_revenue(reopened, trip_months=["2024-01"]).first().total_revenue == 29.0
+    assert serving.top_pickup_zones(reopened, limit=5).first().zone_name == "Midtown"
+    assert serving.register_silver_view(reopened, f"{lake.prefix}sv")["view"] == f"{lake.prefix}sv"
+    with pytest.raises(FileNotFoundError):
+        serving.open_gold(spark, str(tmp_path / "empty-lake"), prefix="nothing_here_")

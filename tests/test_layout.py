@@ -77,3 +77,26 @@ def test_sized_write_one_file_per_month(spark, lake):
     tables.replace_months(df, t)
     stats = {r.partition_value: r.file_count for r in layout.partition_file_stats(t).collect()}
     assert stats == {"2024-01": 1, "2024-02": 1}
+
+
+def _batches(spark, n_batches):
+    rows = [("2024-01", i) for b in range(n_batches) for i in range(3)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(n_batches).select("trip_month", "n")
+
+
+def test_budget_huge_gives_one_file(spark, lake):
+    t = lake.table("bronze", "budget_big")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    tables.replace_months(_batches(spark, 4), t, target_bytes=10**12)
+    inv = layout.file_inventory(t).collect()
+    assert [r.record_count for r in inv] == [12]
+
+
+def test_budget_tiny_gives_one_file_per_batch(spark, lake):
+    t = lake.table("bronze", "budget_small")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    tables.replace_months(_batches(spark, 3), t, target_bytes=1)
+    inv = sorted(r.record_count for r in layout.file_inventory(t).collect())
+    assert inv == [3, 3, 3]  # AQE splits the month at map-output boundaries: one file per batch

@@ -114,7 +114,7 @@ def coerce(df: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
-def _data_checks(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column]]:
+def data_checks(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column]]:
     checks: list[tuple[str, str, Column]] = []
     present = set(df.columns)
     for spec in contract.fields:
@@ -136,7 +136,7 @@ def _data_checks(df: DataFrame, contract: Contract) -> list[tuple[str, str, Colu
 def data_failures(df: DataFrame, contract: Contract) -> DataFrame:
     """``(column_name, check_name, failures)`` from one aggregation pass."""
     spark = df.sparkSession
-    checks = _data_checks(df, contract)
+    checks = data_checks(df, contract)
     if not checks:
         return spark.createDataFrame([], "column_name string, check_name string, failures bigint")
     aliases = [f"k{i}" for i in range(len(checks))]

@@ -131,7 +131,7 @@ def silver_month_checks(projected: DataFrame, kept: Column, contract: contract_m
     """ONE aggregation per month: rows in, rows kept, and every contract
     data check counted over the kept rows (so stats and validation share
     one scan of bronze)."""
-    checks = contract_mod._data_checks(projected, contract)
+    checks = contract_mod.data_checks(projected, contract)
     # The rule conjunction is materialised once as a column; inlined, the
     # optimizer would re-evaluate it inside every check.
     flagged = projected.withColumn("_kept", kept)
@@ -173,7 +173,7 @@ def build_silver(
     structural = [f for f in contract_mod.structure_failures(projected, contract) if f[2]]
     if structural:
         raise contract_mod.ContractError(contract.name, structural)
-    checks = contract_mod._data_checks(projected, contract)
+    checks = contract_mod.data_checks(projected, contract)
     per_month = silver_month_checks(projected, kept, contract).collect()  # ≤ one row per month
     failures = []
     for i, (col, kind, _) in enumerate(checks):

@@ -230,10 +230,10 @@ def overwrite_table(
     partition_cols: Sequence[str] = (PARTITION_COLUMN,),
 ) -> None:
     """Full rebuild (dimension / fact materialisation)."""
-    writer = df.write.mode("overwrite").format("parquet").option("path", table.location)
     if partition_cols:
         df = df.hint("rebalance", *partition_cols)
-        writer = df.write.mode("overwrite").format("parquet").option("path", table.location)
+    writer = df.write.mode("overwrite").format("parquet").option("path", table.location)
+    if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     table.lake.ensure_namespace(table.layer)
     writer.saveAsTable(table.qualified)

@@ -93,6 +93,9 @@ def land_bronze(
     """Create the table if needed and replace the given months (all present
     months when ``months`` is None). Idempotent: re-running lands the same rows."""
     table = lake.table("bronze", TRIPS)
+    if months is not None and not months:  # an empty month list lands nothing
+        return {"rows": 0, "months_written": [], "months_cleared": [], "table": table.qualified,
+                "table_location": table.location}
     lake.ensure_namespace("bronze")
     create_table(
         table, bronze.schema, properties={WRITE_TARGET_PROPERTY: str(WRITE_TARGET_FILE_SIZE_BYTES)}
@@ -164,6 +167,8 @@ def build_silver(
     if on_all_rejected not in ("keep", "clear"):
         raise ValueError("on_all_rejected must be 'keep' or 'clear'")
     spark = lake.spark
+    if months is not None and not months:  # an empty month list transforms nothing
+        return spark.createDataFrame([], "trip_month string, input_rows bigint, output_rows bigint, rejected_rows bigint")
     bronze_t, silver_t = lake.table("bronze", TRIPS), lake.table("silver", TRIPS)
     contract = contract_mod.silver_contract(limits)
     stamp = processed_at or utc_now_iso()

@@ -115,3 +115,10 @@ def test_namespace_and_table_creation_are_idempotent(spark, lake):
     assert tables.create_table(t, schema) is True
     assert tables.create_table(t, schema) is False
     assert tables.ensure_write_target(t) is True and tables.ensure_write_target(t) is False
+
+
+def test_empty_month_list_is_a_no_op_for_jobs(spark, lake):
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 2))
+    assert jobs.land_bronze(lake, bronze_frame(spark, "2024-02", 1), months=[])["rows"] == 0
+    assert jobs.build_silver(lake, [], processed_at="p").count() == 0
+    assert _counts(lake) == {"2024-01": 2}

@@ -29,6 +29,7 @@ from strata.plans.tables import (
     drop_months,
     ensure_write_target,
     evolve,
+    latest_version,
     overwrite_table,
     replace_months,
 )
@@ -350,15 +351,20 @@ def attach(lake: Lake, *, limits: TripLimits = TripLimits()) -> list[str]:
         t = lake.table(layer, name)
         if t.exists() or not storage.exists(spark, t.location):
             continue
-        children = storage.list_children(spark, t.location)
+        location = t.location
+        if layer == "gold":  # rebuilt tables live in version folders
+            location = latest_version(t)
+            if location is None:
+                continue
+        children = storage.list_children(spark, location)
         if not any(c.endswith(".parquet") or c.startswith("trip_month=") for c in children):
             continue
         partitioned = any(c.startswith("trip_month=") for c in children)
         if (layer, name) == ("silver", TRIPS):
             schema = contract_mod.silver_contract(limits).schema()
         else:
-            schema = spark.read.option("mergeSchema", "true").parquet(t.location).schema
+            schema = spark.read.option("mergeSchema", "true").parquet(location).schema
         lake.ensure_namespace(layer)
-        create_table(t, schema, partition_cols=("trip_month",) if partitioned else ())
+        create_table(t, schema, partition_cols=("trip_month",) if partitioned else (), location=location)
         attached.append(t.qualified)
     return attached

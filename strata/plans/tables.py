@@ -19,6 +19,8 @@ the replace unit:
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -102,19 +104,21 @@ def create_table(
     *,
     partition_cols: Sequence[str] = (PARTITION_COLUMN,),
     properties: dict[str, str] | None = None,
+    location: str | None = None,
 ) -> bool:
     """Create if absent; returns whether it was created."""
     if table.exists():
         return False
     table.lake.ensure_namespace(table.layer)
-    storage.mkdirs(table.spark, table.location)
+    where = location or table.location
+    storage.mkdirs(table.spark, where)
     props = ""
     if properties:
         props = " TBLPROPERTIES (" + ", ".join(f"'{k}'='{v}'" for k, v in properties.items()) + ")"
     parts = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
     table.spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table.qualified} ({_ddl(schema)}) USING parquet"
-        f"{parts} LOCATION '{table.location}'{props}"
+        f"{parts} LOCATION '{where}'{props}"
     )
     if partition_cols:
         table.spark.sql(f"ALTER TABLE {table.qualified} RECOVER PARTITIONS")
@@ -223,17 +227,69 @@ def replace_months(
     return {"rows": int(metrics.get("rows") or 0), "months_written": written, "months_cleared": emptied}
 
 
+VERSION_PREFIX = "v-"
+
+
+def current_location(table: Table) -> str | None:
+    """Storage location the catalog entry points at (None if no table)."""
+    if not table.exists():
+        return None
+    rows = table.spark.sql(f"DESCRIBE TABLE EXTENDED {table.qualified}").collect()
+    for r in rows:
+        if r.col_name == "Location":
+            return r.data_type
+    return None
+
+
+def latest_version(table: Table) -> str | None:
+    """Newest committed version folder of a rebuilt table (has ``_SUCCESS``)."""
+    versions = sorted(
+        (c for c in storage.list_children(table.spark, table.location) if c.startswith(VERSION_PREFIX)),
+        reverse=True,
+    )
+    for v in versions:
+        path = f"{table.location}/{v}"
+        if storage.exists(table.spark, f"{path}/_SUCCESS"):
+            return path
+    return None
+
+
 def overwrite_table(
     df: DataFrame,
     table: Table,
     *,
     partition_cols: Sequence[str] = (PARTITION_COLUMN,),
-) -> None:
-    """Full rebuild (dimension / fact materialisation)."""
+) -> str:
+    """Full rebuild with write-then-swap.
+
+    The new content is written to a fresh version folder; only after that
+    job has committed is the catalog entry pointed at it (drop + create of
+    the external table: metadata only), then the previous version folder is
+    removed. A failure at any point before the swap leaves readers on the
+    previous, complete version. Returns the new location.
+    """
+    spark = table.spark
+    version = f"{table.location}/{VERSION_PREFIX}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     if partition_cols:
         df = df.hint("rebalance", *partition_cols)
-    writer = df.write.mode("overwrite").format("parquet").option("path", table.location)
+    writer = df.write.mode("errorifexists").format("parquet")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
+    writer.save(version)
+
+    previous = current_location(table)
+    schema = spark.read.parquet(version).schema
+    ordered = T.StructType(
+        [f for f in schema.fields if f.name not in partition_cols]
+        + [schema[c] for c in partition_cols]
+    )
     table.lake.ensure_namespace(table.layer)
-    writer.saveAsTable(table.qualified)
+    spark.sql(f"DROP TABLE IF EXISTS {table.qualified}")
+    parts = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
+    spark.sql(f"CREATE TABLE {table.qualified} ({_ddl(ordered)}) USING parquet{parts} LOCATION '{version}'")
+    if partition_cols:
+        spark.sql(f"ALTER TABLE {table.qualified} RECOVER PARTITIONS")
+    if previous and previous.rstrip("/") != storage.qualify(spark, version).rstrip("/"):
+        if f"/{VERSION_PREFIX}" in previous:
+            storage.delete(spark, previous)
+    return version

@@ -100,3 +100,23 @@ def test_budget_tiny_gives_one_file_per_batch(spark, lake):
     tables.replace_months(_batches(spark, 3), t, target_bytes=1)
     inv = sorted(r.record_count for r in layout.file_inventory(t).collect())
     assert inv == [3, 3, 3]  # AQE splits the month at map-output boundaries: one file per batch
+
+
+def test_rebuild_swaps_versions_and_survives_a_failed_write(spark, lake):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from strata.sources import storage
+
+    t = lake.table("gold", "rebuilt")
+    first = spark.createDataFrame([("2024-01", 1), ("2024-02", 2)], SCHEMA)
+    tables.overwrite_table(first, t)
+    tables.overwrite_table(first.withColumn("n", F.col("n") * 10), t)
+    assert sorted(r.n for r in t.read().collect()) == [10, 20]
+    versions = [c for c in storage.list_children(spark, t.location) if c.startswith(tables.VERSION_PREFIX)]
+    assert len(versions) == 1
+    broken = first.withColumn("n", F.when(F.col("n") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("n")).cast("long"))
+    with pytest.raises(Exception):
+        tables.overwrite_table(broken, t)
+    assert sorted(r.n for r in t.read().collect()) == [10, 20]
+    assert tables.latest_version(t).endswith(versions[0])

@@ -15,7 +15,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.operators import contract as contract_mod
 from strata.operators import gold, marts, quality

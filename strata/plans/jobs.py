@@ -366,5 +366,12 @@ def attach(lake: Lake, *, limits: TripLimits = TripLimits()) -> list[str]:
             schema = spark.read.option("mergeSchema", "true").parquet(location).schema
         lake.ensure_namespace(layer)
         create_table(t, schema, partition_cols=("trip_month",) if partitioned else (), location=location)
+        if layer in ("bronze", "silver"):
+            ensure_write_target(t)
         attached.append(t.qualified)
+    silver_t = lake.table("silver", TRIPS)
+    if silver_t.exists():
+        ns = lake.ensure_namespace("gold")
+        if not spark.catalog.tableExists(f"{ns}.{STAGING_VIEW}"):
+            spark.sql(f"CREATE OR REPLACE VIEW {ns}.{STAGING_VIEW} AS {staging_sql(silver_t.qualified)}")
     return attached

@@ -9,9 +9,11 @@ state it leaves behind.
 
 from __future__ import annotations
 
+import hashlib
 import threading
 import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +40,8 @@ from strata.params import (
 )
 from strata.plans import jobs, layout, tables
 from strata.plans.tables import Lake
-from strata.session import shared_scratch
-from strata.sources import catalog, months, testdata, trips
+from strata.session import ensure_checkpoint_dir, shared_scratch
+from strata.sources import catalog, months, storage, testdata, trips
 
 LIMITS = TABLE_TRIP_LIMITS
 _LOCK = threading.Lock()
@@ -54,17 +56,54 @@ def bronze_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.bronze_from_tables(spark, sf_dir, loaded_at=LOADED_AT)
 
 
+def _code_version() -> str:
+    """Hash of the package source: a lake built by other code is never reused."""
+    root = Path(__file__).resolve().parent
+    digest = hashlib.sha1()
+    for path in sorted(root.rglob("*.py")):
+        digest.update(path.relative_to(root).as_posix().encode())
+        digest.update(path.read_bytes())
+    return digest.hexdigest()[:12]
+
+
+def _pointer(spark: SparkSession, sf_dir: str) -> str:
+    tag = hashlib.sha1(f"{sf_dir.rstrip('/')}|{_code_version()}".encode()).hexdigest()[:16]
+    return f"{ensure_checkpoint_dir(spark)}/strata/shared/{tag}"
+
+
+def _reuse(spark: SparkSession, pointer: str) -> Lake | None:
+    """Attach a lake an earlier session built from the same tables and code."""
+    if not storage.exists(spark, f"{pointer}/_SUCCESS"):
+        return None
+    row = spark.read.json(pointer).first()
+    if row is None or not storage.exists(spark, row.root):
+        return None
+    lake = Lake(spark, row.root, prefix=row.prefix)
+    jobs.attach(lake, limits=LIMITS)
+    return lake if spark.catalog.tableExists(lake.table("gold", "fact_trips").qualified) else None
+
+
 def shared_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """Bronze, silver and gold built once per (session, scale factor)."""
+    """Bronze, silver and gold built once per scale factor and code version.
+
+    Within a session the lake is cached; a later session (another process)
+    re-attaches it through a small pointer in the shared checkpoint folder.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     with _LOCK:
         lake = _SHARED.get(key)
         if lake is not None and spark.catalog.tableExists(lake.table("gold", "fact_trips").qualified):
             return lake
-        lake = new_lake(spark, "lake")
-        jobs.land_bronze(lake, bronze_frame(spark, sf_dir))
-        jobs.build_silver(lake, processed_at=PROCESSED_AT, limits=LIMITS)
-        jobs.build_gold(lake, trips.zones_from_tables(spark, sf_dir))
+        pointer = _pointer(spark, sf_dir)
+        lake = _reuse(spark, pointer)
+        if lake is None:
+            lake = new_lake(spark, "lake")
+            jobs.land_bronze(lake, bronze_frame(spark, sf_dir))
+            jobs.build_silver(lake, processed_at=PROCESSED_AT, limits=LIMITS)
+            jobs.build_gold(lake, trips.zones_from_tables(spark, sf_dir))
+            spark.createDataFrame([(lake.root, lake.prefix)], "root string, prefix string").coalesce(1).write.mode(
+                "overwrite"
+            ).json(pointer)
         _SHARED[key] = lake
         return lake
 

@@ -67,20 +67,48 @@ def month_of_file() -> Column:
     return F.coalesce(F.nullif(by_folder, F.lit("")), F.nullif(by_name, F.lit("")))
 
 
+def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Declared columns in order: matched case-insensitively, cast to the
+    declared type, NULL when the file lacks the column; extras dropped."""
+    present = {c.lower(): c for c in df.columns}
+    cols = []
+    for f in schema.fields:
+        src = present.get(f.name.lower())
+        if src is None:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif df.schema[src].dataType == f.dataType:
+            cols.append(F.col(src).alias(f.name))
+        else:
+            cols.append(F.col(src).cast(f.dataType).alias(f.name))
+    return df.select(*cols)
+
+
 def read_raw_files(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType = RAW_SCHEMA
 ) -> DataFrame:
-    """Scan monthly raw files; adds ``_file_month`` and ``_file_path``."""
-    return (
-        spark.read.schema(schema)
-        .parquet(*paths)
-        .withColumns(
-            {
-                "_file_path": F.col("_metadata.file_path"),
-                "_file_month": month_of_file(),
-            }
+    """Scan monthly raw files; adds ``_file_month`` and ``_file_path``.
+
+    Files are grouped by their own Parquet schema (one footer read per
+    delivered file, i.e. per month). Each group is one distributed scan cast
+    to the declared schema, and the groups are unioned: a month that renamed,
+    dropped or re-typed a column (e.g. ``passenger_count`` as double) lands
+    like the others. With one group (the usual case) this is a single scan.
+    """
+    groups: dict[str, list[str]] = {}
+    for path in paths:
+        file_schema = spark.read.parquet(path).schema
+        groups.setdefault(file_schema.simpleString(), []).append(path)
+    frames = []
+    for group in groups.values():
+        raw = spark.read.parquet(*group)
+        conformed = _conform(raw, schema).withColumns(
+            {"_file_path": F.col("_metadata.file_path"), "_file_month": month_of_file()}
         )
-    )
+        frames.append(conformed)
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def raw_trips_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,9 +7,11 @@ from strata.sources import catalog, trips
 from tests.conftest import raw_row
 
 
-def _write_month(path, month, rename=None, drop=None, n=2):
+def _write_month(path, month, rename=None, drop=None, n=2, as_double=None):
     rows = [raw_row() for _ in range(n)]
     cols = {k: [r[k] for r in rows] for k in rows[0]}
+    if as_double:
+        cols[as_double] = [float(v) for v in cols[as_double]]
     if drop:
         cols.pop(drop)
     if rename:
@@ -25,18 +27,20 @@ def test_raw_files_with_drifting_columns(spark, tmp_path, lake):
         _write_month(tmp_path, "2024-01"),
         _write_month(tmp_path, "2024-02", rename=("Airport_fee", "airport_fee"), n=3),
         _write_month(tmp_path, "2024-03", drop="Airport_fee", n=1),
+        _write_month(tmp_path, "2024-04", as_double="passenger_count", n=2),
     ]
     bronze = jobs.bronze_from_files(spark, files, loaded_at="l")
     rows = bronze.select("trip_month", "Airport_fee", "_source_file").collect()
     by_month = {}
     for r in rows:
         by_month.setdefault(r.trip_month, []).append(r.Airport_fee)
-    assert {m: len(v) for m, v in by_month.items()} == {"2024-01": 2, "2024-02": 3, "2024-03": 1}
+    assert {m: len(v) for m, v in by_month.items()} == {"2024-01": 2, "2024-02": 3, "2024-03": 1, "2024-04": 2}
+    assert dict(bronze.dtypes)["passenger_count"] == "bigint"
     assert by_month["2024-02"] == [0.0, 0.0, 0.0]
     assert by_month["2024-03"] == [None]
     assert all(r._source_file.endswith(f"yellow_tripdata_{r.trip_month}.parquet") for r in rows)
     out = jobs.land_bronze(lake, bronze)
-    assert out["rows"] == 6 and out["months_written"] == ["2024-01", "2024-02", "2024-03"]
+    assert out["rows"] == 8 and out["months_written"] == ["2024-01", "2024-02", "2024-03", "2024-04"]
 
 
 def test_zone_seed_keeps_na_strings(spark, tmp_path):

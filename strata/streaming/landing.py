@@ -9,7 +9,10 @@ idempotent, so the checkpoint + month replace give exactly-once table
 contents across restarts and executor loss.
 
 Each month is expected to arrive as one file (a later file for the same
-month replaces the earlier one, as a re-delivery does).
+month replaces the earlier one, as a re-delivery does). A stream has one
+schema: names match case-insensitively and missing columns read NULL, but a
+month that re-types a column must go through the batch path
+(``jobs.bronze_from_files``), which conforms each file-schema group.
 """
 
 from __future__ import annotations

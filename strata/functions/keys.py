@@ -2,8 +2,10 @@
 
 Spark's ``hash``/``xxhash64`` skip NULL inputs, so ``(NULL, 1)`` and
 ``(1, NULL)`` collide. The key is instead the MD5 of a canonical text
-record: every field rendered to an engine-independent string, NULL as a
-marker that no rendered value can take, fields joined by a separator.
+record: every field rendered to an engine- and time-zone-independent
+string (timestamps as integer microseconds, doubles as integer micro-units),
+NULL as a marker that no rendered value can take, fields joined by a
+separator.
 """
 
 from __future__ import annotations
@@ -17,16 +19,19 @@ from pyspark.sql import types as T
 # Fixed rendering choices (they define the key, change them and every key changes).
 NULL_MARKER = "~"
 SEPARATOR = "|"
-TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 DOUBLE_SCALE = 6  # doubles are keyed as integer micro-units
+EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def canonical(df: DataFrame, name: str) -> Column:
     """Engine-independent text rendering of one column."""
     dtype = df.schema[name].dataType
     c = F.col(name)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        text = F.date_format(c, TIMESTAMP_PATTERN)
+    if isinstance(dtype, T.TimestampNTZType):
+        # wall-clock microseconds since 1970-01-01: no session time zone involved
+        text = F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, `{name}`)").cast("string")
+    elif isinstance(dtype, T.TimestampType):
+        text = F.unix_micros(c).cast("string")
     elif isinstance(dtype, T.DateType):
         text = F.date_format(c, "yyyy-MM-dd")
     elif isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):

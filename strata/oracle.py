@@ -120,7 +120,7 @@ STG_SQL = "SELECT " + ", ".join(
 
 def _canon(col: str, kind: str) -> str:
     if kind == "ts":
-        text = f"strftime({col}, '%Y-%m-%d %H:%M:%S.%f')"
+        text = f"CAST(epoch_us({col}) AS VARCHAR)"
     elif kind == "double":
         text = f"CAST(CAST(floor({col} * 1000000.0 + 0.5) AS BIGINT) AS VARCHAR)"
     else:

@@ -137,3 +137,14 @@ def test_relationships_both_join_paths(spark):
     small = quality.relationship_failures(child, "k", parent, "k", model="m").first().failures
     big = quality.relationship_failures(child, "k", parent, "k", model="m", max_parent_rows=1).first().failures
     assert small == big == 3
+
+
+def test_surrogate_key_ignores_session_time_zone(spark):
+    stg = gold.staging(_silver(spark))
+    spring_gap = stg.limit(1).withColumn("pickup_datetime", F.lit("2024-03-10 02:30:00").cast("timestamp_ntz"))
+    keys = []
+    for tz in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        keys.append(sorted(r.trip_sk for r in gold.fact_trips(stg.unionByName(spring_gap)).collect()))
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert keys[0] == keys[1]

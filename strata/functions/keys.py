@@ -28,8 +28,12 @@ def canonical(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
     c = F.col(name)
     if isinstance(dtype, T.TimestampNTZType):
-        # wall-clock microseconds since 1970-01-01: no session time zone involved
-        text = F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, `{name}`)").cast("string")
+        # wall-clock microseconds since 1970-01-01 via NTZ − NTZ interval arithmetic:
+        # no session time zone is involved (functions that take TIMESTAMP would
+        # convert through it and shift local times inside a DST gap)
+        text = F.expr(
+            f"cast(cast(cast(`{name}` - {EPOCH_NTZ} as interval second) as decimal(24,6)) * 1000000 as bigint)"
+        ).cast("string")
     elif isinstance(dtype, T.TimestampType):
         text = F.unix_micros(c).cast("string")
     elif isinstance(dtype, T.DateType):

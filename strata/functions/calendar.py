@@ -26,8 +26,17 @@ def month_start(d: Column) -> Column:
 
 
 def month_key(ts: Column) -> Column:
-    """``YYYY-MM`` partition value of a timestamp or date."""
-    return F.date_format(ts, "yyyy-MM")
+    """``YYYY-MM`` partition value of a naive timestamp (or date).
+
+    Read from the value's own text: no session time zone is involved."""
+    return F.substring(ts.cast("string"), 1, 7)
+
+
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds from ``start`` to ``end`` (naive timestamps), truncated
+    toward zero. Computed on the NTZ interval, so no session time zone can
+    shift a local time inside a DST gap."""
+    return ((end - start).cast("interval second").cast("decimal(24,6)")).cast("bigint")
 
 
 def date_attributes(d: Column) -> dict[str, Column]:

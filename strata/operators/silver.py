@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.calendar import seconds_between
 from strata.operators.rules import TripLimits, apply_rules, silver_rules
 
 # Raw column → silver column (applied only to columns present,
@@ -63,8 +64,8 @@ def derive(df: DataFrame) -> DataFrame:
     """``trip_duration_seconds`` (whole seconds, truncated) and ``pickup_date``."""
     return df.withColumns(
         {
-            "trip_duration_seconds": F.expr(
-                "timestampdiff(SECOND, pickup_datetime, dropoff_datetime)"
+            "trip_duration_seconds": seconds_between(
+                F.col("pickup_datetime"), F.col("dropoff_datetime")
             ).cast("double"),
             "pickup_date": F.to_date("pickup_datetime"),
         }

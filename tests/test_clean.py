@@ -63,3 +63,16 @@ def test_rename_is_case_insensitive_and_skips_absent(spark):
     out = silver.rename_bronze(df)
     assert "airport_fee" in out.columns and "ratecode_id" not in out.columns
     assert "vendor_id" in out.columns
+
+
+def test_duration_and_month_ignore_session_time_zone(spark):
+    from strata.functions.calendar import month_key
+
+    rows = [raw_row(tpep_pickup_datetime=dt.datetime(2024, 3, 10, 1, 30), tpep_dropoff_datetime=dt.datetime(2024, 3, 10, 2, 45, 0, 600000))]
+    got = []
+    for tz in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        df = silver.derive(silver.rename_bronze(raw_frame(spark, rows)))
+        got.append(df.select("trip_duration_seconds", month_key(F.col("dropoff_datetime")).alias("m")).first())
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got[0] == got[1] and got[0].trip_duration_seconds == 4500.0 and got[0].m == "2024-03"

@@ -1,10 +1,12 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
-Gold-level queries share one lake built from the given tables per session
-and scale factor (bronze → silver → gold, written under the shared
-checkpoint folder). Maintenance scenarios (replace, clear, evolve, compact)
-each build their own scratch lake, run the scenario, and return the table
-state it leaves behind.
+Gold-level queries share one lake built from the given tables per scale
+factor and code version (bronze → silver → gold, written under the shared
+checkpoint folder, re-attached by later sessions). Maintenance scenarios
+(replace, clear, evolve, compact, stream) each build their own scratch lake,
+run the scenario, and return the table state it leaves behind; the returned
+frames read those lakes lazily, so scratch folders (``strata/*`` under the
+checkpoint folder) are left for the caller's housekeeping.
 """
 
 from __future__ import annotations

@@ -302,6 +302,12 @@ FROM ({SILVER_SQL}) s GROUP BY trip_month""".replace(
   CAST(1 AS BIGINT) AS files_after, CAST(count(*) AS BIGINT) AS rows,
   count(*) > {COMPACT_MAX_RECORDS} AS rewritten
 FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
+    "partition_file_counts": f"""SELECT 'bronze.yellow_taxi_trips' AS "table", trip_month AS partition_value,
+  CAST(1 AS BIGINT) AS file_count, CAST(count(*) AS BIGINT) AS record_count
+FROM ({BRONZE_SQL}) b GROUP BY trip_month
+UNION ALL
+SELECT 'silver.yellow_taxi_trips', trip_month, CAST(1 AS BIGINT), CAST(count(*) AS BIGINT)
+FROM ({SILVER_SQL}) s GROUP BY trip_month""",
     "compact_skips_single": f"""SELECT trip_month AS partition_value, CAST(1 AS BIGINT) AS files_before,
   CAST(1 AS BIGINT) AS files_after, CAST(count(*) AS BIGINT) AS rows, false AS rewritten
 FROM ({BRONZE_SQL}) b GROUP BY trip_month""",

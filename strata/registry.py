@@ -385,6 +385,12 @@ def q_partition_file_stats(spark, sf_dir):
     )
 
 
+def q_partition_file_counts(spark, sf_dir):
+    """Per-partition file and record counts of bronze and silver (the byte
+    columns of the layout report left out, so the counts can be checked)."""
+    return q_partition_file_stats(spark, sf_dir).select("table", "partition_value", "file_count", "record_count")
+
+
 def q_scan_audit(spark, sf_dir):
     lake = shared_lake(spark, sf_dir)
     return layout.scan_audit(

@@ -190,6 +190,10 @@ def _write(df: DataFrame, table: Table, *, target_bytes: int | None, max_records
     conf = {
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes or DEFAULT_ADVISORY_BYTES),
+        # After REBALANCE(trip_month) a task holds one or a few months: a few
+        # concurrent writers skip the per-task sort by month (beyond 4 open
+        # files Spark falls back to sorting, which bounds writer memory).
+        "spark.sql.maxConcurrentOutputFileWriters": "4",
     }
     if max_records_per_file:
         conf["spark.sql.files.maxRecordsPerFile"] = str(max_records_per_file)

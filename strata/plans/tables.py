@@ -279,7 +279,8 @@ def overwrite_table(
     writer = df.write.mode("errorifexists").format("parquet")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
-    writer.save(version)
+    with session_conf(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": "4"}):
+        writer.save(version)
 
     previous = current_location(table)
     schema = spark.read.parquet(version).schema

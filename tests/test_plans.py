@@ -50,3 +50,14 @@ def test_landing_write_rebalances_by_month(spark):
     bronze = jobs.bronze_from_tables(spark, SF_SMALL, loaded_at="l")
     plan = explain_text(bronze.hint("rebalance", "trip_month"))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_fact_rank_is_one_scan_one_exchange(spark):
+    from strata.operators import gold
+
+    lake = _lake(spark)
+    stg = gold.staging(lake.table("silver", jobs.TRIPS).read())
+    plan = explain_text(gold.fact_trips(stg))
+    tree = plan.split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1 and tree.count("Exchange") == 1
+    assert "hashpartitioning(pickup_datetime" in plan and "EvalPython" not in plan

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -80,20 +81,28 @@ def shared_scratch(spark: SparkSession, purpose: str) -> str:
     return f"{base}/strata/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+_CONF_LOCK = threading.RLock()
+
+
 @contextlib.contextmanager
 def session_conf(spark: SparkSession, settings: dict[str, str]):
-    """Temporarily apply session settings (restored afterwards)."""
-    previous = {k: spark.conf.get(k, None) for k in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in previous.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    """Temporarily apply session settings (restored afterwards).
+
+    Held under a process-wide lock: two threads writing through one session
+    must not restore each other's settings (e.g. the overwrite mode) mid-job.
+    """
+    with _CONF_LOCK:
+        previous = {k: spark.conf.get(k, None) for k in settings}
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in previous.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
 
 
 def default_parallelism(spark: SparkSession) -> int:

@@ -116,7 +116,7 @@ placed AS (
          length('<|' || s.role || '|>' || chr(10)) AS head,
          coalesce(sum(length(s.role) + length(s.text) + 13) OVER (
            PARTITION BY s.side, s.pair_id, s.n > p.shared ORDER BY s.n
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at,
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
          length(s.text) + 7 AS body
   FROM sides s JOIN prefix p ON s.pair_id = p.pair_id),
 shown AS (
@@ -124,9 +124,9 @@ shown AS (
          string_agg(shown, '' ORDER BY n) FILTER (WHERE side = 'c' AND n <= shared) AS prompt,
          string_agg(shown, '' ORDER BY n) FILTER (WHERE side = 'c' AND n > shared) AS chosen,
          string_agg(shown, '' ORDER BY n) FILTER (WHERE side = 'r' AND n > shared) AS rejected,
-         string_agg(CAST(at + head AS BIGINT) || ':' || CAST(at + head + body AS BIGINT), ',' ORDER BY n)
+         string_agg(CAST(pos + head AS BIGINT) || ':' || CAST(pos + head + body AS BIGINT), ',' ORDER BY n)
            FILTER (WHERE side = 'c' AND n > shared AND role = 'assistant') AS chosen_mask,
-         string_agg(CAST(at + head AS BIGINT) || ':' || CAST(at + head + body AS BIGINT), ',' ORDER BY n)
+         string_agg(CAST(pos + head AS BIGINT) || ':' || CAST(pos + head + body AS BIGINT), ',' ORDER BY n)
            FILTER (WHERE side = 'r' AND n > shared AND role = 'assistant') AS rejected_mask
   FROM placed GROUP BY pair_id)
 SELECT p.pair_id,

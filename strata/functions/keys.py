@@ -2,10 +2,11 @@
 
 Spark's ``hash``/``xxhash64`` skip NULL inputs, so ``(NULL, 1)`` and
 ``(1, NULL)`` collide. The key is instead the MD5 of a canonical text
-record: every field rendered to an engine- and time-zone-independent
-string (timestamps as integer microseconds, doubles as integer micro-units),
-NULL as a marker that no rendered value can take, fields joined by a
-separator.
+record: every field rendered to a time-zone-independent string without loss
+(timestamps as integer microseconds, doubles as their shortest decimal text
+that reads back as the same double), NULL as a marker that no rendered value
+can take, fields joined by a separator. Two values get one text exactly when
+grouping treats them as equal: zero has one sign and all NaNs are one.
 """
 
 from __future__ import annotations
@@ -19,12 +20,11 @@ from pyspark.sql import types as T
 # Fixed rendering choices (they define the key, change them and every key changes).
 NULL_MARKER = "~"
 SEPARATOR = "|"
-DOUBLE_SCALE = 6  # doubles are keyed as integer micro-units
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def canonical(df: DataFrame, name: str) -> Column:
-    """Engine-independent text rendering of one column."""
+    """Lossless text rendering of one column."""
     dtype = df.schema[name].dataType
     c = F.col(name)
     if isinstance(dtype, T.TimestampNTZType):
@@ -38,10 +38,8 @@ def canonical(df: DataFrame, name: str) -> Column:
         text = F.unix_micros(c).cast("string")
     elif isinstance(dtype, T.DateType):
         text = F.date_format(c, "yyyy-MM-dd")
-    elif isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-        text = F.floor(c.cast("double") * F.lit(float(10**DOUBLE_SCALE)) + F.lit(0.5)).cast(
-            "bigint"
-        ).cast("string")
+    elif isinstance(dtype, (T.DoubleType, T.FloatType)):
+        text = F.when(c == 0, F.lit("0.0")).otherwise(c.cast("string"))
     else:
         text = c.cast("string")
     return F.coalesce(text, F.lit(NULL_MARKER))

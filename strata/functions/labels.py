@@ -27,12 +27,12 @@ def payment_label(code: Column, labels: dict[int, str] | None = None) -> Column:
     The map is a literal folded into the plan (no join, no UDF).
     """
     table = labels if labels is not None else PAYMENT_TYPE_LABELS
-    lookup = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in table.items()))
+    lookup = F.create_map(*chain.from_iterable((F.lit(k).cast("bigint"), F.lit(v)) for k, v in table.items()))
     return (
         F.when(code.isNull(), F.lit(UNKNOWN_LABEL))
         .otherwise(
             F.coalesce(
-                F.try_element_at(lookup, code.cast("int")),
+                F.try_element_at(lookup, code.cast("bigint")),
                 F.concat(F.lit("Type "), code.cast("bigint").cast("string")),
             )
         )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.calendar import date_attributes
 from strata.functions.keys import surrogate_key
-from strata.operators.ranking import plain_rank, skew_safe_rank
+from strata.operators.ranking import skew_safe_rank
 
 # Staging projection of silver (lineage stamps dropped).
 STAGING_COLUMNS: list[str] = [
@@ -89,28 +89,22 @@ def dup_rank(
     *,
     order: Sequence[str] = ("source_file",),
     rank_col: str = "trip_dup_rank",
-    skew_safe: bool = False,
-    **skew_options,
 ) -> DataFrame:
     """``row_number()`` of each row among identical trips, first file first.
 
     Ties on ``order`` are broken by every remaining column, so the ranks are
     a deterministic function of the data (identical rows are interchangeable).
-    The plain form is one hash exchange on ``key`` + sort; ``skew_safe``
-    splits groups that a sample shows to be hot (see ``ranking``), so a
-    group holding a large share of all rows is ranked by many tasks.
-    No row is dropped: the rank only makes the surrogate key unique.
+    Unrepeated trips get rank 1 without a shuffle and a group of any size is
+    ranked by many tasks (see ``ranking``). No row is dropped: the rank only
+    makes the surrogate key unique.
     """
     tiebreak = [c for c in stg.columns if c not in set(key) | set(order)]
-    order_cols = list(order) + tiebreak
-    if skew_safe:
-        return skew_safe_rank(stg, key, order_cols, rank_col=rank_col, **skew_options)
-    return plain_rank(stg, key, [F.col(c).asc_nulls_last() for c in order_cols], rank_col)
+    return skew_safe_rank(stg, key, [*order, *tiebreak], rank_col=rank_col)
 
 
-def fact_trips(stg: DataFrame, key: Sequence[str] = DUP_KEY, *, skew_safe: bool = False, **skew_options) -> DataFrame:
+def fact_trips(stg: DataFrame, key: Sequence[str] = DUP_KEY) -> DataFrame:
     """Trip fact with a null-safe 128-bit surrogate key over key + rank."""
-    ranked = dup_rank(stg, key, skew_safe=skew_safe, **skew_options)
+    ranked = dup_rank(stg, key)
     return ranked.select(
         surrogate_key(ranked, [*key, "trip_dup_rank"]).alias("trip_sk"),
         F.col("pickup_date").alias("date_key"),

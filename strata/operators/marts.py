@@ -3,7 +3,8 @@
 ``trip_months=None`` or ``[]`` means no filter; otherwise an IN-list on the
 partition column, which Spark turns into a partition filter on the fact.
 Joins with dimensions happen AFTER aggregating the fact down to one row per
-dimension key, so the big side never travels through a join.
+dimension key, so the big side never travels through a join; table
+statistics and adaptive execution choose the kind of join.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.labels import UNKNOWN_LABEL, payment_label, zone_label
-from strata.functions.money import cents, from_cents, half_up_div
-from strata.operators.joins import broadcast_if_small
+from strata.functions.money import amount, exact, exact_sum, mean, rounded_mean, to_cents
 
 
 def month_filter(df: DataFrame, trip_months: Sequence[str] | None, col: str = "trip_month") -> DataFrame:
@@ -54,7 +54,7 @@ def monthly_revenue(fact: DataFrame, trip_months: Sequence[str] | None = None) -
         .filter(F.col("trip_month").isNotNull())
         .groupBy("trip_month")
         .agg(
-            from_cents(F.sum(cents("total_amount"))).alias("total_revenue"),
+            amount(exact_sum("total_amount")).alias("total_revenue"),
             F.count(F.lit(1)).cast("bigint").alias("trip_count"),
         )
         .orderBy("trip_month")
@@ -67,7 +67,7 @@ def _zone_counts(fact: DataFrame, zones: DataFrame, trip_months: Sequence[str] |
         .groupBy("pickup_zone_key")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    dim = broadcast_if_small(zones.select("zone_key", "zone_name", "borough"))
+    dim = zones.select("zone_key", "zone_name", "borough")
     joined = per_key.join(dim, per_key.pickup_zone_key == dim.zone_key, "left")
     return joined.groupBy(
         F.coalesce("zone_name", F.lit(UNKNOWN_LABEL)).alias("zone_name"),
@@ -116,21 +116,25 @@ def payment_mix(fact: DataFrame, trip_months: Sequence[str] | None = None) -> Da
 def avg_fare_by_day_of_week(
     fact: DataFrame, dates: DataFrame, trip_months: Sequence[str] | None = None
 ) -> DataFrame:
-    """Mean ``total_amount`` (rounded half-up to cents) per weekday."""
+    """Mean ``total_amount`` per weekday, rounded once, half up to cents."""
     per_day = (
         month_filter(fact, trip_months)
         .groupBy("date_key")
-        .agg(F.sum(cents("total_amount")).alias("c"), F.count(F.lit(1)).alias("n"))
+        .agg(
+            exact_sum("total_amount").alias("total"),
+            F.count(exact("total_amount")).alias("amounts"),
+            F.count(F.lit(1)).alias("n"),
+        )
     )
-    dim = broadcast_if_small(dates.select("date_key", "day_name", "iso_day_of_week"))
+    dim = dates.select("date_key", "day_name", "iso_day_of_week")
     joined = per_day.join(dim, "date_key", "inner")
     return (
         joined.groupBy("day_name", "iso_day_of_week")
-        .agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
+        .agg(F.sum("total").alias("total"), F.sum("amounts").alias("amounts"), F.sum("n").alias("n"))
         .select(
             "day_name",
             "iso_day_of_week",
-            from_cents(half_up_div(F.col("c"), F.col("n"))).alias("avg_total_amount"),
+            rounded_mean(F.col("total"), F.col("amounts")).alias("avg_total_amount"),
             F.col("n").cast("bigint").alias("trip_count"),
         )
         .orderBy("iso_day_of_week")
@@ -146,7 +150,7 @@ def dashboard_kpis(fact: DataFrame, trip_months: Sequence[str] | None = None) ->
     """
     per_month = month_filter(fact, trip_months).groupBy("trip_month").agg(
         F.count_if(F.col("date_key").isNotNull()).alias("trips"),
-        F.sum(cents("total_amount")).alias("c"),
+        to_cents(exact_sum("total_amount")).alias("revenue"),
     )
     months = (
         F.lit(len(trip_months)).cast("bigint")
@@ -155,7 +159,7 @@ def dashboard_kpis(fact: DataFrame, trip_months: Sequence[str] | None = None) ->
     )
     return per_month.agg(
         F.coalesce(F.sum("trips"), F.lit(0)).cast("bigint").alias("total_trips"),
-        from_cents(F.coalesce(F.sum(F.when(F.col("trip_month").isNotNull(), F.col("c"))), F.lit(0))).alias(
+        F.coalesce(F.sum(F.when(F.col("trip_month").isNotNull(), F.col("revenue"))).cast("double"), F.lit(0.0)).alias(
             "total_revenue"
         ),
         months.cast("bigint").alias("months_in_filter"),
@@ -172,14 +176,12 @@ def month_count(table: DataFrame, month: str) -> DataFrame:
 
 
 def daily_fare(table: DataFrame, month: str) -> DataFrame:
-    """Per pickup date of one month: trips and mean fare (half-up cents)."""
+    """Per pickup date of one month: trips and mean fare (not rounded)."""
     return (
         table.filter(F.col("trip_month") == month)
         .groupBy("pickup_date")
         .agg(
             F.count(F.lit(1)).cast("bigint").alias("trips"),
-            from_cents(half_up_div(F.sum(cents("fare_amount")), F.count("fare_amount"))).alias(
-                "avg_fare"
-            ),
+            mean(exact_sum("fare_amount"), F.count(exact("fare_amount"))).alias("avg_fare"),
         )
     )

@@ -1,50 +1,35 @@
 """Data tests on the gold models: unique, not_null, relationships.
 
 Each test yields ``(test_name, model, column_name, failures)``; 0 = pass.
-* unique — number of key values that occur more than once (one hash
-  aggregation; partial aggregation keeps hot keys from piling up).
-* not_null — all columns of one model are counted in a single pass.
-* relationships — non-null child keys with no parent: a left-anti join
-  against the (size-checked, broadcast) parent key set.
+* unique — number of key values that occur more than once.
+* not_null and relationships of one model are counted in ONE aggregate: the
+  model is joined with the distinct key sets of its parents (dimension
+  tables, whose statistics let the planner broadcast them) and every test is
+  a conditional count, so a fact is scanned once for all of them.
+Nothing is collected and no job runs while the plan is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import DEFAULT_BROADCAST_ROW_LIMIT, is_small
-
 SCHEMA = "test_name string, model string, column_name string, failures bigint"
 
 
-# Candidate hashes beyond this count are not broadcast; the exact
-# key-level aggregation is used instead.
-MAX_HASH_CANDIDATES = 1_000_000
-
-
-def unique_failures(df: DataFrame, column: str, *, model: str, hashed: bool = True) -> DataFrame:
+def unique_failures(df: DataFrame, column: str, *, model: str) -> DataFrame:
     """Key values that occur more than once.
 
-    ``hashed``: first aggregate 64-bit hashes of the key (an 8-byte shuffle
-    with map-side combining instead of the full key), then compare full keys
-    only for the colliding hashes — broadcast when their number is proven
-    small, else the exact key-level aggregation.
+    64-bit hashes of the key are counted first (an 8-byte shuffle, combined
+    before it, instead of the full key); full keys are compared only where
+    their hash repeats. Normally none does, and adaptive execution drops the
+    second pass when the first comes out empty.
     """
-    keys = df.select(F.col(column).alias("k")).filter(F.col("k").isNotNull())
-    if hashed:
-        colliding = (
-            keys.select(F.xxhash64("k").alias("h")).groupBy("h").count().filter(F.col("count") > 1).select("h")
-        )
-        found = colliding.limit(MAX_HASH_CANDIDATES + 1).collect()
-        if not found:
-            keys = keys.limit(0)  # no colliding hash: no duplicate key, nothing left to scan
-        elif len(found) <= MAX_HASH_CANDIDATES:
-            cand = F.broadcast(df.sparkSession.createDataFrame(found, "h bigint"))
-            keys = keys.join(cand, F.xxhash64("k") == cand.h, "left_semi")
-    dups = keys.groupBy("k").count().filter(F.col("count") > 1)
+    keys = df.select(F.col(column).alias("k")).filter(F.col("k").isNotNull()).withColumn("h", F.xxhash64("k"))
+    repeated = keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    dups = keys.join(repeated, "h", "left_semi").groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return dups.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
         F.lit("unique").alias("test_name"),
         F.lit(model).alias("model"),
@@ -53,50 +38,46 @@ def unique_failures(df: DataFrame, column: str, *, model: str, hashed: bool = Tr
     )
 
 
-def not_null_failures(df: DataFrame, columns: Sequence[str], *, model: str) -> DataFrame:
-    """One scan of ``df`` for all columns."""
-    aliases = [f"n{i}" for i in range(len(columns))]
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(a) for c, a in zip(columns, aliases)])
-    names = F.create_map(*[x for c, a in zip(columns, aliases) for x in (F.lit(a), F.lit(c))])
-    return row.unpivot([], aliases, "cid", "failures").select(
-        F.lit("not_null").alias("test_name"),
-        F.lit(model).alias("model"),
-        F.element_at(names, F.col("cid")).alias("column_name"),
-        F.col("failures").cast("bigint").alias("failures"),
-    )
-
-
-def relationship_failures(
-    child: DataFrame,
-    child_col: str,
-    parent: DataFrame,
-    parent_col: str,
+def model_failures(
+    df: DataFrame,
     *,
     model: str,
-    max_parent_rows: int = DEFAULT_BROADCAST_ROW_LIMIT,
+    not_null: Sequence[str] = (),
+    relationships: Sequence[tuple[str, DataFrame, str]] = (),
 ) -> DataFrame:
-    """Child rows whose non-null key has no parent row.
+    """not_null and relationship tests of one model in one scan.
 
-    Parent key set provably small → broadcast anti-join streaming the child
-    (no shuffle of the child). Otherwise the child is first reduced to
-    ``(key, rows)`` — map-side combining collapses hot keys — and only
-    those distinct keys take part in the shuffle anti-join.
+    ``relationships``: ``(column, parent, parent column)``; a failure is a row
+    whose non-null key has no parent row.
     """
-    keys = parent.select(F.col(parent_col).alias("_pk")).distinct()
-    child_keys = child.select(F.col(child_col).alias("_ck")).filter(F.col("_ck").isNotNull())
-    if is_small(keys, max_parent_rows):
-        orphans = child_keys.join(F.broadcast(keys), F.col("_ck") == F.col("_pk"), "left_anti")
-        failures = F.count(F.lit(1))
-    else:
-        per_key = child_keys.groupBy("_ck").agg(F.count(F.lit(1)).alias("_rows"))
-        orphans = per_key.join(keys, F.col("_ck") == F.col("_pk"), "left_anti")
-        failures = F.coalesce(F.sum("_rows"), F.lit(0))
-    return orphans.agg(failures.cast("bigint").alias("failures")).select(
-        F.lit("relationships").alias("test_name"),
-        F.lit(model).alias("model"),
-        F.lit(child_col).alias("column_name"),
-        "failures",
+    needed = list(dict.fromkeys([*not_null, *(c for c, _, _ in relationships)]))
+    rows = df.select(*needed)
+    tests: list[tuple[str, str, Column]] = [("not_null", c, F.col(c).isNull()) for c in not_null]
+    for i, (column, parent, parent_column) in enumerate(relationships):
+        keys = parent.select(F.col(parent_column).alias(f"_p{i}")).distinct()
+        rows = rows.join(keys, F.col(column) == F.col(f"_p{i}"), "left")
+        tests.append(("relationships", column, F.col(column).isNotNull() & F.col(f"_p{i}").isNull()))
+    counts = rows.agg(*(F.count_if(t).cast("bigint").alias(f"t{i}") for i, (_, _, t) in enumerate(tests)))
+    report = F.array(
+        *(
+            F.struct(
+                F.lit(kind).alias("test_name"),
+                F.lit(model).alias("model"),
+                F.lit(column).alias("column_name"),
+                F.col(f"t{i}").alias("failures"),
+            )
+            for i, (kind, column, _) in enumerate(tests)
+        )
     )
+    return counts.select(F.inline(report))
+
+
+def not_null_failures(df: DataFrame, columns: Sequence[str], *, model: str) -> DataFrame:
+    return model_failures(df, model=model, not_null=columns)
+
+
+def relationship_failures(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str, *, model: str) -> DataFrame:
+    return model_failures(child, model=model, relationships=[(child_col, parent, parent_col)])
 
 
 def gold_checks(
@@ -109,10 +90,16 @@ def gold_checks(
         unique_failures(fact, "trip_sk", model="fact_trips"),
         not_null_failures(dates, ["date_key", "year"], model="dim_date"),
         not_null_failures(zones, ["zone_key", "borough", "zone_name"], model="dim_zone"),
-        not_null_failures(fact, ["trip_sk", "date_key", "total_amount"], model="fact_trips"),
-        relationship_failures(fact, "date_key", dates, "date_key", model="fact_trips"),
-        relationship_failures(fact, "pickup_zone_key", zones, "zone_key", model="fact_trips"),
-        relationship_failures(fact, "dropoff_zone_key", zones, "zone_key", model="fact_trips"),
+        model_failures(
+            fact,
+            model="fact_trips",
+            not_null=["trip_sk", "date_key", "total_amount"],
+            relationships=[
+                ("date_key", dates, "date_key"),
+                ("pickup_zone_key", zones, "zone_key"),
+                ("dropoff_zone_key", zones, "zone_key"),
+            ],
+        ),
     ]
     if seed is not None:
         parts.append(unique_failures(seed, "LocationID", model="taxi_zone_lookup"))

@@ -1,203 +1,89 @@
-"""Skew-safe ``row_number()`` within groups.
-
-A plain ``Window.partitionBy(key)`` sends every row of a group to one task;
-if one group holds a third of the data, that task does a third of the work.
-Here hot groups are split into ordered sub-ranges ("buckets"):
-
-    rank(row) = row_number within (key, bucket) + rows of the key in earlier buckets
-
-Passes:
-
-A. a sampled scan of the KEY COLUMNS only (column-pruned) finds keys whose
-   estimated size reaches ``hot_rows``; none → the plain window (the
-   common case: one keys-only pass more than the plain window);
-B. for hot keys only: a per-key bounded sample of their rows gives the split
-   points of each key's order (collected, so they are plan literals and
-   every retry sees the same plan);
-C. for hot keys only: exact row counts per (key, bucket) → per-bucket
-   offsets (collected: bounded by the number of buckets);
-final: ONE scan; a broadcast left join attaches splits and offsets to hot
-   rows (cold rows get bucket 0, offset 0); one window exchange on
-   (key, bucket).
-
-Everything collected is bounded by ``max_hot_keys`` × buckets ≤ the sample
-size. Rows tied on every ordering column are interchangeable, so a row id
-breaks such ties inside buckets without changing the result. The row id is
-taken directly over the scan, so every pass numbers rows identically.
+"""``row_number()`` within groups that stays parallel at any group size.
+
+In a fact table almost every group has one row, and one group may hold a
+third of all rows. So neither case goes through a window over whole groups:
+
+1. Rows of unrepeated groups have rank 1 and are never shuffled. A keys-only
+   pass counts 64-bit hashes of the group key (8 bytes a row, combined before
+   the shuffle); the hashes seen twice set bits in a map of ``MARK_WORDS``
+   words, the only thing broadcast, whose size does not depend on the data. A
+   row whose bit is clear is alone in its group. (A bit may be set by another
+   group's hash; such a row merely takes the second way, which is exact.)
+2. The other rows are range-partitioned by group key and order columns, which
+   cuts a large group into consecutive pieces, and written to the shared
+   folder, so every later pass and every retried task sees the same pieces.
+   A row's rank is its number within (group, piece) plus the rows of the
+   group in earlier pieces, which are counted per (group, piece).
+
+Rows equal in all order columns are interchangeable; no row id is needed.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from strata.session import shared_scratch
+
+#: 64-bit words of the map of repeated hashes (2**20 words are 8 MiB).
+MARK_WORDS_LOG2 = 20
 
 
 def plain_rank(df: DataFrame, key: Sequence[str], ordering: Sequence[Column], rank_col: str) -> DataFrame:
+    """The window over whole groups: what ``skew_safe_rank`` must equal."""
     return df.withColumn(
         rank_col, F.row_number().over(Window.partitionBy(*key).orderBy(*ordering)).cast("bigint")
     )
 
 
-def _order_struct(order_cols: Sequence[str]) -> Column:
-    """Struct comparable in ``ASC NULLS LAST`` order of ``order_cols``."""
-    fields = []
-    for i, c in enumerate(order_cols):
-        fields.append(F.col(c).isNull().alias(f"n{i}"))
-        fields.append(F.col(c).alias(f"v{i}"))
-    return F.struct(*fields)
+def _save(df: DataFrame, purpose: str) -> DataFrame:
+    path = shared_scratch(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _key_match(key: Sequence[str], prefix: str) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in key])
+def _bit(hash_: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), hash_.bitwiseAND(F.lit(63)).cast("int"))
 
 
-def _hot_keys(df, key, *, fraction, min_hits, max_hot_keys, seed):
-    """Pass A: keys seen at least ``min_hits`` times in a keys-only sample."""
-    counts = (
-        df.select(*key)
-        .sample(fraction=fraction, seed=seed)
-        .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= min_hits)
-        .orderBy(F.col("_n").desc())
-        .limit(max_hot_keys)
-    )
-    return counts.collect()
+def _word(hash_: Column) -> Column:
+    return F.shiftrightunsigned(hash_, 64 - MARK_WORDS_LOG2).cast("int")
+
+
+def _marks(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``(_word, _bits)``: at most ``2**MARK_WORDS_LOG2`` rows."""
+    hashes = df.select(F.xxhash64(*key).alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = hashes.filter("_n > 1").select(_word(F.col("_h")).alias("_word"), _bit(F.col("_h")).alias("_bit"))
+    return repeated.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
 
 
 def skew_safe_rank(
-    df: DataFrame,
-    key: Sequence[str],
-    order_cols: Sequence[str],
-    *,
-    rank_col: str = "rank",
-    hot_rows: int = 5_000_000,
-    key_sample_fraction: float | None = None,
-    sample_rows: int = 200_000,
-    max_hot_keys: int = 1_000,
-    rows_per_bucket: int = 1_000_000,
-    buckets: int | None = None,
-    seed: int = 17,
+    df: DataFrame, key: Sequence[str], order_cols: Sequence[str], *, rank_col: str = "rank"
 ) -> DataFrame:
-    """``row_number() OVER (PARTITION BY key ORDER BY order_cols ASC NULLS LAST)``.
-
-    ``hot_rows`` — estimated group size from which a group is split.
-    ``key_sample_fraction`` — sampling rate of pass A (default: ~50 expected
-    hits for a group of ``hot_rows``).
-    ``sample_rows`` — bound on the rows sampled for split points (pass B),
-    i.e. on what reaches the driver.
-    ``rows_per_bucket`` — target rows per sub-range: a hot group gets
-    ``ceil(estimated rows / rows_per_bucket)`` sub-ranges, at most one per
-    sampled row (``buckets`` fixes the number instead).
-    Hot groups beyond ``max_hot_keys`` take the plain path (exact, slower).
-    """
+    """``row_number() OVER (PARTITION BY key ORDER BY order_cols ASC NULLS LAST)``."""
+    columns = df.columns
+    marks = _save(_marks(df, key), "rank-marks")
+    hash_ = F.xxhash64(*key)
+    marked = df.join(F.broadcast(marks), _word(hash_) == F.col("_word"), "left")
+    repeated = F.coalesce(F.col("_bits").bitwiseAND(_bit(hash_)) != 0, F.lit(False))
+    alone = marked.filter(~repeated).select(*columns, F.lit(1).cast("bigint").alias(rank_col))
+
     ordering = [F.col(c).asc_nulls_last() for c in order_cols]
-    total = df.count()  # reads no columns
-    if total < max(hot_rows, 2):
-        return plain_rank(df, key, ordering, rank_col)
-    spark = df.sparkSession
-    p = key_sample_fraction or min(1.0, 50.0 / hot_rows)
-    min_hits = max(2, int(math.ceil(hot_rows * p)))
-    hot = _hot_keys(df, key, fraction=p, min_hits=min_hits, max_hot_keys=max_hot_keys, seed=seed)
-    if not hot:
-        return plain_rank(df, key, ordering, rank_col)
-
-    key_schema = T.StructType([df.schema[k] for k in key])
-    renamed = {k: f"_h_{k}" for k in key}
-    with_id = df.withColumn("_row_id", F.monotonically_increasing_id())
-    ord_struct = _order_struct([*order_cols, "_row_id"])
-
-    # Pass B: per-key sampling rate so each hot key yields up to its share of
-    # ``sample_rows`` (at least 64) rows; split points from the sorted sample.
-    per_key_target = max(64, sample_rows // len(hot))
-    rates = [
-        (*[r[k] for k in key], min(1.0, per_key_target / (r["_n"] / p)), r["_n"] / p) for r in hot
-    ]
-    rate_schema = T.StructType(
-        [T.StructField(renamed[f.name], f.dataType, True) for f in key_schema.fields]
-        + [T.StructField("_rate", T.DoubleType()), T.StructField("_est", T.DoubleType())]
-    )
-    rate_df = F.broadcast(spark.createDataFrame(rates, rate_schema))
-    sampled = (
-        with_id.join(rate_df, _key_match(key, "_h_"), "inner")
-        .filter(F.rand(seed) < F.col("_rate"))
-        .groupBy(*key)
-        .agg(
-            F.count(F.lit(1)).alias("_m"),
-            F.first("_est").alias("_est"),
-            F.sort_array(F.collect_list(ord_struct)).alias("_s"),
-        )
-        .filter(F.col("_m") >= 2)
-    )
-    if buckets is not None:
-        n_buckets = F.least(F.col("_m"), F.lit(max(2, buckets)))
-    else:
-        wanted = F.ceil(F.col("_est") / F.lit(float(rows_per_bucket)))
-        n_buckets = F.least(F.col("_m"), F.greatest(F.lit(2), wanted))
-    splits_rows = (
-        sampled.withColumn("_b", n_buckets.cast("int"))
-        .select(
-            *key,
-            F.expr("transform(sequence(1, _b - 1), i -> _s[cast(floor(i * size(_s) / _b) as int)])").alias(
-                "_splits"
-            ),
-        )
-        .collect()
+    pieces = marked.filter(repeated).select(*columns).repartitionByRange(*key, *ordering)
+    placed = _save(pieces.withColumn("_piece", F.spark_partition_id()), "rank-pieces")
+    sizes = placed.groupBy(*key, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    renamed = {c: f"_k_{c}" for c in [*key, "_piece"]}
+    offsets = (
+        sizes.withColumn("_offset", F.sum("_n").over(earlier))
+        .filter("_offset is not null")  # groups that are cut, at most one per piece's edge
+        .select(*(F.col(c).alias(r) for c, r in renamed.items()), "_offset")
     )
-    if not splits_rows:
-        return plain_rank(df, key, ordering, rank_col)
-    split_type = T.ArrayType(ord_struct_type(with_id, [*order_cols, "_row_id"]))
-    split_schema = T.StructType(
-        [T.StructField(renamed[f.name], f.dataType, True) for f in key_schema.fields]
-        + [T.StructField("_splits", split_type)]
-    )
-    splits_df = spark.createDataFrame([tuple(r) for r in splits_rows], split_schema)
-    bucket = F.size(F.filter(F.col("_splits"), lambda s: s <= ord_struct))
-
-    # Pass C: exact rows per (key, bucket) of the hot keys → offsets.
-    sizes = (
-        with_id.join(F.broadcast(splits_df), _key_match(key, "_h_"), "inner")
-        .withColumn("_bucket", bucket)
-        .groupBy(*key, "_bucket")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .collect()
-    )
-    counts: dict[tuple, dict[int, int]] = {}
-    for r in sizes:
-        counts.setdefault(tuple(r[k] for k in key), {})[r["_bucket"]] = r["_c"]
-    plan_rows = []
-    for r in splits_rows:
-        k = tuple(r[c] for c in key)
-        per_bucket = counts.get(k, {})
-        offsets, running = [], 0
-        for b in range(len(r["_splits"]) + 1):
-            offsets.append(running)
-            running += per_bucket.get(b, 0)
-        plan_rows.append((*k, r["_splits"], offsets))
-    plan_schema = T.StructType(
-        split_schema.fields + [T.StructField("_offsets", T.ArrayType(T.LongType()))]
-    )
-    plan_df = F.broadcast(spark.createDataFrame(plan_rows, plan_schema))
-
-    # Final: one scan; cold rows get bucket 0 / offset 0 and rank as usual.
-    joined = with_id.join(plan_df, _key_match(key, "_h_"), "left")
-    hot_row = F.col("_splits").isNotNull()
-    joined = joined.withColumn("_bucket", F.when(hot_row, bucket).otherwise(F.lit(0)))
-    joined = joined.withColumn(
-        "_offset",
-        F.when(hot_row, F.element_at(F.col("_offsets"), F.col("_bucket") + 1)).otherwise(F.lit(0)),
-    )
-    w = Window.partitionBy(*key, "_bucket").orderBy(*ordering, F.col("_row_id").asc())
-    return joined.withColumn(rank_col, (F.row_number().over(w) + F.col("_offset")).cast("bigint")).select(
-        *df.columns, rank_col
-    )
-
-
-def ord_struct_type(df: DataFrame, order_cols: Sequence[str]) -> T.StructType:
-    """Data type of ``_order_struct(order_cols)`` over ``df``."""
-    return df.select(_order_struct(order_cols).alias("_o")).schema["_o"].dataType
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(r)) for c, r in renamed.items()))
+    inside = Window.partitionBy(*key, "_piece").orderBy(*ordering)
+    ranked = placed.withColumn("_number", F.row_number().over(inside)).join(offsets, same, "left")
+    rank = (F.col("_number") + F.coalesce("_offset", F.lit(0))).cast("bigint")
+    return alone.unionByName(ranked.select(*columns, rank.alias(rank_col)))

@@ -1,16 +1,13 @@
 """Independent DuckDB statements of every registered query (the check side).
 
 Each statement restates, in plain SQL over the driver's tables, what the
-Spark job computes. Shared building blocks are CTE strings; rule and
-contract checks are rendered from the same declarative specs.
+Spark job computes. Limits, keys, column lists and contract checks are
+written out here from the survey's fixtures; nothing of the operators is
+imported, only the parameters of the checks (stamps, months, sizes).
 """
 
 from __future__ import annotations
 
-from strata.operators.contract import Contract, silver_contract
-from strata.operators.gold import DUP_KEY, FACT_COLUMNS, STAGING_COLUMNS
-from strata.operators.rules import TABLE_TRIP_LIMITS, TripLimits
-from strata.operators.silver import SILVER_COLUMNS
 from strata.params import (
     BENCH_MONTH,
     CLEARED_MONTHS,
@@ -27,8 +24,6 @@ from strata.params import (
     TOP_K,
 )
 
-L = TABLE_TRIP_LIMITS
-
 RAW_SELECT = """
   CAST(l.l_linenumber % 2 + 1 AS BIGINT) AS VendorID,
   o.o_orderdate AS tpep_pickup_datetime,
@@ -71,58 +66,45 @@ PREPARED_SQL = f"""SELECT {RENAMED_SELECT},
 FROM ({BRONZE_SQL}) b"""
 
 
-def rule_sql(limits: TripLimits = L) -> list[tuple[str, str]]:
-    zl, zh = limits.min_zone_id, limits.max_zone_id
-    return [
-        ("pickup_not_null", "pickup_datetime IS NOT NULL"),
-        ("dropoff_not_null", "dropoff_datetime IS NOT NULL"),
-        ("dropoff_not_before_pickup", "dropoff_datetime >= pickup_datetime"),
-        ("passenger_count_valid", "passenger_count IS NOT NULL AND passenger_count >= 0"),
-        (
-            "trip_distance_valid",
-            f"trip_distance IS NOT NULL AND trip_distance >= 0 AND trip_distance <= {limits.max_trip_distance!r}",
-        ),
-        (
-            "total_amount_valid",
-            f"total_amount IS NOT NULL AND total_amount >= 0 AND total_amount <= {limits.max_total_amount!r}",
-        ),
-        ("pickup_zone_valid", f"pu_location_id IS NULL OR pu_location_id BETWEEN {zl} AND {zh}"),
-        ("dropoff_zone_valid", f"do_location_id IS NULL OR do_location_id BETWEEN {zl} AND {zh}"),
-    ]
-
-
-KEPT = " AND ".join(f"coalesce(({cond}), false)" for _, cond in rule_sql())
+# Rules of the table-derived trips: 500 miles, prices to 100,000, zones 1 to 23.
+RULES = [
+    ("pickup_not_null", "pickup_datetime IS NOT NULL"),
+    ("dropoff_not_null", "dropoff_datetime IS NOT NULL"),
+    ("dropoff_not_before_pickup", "dropoff_datetime >= pickup_datetime"),
+    ("passenger_count_valid", "passenger_count IS NOT NULL AND passenger_count >= 0"),
+    ("trip_distance_valid", "trip_distance IS NOT NULL AND trip_distance >= 0 AND trip_distance <= 500.0"),
+    ("total_amount_valid", "total_amount IS NOT NULL AND total_amount >= 0 AND total_amount <= 100000.0"),
+    ("pickup_zone_valid", "pu_location_id IS NULL OR pu_location_id BETWEEN 1 AND 23"),
+    ("dropoff_zone_valid", "do_location_id IS NULL OR do_location_id BETWEEN 1 AND 23"),
+]
+
+KEPT = " AND ".join(f"coalesce(({cond}), false)" for _, cond in RULES)
 
 CLEAN_SQL = f"SELECT * FROM ({PREPARED_SQL}) p WHERE {KEPT}"
 
 
-def _silver_select(processed_at: str = PROCESSED_AT) -> str:
-    cols = []
-    for c in SILVER_COLUMNS:
-        if c == "_bronze_loaded_at":
-            cols.append("_loaded_at AS _bronze_loaded_at")
-        elif c == "_silver_processed_at":
-            cols.append(f"'{processed_at}' AS _silver_processed_at")
-        elif c == "_silver_version":
-            cols.append("CAST(1 AS INTEGER) AS _silver_version")
-        else:
-            cols.append(c)
-    return ", ".join(cols)
+_SILVER_SELECT = f"""vendor_id, pickup_datetime, dropoff_datetime, passenger_count, trip_distance, ratecode_id,
+  store_and_fwd_flag, pu_location_id, do_location_id, payment_type, fare_amount, extra, mta_tax, tip_amount,
+  tolls_amount, improvement_surcharge, total_amount, congestion_surcharge, airport_fee, trip_duration_seconds,
+  pickup_date, trip_month, _loaded_at AS _bronze_loaded_at, _source_file,
+  '{PROCESSED_AT}' AS _silver_processed_at, CAST(1 AS INTEGER) AS _silver_version"""
 
 
-PROJECTED_ALL_SQL = f"SELECT {_silver_select()} FROM ({PREPARED_SQL}) p"
-SILVER_SQL = f"SELECT {_silver_select()} FROM ({CLEAN_SQL}) c"
+PROJECTED_ALL_SQL = f"SELECT {_SILVER_SELECT} FROM ({PREPARED_SQL}) p"
+SILVER_SQL = f"SELECT {_SILVER_SELECT} FROM ({CLEAN_SQL}) c"
 
-STG_SQL = "SELECT " + ", ".join(
-    "_source_file AS source_file" if c == "source_file" else c for c in STAGING_COLUMNS
-) + f" FROM ({SILVER_SQL}) s"
+STG_SQL = f"""SELECT vendor_id, pickup_datetime, dropoff_datetime, passenger_count, trip_distance, ratecode_id,
+  store_and_fwd_flag, pu_location_id, do_location_id, payment_type, fare_amount, extra, mta_tax, tip_amount,
+  tolls_amount, improvement_surcharge, total_amount, congestion_surcharge, airport_fee, trip_duration_seconds,
+  pickup_date, trip_month, _source_file AS source_file
+FROM ({SILVER_SQL}) s"""
 
 
 def _canon(col: str, kind: str) -> str:
     if kind == "ts":
         text = f"CAST(epoch_us({col}) AS VARCHAR)"
     elif kind == "double":
-        text = f"CAST(CAST(floor({col} * 1000000.0 + 0.5) AS BIGINT) AS VARCHAR)"
+        text = f"CASE WHEN {col} = 0 THEN '0.0' ELSE CAST({col} AS VARCHAR) END"
     else:
         text = f"CAST({col} AS VARCHAR)"
     return f"coalesce({text}, '~')"
@@ -136,9 +118,28 @@ _KIND = {
 }
 
 
+# The same trip: times, vendor, zones, passengers, distance and total.
+DUP_KEY = [
+    "pickup_datetime",
+    "dropoff_datetime",
+    "vendor_id",
+    "pu_location_id",
+    "do_location_id",
+    "passenger_count",
+    "trip_distance",
+    "total_amount",
+]
+# First file first, then every other staged column.
+RANK_ORDER = [
+    "source_file", "vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance",
+    "ratecode_id", "store_and_fwd_flag", "pu_location_id", "do_location_id", "payment_type", "fare_amount", "extra",
+    "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount", "congestion_surcharge",
+    "airport_fee", "trip_duration_seconds", "pickup_date", "trip_month",
+]
+
+
 def ranked_sql(key: list[str], source: str = STG_SQL) -> str:
-    tiebreak = [c for c in STAGING_COLUMNS if c not in set(key) | {"source_file"}]
-    order = ", ".join(f"{c} ASC NULLS LAST" for c in ["source_file", *tiebreak])
+    order = ", ".join(f"{c} ASC NULLS LAST" for c in RANK_ORDER)
     return (
         f"SELECT *, row_number() OVER (PARTITION BY {', '.join(key)} ORDER BY {order}) AS trip_dup_rank "
         f"FROM ({source}) t"
@@ -149,19 +150,11 @@ SURROGATE = "md5(concat_ws('|', " + ", ".join(
     _canon(c, _KIND.get(c, "other")) for c in [*DUP_KEY, "trip_dup_rank"]
 ) + "))"
 
-FACT_SELECT = []
-for _c in FACT_COLUMNS:
-    if _c == "trip_sk":
-        FACT_SELECT.append(f"{SURROGATE} AS trip_sk")
-    elif _c == "date_key":
-        FACT_SELECT.append("pickup_date AS date_key")
-    elif _c == "pickup_zone_key":
-        FACT_SELECT.append("pu_location_id AS pickup_zone_key")
-    elif _c == "dropoff_zone_key":
-        FACT_SELECT.append("do_location_id AS dropoff_zone_key")
-    else:
-        FACT_SELECT.append(_c)
-FACT_SQL = f"SELECT {', '.join(FACT_SELECT)} FROM ({ranked_sql(DUP_KEY)}) r"
+FACT_SQL = f"""SELECT {SURROGATE} AS trip_sk, pickup_date AS date_key, pu_location_id AS pickup_zone_key,
+  do_location_id AS dropoff_zone_key, vendor_id, pickup_datetime, dropoff_datetime, passenger_count, trip_distance,
+  trip_duration_seconds, ratecode_id, payment_type, fare_amount, extra, mta_tax, tip_amount, tolls_amount,
+  improvement_surcharge, total_amount, congestion_surcharge, airport_fee, trip_month, source_file
+FROM ({ranked_sql(DUP_KEY)}) r"""
 
 ZONES_SQL = """SELECT CAST(n.n_nationkey AS BIGINT) AS LocationID, r.r_name AS Borough, n.n_name AS Zone,
   CASE WHEN n.n_nationkey % 5 = 0 THEN 'Airports' ELSE 'Boro Zone' END AS service_zone
@@ -189,34 +182,56 @@ FROM spine"""
 
 DIM_DATE_SQL = dim_date_sql()
 
-CENTS = "CAST(floor(total_amount * 100.0 + 0.5) AS BIGINT)"
-
 
 def _in_list(months: list[str]) -> str:
     return ", ".join(f"'{m}'" for m in months)
 
 
-def contract_checks_sql(contract: Contract, frame_sql: str, *, structural: bool, data: bool, kinds=None) -> str:
+# The silver contract: column, nullable, least value, greatest value.
+CONTRACT = [
+    ("vendor_id", False, None, None),
+    ("pickup_datetime", False, None, None),
+    ("dropoff_datetime", False, None, None),
+    ("passenger_count", False, "0.0", None),
+    ("trip_distance", False, "0.0", "500.0"),
+    ("ratecode_id", True, None, None),
+    ("store_and_fwd_flag", True, None, None),
+    ("pu_location_id", True, "1.0", "23.0"),
+    ("do_location_id", True, "1.0", "23.0"),
+    ("payment_type", True, None, None),
+    ("fare_amount", True, None, None),
+    ("extra", True, None, None),
+    ("mta_tax", True, None, None),
+    ("tip_amount", True, None, None),
+    ("tolls_amount", True, None, None),
+    ("improvement_surcharge", True, None, None),
+    ("total_amount", False, "0.0", "100000.0"),
+    ("congestion_surcharge", True, None, None),
+    ("airport_fee", True, None, None),
+    ("trip_duration_seconds", False, "0.0", None),
+    ("pickup_date", False, None, None),
+    ("trip_month", False, None, None),
+    ("_bronze_loaded_at", False, None, None),
+    ("_source_file", False, None, None),
+    ("_silver_processed_at", False, None, None),
+    ("_silver_version", False, "1.0", None),
+]
+
+
+def contract_checks_sql(frame_sql: str, *, kinds: set[str]) -> str:
     parts = []
-    if structural:
-        for f in contract.fields:
-            parts.append(f"SELECT '{f.name}' AS column_name, 'present' AS check_name, CAST(0 AS BIGINT) AS failures")
-    if data:
-        for f in contract.fields:
-            checks = []
-            if not f.nullable:
-                checks.append(("not_null", f"{f.name} IS NULL"))
-            if f.ge is not None:
-                checks.append(("ge", f"{f.name} < {float(f.ge)!r}"))
-            if f.le is not None:
-                checks.append(("le", f"{f.name} > {float(f.le)!r}"))
-            for kind, cond in checks:
-                if kinds and kind not in kinds:
-                    continue
-                parts.append(
-                    f"SELECT '{f.name}' AS column_name, '{kind}' AS check_name, "
-                    f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS failures FROM ({frame_sql}) x"
-                )
+    for name, nullable, least, greatest in CONTRACT:
+        if "present" in kinds:
+            parts.append(f"SELECT '{name}' AS column_name, 'present' AS check_name, CAST(0 AS BIGINT) AS failures")
+        checks = [] if nullable else [("not_null", f"{name} IS NULL")]
+        checks += [] if least is None else [("ge", f"{name} < {least}")]
+        checks += [] if greatest is None else [("le", f"{name} > {greatest}")]
+        parts += [
+            f"SELECT '{name}' AS column_name, '{kind}' AS check_name, "
+            f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS failures FROM ({frame_sql}) x"
+            for kind, cond in checks
+            if kind in kinds
+        ]
     return "\nUNION ALL\n".join(parts)
 
 
@@ -229,8 +244,6 @@ def _silver_month_counts(extra_where: str = "") -> str:
     return _month_counts(SILVER_SQL, extra_where)
 
 
-CONTRACT = silver_contract(L)
-
 ORACLE: dict[str, str] = {
     # ---- sources
     "scan_trips": RAW_SQL,
@@ -263,7 +276,7 @@ FROM events e JOIN events n ON n.event_id = e.event_id + 1""",
     "silver_clean": CLEAN_SQL,
     "rule_reject_counts": "\nUNION ALL\n".join(
         f"SELECT '{name}' AS rule_name, CAST(count(*) FILTER (WHERE NOT coalesce(({cond}), false)) AS BIGINT) AS rejected_rows FROM ({PREPARED_SQL}) p"
-        for name, cond in rule_sql()
+        for name, cond in RULES
     ),
     "clean_stats": f"""SELECT CAST(count(*) AS BIGINT) AS input_rows,
   CAST(count(*) FILTER (WHERE {KEPT}) AS BIGINT) AS output_rows,
@@ -273,6 +286,27 @@ FROM ({PREPARED_SQL}) p""",
   CAST(count(*) FILTER (WHERE {KEPT}) AS BIGINT) AS output_rows,
   CAST(count(*) FILTER (WHERE NOT ({KEPT})) AS BIGINT) AS rejected_rows
 FROM ({PREPARED_SQL}) p GROUP BY trip_month""",
+    "silver_run_record": f"""SELECT trip_month, CAST(count(*) AS BIGINT) AS input_rows,
+  CAST(count(*) FILTER (WHERE {KEPT}) AS BIGINT) AS output_rows,
+  CAST(count(*) FILTER (WHERE NOT ({KEPT})) AS BIGINT) AS rejected_rows,
+  true AS names_table FROM ({PREPARED_SQL}) p GROUP BY trip_month""",
+    "backfill_files": f"""WITH planned AS (
+  SELECT strftime(unnest(generate_series(TIMESTAMP '{PLAN_START}-01', TIMESTAMP '{PLAN_END}-01', INTERVAL 1 MONTH)), '%Y-%m') AS trip_month),
+done AS (SELECT trip_month, CAST(count(*) AS BIGINT) AS input_rows,
+  CAST(count(*) FILTER (WHERE {KEPT}) AS BIGINT) AS output_rows,
+  CAST(count(*) FILTER (WHERE NOT ({KEPT})) AS BIGINT) AS rejected_rows FROM ({PREPARED_SQL}) p GROUP BY trip_month)
+SELECT p.trip_month, coalesce(input_rows, 0) AS input_rows, coalesce(output_rows, 0) AS output_rows,
+  coalesce(rejected_rows, 0) AS rejected_rows FROM planned p LEFT JOIN done d ON p.trip_month = d.trip_month""",
+    "silver_null_month": f"""WITH done AS (SELECT trip_month, CAST(count(*) AS BIGINT) AS input_rows,
+  CAST(count(*) FILTER (WHERE {KEPT}) AS BIGINT) AS output_rows,
+  CAST(count(*) FILTER (WHERE NOT ({KEPT})) AS BIGINT) AS rejected_rows FROM ({PREPARED_SQL}) p GROUP BY trip_month)
+SELECT * FROM done WHERE trip_month NOT IN ({_in_list(CLEARED_MONTHS)})
+UNION ALL
+SELECT NULL, CAST(sum(input_rows) AS BIGINT), CAST(0 AS BIGINT), CAST(sum(input_rows) AS BIGINT)
+FROM done WHERE trip_month IN ({_in_list(CLEARED_MONTHS)})""",
+    "contract_raises": f"""SELECT 'vendor_id' AS column_name, 'not_null' AS check_name,
+  CAST(count(*) FILTER (WHERE trip_month IN ({_in_list(FILTER_MONTHS)})) AS BIGINT) AS failures,
+  CAST(count(*) AS BIGINT) AS silver_rows FROM ({SILVER_SQL}) s""",
     "silver_project": SILVER_SQL,
     "align_schema": SILVER_SQL,
     "silver_evolve": f"""SELECT trip_month, CAST(count(*) AS BIGINT) AS rows,
@@ -283,11 +317,11 @@ FROM ({SILVER_SQL}) s GROUP BY trip_month""".replace(
         f"CAST(CASE WHEN trip_month < '{SPLIT_MONTH}' THEN count(*) ELSE 0 END AS BIGINT)",
     ),
     # ---- contract
-    "contract_columns": contract_checks_sql(CONTRACT, PROJECTED_ALL_SQL, structural=True, data=True, kinds={"not_null"}),
+    "contract_columns": contract_checks_sql(PROJECTED_ALL_SQL, kinds={"present", "not_null"}),
     "contract_coerce": SILVER_SQL,
-    "contract_nulls": contract_checks_sql(CONTRACT, PROJECTED_ALL_SQL, structural=False, data=True, kinds={"not_null"}),
-    "contract_ranges": contract_checks_sql(CONTRACT, PROJECTED_ALL_SQL, structural=False, data=True, kinds={"ge", "le"}),
-    "contract_report": contract_checks_sql(CONTRACT, PROJECTED_ALL_SQL, structural=True, data=True),
+    "contract_nulls": contract_checks_sql(PROJECTED_ALL_SQL, kinds={"not_null"}),
+    "contract_ranges": contract_checks_sql(PROJECTED_ALL_SQL, kinds={"ge", "le"}),
+    "contract_report": contract_checks_sql(PROJECTED_ALL_SQL, kinds={"present", "not_null", "ge", "le"}),
     # ---- sinks
     "replace_month_rerun": _month_counts(BRONZE_SQL),
     "stream_landing": _month_counts(BRONZE_SQL),
@@ -296,12 +330,37 @@ FROM ({SILVER_SQL}) s GROUP BY trip_month""".replace(
     "clear_month": _month_counts(BRONZE_SQL, f"trip_month NOT IN ({_in_list(CLEARED_MONTHS)})"),
     "silver_replace_month": _silver_month_counts(),
     "silver_empty_bronze_clears": _silver_month_counts(f"trip_month NOT IN ({_in_list(CLEARED_MONTHS)})"),
-    "write_sized_files": f"SELECT trip_month, CAST(1 AS BIGINT) AS files, CAST(count(*) AS BIGINT) AS rows FROM ({BRONZE_SQL}) b GROUP BY trip_month",
+    "write_sized_files": f"""SELECT trip_month, CAST(count(*) AS BIGINT) AS rows, true AS within_budget,
+  true AS enough_files, true AS several_files FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
+    "table_properties": f"""SELECT CAST(2147483648 AS BIGINT) AS target_bytes, CAST(0 AS BIGINT) AS files_above,
+  CAST(count(*) AS BIGINT) AS rows FROM ({BRONZE_SQL}) b""",
+    "bronze_run_record": _month_counts(BRONZE_SQL),
+    "bronze_from_files": _month_counts(BRONZE_SQL),
+    "compact_settles": f"""SELECT trip_month AS partition_value, CAST(count(*) AS BIGINT) AS rows, true AS not_more_files,
+  true AS settled, false AS rewritten_again FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
+    "compact_tables": f"""SELECT 'bronze.yellow_taxi_trips' AS "table", trip_month AS partition_value,
+  CAST(1 AS BIGINT) AS files_after, CAST(count(*) AS BIGINT) AS rows FROM ({BRONZE_SQL}) b GROUP BY trip_month
+UNION ALL
+SELECT 'silver.yellow_taxi_trips', trip_month, CAST(1 AS BIGINT), CAST(count(*) AS BIGINT)
+FROM ({SILVER_SQL}) s GROUP BY trip_month""",
     "compact_partitions": f"""SELECT trip_month AS partition_value,
   CAST(ceil(count(*) / {COMPACT_MAX_RECORDS}.0) AS BIGINT) AS files_before,
   CAST(1 AS BIGINT) AS files_after, CAST(count(*) AS BIGINT) AS rows,
   count(*) > {COMPACT_MAX_RECORDS} AS rewritten
 FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
+    "partition_file_stats": f"""SELECT 'bronze.yellow_taxi_trips' AS "table", trip_month AS partition_value,
+  CAST(1 AS BIGINT) AS file_count, CAST(count(*) AS BIGINT) AS record_count, true AS bytes_agree
+FROM ({BRONZE_SQL}) b GROUP BY trip_month
+UNION ALL
+SELECT 'silver.yellow_taxi_trips', trip_month, CAST(1 AS BIGINT), CAST(count(*) AS BIGINT), true
+FROM ({SILVER_SQL}) s GROUP BY trip_month""",
+    "scan_audit": f"""SELECT 'bronze.yellow_taxi_trips' AS "table", 'month_count' AS query, '{BENCH_MONTH}' AS trip_month,
+  CAST(1 AS BIGINT) AS files_read, CAST(1 AS BIGINT) AS result_rows, true AS partition_pruned
+UNION ALL SELECT 'silver.yellow_taxi_trips', 'month_count', '{BENCH_MONTH}', CAST(1 AS BIGINT), CAST(1 AS BIGINT), true
+UNION ALL SELECT 'silver.yellow_taxi_trips', 'daily_fare', '{BENCH_MONTH}', CAST(1 AS BIGINT),
+  (SELECT CAST(count(DISTINCT pickup_date) AS BIGINT) FROM ({SILVER_SQL}) s WHERE trip_month = '{BENCH_MONTH}'), true""",
+    "layout_review": f"""SELECT 'bronze.yellow_taxi_trips' AS "table", 'month_count' AS query, CAST(1 AS BIGINT) AS result_rows,
+  count(*) > 1 AS several_before, CAST(1 AS BIGINT) AS files_after FROM ({BRONZE_SQL}) b WHERE trip_month = '{BENCH_MONTH}'""",
     "partition_file_counts": f"""SELECT 'bronze.yellow_taxi_trips' AS "table", trip_month AS partition_value,
   CAST(1 AS BIGINT) AS file_count, CAST(count(*) AS BIGINT) AS record_count
 FROM ({BRONZE_SQL}) b GROUP BY trip_month
@@ -314,13 +373,17 @@ FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
     # ---- gold
     "stg_trips": STG_SQL,
     "dup_rank": ranked_sql(COARSE_DUP_KEY),
-    "dup_rank_skew_safe": ranked_sql(COARSE_DUP_KEY),
+    "dup_rank_skew_safe": ranked_sql(["pickup_datetime"]),
     "dup_rank_histogram": f"SELECT trip_dup_rank, CAST(count(*) AS BIGINT) AS rows FROM ({ranked_sql(COARSE_DUP_KEY)}) r GROUP BY trip_dup_rank",
     "surrogate_key": f"SELECT trip_sk, pickup_datetime, dropoff_datetime, vendor_id, total_amount FROM ({FACT_SQL}) f",
     "fact_trips": FACT_SQL,
     "dim_zone": DIM_ZONE_SQL,
     "dim_date": DIM_DATE_SQL,
     "dim_date_empty": dim_date_sql(f"SELECT * FROM ({STG_SQL}) s WHERE trip_month IS NULL"),
+    "dim_zone_seed": DIM_ZONE_SQL,
+    "gold_of_empty_silver": f"""SELECT CAST(0 AS BIGINT) AS fact_rows, (SELECT CAST(count(*) AS BIGINT) FROM ({ZONES_SQL}) z) AS zone_rows,
+  CAST(0 AS BIGINT) AS date_rows, (SELECT CAST(count(*) AS BIGINT) FROM ({BRONZE_SQL}) b) AS landed_rows""",
+    "open_gold": f"SELECT true AS missing_fails, CAST(count(*) AS BIGINT) AS fact_rows FROM ({SILVER_SQL}) s",
     "gold_tables_present": f"SELECT true AS tables_present, CAST(3 AS BIGINT) AS table_count, (SELECT CAST(count(*) AS BIGINT) FROM ({SILVER_SQL}) s) AS fact_rows",
     # ---- quality
     "dq_unique": f"""SELECT 'unique' AS test_name, 'dim_date' AS model, 'date_key' AS column_name,
@@ -353,7 +416,7 @@ WHERE dropoff_zone_key IS NOT NULL AND dropoff_zone_key NOT IN (SELECT zone_key
     "list_trip_months": f"SELECT DISTINCT trip_month FROM ({SILVER_SQL}) s WHERE trip_month IS NOT NULL",
     "latest_month_default": f"SELECT max(trip_month) AS latest_month FROM ({SILVER_SQL}) s",
     "daily_trip_volume": f"SELECT CAST(pickup_date AS DATE) AS trip_date, CAST(count(*) AS BIGINT) AS trip_count FROM ({SILVER_SQL}) s WHERE pickup_date IS NOT NULL GROUP BY 1",
-    "monthly_revenue": f"SELECT trip_month, CAST(sum({CENTS}) AS DOUBLE) / 100.0 AS total_revenue, CAST(count(*) AS BIGINT) AS trip_count FROM ({SILVER_SQL}) s WHERE trip_month IS NOT NULL GROUP BY 1",
+    "monthly_revenue": f"SELECT trip_month, round(sum(total_amount), 2) AS total_revenue, CAST(count(*) AS BIGINT) AS trip_count FROM ({SILVER_SQL}) s WHERE trip_month IS NOT NULL GROUP BY 1",
     "top_pickup_zones": f"""SELECT coalesce(z.zone_name, 'Unknown') AS zone_name, coalesce(z.borough, 'Unknown') AS borough, CAST(count(*) AS BIGINT) AS trip_count
 FROM ({FACT_SQL}) f LEFT JOIN ({DIM_ZONE_SQL}) z ON z.zone_key = f.pickup_zone_key
 GROUP BY 1, 2 ORDER BY trip_count DESC, zone_name, borough LIMIT {TOP_K}""",
@@ -370,18 +433,24 @@ SELECT coalesce(z.zone_name, 'Unknown') AS zone_name, coalesce(z.borough, 'Unkno
 FROM ({FACT_SQL}) f LEFT JOIN ({DIM_ZONE_SQL}) z ON z.zone_key = f.pickup_zone_key
 GROUP BY 1, 2 ORDER BY trip_count DESC, zone_name, borough LIMIT {TOP_K}) t""",
     "avg_fare_by_dow": f"""SELECT d.day_name, d.iso_day_of_week,
-  CAST((2 * sum({CENTS}) + count(*)) // (2 * count(*)) AS DOUBLE) / 100.0 AS avg_total_amount,
+  round(avg(total_amount), 2) AS avg_total_amount,
   CAST(count(*) AS BIGINT) AS trip_count
 FROM ({SILVER_SQL}) f JOIN ({DIM_DATE_SQL}) d ON d.date_key = f.pickup_date
 GROUP BY 1, 2""",
     "dashboard_kpis": f"""SELECT CAST(count(*) FILTER (WHERE pickup_date IS NOT NULL) AS BIGINT) AS total_trips,
-  CAST(coalesce(sum({CENTS}) FILTER (WHERE trip_month IS NOT NULL), 0) AS DOUBLE) / 100.0 AS total_revenue,
+  (SELECT CAST(coalesce(sum(CAST(revenue AS DECIMAL(38,2))), 0) AS DOUBLE) FROM (
+     SELECT round(sum(total_amount), 2) AS revenue FROM ({SILVER_SQL}) m
+     WHERE trip_month IN ({_in_list(FILTER_MONTHS)}) GROUP BY trip_month) r) AS total_revenue,
   CAST({len(FILTER_MONTHS)} AS BIGINT) AS months_in_filter
 FROM ({SILVER_SQL}) s WHERE trip_month IN ({_in_list(FILTER_MONTHS)})""",
     "month_filter_subset": f"SELECT CAST(pickup_date AS DATE) AS trip_date, CAST(count(*) AS BIGINT) AS trip_count FROM ({SILVER_SQL}) s WHERE pickup_date IS NOT NULL AND trip_month IN ({_in_list(FILTER_MONTHS)}) GROUP BY 1",
-    "month_filter_empty": f"SELECT trip_month, CAST(sum({CENTS}) AS DOUBLE) / 100.0 AS total_revenue, CAST(count(*) AS BIGINT) AS trip_count FROM ({SILVER_SQL}) s WHERE trip_month IS NOT NULL GROUP BY 1",
+    "month_filter_empty": f"SELECT trip_month, round(sum(total_amount), 2) AS total_revenue, CAST(count(*) AS BIGINT) AS trip_count FROM ({SILVER_SQL}) s WHERE trip_month IS NOT NULL GROUP BY 1",
     "bench_month_count": f"SELECT '{BENCH_MONTH}' AS trip_month, CAST(count(*) AS BIGINT) AS rows FROM ({SILVER_SQL}) s WHERE trip_month = '{BENCH_MONTH}'",
     "bench_daily_fare": f"""SELECT pickup_date, CAST(count(*) AS BIGINT) AS trips,
-  CAST((2 * sum(CAST(floor(fare_amount * 100.0 + 0.5) AS BIGINT)) + count(fare_amount)) // (2 * count(fare_amount)) AS DOUBLE) / 100.0 AS avg_fare
+  CAST(sum(CAST(fare_amount AS DECIMAL(38,9))) AS DOUBLE) / count(fare_amount) AS avg_fare
 FROM ({SILVER_SQL}) s WHERE trip_month = '{BENCH_MONTH}' GROUP BY pickup_date""",
 }
+ORACLE["gold_test_report"] = "\nUNION ALL\n".join(
+    f"SELECT * FROM ({ORACLE[name]}) {name}"
+    for name in ("dq_unique", "dq_not_null", "dq_relationships_date", "dq_relationships_pickup", "dq_relationships_dropoff")
+)

@@ -15,7 +15,7 @@ import sys
 from strata.operators import marts
 from strata.plans import jobs, layout
 from strata.plans.tables import Lake
-from strata.session import build_session
+from strata.session import apply_scale, build_session
 from strata.sources import months, trips
 
 
@@ -63,20 +63,19 @@ def main(argv: list[str] | None = None) -> int:
     jobs.attach(lake)
 
     if args.command == "land":
-        by_month = {}
-        for path in args.files:
-            m = trips.re_month(path)
-            if m:
-                by_month[m] = path
+        by_month = jobs.paths_by_month(args.files)
+        apply_scale(spark, args.files)
         if args.start or args.end:
             _emit(jobs.backfill_files(lake, by_month, start=args.start, end=args.end))
         else:
-            bronze = jobs.bronze_from_files(spark, list(by_month.values()), loaded_at=jobs.utc_now_iso())
+            bronze = jobs.bronze_from_files(spark, args.files, loaded_at=jobs.utc_now_iso())
             print(json.dumps(jobs.land_bronze(lake, bronze)))
     elif args.command == "silver":
+        apply_scale(spark, [lake.table("bronze", jobs.TRIPS).location])
         wanted = months.month_strings(*months.resolve_range(args.start, args.end)) if (args.start or args.end) else None
         _emit(jobs.build_silver(lake, wanted, on_all_rejected=args.on_all_rejected))
     elif args.command == "gold":
+        apply_scale(spark, [lake.table("silver", jobs.TRIPS).location])
         _emit(jobs.run_gold(lake, trips.read_zone_seed(spark, args.zones), fail_on_error=False))
     elif args.command == "review":
         tables = {"bronze.yellow_taxi_trips": lake.table("bronze", jobs.TRIPS),

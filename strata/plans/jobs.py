@@ -7,7 +7,7 @@ per-month statistics and contract counts (one row per month / per check).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +39,7 @@ from strata.sources.trips import (
     RAW_COLUMNS,
     month_file_name,
     raw_trips_from_tables,
+    re_month,
     read_raw_files,
 )
 
@@ -92,11 +93,14 @@ def land_bronze(
     target_bytes: int | None = None,
 ) -> dict[str, object]:
     """Create the table if needed and replace the given months (all present
-    months when ``months`` is None). Idempotent: re-running lands the same rows."""
+    months when ``months`` is None). Idempotent: re-running lands the same rows.
+
+    The result holds ``rows``, ``months_written``, ``months_cleared``, the table
+    and its location, and ``rows_by_month`` as the table now has them."""
     table = lake.table("bronze", TRIPS)
     if months is not None and not months:  # an empty month list lands nothing
         return {"rows": 0, "months_written": [], "months_cleared": [], "table": table.qualified,
-                "table_location": table.location}
+                "table_location": table.location, "rows_by_month": {}}
     lake.ensure_namespace("bronze")
     create_table(
         table, bronze.schema, properties={WRITE_TARGET_PROPERTY: str(WRITE_TARGET_FILE_SIZE_BYTES)}
@@ -104,11 +108,24 @@ def land_bronze(
     ensure_write_target(table)
     scoped = month_filter(bronze, months)
     result = replace_months(scoped, table, months=months, target_bytes=target_bytes)
-    return {**result, "table": table.qualified, "table_location": table.location}
+    # counted from file footers of the months written: no column is read
+    written = result["months_written"]
+    landed = rows_by_month(table.read(), written).collect() if written else []
+    return {
+        **result,
+        "table": table.qualified,
+        "table_location": table.location,
+        "rows_by_month": {r.trip_month: int(r.rows) for r in landed} | {m: 0 for m in result["months_cleared"]},
+    }
 
 
 # ---------------------------------------------------------------- silver
 
+RUN_RECORD = (
+    "trip_month string, input_rows bigint, output_rows bigint, rejected_rows bigint, "
+    "table_name string, table_location string"
+)
+
 
 def silver_table_schema(limits: TripLimits = TripLimits()) -> T.StructType:
     """Schema the silver table is FIRST created with (no evolution columns)."""
@@ -157,19 +174,21 @@ def build_silver(
     silver_version: int = silver_mod.SILVER_SCHEMA_VERSION,
     target_bytes: int | None = None,
 ) -> DataFrame:
-    """Bronze months → silver months; returns ``(trip_month, input_rows,
-    output_rows, rejected_rows)``.
+    """Bronze months → silver months; returns the run record ``(trip_month,
+    input_rows, output_rows, rejected_rows, table_name, table_location)``.
 
     * a requested month with no bronze rows clears its silver month;
     * a month whose rows are ALL rejected keeps its previous silver rows
       (``on_all_rejected='keep'``) or is cleared (``'clear'``);
-    * any contract failure raises before anything is written.
+    * any contract failure raises before anything is written; a kept row
+      without a month is one (``trip_month:not_null``), rejected rows without a
+      month are reported under a NULL month.
     """
     if on_all_rejected not in ("keep", "clear"):
         raise ValueError("on_all_rejected must be 'keep' or 'clear'")
     spark = lake.spark
     if months is not None and not months:  # an empty month list transforms nothing
-        return spark.createDataFrame([], "trip_month string, input_rows bigint, output_rows bigint, rejected_rows bigint")
+        return spark.createDataFrame([], RUN_RECORD)
     bronze_t, silver_t = lake.table("bronze", TRIPS), lake.table("silver", TRIPS)
     contract = contract_mod.silver_contract(limits)
     stamp = processed_at or utc_now_iso()
@@ -191,7 +210,7 @@ def build_silver(
 
     stats = {r.trip_month: (int(r.input_rows), int(r.output_rows)) for r in per_month}
     empty = sorted(set(months or []) - set(stats))
-    all_rejected = sorted(m for m, (i, o) in stats.items() if i > 0 and o == 0)
+    all_rejected = sorted(m for m, (i, o) in stats.items() if m is not None and i > 0 and o == 0)
     to_clear = empty + (all_rejected if on_all_rejected == "clear" else [])
     to_write = sorted(m for m, (_, o) in stats.items() if o > 0)
 
@@ -205,10 +224,9 @@ def build_silver(
     if to_clear and silver_t.exists():
         drop_months(silver_t, to_clear)
 
-    out = [(m, i, o, i - o) for m, (i, o) in sorted(stats.items())] + [(m, 0, 0, 0) for m in empty]
-    return spark.createDataFrame(
-        sorted(out), "trip_month string, input_rows bigint, output_rows bigint, rejected_rows bigint"
-    )
+    where = (silver_t.qualified, silver_t.location)
+    out = [(m, i, o, i - o, *where) for m, (i, o) in stats.items()] + [(m, 0, 0, 0, *where) for m in empty]
+    return spark.createDataFrame(sorted(out, key=lambda r: (r[0] is not None, r[0] or "")), RUN_RECORD)
 
 
 # ---------------------------------------------------------------- gold
@@ -219,18 +237,19 @@ def staging_sql(silver_table: str) -> str:
     return f"SELECT {cols} FROM {silver_table}"
 
 
-def build_gold(lake: Lake, zone_lookup: DataFrame, *, skew_safe: bool = True) -> dict[str, object]:
+def build_gold(lake: Lake, zone_lookup: DataFrame) -> dict[str, object]:
     """Staging view → fact (partitioned by month), zone and date dimensions.
 
-    Full rebuild, like a table materialisation. The fact needs one hash
-    exchange (duplicate rank) plus the write rebalance; dimensions are tiny.
+    Full rebuild, like a table materialisation. Only repeated trips are
+    shuffled for the duplicate rank, then the write rebalances; dimensions are
+    tiny. An empty silver layer gives three empty or seed-only tables.
     """
     spark = lake.spark
     silver_t = lake.table("silver", TRIPS)
     ns = lake.ensure_namespace("gold")
     spark.sql(f"CREATE OR REPLACE VIEW {ns}.{STAGING_VIEW} AS {staging_sql(silver_t.qualified)}")
     stg = spark.table(f"{ns}.{STAGING_VIEW}")
-    overwrite_table(gold.fact_trips(stg, skew_safe=skew_safe), lake.table("gold", "fact_trips"))
+    overwrite_table(gold.fact_trips(stg), lake.table("gold", "fact_trips"))
     overwrite_table(gold.dim_zone(zone_lookup), lake.table("gold", "dim_zone"), partition_cols=())
     overwrite_table(gold.dim_date(stg), lake.table("gold", "dim_date"), partition_cols=())
     # Spine length: one outlier pickup date stretches the calendar (reported,
@@ -287,9 +306,25 @@ def bootstrap(lake: Lake) -> list[str]:
     return [lake.ensure_namespace(layer) for layer in ("bronze", "silver", "gold")]
 
 
+def _as_list(paths: str | Sequence[str]) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
+def paths_by_month(paths: Sequence[str]) -> dict[str, list[str]]:
+    """Files of each month, in the order given; a file without a month in its
+    folder or name is an error, as its rows could not be placed."""
+    found: dict[str, list[str]] = {}
+    for path in paths:
+        month = re_month(path)
+        if month is None:
+            raise ValueError(f"no month (YYYY-MM) in the name of {path!r}")
+        found.setdefault(month, []).append(path)
+    return found
+
+
 def backfill_files(
     lake: Lake,
-    month_paths: dict[str, str],
+    month_paths: Mapping[str, str | Sequence[str]],
     *,
     start: str | None = None,
     end: str | None = None,
@@ -297,13 +332,14 @@ def backfill_files(
 ) -> DataFrame:
     """Bronze + silver for a month range from delivered files, one job per layer.
 
-    ``month_paths`` maps ``YYYY-MM`` to a landed file; months of the range
-    without a file are cleared in both layers. Returns the silver statistics.
+    ``month_paths`` maps ``YYYY-MM`` to the landed file or files of the month;
+    months of the range without a file are cleared in both layers. Returns the
+    silver run record.
     """
     s, e = months_mod.resolve_range(start, end)
     wanted = months_mod.month_strings(s, e)
     bootstrap(lake)
-    paths = [month_paths[m] for m in wanted if m in month_paths]
+    paths = [p for m in wanted for p in _as_list(month_paths.get(m, ()))]
     stamp = utc_now_iso()
     if paths:
         land_bronze(lake, bronze_from_files(lake.spark, paths, loaded_at=stamp), months=wanted)
@@ -312,9 +348,9 @@ def backfill_files(
         if bronze_t.exists():
             drop_months(bronze_t, wanted)
     if not lake.table("bronze", TRIPS).exists():
+        silver_t = lake.table("silver", TRIPS)
         return lake.spark.createDataFrame(
-            [(m, 0, 0, 0) for m in wanted],
-            "trip_month string, input_rows bigint, output_rows bigint, rejected_rows bigint",
+            [(m, 0, 0, 0, silver_t.qualified, silver_t.location) for m in wanted], RUN_RECORD
         )
     return build_silver(lake, wanted, limits=limits)
 

@@ -12,7 +12,7 @@ import io
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.operators import marts
@@ -21,7 +21,6 @@ from strata.plans.tables import (
     Table,
     _write,
     ensure_write_target,
-    write_target,
 )
 
 STATS_COLUMNS = [
@@ -82,17 +81,47 @@ def collect_layout(tables: dict[str, Table]) -> DataFrame:
     return out
 
 
+def files_wanted(total_bytes: int, max_bytes_per_file: int | None = None) -> int:
+    """Files a month should have: one, or as many as the size bound needs."""
+    return 1 if max_bytes_per_file is None else max(1, -(-total_bytes // max_bytes_per_file))
+
+
 def needs_compaction(file_count: int, total_bytes: int, max_bytes_per_file: int | None = None) -> bool:
-    """More files than the size target needs (``ceil(bytes / target)``).
+    """More than one file; with a size bound, more files than the bound needs."""
+    return file_count > files_wanted(total_bytes, max_bytes_per_file)
+
 
-    Without a target this is "more than one file". With the table's target
-    it is the same rule for every month below the target, and it stops a
-    month larger than the target (written by many tasks) from being
-    rewritten on every run.
+def _rewrite(table: Table, wanted: dict[str, tuple[int, int]]) -> None:
+    """Rewrite months into at most the wanted number of files.
+
+    ``wanted``: month → (rows, files). Rows keep their order by file and place
+    in it; equal stretches of that order become the new files. A stretch goes
+    to one task, and the record cap keeps two that meet in a task apart.
     """
-    if max_bytes_per_file is None:
-        return file_count > 1
-    return file_count > max(1, -(-total_bytes // max_bytes_per_file))
+    spark = table.spark
+    rows = table.read().filter(F.col(PARTITION_COLUMN).isin(*wanted))
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    before = Window.partitionBy(PARTITION_COLUMN).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        rows.groupBy(PARTITION_COLUMN, "_file")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(PARTITION_COLUMN, "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    )
+    stretch = {m: -(-n // files) for m, (n, files) in wanted.items()}
+    lengths = spark.createDataFrame(list(stretch.items()), f"{PARTITION_COLUMN} string, _length bigint")
+    placed = (
+        rows.join(starts, [PARTITION_COLUMN, "_file"])
+        .join(F.broadcast(lengths), PARTITION_COLUMN)  # one row per month
+        .withColumn("_stretch", F.expr("(_start + _row) div _length"))
+        .repartition(sum(files for _, files in wanted.values()), PARTITION_COLUMN, "_stretch")
+        .select(*table.read().columns)
+    )
+    _write(placed, table, max_records_per_file=max(stretch.values()), rebalance=False)
+    spark.catalog.refreshTable(table.qualified)
+
+
+#: Rewriting shrinks a month, so it may then need fewer files still.
+COMPACTION_ROUNDS = 4
 
 
 def compact_partitions(
@@ -103,25 +132,35 @@ def compact_partitions(
 ) -> DataFrame:
     """Rewrite months that have too many files; rows are unchanged.
 
-    Months to rewrite are decided from the (bounded) per-month stats; all of
-    them are rewritten by ONE dynamic-overwrite job that reads exactly those
-    partitions, so a failure leaves the previous files in place. Returns
-    ``(table, partition_value, files_before, files_after, rows, rewritten)``
-    for every partition.
+    By default a month should be one file; ``max_bytes_per_file`` allows as
+    many as its bytes need. Months to rewrite are decided from the per-month
+    stats (one row per month), all of them are rewritten by one job, and the
+    new sizes are looked at again, so that a later call finds nothing to do.
+    Returns ``(table, partition_value, files_before, files_after, rows,
+    rewritten)`` for every partition.
     """
     spark: SparkSession = table.spark
     label = table_name or table.qualified
     ensure_write_target(table)
-    target = max_bytes_per_file or write_target(table)
-    before = {r.partition_value: r for r in partition_file_stats(table, table_name=label).collect()}
-    todo = sorted(m for m, r in before.items() if needs_compaction(r.file_count, r.total_bytes, target))
-    if todo:
-        data = table.read().filter(F.col(PARTITION_COLUMN).isin(todo))
-        _write(data, table, target_bytes=target, max_records_per_file=None)
-        spark.catalog.refreshTable(table.qualified)
-    after = {r.partition_value: r for r in partition_file_stats(table, table_name=label).collect()}
+
+    def stats() -> dict:
+        return {r.partition_value: r for r in partition_file_stats(table, table_name=label).collect()}
+
+    before = after = stats()
+    rewritten: set[str] = set()
+    for _ in range(COMPACTION_ROUNDS):
+        todo = {
+            m: (int(r.record_count), files_wanted(r.total_bytes, max_bytes_per_file))
+            for m, r in after.items()
+            if needs_compaction(r.file_count, r.total_bytes, max_bytes_per_file)
+        }
+        if not todo:
+            break
+        _rewrite(table, todo)
+        rewritten |= set(todo)
+        after = stats()
     rows = [
-        (label, m, int(before[m].file_count), int(after[m].file_count), int(after[m].record_count), m in todo)
+        (label, m, int(before[m].file_count), int(after[m].file_count), int(after[m].record_count), m in rewritten)
         for m in sorted(after)
         if m in before
     ]

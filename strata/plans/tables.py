@@ -5,15 +5,18 @@ Each table is an external Parquet table ``<prefix><layer>.<name>`` stored at
 the replace unit:
 
 * replace  — one dynamic-partition-overwrite job: months present in the new
-  data are swapped at job commit, all other months are untouched; a failed
-  or retried job leaves the old month in place.
+  data are swapped when the job commits, all other months are untouched. A
+  job that fails before its commit leaves the old months in place, and a
+  re-run lands the same rows. The commit itself moves one folder per month,
+  and clearing is a step of its own: a driver lost between two moves leaves
+  the remaining months old or missing until the job is run again.
 * clear    — months that must become empty (no input rows) are dropped from
   the catalog and their folder deleted; an overwrite with zero rows would
   not clear them.
 * evolve   — ``ALTER TABLE ADD COLUMNS``; old files read NULL.
-* sized write / compaction — ``REBALANCE(trip_month)`` lets AQE split a
-  hot month over several tasks (files near the advisory size) and pack
-  small months together, instead of funnelling one month into one task.
+* write    — ``REBALANCE(trip_month)`` lets AQE split a hot month over
+  several tasks and pack small months together, instead of funnelling one
+  month into one task. A byte budget becomes a cap on the records of a file.
 """
 
 from __future__ import annotations
@@ -23,13 +26,15 @@ import time
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.session import session_conf
 from strata.sources import storage
+from strata.sources.months import month_number
 
 PARTITION_COLUMN = "trip_month"
 # Fixed value: write-size target property and its value (2 GiB).
@@ -171,25 +176,46 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def drop_months(table: Table, months: Iterable[str]) -> list[str]:
-    """Clear months: drop the catalog partition and delete its folder."""
-    cleared = []
-    for m in months:
-        table.spark.sql(
-            f"ALTER TABLE {table.qualified} DROP IF EXISTS PARTITION ({PARTITION_COLUMN}='{m}')"
-        )
+    """Clear months: drop the catalog partitions (one statement) and delete their folders."""
+    cleared = sorted(set(months))
+    for m in cleared:
+        month_number(m)  # raises unless YYYY-MM: it goes into a statement and a path
+    if cleared:
+        specs = ", ".join(f"PARTITION ({PARTITION_COLUMN}='{m}')" for m in cleared)
+        table.spark.sql(f"ALTER TABLE {table.qualified} DROP IF EXISTS {specs}")
+    for m in cleared:
         storage.delete(table.spark, table.partition_path(m))
-        cleared.append(m)
-    return sorted(set(cleared))
+    return cleared
 
 
-def _write(df: DataFrame, table: Table, *, target_bytes: int | None, max_records_per_file: int | None) -> None:
-    if target_bytes is not None and target_bytes < 1:
+def row_bytes(df: DataFrame) -> Column:
+    """Uncompressed size of a row: 8 bytes a fixed-width value, the bytes of a string."""
+    widths = [
+        F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(8)
+        for f in df.schema.fields
+    ]
+    return reduce(lambda a, b: a + b, widths, F.lit(0)).cast("bigint")
+
+
+def records_in_budget(df: DataFrame, target_bytes: int, *, batch_rows: int = 1) -> int:
+    """Records that fit ``target_bytes`` uncompressed, by the mean row of ``df``;
+    at least ``batch_rows``, the smallest amount that is written at once."""
+    if target_bytes < 1:
         raise ValueError("target_bytes must be positive")
+    row = df.agg(F.sum(row_bytes(df)).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
+    mean = (row.bytes or 0) / row.rows if row.rows else 1.0
+    return max(1, batch_rows, int(target_bytes // max(mean, 1.0)))
+
+
+def _write(
+    df: DataFrame, table: Table, *, advisory_bytes: int | None = None, max_records_per_file: int | None = None,
+    rebalance: bool = True,
+) -> None:
     if max_records_per_file is not None and max_records_per_file < 1:
         raise ValueError("max_records_per_file must be positive")
     conf = {
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes or DEFAULT_ADVISORY_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_bytes or DEFAULT_ADVISORY_BYTES),
         # After REBALANCE(trip_month) a task holds one or a few months: a few
         # concurrent writers skip the per-task sort by month (beyond 4 open
         # files Spark falls back to sorting, which bounds writer memory).
@@ -200,7 +226,8 @@ def _write(df: DataFrame, table: Table, *, target_bytes: int | None, max_records
     # The writing session is the frame's own (a streaming micro-batch runs in
     # a cloned session), so the overwrite mode is applied there.
     with session_conf(df.sparkSession, conf):
-        df.hint("rebalance", PARTITION_COLUMN).write.insertInto(table.qualified, overwrite=True)
+        out = df.hint("rebalance", PARTITION_COLUMN) if rebalance else df
+        out.write.insertInto(table.qualified, overwrite=True)
 
 
 def replace_months(
@@ -209,22 +236,31 @@ def replace_months(
     *,
     months: Sequence[str] | None = None,
     target_bytes: int | None = None,
+    batch_rows: int = 1,
     max_records_per_file: int | None = None,
 ) -> dict[str, object]:
     """Swap the months present in ``df``; clear requested months left empty.
 
-    The set of months written is observed during the write itself (no
-    extra pass); it is bounded by the number of months.
+    The set of months written is observed during the write itself; it is
+    bounded by the number of months. ``target_bytes`` bounds the uncompressed
+    bytes of a file: one aggregate over ``df`` turns it into a record cap.
+    Rows without a month are written to the partition without one.
     """
+    if target_bytes is not None:
+        budget = records_in_budget(df, target_bytes, batch_rows=batch_rows)
+        max_records_per_file = min(budget, max_records_per_file or budget)
     obs = Observation("months_written")
     aligned = align(df, table.read().schema).observe(
         obs,
         F.count(F.lit(1)).alias("rows"),
         F.collect_set(PARTITION_COLUMN).alias("months"),
     )
-    _write(aligned, table, target_bytes=target_bytes, max_records_per_file=max_records_per_file)
+    advisory = max(1 << 20, min(target_bytes or DEFAULT_ADVISORY_BYTES, DEFAULT_ADVISORY_BYTES))
+    _write(aligned, table, advisory_bytes=advisory, max_records_per_file=max_records_per_file)
+    for session in (table.spark, df.sparkSession):  # a micro-batch runs in a clone
+        session.catalog.refreshTable(table.qualified)
     metrics = obs.get
-    written = sorted(metrics.get("months") or [])
+    written = sorted(m for m in metrics.get("months") or [] if m is not None)
     emptied = sorted(set(months or []) - set(written))
     if emptied:
         drop_months(table, emptied)
@@ -268,9 +304,11 @@ def overwrite_table(
 
     The new content is written to a fresh version folder; only after that
     job has committed is the catalog entry pointed at it (drop + create of
-    the external table: metadata only), then the previous version folder is
-    removed. A failure at any point before the swap leaves readers on the
-    previous, complete version. Returns the new location.
+    the external table: metadata only, so a reader that looks the name up in
+    between finds no table). A failure before the swap leaves readers on the
+    previous, complete version, whose folder is kept until the next rebuild
+    for readers that still hold it. An empty frame makes an empty table.
+    Returns the new location.
     """
     spark = table.spark
     version = f"{table.location}/{VERSION_PREFIX}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
@@ -283,7 +321,7 @@ def overwrite_table(
         writer.save(version)
 
     previous = current_location(table)
-    schema = spark.read.parquet(version).schema
+    schema = df.schema
     ordered = T.StructType(
         [f for f in schema.fields if f.name not in partition_cols]
         + [schema[c] for c in partition_cols]
@@ -294,7 +332,8 @@ def overwrite_table(
     spark.sql(f"CREATE TABLE {table.qualified} ({_ddl(ordered)}) USING parquet{parts} LOCATION '{version}'")
     if partition_cols:
         spark.sql(f"ALTER TABLE {table.qualified} RECOVER PARTITIONS")
-    if previous and previous.rstrip("/") != storage.qualify(spark, version).rstrip("/"):
-        if f"/{VERSION_PREFIX}" in previous:
-            storage.delete(spark, previous)
+    held = {version.rsplit("/", 1)[-1], (previous or "").rstrip("/").rsplit("/", 1)[-1]}
+    for name in storage.list_children(spark, table.location):
+        if name.startswith(VERSION_PREFIX) and name not in held:
+            storage.delete(spark, f"{table.location}/{name}")
     return version

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import os
 import tempfile
 import threading
 import uuid
@@ -105,17 +104,6 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
                     spark.conf.set(key, value)
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    return max(1, spark.sparkContext.defaultParallelism)
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def scale_settings(
     input_bytes: int,
     *,
@@ -140,3 +128,15 @@ def scale_settings(
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * partition_bytes // (1024 * 1024)}m",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     }
+
+
+def apply_scale(spark: SparkSession, inputs: list[str]) -> dict[str, str]:
+    """Set this session's shuffle width and split sizes from the bytes under
+    ``inputs`` (files or folders; sizes from the file system's listing)."""
+    from strata.sources import storage
+
+    total = sum(storage.size(spark, path) for path in inputs)
+    settings = scale_settings(total, total_cores=max(1, spark.sparkContext.defaultParallelism))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    return settings

@@ -46,3 +46,17 @@ def qualify(spark: SparkSession, path: str) -> str:
     """Fully qualified URI of ``path`` (``file:/…``, ``s3a://…``)."""
     fs, p = _fs_and_path(spark, path)
     return str(fs.makeQualified(p).toString())
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes under a file or folder; 0 if there is none."""
+    fs, p = _fs_and_path(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """``(name, bytes, modification time)`` of a file or of a folder's direct children."""
+    fs, p = _fs_and_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p))

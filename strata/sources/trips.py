@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +46,8 @@ RAW_SCHEMA = T.StructType(
         T.StructField("Airport_fee", T.DoubleType()),
     ]
 )
+#: Error conditions of files whose schemas do not merge.
+MERGE_FAILURES = ("CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE")
 RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]
 # A month in a file name, not touching letters/hex digits (so the UUID of a
 # Spark part file never matches): ``yellow_tripdata_2024-01.parquet``.
@@ -88,26 +92,28 @@ def read_raw_files(
 ) -> DataFrame:
     """Scan monthly raw files; adds ``_file_month`` and ``_file_path``.
 
-    Files are grouped by their own Parquet schema (one footer read per
-    delivered file, i.e. per month). Each group is one distributed scan cast
-    to the declared schema, and the groups are unioned: a month that renamed,
-    dropped or re-typed a column (e.g. ``passenger_count`` as double) lands
-    like the others. With one group (the usual case) this is a single scan.
+    All footers are merged in one distributed step, and the files are read by
+    one scan, matched to the declared schema by name. Only if a column changed
+    its type between months (e.g. ``passenger_count`` as double), so that no
+    single schema reads all files, are they grouped by their own schema and
+    the groups, each cast to the declared types, put together.
     """
-    groups: dict[str, list[str]] = {}
-    for path in paths:
-        file_schema = spark.read.parquet(path).schema
-        groups.setdefault(file_schema.simpleString(), []).append(path)
-    frames = []
-    for group in groups.values():
-        raw = spark.read.parquet(*group)
+    try:
+        merged = spark.read.option("mergeSchema", True).parquet(*paths)
+        frames = [merged]
+    except (PySparkException, Py4JJavaError) as error:
+        if not any(condition in str(error) for condition in MERGE_FAILURES):
+            raise
+        groups: dict[str, list[str]] = {}
+        for path in paths:
+            groups.setdefault(spark.read.parquet(path).schema.simpleString(), []).append(path)
+        frames = [spark.read.parquet(*group) for group in groups.values()]
+    out = None
+    for raw in frames:
         conformed = _conform(raw, schema).withColumns(
             {"_file_path": F.col("_metadata.file_path"), "_file_month": month_of_file()}
         )
-        frames.append(conformed)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+        out = conformed if out is None else out.unionByName(conformed)
     return out
 
 

@@ -8,8 +8,11 @@ silver months). Replacing whole months makes a replayed micro-batch
 idempotent, so the checkpoint + month replace give exactly-once table
 contents across restarts and executor loss.
 
-Each month is expected to arrive as one file (a later file for the same
-month replaces the earlier one, as a re-delivery does). A stream has one
+A month may arrive in several files and in several micro-batches: a batch
+replaces the rows of its own files and keeps the month's rows that came from
+other files, so how files fall into batches does not matter. A file is known
+by its path; delivered again under the same path it replaces its earlier
+rows. A file without a month in its folder or name stops the stream. A stream has one
 schema: names match case-insensitively and missing columns read NULL, but a
 month that re-types a column must go through the batch path
 (``jobs.bronze_from_files``), which conforms each file-schema group.
@@ -58,7 +61,8 @@ def start_landing(
     """Start the landing stream; ``available_now`` drains what is there and stops.
 
     Files may sit directly in ``source_dir`` (month in the file name) or in
-    ``trip_month=YYYY-MM`` folders (one file per month)."""
+    ``trip_month=YYYY-MM`` folders. ``max_files_per_trigger`` only sets the
+    size of a micro-batch."""
     spark = lake.spark
     stream = raw_file_stream(spark, source_dir, max_files_per_trigger=max_files_per_trigger)
 
@@ -70,6 +74,21 @@ def start_landing(
             source_file=F.col("_file_path"),
             loaded_at=stamp,
         )
+        # one row per file of the batch
+        files = batch.select("_file_month", "_file_path").distinct().collect()
+        lost = [r["_file_path"] for r in files if r["_file_month"] is None]
+        if lost:
+            raise ValueError(f"no month (YYYY-MM) in the name of {lost[:3]}")
+        if not files:
+            return
+        months = sorted({r["_file_month"] for r in files})
+        table = lake.table("bronze", jobs.TRIPS)
+        if table.exists():
+            # read in the batch's own session, which is a clone of the lake's
+            batch.sparkSession.catalog.refreshTable(table.qualified)
+            landed = batch.sparkSession.table(table.qualified).filter(F.col("trip_month").isin(months))
+            others = landed.filter(~F.col("_source_file").isin([r["_file_path"] for r in files]))
+            bronze = others.select(*bronze.columns).unionByName(bronze)
         result = jobs.land_bronze(lake, bronze)
         if build_silver and result["months_written"]:
             jobs.build_silver(lake, result["months_written"], limits=limits)

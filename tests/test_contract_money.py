@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strata.functions.money import avg_amount, sum_amount
+from strata.functions.money import amount, exact, exact_sum, mean, rounded_mean
 from strata.operators import contract, silver
 from strata.plans import jobs
 from tests.conftest import raw_frame, raw_row
@@ -41,7 +41,18 @@ def test_coercion_and_failed_casts(spark):
     assert dict(out.dtypes)["passenger_count"] == "bigint"
 
 
-def test_half_cent_rounding_is_exact(spark):
-    df = spark.createDataFrame([(1.005,), (0.285,)], "x double")
-    r = df.agg(sum_amount("x").alias("s"), avg_amount("x").alias("a")).first()
-    assert r.s == 1.28 and r.a == 0.64
+def test_totals_are_rounded_once(spark):
+    df = spark.createDataFrame([(1.005,), (0.285,), (float("nan"),), (None,)], "x double")
+    n = F.count(exact("x"))
+    r = df.agg(amount(exact_sum("x")).alias("s"), rounded_mean(exact_sum("x"), n).alias("a"), mean(exact_sum("x"), n).alias("m")).first()
+    assert r.s == 1.29 and r.a == 0.65 and r.m == 0.645
+    many = spark.range(100).select(F.lit(1.004).alias("x"))
+    assert many.agg(amount(exact_sum("x")).alias("s")).first().s == 100.4
+
+
+def test_mean_of_two_million_amounts(spark):
+    """(2,000,000 x 10 + 21.005) / 2,000,001 cents lies just below a half cent."""
+    total, n = F.lit("210000.10").cast("decimal(38,9)"), F.lit(2_000_001)
+    assert spark.range(1).select(rounded_mean(total, n).alias("a")).first().a == 0.1
+    down = F.lit("-210000.10").cast("decimal(38,9)")
+    assert spark.range(1).select(rounded_mean(down, n).alias("a")).first().a == -0.1

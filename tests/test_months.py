@@ -12,8 +12,9 @@ def test_single_and_range():
 def test_reversed_range_and_bad_format_raise():
     with pytest.raises(ValueError):
         months.month_strings("2024-06", "2024-01")
-    with pytest.raises(ValueError):
-        months.parse_month("2024")
+    for wrong in ("2024", "2024-1", "2024-13", "2024-00", "24-01", "2024-01-01", " 2024-01", ""):
+        with pytest.raises(ValueError):
+            months.month_number(wrong)
 
 
 def test_month_range_dataframe(spark):

@@ -52,12 +52,24 @@ def test_landing_write_rebalances_by_month(spark):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
 
 
-def test_fact_rank_is_one_scan_one_exchange(spark):
+def test_unrepeated_trips_pass_no_shuffle(spark):
     from strata.operators import gold
 
     lake = _lake(spark)
     stg = gold.staging(lake.table("silver", jobs.TRIPS).read())
     plan = explain_text(gold.fact_trips(stg))
     tree = plan.split("\n\n")[0]
-    assert tree.count("Scan parquet") == 1 and tree.count("Exchange") == 1
-    assert "hashpartitioning(pickup_datetime" in plan and "EvalPython" not in plan
+    alone = tree[: tree.index("Window")]  # the union's first branch
+    assert "Exchange" not in alone.replace("BroadcastExchange", "") and "BroadcastHashJoin" in alone
+    assert "EvalPython" not in plan
+
+
+def test_gold_checks_scan_the_fact_twice(spark):
+    from strata.operators import quality
+
+    fact, zones, dates = jobs.gold_tables(_lake(spark))
+    plan = explain_text(quality.gold_checks(fact, zones, dates))
+    schemas = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
+    wide = [x for x in schemas if "total_amount" in x]
+    assert len(wide) == 1  # not_null and all relationships
+    assert sum("trip_sk" in x for x in schemas) <= 3  # and the two passes of unique

@@ -2,12 +2,13 @@
 
 import datetime as dt
 import math
+from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.functions.money import half_up_div, sum_amount
+from strata.functions.money import SCALE, amount, exact_sum, rounded_mean
 from strata.operators import silver
 from strata.operators.rules import TripLimits
 from strata.plans import jobs
@@ -66,18 +67,18 @@ def test_rules_match_python(spark, rows):
 
 @SETTINGS
 @given(st.lists(st.integers(min_value=0, max_value=10**7), min_size=1, max_size=20))
-def test_money_sum_is_exact_cents(spark, mills):
-    amounts = [m / 1000 for m in mills]
-    df = spark.createDataFrame([(a,) for a in amounts], "x double")
-    expected = sum(math.floor(a * 100.0 + 0.5) for a in amounts) / 100.0
-    assert df.agg(sum_amount("x").alias("s")).first().s == expected
+def test_money_sum_is_rounded_once(spark, mills):
+    df = spark.createDataFrame([(m / 1000,) for m in mills], "x double")
+    assert df.agg(amount(exact_sum("x")).alias("s")).first().s == (sum(mills) + 5) // 10 / 100
 
 
 @SETTINGS
-@given(st.integers(min_value=0, max_value=2**62), st.integers(min_value=1, max_value=2**40))
-def test_half_up_division_beyond_double_precision(spark, n, d):
-    got = spark.range(1).select(half_up_div(F.lit(n), F.lit(d)).alias("q")).first().q
-    assert got == (2 * n + d) // (2 * d)
+@given(st.integers(min_value=-(2**62), max_value=2**62), st.integers(min_value=1, max_value=2**40))
+def test_rounded_mean_beyond_double_precision(spark, units, n):
+    total = F.lit(Decimal(units).scaleb(-SCALE)).cast("decimal(38,9)")
+    got = spark.range(1).select(rounded_mean(total, F.lit(n)).alias("q")).first().q
+    whole = n * 10 ** (SCALE - 2)
+    assert got == (2 * units + whole) // (2 * whole) / 100
 
 
 @SETTINGS

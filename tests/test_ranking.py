@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from strata.operators import gold
+from strata.operators import gold, ranking
 from strata.plans import jobs
 from strata.registry import LIMITS
 from strata.operators import silver
@@ -18,29 +18,35 @@ def _sorted(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_skew_safe_rank_equals_plain_window(spark):
+def _plain(df, key):
+    order = ["source_file", *(c for c in df.columns if c not in {*key, "source_file"})]
+    return ranking.plain_rank(df, key, [F.col(c).asc_nulls_last() for c in order], "trip_dup_rank")
+
+
+def test_rank_equals_plain_window(spark):
     stg = _stg(spark)
-    plain = gold.dup_rank(stg, COARSE_DUP_KEY)
-    safe = gold.dup_rank(stg, COARSE_DUP_KEY, skew_safe=True, hot_rows=4, key_sample_fraction=1.0, sample_rows=10**9, buckets=3, max_hot_keys=50)
-    assert _sorted(plain) == _sorted(safe)
-    assert safe.agg(F.max("trip_dup_rank")).first()[0] >= 3
+    for key in (COARSE_DUP_KEY, ["pickup_datetime"], ["vendor_id"], gold.DUP_KEY):
+        ranked = gold.dup_rank(stg, key)
+        assert ranked.columns == [*stg.columns, "trip_dup_rank"]
+        assert _sorted(ranked) == _sorted(_plain(stg, key)), key
 
 
-def test_skew_safe_rank_splits_one_giant_group_of_identical_rows(spark):
+def test_one_giant_group_of_identical_rows(spark):
     base_row = _stg(spark).orderBy("pickup_datetime", "total_amount").first()
     big = spark.createDataFrame([base_row] * 300, _stg(spark).schema).unionByName(_stg(spark))
-    safe = gold.dup_rank(big, gold.DUP_KEY, skew_safe=True, hot_rows=50, key_sample_fraction=1.0, sample_rows=10**9, buckets=8)
-    plain = gold.dup_rank(big, gold.DUP_KEY)
-    assert _sorted(safe) == _sorted(plain)
+    ranked = gold.dup_rank(big, gold.DUP_KEY)
+    assert _sorted(ranked) == _sorted(_plain(big, gold.DUP_KEY))
     same = F.lit(True)
     for k in gold.DUP_KEY:
         same = same & F.col(k).eqNullSafe(F.lit(base_row[k]))
-    ranks = sorted(r.trip_dup_rank for r in safe.filter(same).collect())
+    ranks = sorted(r.trip_dup_rank for r in ranked.filter(same).collect())
     assert ranks == list(range(1, 302))
 
 
-def test_skew_safe_rank_sizes_buckets_from_the_sample(spark):
-    base_row = _stg(spark).orderBy("pickup_datetime", "total_amount").first()
-    big = spark.createDataFrame([base_row] * 200, _stg(spark).schema).unionByName(_stg(spark).limit(50))
-    safe = gold.dup_rank(big, gold.DUP_KEY, skew_safe=True, hot_rows=40, key_sample_fraction=1.0, sample_rows=10**9, rows_per_bucket=25)
-    assert _sorted(safe) == _sorted(gold.dup_rank(big, gold.DUP_KEY))
+def test_groups_with_null_keys_and_cut_pieces(spark):
+    rows = [(None if k % 3 == 0 else k % 2, k % 7 if k % 5 else None, float(k % 11)) for k in range(4000)]
+    df = spark.createDataFrame(rows, "a long, b long, c double").repartition(6)
+    got = ranking.skew_safe_rank(df, ["a"], ["b", "c"], rank_col="r")
+    want = ranking.plain_rank(df, ["a"], [F.col(c).asc_nulls_last() for c in ("b", "c")], "r")
+    assert _sorted(got.fillna(-1)) == _sorted(want.fillna(-1))
+    assert ranking.skew_safe_rank(df.limit(0), ["a"], ["b", "c"]).count() == 0

@@ -122,3 +122,56 @@ def test_empty_month_list_is_a_no_op_for_jobs(spark, lake):
     assert jobs.land_bronze(lake, bronze_frame(spark, "2024-02", 1), months=[])["rows"] == 0
     assert jobs.build_silver(lake, [], processed_at="p").count() == 0
     assert _counts(lake) == {"2024-01": 2}
+
+
+def test_run_record_names_rows_and_table(spark, lake):
+    out = jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 2).unionByName(bronze_frame(spark, "2024-02", 3)))
+    assert out["rows_by_month"] == {"2024-01": 2, "2024-02": 3}
+    record = jobs.build_silver(lake, processed_at="p").collect()
+    t = lake.table("silver", jobs.TRIPS)
+    assert [(r.trip_month, r.output_rows) for r in record] == [("2024-01", 2), ("2024-02", 3)]
+    assert {(r.table_name, r.table_location) for r in record} == {(t.qualified, t.location)}
+
+
+def test_rejected_trip_without_month_is_reported(spark, lake):
+    from pyspark.sql import functions as F
+
+    lost = bronze_frame(spark, "2024-01", 1).withColumns(
+        {"trip_month": F.lit(None).cast("string"), "tpep_pickup_datetime": F.lit(None).cast("timestamp_ntz")}
+    )
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 2).unionByName(lost))
+    record = jobs.build_silver(lake, processed_at="p").collect()
+    assert [(r.trip_month, r.input_rows, r.output_rows) for r in record] == [(None, 1, 0), ("2024-01", 2, 2)]
+    assert _counts(lake, "silver") == {"2024-01": 2}
+
+
+def test_kept_trip_without_month_fails_the_contract(spark, lake):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from strata.operators.contract import ContractError
+
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 2).withColumn("trip_month", F.lit(None).cast("string")))
+    with pytest.raises(ContractError) as err:
+        jobs.build_silver(lake, processed_at="p")
+    assert ("trip_month", "not_null", 2) in err.value.failures
+
+
+def test_emptied_silver_gives_empty_gold(spark, lake):
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 2))
+    jobs.build_silver(lake, processed_at="p")
+    jobs.clear_months(lake.table("bronze", jobs.TRIPS), ["2024-01"])
+    jobs.build_silver(lake, ["2024-01"], processed_at="p")
+    zones = spark.createDataFrame([(1, "b", "z", "s")], "LocationID long, Borough string, Zone string, service_zone string")
+    jobs.build_gold(lake, zones)
+    fact, dim_zone, dates = jobs.gold_tables(lake)
+    assert (fact.count(), dim_zone.count(), dates.count()) == (0, 1, 0)
+    assert dict(fact.dtypes)["trip_month"] == "string"
+
+
+def test_months_in_statements_are_checked(spark, lake):
+    import pytest
+
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 2))
+    with pytest.raises(ValueError):
+        jobs.clear_months(lake.table("bronze", jobs.TRIPS), ["2024-01') --"])

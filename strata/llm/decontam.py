@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import map_arrow
 
-#: Token positions that count (1) or are ignored (0).
-MASKS = ("11111111", "110110101011", "111011001011", "1101001110011")
+#: Token positions that count (1) or are ignored (0). Together they are lossless:
+#: whichever two tokens of a window of 13 are substituted, one of them fits.
+MASKS = ("1111111", "11110111", "11101111", "1110100111")
 #: Tokens of a verified overlap, and the share of them that must be equal.
 WINDOW = 13
 SHARE = 0.8
@@ -194,8 +195,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Contaminated pairs: ``doc_id, item_id, equal_tokens, compared_tokens,
     doc_token, item_token`` (the best window's places), one row per pair.
 
-    Items shorter than a mask's eight tokens have no seed and are never
-    reported; null and empty texts and null item ids are skipped; repeated
+    Items shorter than the shortest mask (seven tokens) have no seed and are
+    never reported; null and empty texts and null item ids are skipped; repeated
     rows of one doc_id are reported once; rows with a null doc_id are
     searched and reported under null. Whole documents and whole items are
     used. Either table empty gives no rows; other columns are ignored.

@@ -331,7 +331,7 @@ FROM ({SILVER_SQL}) s GROUP BY trip_month""".replace(
     "silver_replace_month": _silver_month_counts(),
     "silver_empty_bronze_clears": _silver_month_counts(f"trip_month NOT IN ({_in_list(CLEARED_MONTHS)})"),
     "write_sized_files": f"""SELECT trip_month, CAST(count(*) AS BIGINT) AS rows, true AS within_budget,
-  true AS enough_files, true AS several_files FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
+  true AS enough_files FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
     "table_properties": f"""SELECT CAST(2147483648 AS BIGINT) AS target_bytes, CAST(0 AS BIGINT) AS files_above,
   CAST(count(*) AS BIGINT) AS rows FROM ({BRONZE_SQL}) b""",
     "bronze_run_record": _month_counts(BRONZE_SQL),

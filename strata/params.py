@@ -21,10 +21,10 @@ PLAN_END = "2002-06"
 SOURCE_BASE_URL = "https://trips.invalid/trip-data"
 STAGING_DIR = "/lake/staging/trips"
 # Rows per file when forcing small files before compaction.
-COMPACT_MAX_RECORDS = 50
+COMPACT_MAX_RECORDS = 250
 # Uncompressed byte budget and file size bound that make several files a month.
-SMALL_TARGET_BYTES = 8_000
-SMALL_FILE_BYTES = 12_000
+SMALL_TARGET_BYTES = 40_000
+SMALL_FILE_BYTES = 20_000
 # Top-k of the zone panel.
 TOP_K = 10
 # Coarser "same trip" key that does repeat in the table-derived trips.

@@ -120,10 +120,6 @@ def _rewrite(table: Table, wanted: dict[str, tuple[int, int]]) -> None:
     spark.catalog.refreshTable(table.qualified)
 
 
-#: Rewriting shrinks a month, so it may then need fewer files still.
-COMPACTION_ROUNDS = 4
-
-
 def compact_partitions(
     table: Table,
     *,
@@ -148,17 +144,19 @@ def compact_partitions(
 
     before = after = stats()
     rewritten: set[str] = set()
-    for _ in range(COMPACTION_ROUNDS):
+    pending = set(before)
+    while pending:
         todo = {
-            m: (int(r.record_count), files_wanted(r.total_bytes, max_bytes_per_file))
-            for m, r in after.items()
-            if needs_compaction(r.file_count, r.total_bytes, max_bytes_per_file)
+            m: (int(after[m].record_count), files_wanted(after[m].total_bytes, max_bytes_per_file))
+            for m in pending
+            if needs_compaction(after[m].file_count, after[m].total_bytes, max_bytes_per_file)
         }
         if not todo:
             break
         _rewrite(table, todo)
         rewritten |= set(todo)
-        after = stats()
+        previous, after = after, stats()
+        pending = {m for m in todo if m in after and after[m].file_count < previous[m].file_count}
     rows = [
         (label, m, int(before[m].file_count), int(after[m].file_count), int(after[m].record_count), m in rewritten)
         for m in sorted(after)

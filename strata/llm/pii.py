@@ -34,9 +34,9 @@ PATTERNS = {
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9])",
     "date": rf"(?<![0-9]){_YEAR}-{_MONTH}-{_DAY}(?![0-9])|(?<![0-9]){_YEAR}/{_MONTH}/{_DAY}(?![0-9])"
     rf"|(?<![0-9]){_DAY}\.{_MONTH}\.{_YEAR}(?![0-9])",
-    "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "card": r"(?<![0-9])(?:[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{13,19})(?![0-9])",
+    "ssn": r"(?<![0-9\p{L}-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9\p{L}-])",
+    "phone": r"(?<![0-9\p{L}])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9\p{L}])",
+    "card": r"(?<![0-9\p{L}])(?:[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{13,19})(?![0-9\p{L}])",
 }
 KINDS = tuple(PATTERNS)
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())

@@ -74,9 +74,9 @@ def main() -> None:
     extra["bronze_rows_per_sec"] = round(landed["rows"] / q["bronze_land"], 1)
 
     # The production ingest path: delivered monthly Parquet files → bronze.
-    # Setup (untimed): the same raw rows written as one file per month.
+    # Setup (untimed): the same raw rows written as monthly files.
     landing = shared_scratch(spark, "bench-landing")
-    bronze.select(*trips.RAW_COLUMNS, "trip_month").repartition("trip_month").write.partitionBy(
+    bronze.select(*trips.RAW_COLUMNS, "trip_month").hint("rebalance", "trip_month").write.partitionBy(
         "trip_month"
     ).parquet(landing)
     files_lake = Lake(spark, shared_scratch(spark, "bench-files"), prefix=f"benchf{int(time.time())}_")

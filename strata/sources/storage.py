@@ -60,3 +60,13 @@ def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     if not fs.exists(p):
         return []
     return sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p))
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file written by the driver (code, markers; never table data)."""
+    fs, p = _fs_and_path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()

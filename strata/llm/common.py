@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from collections.abc import Callable, Sequence
 from pathlib import Path
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import strata
 from strata.session import shared_scratch
+from strata.sources import storage
 
 #: A word is a maximal run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -47,11 +48,13 @@ def ship_code(spark: SparkSession) -> None:
     if sc.applicationId in _shipped:
         return
     root = Path(strata.__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="strata-code-")) / "strata_code.zip"
+    archive = io.BytesIO()
     with zipfile.ZipFile(archive, "w") as out:
         for path in sorted(root.rglob("*.py")):
             out.write(path, path.relative_to(root.parent))
-    sc.addPyFile(str(archive))
+    target = f"{shared_scratch(spark, 'llm-code')}/strata_code.zip"
+    storage.write_bytes(spark, target, archive.getvalue())
+    sc.addPyFile(target)
     _shipped.add(sc.applicationId)
 
 

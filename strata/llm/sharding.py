@@ -30,6 +30,10 @@ CUT_SHARE = 0.0005
 UNIT_SHARE = 0.125
 SLOT_ROWS = 1 << 16
 DIMENSIONS = ("source_at", "lang_at", "length_at")
+OUTPUT = (
+    "doc_id long, size long, text_crc32 long, law string, shard int, slot long, grown_shard int, "
+    "lang string, source string"
+)
 
 
 @dataclass
@@ -215,6 +219,8 @@ def shard_documents(docs: DataFrame, *, shards: int | None = None, target_bytes:
     )
     totals = rows.agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
     total = totals.bytes or 0
+    if not totals.rows:
+        return docs.sparkSession.createDataFrame([], OUTPUT)
     if shards is None:
         shards = max(1, -(-total // max(1, target_bytes)))
     units, heavy = _units(rows, total / shards)

@@ -15,6 +15,15 @@ def docs_of(spark, texts, lang="en", source="s"):
     return frame(spark, [(k, t, lang, source, len(t or "")) for k, t in enumerate(texts)])
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """The frames here are small: fewer shuffle partitions, quicker jobs."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="session")
 def edge_docs(spark):
     """Nulls in every column, empty and blank texts, a very long text, exact

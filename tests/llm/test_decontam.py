@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import random
@@ -23,21 +24,31 @@ def tokens(text):
     return out
 
 
+NUMBERS: dict[str, int] = {}
+
+
+@functools.cache
+def coded(text):
+    return np.array([NUMBERS.setdefault(w, len(NUMBERS)) for w in tokens(text)], dtype=np.int64)
+
+
 def overlaps(doc, item):
     """Every alignment and window. Items shorter than a window also need a
     seed on the alignment; longer ones must be found without regard to seeds."""
-    a, b = tokens(doc), tokens(item)
+    a, b = coded(doc), coded(item)
     size = min(decontam.WINDOW, len(b))
     need = math.ceil(decontam.SHARE * size)
-    for shift in range(-len(b), len(a)):
+    for shift in range(-len(b), len(a)) if size else ():
         low, high = max(0, -shift), min(len(b), len(a) - shift)
-        equal = [a[k + shift] == b[k] for k in range(low, high)]
+        equal = a[low + shift : high + shift] == b[low:high]
+        if equal.sum() < need:
+            continue
         seeded = size == decontam.WINDOW or any(
             all(equal[k + i] for i, bit in enumerate(mask) if bit == "1")
             for mask in decontam.MASKS
             for k in range(len(equal) - len(mask) + 1)
         )
-        if size and seeded and any(sum(equal[k : k + size]) >= need for k in range(len(equal) - size + 1)):
+        if seeded and any(equal[k : k + size].sum() >= need for k in range(len(equal) - size + 1)):
             return True
     return False
 

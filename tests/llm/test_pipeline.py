@@ -14,7 +14,8 @@ from tests.llm.test_simhash import plain_components, plain_fingerprint
 SF = "/root/testdata/sf0.001"
 
 
-def test_stages_on_documents(spark):
+def test_stages_on_documents(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "SHARDS", 5)
     docs = table(spark, SF, "documents")
     bench = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
     columns = docs.columns
@@ -40,7 +41,7 @@ def test_stages_on_documents(spark):
             want = Counter({(r.doc_id, text[r.doc_id]): int(r.taken / max(1, r.size) + 0.5) for r in got})
             want = +want
         else:
-            check_shards(after, before, 24)
+            check_shards(after, before, 5)
             continue
         assert Counter((r.doc_id, r.text) for r in after) == want, name
 
@@ -56,12 +57,13 @@ def test_run_and_empty_tables(spark, no_docs, tmp_path):
     assert decontam.WINDOW > 0
 
 
-def test_edge_rows(spark, edge_docs):
+def test_edge_rows(spark, edge_docs, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "SHARDS", 2)
     docs = edge_docs
     bench = spark.createDataFrame([(1, "one two three four five six seven eight nine")], "item_id long, text string")
     for name, stage in corpus_pipeline.STAGES:
         if name == "decontamination":
             docs = decontam.decontaminate(docs, bench)
         else:
-            docs = stage(spark, docs, "")
+            docs = save(stage(spark, docs, ""), "test-edges")
         assert docs.count() > 0

@@ -41,30 +41,30 @@ def check_shards(got, docs, shards):
 
 
 def test_near_equal_bytes(spark):
-    docs = many(spark, 3000, hot=400)
-    got = sharding.shard_documents(docs, shards=24).collect()
-    sums = check_shards(got, docs.collect(), 24)
-    mean = sum(sums.values()) / 24
-    assert len(sums) == 24 and max(sums.values()) < 1.05 * mean and min(sums.values()) > 0.95 * mean
-    again = sharding.shard_documents(docs, shards=24).collect()
+    docs = many(spark, 2000, hot=300)
+    got = sharding.shard_documents(docs, shards=10).collect()
+    sums = check_shards(got, docs.collect(), 10)
+    mean = sum(sums.values()) / 10
+    assert len(sums) == 10 and max(sums.values()) < 1.05 * mean and min(sums.values()) > 0.95 * mean
+    again = sharding.shard_documents(docs, shards=10).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
 def test_equal_texts_stay_together_unless_heavy(spark):
     rows = [(k, f"text {k % 900} " + "y" * (k % 900), "en", f"s{k % 7}", 0) for k in range(1800)]
-    got = sharding.shard_documents(frame(spark, rows), shards=6)
+    got = save(sharding.shard_documents(frame(spark, rows), shards=4), "test")
     shards = got.groupBy("text_crc32").agg(F.countDistinct("shard").alias("n"))
     assert shards.filter("n > 1").count() == 0
     hot = frame(spark, [(k, "z" * 100, "en", "s", 0) for k in range(600)])
-    sums = check_shards(sharding.shard_documents(hot, shards=6).collect(), hot.collect(), 6)
-    assert len(sums) == 6 and max(sums.values()) < 2 * min(sums.values())
+    sums = check_shards(sharding.shard_documents(hot, shards=4).collect(), hot.collect(), 4)
+    assert len(sums) == 4 and max(sums.values()) < 2 * min(sums.values())
 
 
 def test_target_bytes(spark):
     docs = many(spark, 500)
     total = docs.agg(F.sum(F.octet_length("text") + 8)).first()[0]
-    got = sharding.shard_documents(docs, target_bytes=total // 5 + 1)
-    assert got.select("shard").distinct().count() == 5
+    got = sharding.shard_documents(docs, target_bytes=total // 3 + 1)
+    assert got.select("shard").distinct().count() == 3
     with pytest.raises(ValueError):
         sharding.shard_documents(docs)
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_arrow
+from strata.llm.common import map_arrow, save
 
 #: Token positions that count (1) or are ignored (0). Together they are lossless:
 #: whichever two tokens of a window of 13 are substituted, one of them fits.
@@ -256,5 +256,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     All columns are kept as they are; rows with a null doc_id are never
     removed, as they cannot be named.
     """
-    hits = find_overlaps(docs, benchmark).select("doc_id").distinct()
+    # written first: the planner sees how few rows it is, so documents need no shuffle
+    hits = save(find_overlaps(docs, benchmark).select("doc_id").distinct(), "contaminated")
     return docs.join(hits, "doc_id", "left_anti")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import math
 import zipfile
 from collections.abc import Callable, Sequence
 from pathlib import Path
@@ -74,6 +75,12 @@ def remainder_of_id(doc_id: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(modulus))
 
 
+def pieces(rows: int) -> int:
+    """Pieces that :func:`running_total` should cut ``rows`` into: the square
+    root, so that a piece and the list of pieces both stay far below the rows."""
+    return max(1, math.isqrt(rows))
+
+
 def running_total(
     df: DataFrame,
     *,

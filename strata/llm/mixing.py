@@ -15,15 +15,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import running_total, save, word_count
+from strata.llm.common import pieces, running_total, save, word_count
 
 WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
 MAX_EPOCHS = 2
 BLOCK_WORDS = 256
-#: Rows that one window task numbers, and cells that the unit interval is cut
-#: into to look a point's source up.
-PIECE_ROWS = 1 << 16
+#: Cells that the unit interval is cut into to look a point's source up.
 CELLS = 1 << 12
 _POINT_BITS = 52
 
@@ -120,7 +118,7 @@ def schedule(plan: DataFrame, slots: int) -> DataFrame:
     )
     drawn = save(points.join(cells, "cell").filter("low <= x and x < high").select("slot", "source_no"), "slots")
     ranked = running_total(
-        drawn, group=["source_no"], bucket=F.expr(f"slot div {PIECE_ROWS}"), order=["slot"], value=F.lit(1), out="rank"
+        drawn, group=["source_no"], bucket=F.expr(f"slot div {pieces(slots)}"), order=["slot"], value=F.lit(1), out="rank"
     )
     kept = ranked.join(plan.select("source_no", "need"), "source_no").filter("rank < need").drop("need")
     counts = drawn.groupBy("source_no").agg(F.count(F.lit(1)).alias("drawn"))
@@ -151,12 +149,11 @@ def mix(docs: DataFrame, *, block: int = BLOCK_WORDS, seed: int = 0) -> Mix:
     sources = save(_plan(targets(sized), block), "sources")
     totals = sources.agg(F.sum("need").alias("slots"), F.sum("rows").alias("rows")).first()
     slots, rows = totals.slots or 0, totals.rows or 0
-    pieces = max(1, -(-rows // PIECE_ROWS))
     numbered = sized.withColumn("_key", _key("source")).join(
         sources.select(_key("source").alias("_key"), "source_no", "source_size", "target"), "_key"
     ).drop("_key")
     shuffled = save(numbered.withColumn("order", F.xxhash64(F.lit(seed), "doc_id", "size")), "shuffled")
-    cell = F.floor((F.col("order") / F.lit(float(1 << 63)) + 1) * (pieces / 2)).cast("long")
+    cell = F.floor((F.col("order") / F.lit(float(1 << 63)) + 1) * (pieces(rows) / 2)).cast("long")
     lined = save(
         running_total(
             shuffled, group=["source_no"], bucket=cell, order=["order", "doc_id", "size"], value=F.col("size"), out="start"

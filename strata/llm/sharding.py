@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import running_total, save
+from strata.llm.common import pieces, running_total, save
 
 #: Bits of a coordinate and of the tie-break hash in the order key.
 COORD_BITS, TIE_BITS = 16, 46
@@ -28,7 +28,6 @@ PASS_ROWS = 1 << 18
 CUT_SHARE = 0.0005
 #: A unit heavier than this part of a shard is cut by document id.
 UNIT_SHARE = 0.125
-SLOT_ROWS = 1 << 16
 DIMENSIONS = ("source_at", "lang_at", "length_at")
 OUTPUT = (
     "doc_id long, size long, text_crc32 long, law string, shard int, slot long, grown_shard int, "
@@ -229,11 +228,10 @@ def shard_documents(docs: DataFrame, *, shards: int | None = None, target_bytes:
         "part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), "parts")).cast("int")
     )
     placed = save(parted.join(dealt, ["unit", "part"]).drop("parts", "part"), "sharded")
-    pieces = max(1, -(-totals.rows // SLOT_ROWS))
     slotted = running_total(
         placed,
         group=["shard"],
-        bucket=F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(pieces)),
+        bucket=F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(pieces(totals.rows))),
         order=["doc_id", "text_crc32"],
         value=F.lit(1),
         out="slot",

@@ -34,7 +34,7 @@ SHARE = 0.8
 #: Benchmark tokens in one broadcast index, and tokens of one piece of an item.
 BLOCK_TOKENS = 1 << 18
 PIECE_TOKENS = 1 << 12
-_BATCH_CHARS = 1 << 22
+_BATCH_CHARS = 1 << 20
 _HIT_ROWS = 1 << 16
 
 _WORDS: np.ndarray | None = None

@@ -36,6 +36,8 @@ ALL_CHARS = 400_000
 ALPHABET = 200
 #: A parse starts anew after so many symbols, so texts of any length advance together.
 BLOCK = 4096
+#: Characters of the texts that advance together.
+TOGETHER_CHARS = 1 << 22
 UNKNOWN = "und"
 _SPACE = 0
 
@@ -162,19 +164,26 @@ class Model:
         runner-up's: 0.5 is a tie. Without letters, or with
         no language learned, the answer is ``und`` with score 0.
         """
+        names, scores, begin, chars = [], [], 0, 0
+        for end, text in enumerate(texts, 1):  # texts advance together up to so many characters
+            chars += len(text or "")
+            if chars >= TOGETHER_CHARS or end == len(texts):
+                for name, score in self._answers(texts[begin:end]):
+                    names.append(name)
+                    scores.append(score)
+                begin, chars = end, 0
+        return names, scores
+
+    def _answers(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
         coded = [self.symbols(t) if t else np.zeros(0, dtype=np.uint8) for t in texts]
         counts = self.phrases(coded) * self.cost
-        names, scores = [], []
         for symbols, row in zip(coded, counts, strict=True):
             if not len(symbols) or not len(row):
-                names.append(UNKNOWN)
-                scores.append(0.0)
+                yield UNKNOWN, 0.0
                 continue
             order = np.argsort(row, kind="stable")
-            names.append(self.languages[order[0]])
             second = row[order[1]] if len(row) > 1 else row[order[0]]
-            scores.append(float(1 - 0.5 * row[order[0]] / second))
-        return names, scores
+            yield self.languages[order[0]], float(1 - 0.5 * row[order[0]] / second)
 
 
 def training_sample(docs: DataFrame, *, rows: int = SAMPLE_ROWS) -> dict[str, list[str]]:

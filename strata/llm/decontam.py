@@ -4,9 +4,10 @@ A spaced seed is a fixed mask over consecutive tokens: the tokens at its ones
 are hashed, those at its zeros are ignored, so a window whose substituted
 tokens fall on zeros still hits. Every window of every benchmark item and of
 every document is hashed under each mask; equal hashes are hits. Around a hit
-the two token rows are aligned and the best window of ``WINDOW`` tokens (or
-the whole item, if shorter) is sought; the overlap counts if enough of its
-tokens are equal.
+the two token rows are aligned and the best window of ``WINDOW`` tokens is
+sought; the overlap counts if enough of its tokens are equal. Items shorter
+than a window are compared whole and have masks of their own by length, so
+that none of the allowed substitutions hides them.
 
 The benchmark is the stated query set: it is indexed in blocks of bounded
 size, each broadcast and run against all documents, so documents are never
@@ -27,7 +28,21 @@ from strata.llm.common import map_arrow, save
 
 #: Token positions that count (1) or are ignored (0). Together they are lossless:
 #: whichever two tokens of a window of 13 are substituted, one of them fits.
-MASKS = ("1111111", "11110111", "11101111", "1110100111")
+WINDOW_MASKS = ("1111111", "11110111", "11101111", "1110100111")
+#: By the shortest item they serve, up to the next entry: masks that are lossless
+#: for what ``SHARE`` allows there (none, one from 5 and two from 10 tokens on).
+SHORT_MASKS = {
+    1: ("1",),
+    2: ("11",),
+    3: ("111",),
+    4: ("1111",),
+    5: ("1111", "11101", "11011", "10111"),
+    7: ("11111", "111011", "110111"),
+    8: ("111111", "1111011", "1101111"),
+    10: ("1111011", "11001111", "110110011", "11110101", "10101111"),
+    12: ("11110111", "1100101111", "11011001011", "1111111", "11111101"),
+}
+MASKS = tuple(dict.fromkeys([*WINDOW_MASKS, *(m for masks in SHORT_MASKS.values() for m in masks)]))
 #: Tokens of a verified overlap, and the share of them that must be equal.
 WINDOW = 13
 SHARE = 0.8
@@ -40,6 +55,13 @@ _HIT_ROWS = 1 << 16
 _WORDS: np.ndarray | None = None
 
 
+def masks_of(size: int) -> tuple[str, ...]:
+    """The masks that index an item of ``size`` tokens."""
+    if size >= WINDOW:
+        return WINDOW_MASKS
+    return SHORT_MASKS[max(least for least in SHORT_MASKS if least <= size)] if size else ()
+
+
 def _word_table() -> np.ndarray:
     """Which code points belong to words."""
     global _WORDS
@@ -107,22 +129,31 @@ class Index:
         self.tokens = np.concatenate([p[2] for p in pieces]) if pieces else np.zeros(0, dtype=np.uint64)
         self.starts = np.cumsum(self.counts) - self.counts
         self.owner = np.repeat(np.arange(len(pieces)), self.counts)
-        self.seeds, self.at = [], []
-        for mask in MASKS:
+        short, long = self.counts < WINDOW, self.counts >= WINDOW
+        self.short, self.long = self._seeds(short), self._seeds(long)
+        seeds = [part[1] for part in self.short + self.long]
+        bits = 1 << max(16, math.ceil(math.log2(16 * sum(map(len, seeds)) + 1)))
+        self.low = np.uint64(bits - 1)
+        self.filter = np.zeros(bits, dtype=bool)
+        for part in seeds:
+            self.filter[(part & self.low).astype(np.int64)] = True
+
+    def _seeds(self, chosen: np.ndarray) -> list[tuple[str, np.ndarray, np.ndarray]]:
+        """Masks of the chosen pieces with their sorted hashes and places."""
+        sizes = np.unique(self.counts[chosen]).tolist()
+        out = []
+        for mask in dict.fromkeys(m for size in sizes for m in masks_of(size)):
+            served = chosen & np.isin(self.counts, [size for size in sizes if mask in masks_of(size)])
             hashes = seed_hashes(self.tokens, mask)
             at = np.flatnonzero(_inside(self.counts, len(mask)))
+            at = at[served[self.owner[at]]]
             order = at[np.argsort(hashes[at], kind="stable")]
-            self.seeds.append(hashes[order])
-            self.at.append(order)
-        bits = 1 << max(16, math.ceil(math.log2(16 * sum(map(len, self.seeds)) + 1)))
-        self.low = np.uint64(bits - 1)
-        self.filter = np.zeros(bits, dtype=bool)
-        for seeds in self.seeds:
-            self.filter[(seeds & self.low).astype(np.int64)] = True
+            out.append((mask, hashes[order], order))
+        return out
 
-    def hits(self, tokens: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def hits(self, parts, tokens: np.ndarray, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Blocks of (document token position, index token position)."""
-        for mask, seeds, at in zip(MASKS, self.seeds, self.at, strict=True):
+        for mask, seeds, at in parts:
             hashes = seed_hashes(tokens, mask)
             if not len(hashes) or not len(seeds):
                 continue
@@ -139,13 +170,46 @@ class Index:
                 yield np.repeat(where[begin:stop], n), at[np.repeat(first[begin:stop], n) + inner]
                 begin = stop
 
+    def _whole(self, tokens: np.ndarray, counts: np.ndarray) -> Iterator[tuple[tuple[int, int], tuple]]:
+        """Overlaps with items shorter than a window, which are compared whole."""
+        starts = np.cumsum(counts) - counts
+        owner = np.repeat(np.arange(len(counts)), counts)
+        need = np.array([math.ceil(SHARE * size) for size in range(WINDOW)])
+        for here, there in self.hits(self.short, tokens, counts):
+            text, piece = owner[here], self.owner[there]
+            at = here - (there - self.starts[piece])
+            fits = (at >= starts[text]) & (at + self.counts[piece] <= starts[text] + counts[text])
+            text, piece, at = text[fits], piece[fits], at[fits]
+            size, equal = self.counts[piece], np.zeros(len(at), dtype=np.int64)
+            for k in range(int(size.max(initial=0))):
+                live = np.flatnonzero(size > k)
+                equal[live] += tokens[at[live] + k] == self.tokens[self.starts[piece[live]] + k]
+            enough = np.flatnonzero(equal >= need[size])
+            text, piece, at, size, equal = (x[enough] for x in (text, piece, at, size, equal))
+            item = self.items[piece]
+            order = np.lexsort((at, -equal / size, item, text))
+            text, item = text[order], item[order]
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1])
+            order, text, item = order[new], text[new], item[new]
+            places = (at[order] - starts[text]).tolist()
+            columns = zip(equal[order].tolist(), size[order].tolist(), places, [0] * len(order), strict=True)
+            yield from zip(zip(text.tolist(), item.tolist(), strict=True), columns, strict=True)
+
     def overlaps(self, tokens: np.ndarray, counts: np.ndarray) -> dict[tuple[int, int], tuple]:
         """Best verified overlap of each (text, item): equal tokens, compared
         tokens, place in the text, place in the item."""
         starts = np.cumsum(counts) - counts
         owner = np.repeat(np.arange(len(counts)), counts)
         best: dict[tuple[int, int], tuple] = {}
-        for here, there in self.hits(tokens, counts):
+
+        def keep(pair: tuple[int, int], found: tuple) -> None:
+            if pair not in best or (-found[0] / found[1], *found[2:]) < (-best[pair][0] / best[pair][1], *best[pair][2:]):
+                best[pair] = found
+
+        for pair, found in self._whole(tokens, counts):
+            keep(pair, found)
+        for here, there in self.hits(self.long, tokens, counts):
             text, piece = owner[here], self.owner[there]
             shift = (here - starts[text]) - (there - self.starts[piece])
             # hits on one alignment within a window's reach verify the same overlap
@@ -154,7 +218,7 @@ class Index:
             for t, p, d, c in key.T.tolist():
                 low = max(0, -d, (c - 1) * WINDOW)
                 high = min(int(self.counts[p]), int(counts[t]) - d, (c + 3) * WINDOW)
-                size = min(WINDOW, int(self.counts[p]))
+                size = WINDOW
                 if high - low < size:
                     continue
                 a = tokens[starts[t] + d + low : starts[t] + d + high]
@@ -165,9 +229,7 @@ class Index:
                 if equal[at] < math.ceil(SHARE * size):
                     continue
                 found = (int(equal[at]), size, int(d + low + at), int(self.offsets[p] + low + at))
-                pair = (t, int(self.items[p]))
-                if pair not in best or (-found[0] / size, *found[2:]) < (-best[pair][0] / best[pair][1], *best[pair][2:]):
-                    best[pair] = found
+                keep((t, int(self.items[p])), found)
         return best
 
 
@@ -195,8 +257,10 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Contaminated pairs: ``doc_id, item_id, equal_tokens, compared_tokens,
     doc_token, item_token`` (the best window's places), one row per pair.
 
-    Items shorter than the shortest mask (seven tokens) have no seed and are
-    never reported; null and empty texts and null item ids are skipped; repeated
+    Items of any length are found; one shorter than a window must agree whole
+    (exactly up to four tokens). A token is a run of letters and digits, so
+    text without spaces is one token a clause. Null texts, texts without a
+    token and null item ids are skipped; repeated
     rows of one doc_id are reported once; rows with a null doc_id are
     searched and reported under null. Whole documents and whole items are
     used. Either table empty gives no rows; other columns are ignored.

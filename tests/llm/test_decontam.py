@@ -126,3 +126,44 @@ def test_repeated_words_stay_bounded(spark):
     docs, bench = docs_of(spark, [text]), frame(spark, [(1, "the " * 50, "x")], BENCH)
     assert decontam.find_overlaps(docs, bench).count() == 1
     assert decontam.seed_hashes(np.zeros(3, dtype=np.uint64), "11111111").size == 0
+
+
+def test_short_items_survive_every_allowed_substitution():
+    for size in range(1, decontam.WINDOW + 1):
+        item = np.arange(1, size + 1, dtype=np.uint64)
+        index = decontam.Index([(5, 0, item)])
+        allowed = size - math.ceil(decontam.SHARE * size)
+        for gone in (g for n in range(size + 1) for g in itertools.combinations(range(size), n) if n <= allowed + 1):
+            text = np.concatenate([[90, 91], item, [92]]).astype(np.uint64)
+            text[[2 + k for k in gone]] = 99
+            found = index.overlaps(text, np.array([len(text)]))
+            want = {(0, 5): (size - len(gone), size, 2, 0)} if len(gone) <= allowed else {}
+            assert found == want, (size, gone)
+
+
+def test_short_items_match_brute_force_without_seeds(spark):
+    rng = random.Random(5)
+    vocabulary = [f"v{k}" for k in range(9)]
+    items = [" ".join(rng.choices(vocabulary, k=1 + k % 14)) for k in range(56)]
+    docs = [" ".join(rng.choices(vocabulary, k=rng.randrange(40))) for _ in range(150)]
+    docs += ["今日は晴れ、明日は雨。", "plain"]
+    for k in range(56):  # with up to three words exchanged
+        part = items[k].split()
+        for at in rng.sample(range(len(part)), min(len(part) - 1, k % 4)):
+            part[at] = "other"
+        docs.append(" ".join(["start", *part, "end"]))
+    items += ["明日は雨", "plain text"]
+
+    def plain(doc, item):
+        a, b = coded(doc), coded(item)
+        size = min(decontam.WINDOW, len(b))
+        return any(
+            (a[i : i + size] == b[j : j + size]).sum() >= math.ceil(decontam.SHARE * size)
+            for i in range(len(a) - size + 1)
+            for j in range(len(b) - size + 1)
+        )
+
+    bench = frame(spark, [(k, t, "x") for k, t in enumerate(items)], BENCH)
+    got = {(r.doc_id, r.item_id) for r in decontam.find_overlaps(docs_of(spark, docs), bench).collect()}
+    assert got == {(d, i) for d, doc in enumerate(docs) for i, item in enumerate(items) if plain(doc, item)}
+    assert (150, 56) in got and len({len(coded(items[i])) for _, i in got}) >= 10

@@ -18,13 +18,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays."""
+    """One row of each SimHash group stays, with an id or without."""
     return simhash.deduplicate(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap a benchmark item go."""
-    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    """Rows that overlap a benchmark item go, with an id or without."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), whole_ids=False)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,12 @@ def save(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df``, saved, with a ``_row`` of its own for every row, so that rows
+    that share an id or have none can be told apart in several jobs."""
+    return save(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
 _shipped: set[str] = set()
 
 

@@ -253,29 +253,23 @@ def _blocks(benchmark: DataFrame) -> Iterator[Index]:
         yield Index(held)
 
 
-def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Contaminated pairs: ``doc_id, item_id, equal_tokens, compared_tokens,
-    doc_token, item_token`` (the best window's places), one row per pair.
-
-    Items of any length are found; one shorter than a window must agree whole
-    (exactly up to four tokens). A token is a run of letters and digits, so
-    text without spaces is one token a clause. Null texts, texts without a
-    token and null item ids are skipped; repeated
-    rows of one doc_id are reported once; rows with a null doc_id are
-    searched and reported under null. Whole documents and whole items are
-    used. Either table empty gives no rows; other columns are ignored.
-    """
+def _search(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Overlaps of every row, some of them repeated. The last column of ``docs``
+    is the text; those before, longs, name the row."""
     spark = docs.sparkSession
-    schema = "doc_id long, item_id long, equal_tokens int, compared_tokens int, doc_token long, item_token long"
+    keys = docs.columns[:-1]
+    schema = "item_id long, equal_tokens int, compared_tokens int, doc_token long, item_token long"
+    schema = ", ".join([*(f"{key} long" for key in keys), schema])
     names = [part.split()[0] for part in schema.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    kinds = [*(pa.int64() for _ in keys), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
     found = spark.createDataFrame([], schema)
     for index in _blocks(benchmark):
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                *ids, texts = (column.to_pylist() for column in batch.columns)
+                ids = list(zip(*ids, strict=True))
                 begin, rows = 0, []
                 while begin < len(texts):
                     stop, chars = begin, 0
@@ -284,15 +278,30 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         stop += 1
                     tokens, counts = token_hashes(texts[begin:stop])
                     best = shared.value.overlaps(tokens, counts)
-                    rows += [(ids[begin + t], item, *what) for (t, item), what in sorted(best.items())]
+                    rows += [(*ids[begin + t], item, *what) for (t, item), what in sorted(best.items())]
                     begin = stop
                 columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names
                 )
 
-        part = map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema)
-        found = found.unionByName(part)
+        found = found.unionByName(map_arrow(docs, run, schema))
+    return found
+
+
+def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Contaminated pairs: ``doc_id, item_id, equal_tokens, compared_tokens,
+    doc_token, item_token`` (the best window's places), one row per pair.
+
+    Items of any length are found; one shorter than a window must agree whole
+    (exactly up to four tokens). A token is a run of letters and digits, so
+    text without spaces is one token a clause. Null texts, texts without a
+    token and null item ids are skipped; repeated
+    rows of one doc_id are reported once; rows with a null doc_id are
+    searched and reported under null. Whole documents and whole items are
+    used. Either table empty gives no rows; other columns are ignored.
+    """
+    found = _search(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark)
     order = F.struct(
         (F.col("equal_tokens") / F.col("compared_tokens")).alias("share"),
         (-F.col("doc_token")).alias("doc"),
@@ -314,12 +323,19 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that overlap a benchmark item.
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, whole_ids: bool = True) -> DataFrame:
+    """``docs`` without the documents that overlap a benchmark item; all
+    columns as they are.
 
-    All columns are kept as they are; rows with a null doc_id are never
-    removed, as they cannot be named.
+    With ``whole_ids`` an id that has a contaminated row goes with all its
+    rows; without, only the rows whose own text is contaminated go. Rows with
+    a null doc_id are always decided one by one.
     """
+    own = F.xxhash64("text")
+    if whole_ids:
+        own = F.when(F.col("doc_id").isNull(), own).otherwise(F.lit(0).cast("long"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), own.alias("_text"), "text")
     # written first: the planner sees how few rows it is, so documents need no shuffle
-    hits = save(find_overlaps(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(hits, "doc_id", "left_anti")
+    hits = save(_search(rows, benchmark).select("_id", "_text").distinct(), "contaminated")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (own == F.col("_text"))
+    return docs.join(hits, same, "left_anti")

@@ -23,10 +23,10 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_arrow, save
+from strata.llm.common import map_arrow, numbered, save
 from strata.llm.components import connected_components
 
 SHINGLE = 3
@@ -203,20 +203,37 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, *, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with one document of every group, the one of the smallest
-    doc_id; all columns as they are.
+    """``docs`` with one row of every group; all columns as they are.
 
-    Of rows that repeat an id and its text one stays. Rows with a null doc_id
-    cannot be named as a group's document and stay as they are.
+    Groups are decided by text, row by row: it is the row of the smallest
+    doc_id that stays, and a row without one only if the group has no other.
+    Among rows of one id (or none) the least hash of the text decides, then
+    that of all columns; of rows equal in everything any one stays.
     """
-    known = docs.filter("doc_id is not null")
-    groups = near_duplicates(known, shingle=shingle)
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    copies = Window.partitionBy("doc_id", "_text").orderBy("_text")
+    rows = numbered(docs)
+    hashed = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    marked = rows.select(
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64("text").alias("text_hash"),
+        F.xxhash64(*hashed).alias("row_hash"),
+        "_row",
+        "text",
+    )
+    names = ["id", "text_hash", "row_hash", "_row"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(4)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(fps.view(np.int64))], [*names, "fp"])
+
+    prints = map_arrow(marked, run, "id long, text_hash long, row_hash long, _row long, fp long")
+    order = F.struct(F.col("id").isNull().alias("nameless"), *names)
+    first = save(prints.groupBy("fp").agg(F.min(order).alias("first")), "first-rows")
+    roots = connected_components(links(first.select("fp")))
     kept = (
-        known.join(first, "doc_id", "left_semi")
-        .withColumn("_text", F.xxhash64("text"))
-        .withColumn("_copy", F.row_number().over(copies))
-        .filter("_copy = 1")
+        first.join(roots, first.fp == roots.node, "left")
+        .groupBy(F.coalesce("component", "fp").alias("root"))
+        .agg(F.min("first").alias("first"))
+        .select("first._row")
     )
-    return kept.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)

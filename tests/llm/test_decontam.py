@@ -167,3 +167,15 @@ def test_short_items_match_brute_force_without_seeds(spark):
     got = {(r.doc_id, r.item_id) for r in decontam.find_overlaps(docs_of(spark, docs), bench).collect()}
     assert got == {(d, i) for d, doc in enumerate(docs) for i, item in enumerate(items) if plain(doc, item)}
     assert (150, 56) in got and len({len(coded(items[i])) for _, i in got}) >= 10
+
+
+def test_contamination_is_decided_by_row(spark):
+    passage = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    rows = [(7, f"see {passage} here"), (7, "a clean text"), (None, passage), (None, "a clean text"), (8, passage), (9, None), (None, None)]
+    docs = frame(spark, [(k, t, "en", "s", 0) for k, t in rows])
+    bench = frame(spark, [(1, passage, "x")], BENCH)
+    kept = decontam.decontaminate(docs, bench, whole_ids=False).collect()
+    clean = [(7, "a clean text"), (9, None), (None, None), (None, "a clean text")]
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(clean, key=str)
+    kept = decontam.decontaminate(docs, bench).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(clean[1:], key=str)

@@ -127,3 +127,14 @@ def test_deduplicate(edge_docs, no_docs):
     ids = sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect())
     assert [i for _, i in ids] == [1, 4, 5, 7, 7, 8, 9, 0]
     assert simhash.deduplicate(no_docs).count() == 0
+
+
+def test_deduplicate_decides_by_row(spark):
+    from tests.llm.conftest import frame
+
+    a, b, c = ("alpha beta gamma delta", "one two three four", "red green blue white")
+    rows = [(None, a, "en", "s", 0)] * 3 + [(None, b, "en", "x", 0), (None, b, "en", "y", 0), (2, b, "en", "s", 0), (2, c, "en", "s", 0), (1, c, "en", "s", 0)]
+    kept = simhash.deduplicate(frame(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, a), (1, c), (2, b)]
+    nameless = frame(spark, [(None, b, "en", k, 0) for k in "xyz"])
+    assert simhash.deduplicate(nameless).collect() == simhash.deduplicate(nameless.orderBy("source", ascending=False)).collect()

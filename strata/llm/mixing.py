@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import pieces, running_total, save, word_count
+from strata.llm.common import numbered, pieces, running_total, save, word_count
 
 WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
@@ -144,7 +144,14 @@ def mix(docs: DataFrame, *, block: int = BLOCK_WORDS, seed: int = 0) -> Mix:
     frames. Columns beyond the three are ignored. Texts are only counted, not
     moved: very long documents span many blocks.
     """
-    counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"))
+    return _mix(docs, block, seed, [])
+
+
+def _mix(docs: DataFrame, block: int, seed: int, keep: list[str]) -> Mix:
+    """:func:`mix` whose documents also have the columns ``keep``."""
+    counted = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), *keep
+    )
     sized = save(counted, "sizes")
     sources = save(_plan(targets(sized), block), "sources")
     totals = sources.agg(F.sum("need").alias("slots"), F.sum("rows").alias("rows")).first()
@@ -156,7 +163,7 @@ def mix(docs: DataFrame, *, block: int = BLOCK_WORDS, seed: int = 0) -> Mix:
     cell = F.floor((F.col("order") / F.lit(float(1 << 63)) + 1) * (pieces(rows) / 2)).cast("long")
     lined = save(
         running_total(
-            shuffled, group=["source_no"], bucket=cell, order=["order", "doc_id", "size"], value=F.col("size"), out="start"
+            shuffled, group=["source_no"], bucket=cell, order=["order", "doc_id", "size", *keep], value=F.col("size"), out="start"
         ),
         "lines",
     )
@@ -188,7 +195,7 @@ def mix(docs: DataFrame, *, block: int = BLOCK_WORDS, seed: int = 0) -> Mix:
         lined.filter("size > 0")
         .join(taken, ["source_no", "start"], "left")
         .unionByName(lined.filter("size = 0").withColumn("taken", F.lit(0).cast("long")))
-        .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+        .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), *keep)
     )
     return Mix(documents, sources, plan)
 
@@ -198,20 +205,13 @@ def mixed_documents(docs: DataFrame, *, block: int = BLOCK_WORDS, seed: int = 0)
     2) as its taken words are nearest to; all columns as they are.
 
     Blocks follow the documents' line, so all but the few documents that a
-    source's last block cuts are taken whole. Rows that share doc_id and source
-    are pooled and repeated alike.
+    source's last block cuts are taken whole. Every row is decided by itself,
+    whatever other rows share its doc_id or have none.
     """
-    taken = mix(docs, block=block, seed=seed).documents
-    copies = (
-        taken.groupBy("doc_id", "source")
-        .agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
-        .select(
-            F.col("doc_id").alias("_id"),
-            F.col("source").alias("_source"),
-            F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int").alias("_copies"),
-        )
-        .filter("_copies > 0")
-    )
-    same = docs.doc_id.eqNullSafe(copies._id) & docs.source.eqNullSafe(copies._source)
-    repeated = docs.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*(docs[c] for c in docs.columns))
+    rows = numbered(docs)
+    taken = _mix(rows, block, seed, ["_row"]).documents
+    copies = taken.select(
+        "_row", F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int").alias("_copies")
+    ).filter("_copies > 0")
+    repeated = rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return repeated.select(docs.columns)

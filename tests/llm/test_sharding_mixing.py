@@ -166,3 +166,17 @@ def test_mixed_documents(edge_docs, no_docs):
         (size, t) = next((s, t) for (d, s), t in taken.items() if d == k)
         assert copies[k] == int(t / size + 0.5)
     assert mixing.mixed_documents(no_docs).count() == 0
+
+
+def test_mixed_documents_decides_by_row(spark):
+    # most of a source under null or one id: its own target must still be met
+    rows = [(None if k % 2 else 7, " ".join(f"w{k}" for _ in range(20 + k % 5)), "en", "s01", 0) for k in range(300)]
+    rows += [(1000 + k, "a b c d e f g h " * 4, "en", f"s{k % 20:02}", 0) for k in range(640) if k % 20 != 1]
+    docs = frame(spark, rows)
+    target = {r.source: r.target for r in mixing.mix(docs, block=32).sources.collect()}
+    assert target["s01"] < 0.45 * sum(words(r[1]) for r in rows if r[3] == "s01")
+    got = Counter()
+    for r in mixing.mixed_documents(docs, block=32).collect():
+        got[r.source] += words(r.text)
+    for source, want in target.items():
+        assert abs(got[source] - want) <= 64, source

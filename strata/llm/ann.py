@@ -50,12 +50,13 @@ def usable(vectors: DataFrame) -> DataFrame:
 def choose_pivots(vectors: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
     """A bounded draw of distinct vectors by a hash of their content."""
     drawn = (
-        vectors.select("embedding", F.xxhash64("embedding").alias("draw"))
+        vectors.groupBy(F.xxhash64("embedding").alias("draw"))
+        .agg(F.min("embedding").alias("embedding"))  # copies are one row before the draw
         .orderBy("draw")
-        .limit(8 * pivots)
+        .limit(pivots)
         .collect()
     )
-    rows = list(dict.fromkeys(tuple(r["embedding"]) for r in drawn))[:pivots]
+    rows = [tuple(r["embedding"]) for r in drawn]
     return np.array(rows, dtype=np.float64)
 
 

@@ -80,3 +80,24 @@ def test_recall(spark, rows):
     want = brute(items, range(0, rows, 100), 20)
     hits = sum(len({k for k, _ in got[q]} & {k for k, _ in want[q]}) for q in want)
     assert hits / (20 * len(want)) >= 0.9
+
+
+def test_recall_with_a_hundred_copies_of_every_vector(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(6)
+    data = rng.normal(size=(4000, 64)).astype(np.float32).astype(float)
+    once = vectors(spark, list(enumerate(data)))
+    frame = once.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(99))))
+    frame = frame.select((F.col("copy") * 4000 + F.col("vec_id")).alias("vec_id"), "embedding", "label")
+    pivots = ann.choose_pivots(ann.usable(frame))
+    assert len(np.unique(pivots, axis=0)) == ann.PIVOTS
+    # what the copies leave of the index: recall over the distinct vectors with these pivots
+    index, hits = ann.InvertedFile(data, pivots, ann.PREFIX), 0
+    depth = int(ann.RERANK_SHARE * len(data))
+    for q in range(0, 4000, 100):
+        near = ann.prefixes(data[q : q + 1], pivots, ann.PREFIX)[0]
+        picked = np.argpartition(index.footrule(near), depth - 1)[:depth]
+        scores = data @ data[q]
+        hits += len(set(np.argsort(-scores)[:20]) & set(picked))
+    assert hits / (20 * 40) >= 0.9

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, decontam, langid, mixing, pii, preference, quality, secrets, sharding, simhash
+from strata.llm import ann, bpe, decontam, langid, lexical, mixing, pii, preference, quality, runs, secrets, sharding, simhash
 from strata.llm.common import table
 
 SHARDS = 24
@@ -59,6 +59,23 @@ def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return runs.digests(runs.find_runs(docs.withColumn("text", runs.planted(F.col("text"), F.col("doc_id")))))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    file = bpe.read_file(public_tokenizers.path("word_bpe_49k.json"))
+    coded = bpe.encode_documents(table(spark, sf_dir, "documents"), file)
+    return bpe.digests(bpe.decode_documents(coded, file))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -72,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_preference_format,
         op9_secret_scan,
         op10_pii_pseudonyms,
+        op11_periodic_runs,
+        op12_lexical_search,
+        op13_bpe,
     )
 }
 
@@ -138,4 +158,35 @@ SELECT p.pair_id,
 FROM prefix p JOIN shown s ON p.pair_id = s.pair_id
 """
 
-ORACLE: dict[str, str] = {"op8_preference_format": _OP8}
+#: Every item's terms against every document's counts, all sums at once.
+_OP12 = r"""
+WITH cut AS (
+  SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+sized AS (SELECT place, doc_id, CAST(len(terms) AS BIGINT) AS n FROM cut WHERE len(terms) > 0),
+whole AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sized),
+counted AS (
+  SELECT place, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT place, unnest(terms) AS term FROM cut) t GROUP BY place, term),
+wanted AS (
+  SELECT DISTINCT item_id, term FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) t),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, whole GROUP BY term),
+scored AS (
+  SELECT item_id, place, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words)))) AS BIGINT) AS score
+  FROM wanted JOIN counted USING (term) JOIN weights USING (term) JOIN sized USING (place), whole
+  GROUP BY item_id, place),
+ranked AS (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored JOIN sized USING (place) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+ORACLE: dict[str, str] = {"op8_preference_format": _OP8, "op12_lexical_search": _OP12}

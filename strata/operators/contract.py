@@ -105,12 +105,13 @@ def _coerced(df: DataFrame, spec: FieldSpec) -> Column:
     return c.try_cast(spec.dtype)
 
 
-def coerce(df: DataFrame, contract: Contract) -> DataFrame:
-    """Cast to declared types (failed casts become NULL and are counted by the report)."""
+def coerce(df: DataFrame, contract: Contract, *, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Cast to declared types (failed casts become NULL and are counted by the
+    report); ``keep``: columns outside the contract that stay."""
     present = set(df.columns)
     return df.select(
         [_coerced(df, f).alias(f.name) for f in contract.fields if f.name in present]
-        + ([] if contract.strict else [c for c in df.columns if c not in set(contract.names)])
+        + [c for c in df.columns if c not in set(contract.names) and (c in keep or not contract.strict)]
     )
 
 

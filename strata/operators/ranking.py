@@ -9,9 +9,9 @@ third of all rows. So neither case goes through a window over whole groups:
    words, the only thing broadcast, whose size does not depend on the data. A
    row whose bit is clear is alone in its group. (A bit may be set by another
    group's hash; such a row merely takes the second way, which is exact.)
-2. The other rows are range-partitioned by group key and order columns, which
-   cuts a large group into consecutive pieces, and written to the shared
-   folder, so every later pass and every retried task sees the same pieces.
+2. The other rows are range-partitioned by group key, order columns and, for
+   ties, a number of their own, which cuts a large group into consecutive
+   pieces even if all its rows are equal, and written to the shared folder, so every later pass and every retried task sees the same pieces.
    A row's rank is its number within (group, piece) plus the rows of the
    group in earlier pieces, which are counted per (group, piece).
 
@@ -72,7 +72,10 @@ def skew_safe_rank(
     alone = marked.filter(~repeated).select(*columns, F.lit(1).cast("bigint").alias(rank_col))
 
     ordering = [F.col(c).asc_nulls_last() for c in order_cols]
-    pieces = marked.filter(repeated).select(*columns).repartitionByRange(*key, *ordering)
+    # The row's own number ends the range key, so that rows equal in key and all
+    # order columns, however many, are cut into pieces like any others.
+    own = marked.filter(repeated).select(*columns, F.monotonically_increasing_id().alias("_own"))
+    pieces = own.repartitionByRange(*key, *ordering, "_own").drop("_own")
     placed = _save(pieces.withColumn("_piece", F.spark_partition_id()), "rank-pieces")
     sizes = placed.groupBy(*key, "_piece").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)

@@ -331,7 +331,16 @@ FROM ({SILVER_SQL}) s GROUP BY trip_month""".replace(
     "silver_replace_month": _silver_month_counts(),
     "silver_empty_bronze_clears": _silver_month_counts(f"trip_month NOT IN ({_in_list(CLEARED_MONTHS)})"),
     "write_sized_files": f"""SELECT trip_month, CAST(count(*) AS BIGINT) AS rows, true AS within_budget,
-  true AS enough_files FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
+  true AS no_more_than_needed FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
+    "compact_bins": f"""SELECT trip_month, CAST(count(*) AS BIGINT) AS rows, true AS nothing_fits, true AS none_above,
+  true AS large_stay FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
+    "month_swap": f"""WITH m AS (SELECT trip_month, CAST(count(*) AS BIGINT) AS n, row_number() OVER (ORDER BY trip_month) AS k
+  FROM ({BRONZE_SQL}) b GROUP BY trip_month)
+SELECT trip_month, CASE WHEN trip_month = '{BENCH_MONTH}' THEN n ELSE 2 * n END AS rows,
+  CASE WHEN k <= 2 THEN 2 * n ELSE n END AS rows_when_cut FROM m""",
+    "file_stats_median": f"""SELECT trip_month AS partition_value,
+  CAST(ceil(count(*) / {COMPACT_MAX_RECORDS}.0) AS BIGINT) AS file_count,
+  CAST(count(*) AS BIGINT) AS record_count, true AS median_agrees FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
     "table_properties": f"""SELECT CAST(2147483648 AS BIGINT) AS target_bytes, CAST(0 AS BIGINT) AS files_above,
   CAST(count(*) AS BIGINT) AS rows FROM ({BRONZE_SQL}) b""",
     "bronze_run_record": _month_counts(BRONZE_SQL),
@@ -359,6 +368,12 @@ FROM ({SILVER_SQL}) s GROUP BY trip_month""",
 UNION ALL SELECT 'silver.yellow_taxi_trips', 'month_count', '{BENCH_MONTH}', CAST(1 AS BIGINT), CAST(1 AS BIGINT), true
 UNION ALL SELECT 'silver.yellow_taxi_trips', 'daily_fare', '{BENCH_MONTH}', CAST(1 AS BIGINT),
   (SELECT CAST(count(DISTINCT pickup_date) AS BIGINT) FROM ({SILVER_SQL}) s WHERE trip_month = '{BENCH_MONTH}'), true""",
+    "scan_audit_rows": f"""SELECT 'bronze.yellow_taxi_trips' AS "table", 'month_count' AS query,
+  (SELECT CAST(count(*) AS BIGINT) FROM ({BRONZE_SQL}) b WHERE trip_month = '{BENCH_MONTH}') AS scanned_rows,
+  CAST(1 AS BIGINT) AS result_rows, true AS timed
+UNION ALL SELECT 'silver.yellow_taxi_trips', 'month_count', count(*), 1, true FROM ({SILVER_SQL}) s WHERE trip_month = '{BENCH_MONTH}'
+UNION ALL SELECT 'silver.yellow_taxi_trips', 'daily_fare', count(*), count(DISTINCT pickup_date), true
+FROM ({SILVER_SQL}) s WHERE trip_month = '{BENCH_MONTH}'""",
     "layout_review": f"""SELECT 'bronze.yellow_taxi_trips' AS "table", 'month_count' AS query, CAST(1 AS BIGINT) AS result_rows,
   count(*) > 1 AS several_before, CAST(1 AS BIGINT) AS files_after FROM ({BRONZE_SQL}) b WHERE trip_month = '{BENCH_MONTH}'""",
     "partition_file_counts": f"""SELECT 'bronze.yellow_taxi_trips' AS "table", trip_month AS partition_value,

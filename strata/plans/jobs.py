@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,18 +22,22 @@ from strata.operators import gold, quality
 from strata.operators import silver as silver_mod
 from strata.operators.marts import month_filter
 from strata.operators.rules import TripLimits, all_pass, silver_rules
+from strata.plans import versions
 from strata.plans.tables import (
     WRITE_TARGET_FILE_SIZE_BYTES,
     WRITE_TARGET_PROPERTY,
     Lake,
     Table,
     create_table,
+    discard,
     drop_months,
     ensure_write_target,
     evolve,
     latest_version,
     overwrite_table,
+    publish,
     replace_months,
+    stage_months,
 )
 from strata.sources import months as months_mod
 from strata.sources import storage
@@ -164,6 +170,16 @@ def silver_month_checks(projected: DataFrame, kept: Column, contract: contract_m
     )
 
 
+def _contract_failures(
+    projected: DataFrame, kept: Column, contract: contract_mod.Contract
+) -> list[tuple[str, str, int]]:
+    """Which checks failed and how often, after a write that failed its audit."""
+    checks = contract_mod.data_checks(projected, contract)
+    per_month = silver_month_checks(projected, kept, contract).collect()  # one row per month
+    totals = [sum(int(r[f"c{i}"]) for r in per_month) for i in range(len(checks))]
+    return [(col, kind, n) for (col, kind, _), n in zip(checks, totals, strict=True) if n]
+
+
 def build_silver(
     lake: Lake,
     months: Sequence[str] | None = None,
@@ -198,30 +214,29 @@ def build_silver(
     structural = [f for f in contract_mod.structure_failures(projected, contract) if f[2]]
     if structural:
         raise contract_mod.ContractError(contract.name, structural)
-    checks = contract_mod.data_checks(projected, contract)
-    per_month = silver_month_checks(projected, kept, contract).collect()  # ≤ one row per month
-    failures = []
-    for i, (col, kind, _) in enumerate(checks):
-        n = sum(int(r[f"c{i}"]) for r in per_month)
-        if n:
-            failures.append((col, kind, n))
-    if failures:
-        raise contract_mod.ContractError(contract.name, failures)
-
-    stats = {r.trip_month: (int(r.input_rows), int(r.output_rows)) for r in per_month}
+    # Write, audit, publish: the rows kept are written aside in one scan of
+    # bronze, the same job counts those that break the contract, and nothing
+    # is published if there are any. Rows per month come from file footers.
+    bad = reduce(or_, (F.coalesce(c, F.lit(False)) for _, _, c in contract_mod.data_checks(projected, contract)))
+    lake.ensure_namespace("silver")
+    create_table(silver_t, silver_table_schema(limits))
+    evolve(silver_t, EVOLVED_COLUMNS)
+    spark.catalog.refreshTable(silver_t.qualified)
+    rows = projected.filter(kept).withColumn("_bad", bad)
+    staged = stage_months(
+        contract_mod.coerce(rows, contract, keep=("_bad",)), silver_t, target_bytes=target_bytes, audit={"bad": F.col("_bad")}
+    )
+    if staged.counts["bad"]:
+        discard(silver_t, staged)
+        raise contract_mod.ContractError(contract.name, _contract_failures(projected, kept, contract))
+    landed = {r.trip_month: int(r.rows) for r in rows_by_month(scoped).collect()}  # one row per month
+    written = publish(silver_t, staged)
+    out_rows = {r.trip_month: int(r.rows) for r in rows_by_month(silver_t.read(), written).collect()} if written else {}
+    stats = {m: (n, out_rows.get(m, 0)) for m, n in landed.items()}
     empty = sorted(set(months or []) - set(stats))
     all_rejected = sorted(m for m, (i, o) in stats.items() if m is not None and i > 0 and o == 0)
     to_clear = empty + (all_rejected if on_all_rejected == "clear" else [])
-    to_write = sorted(m for m, (_, o) in stats.items() if o > 0)
-
-    if to_write:
-        lake.ensure_namespace("silver")
-        create_table(silver_t, silver_table_schema(limits))
-        evolve(silver_t, EVOLVED_COLUMNS)
-        spark.catalog.refreshTable(silver_t.qualified)
-        rows = contract_mod.coerce(projected.filter(kept), contract)
-        replace_months(rows, silver_t, months=None, target_bytes=target_bytes)
-    if to_clear and silver_t.exists():
+    if to_clear:
         drop_months(silver_t, to_clear)
 
     where = (silver_t.qualified, silver_t.location)
@@ -392,16 +407,21 @@ def attach(lake: Lake, *, limits: TripLimits = TripLimits()) -> list[str]:
             location = latest_version(t)
             if location is None:
                 continue
-        children = storage.list_children(spark, location)
-        if not any(c.endswith(".parquet") or c.startswith("trip_month=") for c in children):
+        months = versions.month_versions(spark, location)
+        files = [c for c in storage.list_children(spark, location) if c.endswith(".parquet")]
+        if not months and not files:
             continue
-        partitioned = any(c.startswith("trip_month=") for c in children)
         if (layer, name) == ("silver", TRIPS):
             schema = contract_mod.silver_contract(limits).schema()
-        else:
-            schema = spark.read.option("mergeSchema", "true").parquet(location).schema
+        else:  # without its partition column when the month folders are read themselves
+            places = [paths[-1] for paths in months.values()] or [location]
+            schema = spark.read.option("mergeSchema", "true").parquet(*places).schema
+            if months and "trip_month" not in schema.names:
+                schema = schema.add("trip_month", T.StringType())
         lake.ensure_namespace(layer)
-        create_table(t, schema, partition_cols=("trip_month",) if partitioned else (), location=location)
+        create_table(t, schema, partition_cols=("trip_month",) if months else (), location=location)
+        if months:
+            versions.catch_up(spark, t.qualified, location)
         if layer in ("bronze", "silver"):
             ensure_write_target(t)
         attached.append(t.qualified)

@@ -16,12 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.operators import marts
-from strata.plans.tables import (
-    PARTITION_COLUMN,
-    Table,
-    _write,
-    ensure_write_target,
-)
+from strata.plans import tables, versions
+from strata.plans.tables import PARTITION_COLUMN, Table, ensure_write_target
 
 STATS_COLUMNS = [
     "table",
@@ -72,52 +68,78 @@ def partition_file_stats(table: Table, *, table_name: str | None = None) -> Data
     )
 
 
-def collect_layout(tables: dict[str, Table]) -> DataFrame:
+def collect_layout(layers: dict[str, Table]) -> DataFrame:
     """Layout of several tables in one frame (``unionByName``)."""
-    frames = [partition_file_stats(t, table_name=label) for label, t in tables.items()]
+    frames = [partition_file_stats(t, table_name=label) for label, t in layers.items()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
-def files_wanted(total_bytes: int, max_bytes_per_file: int | None = None) -> int:
-    """Files a month should have: one, or as many as the size bound needs."""
-    return 1 if max_bytes_per_file is None else max(1, -(-total_bytes // max_bytes_per_file))
-
-
-def needs_compaction(file_count: int, total_bytes: int, max_bytes_per_file: int | None = None) -> bool:
-    """More than one file; with a size bound, more files than the bound needs."""
-    return file_count > files_wanted(total_bytes, max_bytes_per_file)
-
-
-def _rewrite(table: Table, wanted: dict[str, tuple[int, int]]) -> None:
-    """Rewrite months into at most the wanted number of files.
-
-    ``wanted``: month → (rows, files). Rows keep their order by file and place
-    in it; equal stretches of that order become the new files. A stretch goes
-    to one task, and the record cap keeps two that meet in a task apart.
+def pack(sizes: Sequence[int], target_bytes: int) -> list[int]:
+    """First-fit-decreasing: the bin of each size, so that no bin of several
+    exceeds the target. Bins are numbered in order of opening."""
+    bins: list[int] = []
+    placed = [0] * len(sizes)
+    for at in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
+        for number, held in enumerate(bins):
+            if held + sizes[at] <= target_bytes:
+                break
+        else:
+            number = len(bins)
+            bins.append(0)
+        bins[number] += sizes[at]
+        placed[at] = number
+    return placed
+
+
+def plan_compaction(table: Table, target_bytes: int) -> dict[str, list[list[tuple[str, int]]]]:
+    """Month → bins of two or more files ``(path, bytes)`` to be made one.
+
+    Files of the target or more never move, nor do rows without a month.
+    Metadata only: one row per small file that has another beside it.
+    """
+    inventory = file_inventory(table).filter((F.col("file_size") < target_bytes) & F.col("partition_value").isNotNull())
+    several = F.count(F.lit(1)).over(Window.partitionBy("partition_value")) > 1
+    small: dict[str, list[tuple[str, int]]] = {}
+    for r in inventory.withColumn("_several", several).filter("_several").toLocalIterator():
+        small.setdefault(r.partition_value, []).append((r.file_path, int(r.file_size)))
+    plan = {}
+    for month, files in small.items():
+        files.sort()  # by path, so that equal inventories make equal plans
+        bins: dict[int, list[tuple[str, int]]] = {}
+        for file, number in zip(files, pack([size for _, size in files], target_bytes), strict=True):
+            bins.setdefault(number, []).append(file)
+        if chosen := [b for b in bins.values() if len(b) > 1]:
+            plan[month] = chosen
+    return plan
+
+
+def _rewrite(table: Table, plan: dict[str, list[list[tuple[str, int]]]], target_bytes: int) -> None:
+    """Write every bin as one file, by one task, and put it in its files' place.
+
+    A month all of whose files were in bins is published as a new folder. In a
+    month that keeps files where they are, the new files are moved in beside
+    them (see ``versions.swap_files``).
     """
     spark = table.spark
-    rows = table.read().filter(F.col(PARTITION_COLUMN).isin(*wanted))
-    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    before = Window.partitionBy(PARTITION_COLUMN).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy(PARTITION_COLUMN, "_file")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(PARTITION_COLUMN, "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    )
-    stretch = {m: -(-n // files) for m, (n, files) in wanted.items()}
-    lengths = spark.createDataFrame(list(stretch.items()), f"{PARTITION_COLUMN} string, _length bigint")
-    placed = (
-        rows.join(starts, [PARTITION_COLUMN, "_file"])
-        .join(F.broadcast(lengths), PARTITION_COLUMN)  # one row per month
-        .withColumn("_stretch", F.expr("(_start + _row) div _length"))
-        .repartition(sum(files for _, files in wanted.values()), PARTITION_COLUMN, "_stretch")
-        .select(*table.read().columns)
-    )
-    _write(placed, table, max_records_per_file=max(stretch.values()), rebalance=False)
-    spark.catalog.refreshTable(table.qualified)
+    bins = [(path, number) for number, bin_ in enumerate(b for m in sorted(plan) for b in plan[m]) for path, _ in bin_]
+    numbers = spark.createDataFrame(bins, "_path string, _file int")
+    # literal conditions on months and file sizes: other files are not opened
+    rows = table.read().filter(F.col(PARTITION_COLUMN).isin(*plan) & (F.col("_metadata.file_size") < target_bytes))
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_path")).join(numbers, "_path")
+    version = versions.fresh_version(table.location)
+    dealt = tables.deal(rows.select(*table.read().columns, "_file"), bins[-1][1] + 1)
+    tables._write_version(dealt, version, advisory_bytes=tables.DEFAULT_ADVISORY_BYTES, max_records_per_file=None, rebalance=False)
+
+    moved = {m: sum(len(b) for b in plan[m]) for m in plan}
+    counts = file_inventory(table).filter(F.col("partition_value").isin(*plan)).groupBy("partition_value").count().collect()
+    partly = {r.partition_value for r in counts if r["count"] > moved[r.partition_value]}
+    for month in sorted(partly):
+        replaced = [path for bin_ in plan[month] for path, _ in bin_]
+        versions.swap_files(spark, table.location, f"{version}/{PARTITION_COLUMN}={month}", replaced)
+    versions.publish(spark, table.qualified, table.location, version)
 
 
 def compact_partitions(
@@ -126,40 +148,36 @@ def compact_partitions(
     table_name: str | None = None,
     max_bytes_per_file: int | None = None,
 ) -> DataFrame:
-    """Rewrite months that have too many files; rows are unchanged.
-
-    By default a month should be one file; ``max_bytes_per_file`` allows as
-    many as its bytes need. Months to rewrite are decided from the per-month
-    stats (one row per month), all of them are rewritten by one job, and the
-    new sizes are looked at again, so that a later call finds nothing to do.
-    Returns ``(table, partition_value, files_before, files_after, rows,
-    rewritten)`` for every partition.
+    """Make few files of many small ones; rows are unchanged.
+
+    The files of a month are packed into bins of at most ``max_bytes_per_file``
+    (default: the table's recorded write target); every bin of several files
+    becomes one, by one task, and files that are alone in a bin stay where they
+    are. All months go by one job, and the new sizes are packed again until
+    nothing fits together, so that a later call finds nothing to do. Returns ``(table,
+    partition_value, files_before, files_after, rows, rewritten)`` for every
+    partition.
     """
     spark: SparkSession = table.spark
     label = table_name or table.qualified
     ensure_write_target(table)
+    target = max_bytes_per_file or tables.write_target(table)
+    versions.finish_swaps(spark, table.location)
+    spark.catalog.refreshTable(table.qualified)
 
     def stats() -> dict:
         return {r.partition_value: r for r in partition_file_stats(table, table_name=label).collect()}
 
-    before = after = stats()
+    before = stats()
     rewritten: set[str] = set()
-    pending = set(before)
-    while pending:
-        todo = {
-            m: (int(after[m].record_count), files_wanted(after[m].total_bytes, max_bytes_per_file))
-            for m in pending
-            if needs_compaction(after[m].file_count, after[m].total_bytes, max_bytes_per_file)
-        }
-        if not todo:
-            break
-        _rewrite(table, todo)
-        rewritten |= set(todo)
-        previous, after = after, stats()
-        pending = {m for m in todo if m in after and after[m].file_count < previous[m].file_count}
+    while plan := plan_compaction(table, target):
+        _rewrite(table, plan, target)  # each round leaves fewer files
+        spark.catalog.refreshTable(table.qualified)
+        rewritten |= set(plan)
+    after = stats() if rewritten else before
     rows = [
         (label, m, int(before[m].file_count), int(after[m].file_count), int(after[m].record_count), m in rewritten)
-        for m in sorted(after)
+        for m in sorted(after, key=lambda m: m or "")
         if m in before
     ]
     return spark.createDataFrame(
@@ -198,11 +216,45 @@ def timed(action: Callable[[], object]) -> float:
     return time.perf_counter() - started
 
 
+NODES = "array<struct<depth:int,node:string,rows:bigint,millis:double>>"
+
+
+def plan_nodes(df: DataFrame) -> list[tuple[int, str, int | None, float | None]]:
+    """``(depth, node, rows, millis)`` of every node of the plan that ran for
+    ``df`` (call after an action on ``df`` itself; a node that counts no rows or
+    takes no time has ``None``). Adaptive plans are followed into their stages."""
+    out = []
+
+    def visit(node, depth: int) -> None:
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return visit(node.executedPlan(), depth)
+        if kind.endswith("QueryStageExec"):
+            return visit(node.plan(), depth)
+        rows, millis = None, None
+        metrics = node.metrics().iterator()
+        while metrics.hasNext():
+            entry = metrics.next()
+            name, metric = entry._1(), entry._2()
+            if name == "numOutputRows":
+                rows = int(metric.value())
+            elif metric.metricType() in ("timing", "nsTiming"):
+                millis = (millis or 0.0) + metric.value() / (1 if metric.metricType() == "timing" else 1e6)
+        out.append((depth, str(node.nodeName()).strip(), rows, millis))
+        children = node.children()
+        for k in range(children.size()):
+            visit(children.apply(k), depth + 1)
+
+    visit(df._jdf.queryExecution().executedPlan(), 0)
+    return out
+
+
 def scan_audit(tables: dict[str, Table], month: str, *, queries: Sequence[str] | None = None) -> DataFrame:
     """Per table and benchmark query: files read under the month filter, rows,
-    wall seconds (full execution into the no-op sink) and whether the plan
-    shows a partition filter. Bronze lacks ``pickup_date``, so only the
-    count runs there."""
+    wall seconds of the one run, whether the plan shows a partition filter, the
+    plan's text, and rows and time of every node as that run counted them. The
+    results are a month's days at most. Bronze lacks ``pickup_date``, so only
+    the count runs there."""
     rows = []
     spark = None
     for label, t in tables.items():
@@ -213,14 +265,14 @@ def scan_audit(tables: dict[str, Table], month: str, *, queries: Sequence[str] |
         for name, q in benchmark_queries(df, month).items():
             if queries and name not in queries:
                 continue
-            secs = timed(lambda q=q: q.write.format("noop").mode("overwrite").save())
+            found = []
+            secs = timed(lambda q=q, found=found: found.extend(q.collect()))
             plan = explain_text(q)
-            nrows = q.count()
-            rows.append((label, name, month, nfiles, nrows, float(secs), "PartitionFilters" in plan, plan))
+            rows.append((label, name, month, nfiles, len(found), float(secs), "PartitionFilters" in plan, plan, plan_nodes(q)))
     return spark.createDataFrame(
         rows,
         "table string, query string, trip_month string, files_read bigint, result_rows bigint, "
-        "seconds double, partition_pruned boolean, plan string",
+        f"seconds double, partition_pruned boolean, plan string, nodes {NODES}",
     )
 
 

@@ -4,39 +4,34 @@ Each table is an external Parquet table ``<prefix><layer>.<name>`` stored at
 ``<root>/<layer>/<name>`` and partitioned by ``trip_month``. The month is
 the replace unit:
 
-* replace  — one dynamic-partition-overwrite job: months present in the new
-  data are swapped when the job commits, all other months are untouched. A
-  job that fails before its commit leaves the old months in place, and a
-  re-run lands the same rows. The commit itself moves one folder per month,
-  and clearing is a step of its own: a driver lost between two moves leaves
-  the remaining months old or missing until the job is run again.
+* replace  — months are written into a fresh folder and published month by
+  month by a change of place (``versions.py``): readers see a month whole,
+  old or new, and a job that fails before publishing leaves no trace. Months
+  that are not in the new data are untouched; a re-run lands the same rows.
 * clear    — months that must become empty (no input rows) are dropped from
-  the catalog and their folder deleted; an overwrite with zero rows would
-  not clear them.
+  the catalog and their folders deleted.
 * evolve   — ``ALTER TABLE ADD COLUMNS``; old files read NULL.
 * write    — ``REBALANCE(trip_month)`` lets AQE split a hot month over
   several tasks and pack small months together, instead of funnelling one
-  month into one task. A byte budget becomes a cap on the records of a file.
+  month into one task. A byte budget is kept by prefix sums of row bytes.
 """
 
 from __future__ import annotations
 
 import re
-import time
-import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.session import session_conf
+from strata.plans import versions
+from strata.plans.versions import PARTITION_COLUMN, VERSION_PREFIX, fresh_version
 from strata.sources import storage
-from strata.sources.months import month_number
 
-PARTITION_COLUMN = "trip_month"
 # Fixed value: write-size target property and its value (2 GiB).
 WRITE_TARGET_PROPERTY = "write.target-file-size-bytes"
 WRITE_TARGET_FILE_SIZE_BYTES = 2 * 1024 * 1024 * 1024
@@ -95,8 +90,6 @@ class Table:
     def read(self) -> DataFrame:
         return self.spark.table(self.qualified)
 
-    def partition_path(self, month: str) -> str:
-        return f"{self.location}/{PARTITION_COLUMN}={month}"
 
 
 def _ddl(schema: T.StructType) -> str:
@@ -177,15 +170,7 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def drop_months(table: Table, months: Iterable[str]) -> list[str]:
     """Clear months: drop the catalog partitions (one statement) and delete their folders."""
-    cleared = sorted(set(months))
-    for m in cleared:
-        month_number(m)  # raises unless YYYY-MM: it goes into a statement and a path
-    if cleared:
-        specs = ", ".join(f"PARTITION ({PARTITION_COLUMN}='{m}')" for m in cleared)
-        table.spark.sql(f"ALTER TABLE {table.qualified} DROP IF EXISTS {specs}")
-    for m in cleared:
-        storage.delete(table.spark, table.partition_path(m))
-    return cleared
+    return versions.drop(table.spark, table.qualified, table.location, months)
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -197,37 +182,131 @@ def row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, widths, F.lit(0)).cast("bigint")
 
 
-def records_in_budget(df: DataFrame, target_bytes: int, *, batch_rows: int = 1) -> int:
-    """Records that fit ``target_bytes`` uncompressed, by the mean row of ``df``;
-    at least ``batch_rows``, the smallest amount that is written at once."""
-    if target_bytes < 1:
-        raise ValueError("target_bytes must be positive")
-    row = df.agg(F.sum(row_bytes(df)).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
-    mean = (row.bytes or 0) / row.rows if row.rows else 1.0
-    return max(1, batch_rows, int(target_bytes // max(mean, 1.0)))
+@dataclass(frozen=True)
+class Staged:
+    """Months written aside: the version folder, rows, and the audit's counts."""
 
+    path: str
+    rows: int
+    counts: dict[str, int]
 
-def _write(
-    df: DataFrame, table: Table, *, advisory_bytes: int | None = None, max_records_per_file: int | None = None,
-    rebalance: bool = True,
-) -> None:
-    if max_records_per_file is not None and max_records_per_file < 1:
-        raise ValueError("max_records_per_file must be positive")
+
+def _write_version(df: DataFrame, path: str, *, advisory_bytes: int, max_records_per_file: int | None, rebalance: bool) -> None:
     conf = {
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_bytes or DEFAULT_ADVISORY_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_bytes),
         # After REBALANCE(trip_month) a task holds one or a few months: a few
         # concurrent writers skip the per-task sort by month (beyond 4 open
         # files Spark falls back to sorting, which bounds writer memory).
         "spark.sql.maxConcurrentOutputFileWriters": "4",
     }
-    if max_records_per_file:
-        conf["spark.sql.files.maxRecordsPerFile"] = str(max_records_per_file)
-    # The writing session is the frame's own (a streaming micro-batch runs in
-    # a cloned session), so the overwrite mode is applied there.
+    # The writing session is the frame's own: a micro-batch runs in a clone.
     with session_conf(df.sparkSession, conf):
         out = df.hint("rebalance", PARTITION_COLUMN) if rebalance else df
-        out.write.insertInto(table.qualified, overwrite=True)
+        writer = out.write.partitionBy(PARTITION_COLUMN)
+        if max_records_per_file:
+            writer = writer.option("maxRecordsPerFile", max_records_per_file)
+        writer.parquet(path)
+
+
+def numbered_files(df: DataFrame, target_bytes: int, *, batch_rows: int = 1) -> tuple[DataFrame, int]:
+    """``df`` with ``_file``, the number of the file each row goes to, and the
+    number of files. ``df`` must be read from files and have ``trip_month``.
+
+    Prefix sums of row bytes over each month, in order of file and place in it:
+    a window within a file, which one task wrote, and one over a month's files
+    for the offsets. A file takes the batches of ``batch_rows`` rows that start
+    within one stretch of ``target_bytes``, so it holds less than the target
+    plus one batch. Numbers are dense over all months.
+    """
+    rows = df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
+    rows = rows.withColumn("_bytes", row_bytes(df))
+    earlier = Window.partitionBy(PARTITION_COLUMN).orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        rows.groupBy(PARTITION_COLUMN, "_path")
+        .agg(F.sum("_bytes").alias("_total"))
+        .select("_path", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
+    )
+    inside = Window.partitionBy("_path").orderBy("_row")
+    before = F.coalesce(F.sum("_bytes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begins = F.when(F.col("_row") % batch_rows == 0, F.col("_before"))
+    placed = (
+        rows.withColumn("_before", before)
+        .withColumn("_before", F.max(begins).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        .join(offsets, "_path")
+        .withColumn("_stretch", F.floor((F.col("_before") + F.col("_offset")) / target_bytes))
+    )
+    # one row per file that will be written
+    stretches = placed.select(PARTITION_COLUMN, "_stretch").distinct()
+    in_month = Window.partitionBy(PARTITION_COLUMN).orderBy("_stretch")
+    numbers = stretches.withColumn("_in_month", F.row_number().over(in_month))
+    counts = numbers.groupBy(PARTITION_COLUMN).agg(F.max("_in_month").alias("n")).collect()  # one row per month
+    base, total = [], 0
+    for r in sorted(counts, key=lambda r: r[PARTITION_COLUMN] or ""):
+        base.append((r[PARTITION_COLUMN], total))
+        total += int(r.n)
+    bases = df.sparkSession.createDataFrame(base, "_m string, _base long")
+    numbers = numbers.join(F.broadcast(bases), F.col(PARTITION_COLUMN).eqNullSafe(F.col("_m"))).select(
+        F.col(PARTITION_COLUMN).alias("_month"), F.col("_stretch").alias("_s"), (F.col("_base") + F.col("_in_month") - 1).cast("int").alias("_file")
+    )
+    same = F.col(PARTITION_COLUMN).eqNullSafe(F.col("_month")) & (F.col("_stretch") == F.col("_s"))
+    return placed.join(numbers, same).select(*df.columns, "_file"), total
+
+
+def deal(df: DataFrame, files: int) -> DataFrame:
+    """One task, and so one file, for each number in ``_file``."""
+    return df.repartitionById(max(1, files), F.col("_file")).drop("_file")
+
+
+def stage_months(
+    df: DataFrame,
+    table: Table,
+    *,
+    target_bytes: int | None = None,
+    batch_rows: int = 1,
+    max_records_per_file: int | None = None,
+    audit: dict[str, Column] | None = None,
+) -> Staged:
+    """Write ``df`` into a fresh version folder of ``table``, unpublished.
+
+    ``audit``: conditions counted over the written rows by the write itself.
+    ``target_bytes`` bounds the uncompressed bytes of a file (plus one batch of
+    ``batch_rows`` rows): the staged rows are then dealt to files once more.
+    """
+    if target_bytes is not None and target_bytes < 1:
+        raise ValueError("target_bytes must be positive")
+    if max_records_per_file is not None and max_records_per_file < 1:
+        raise ValueError("max_records_per_file must be positive")
+    spark = table.spark
+    seen = Observation(f"staged-{table.name}")
+    audited = df.observe(
+        seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(name) for name, c in (audit or {}).items()]
+    )
+    counted = align(audited, table.read().schema)
+    advisory = max(1 << 20, min(target_bytes or DEFAULT_ADVISORY_BYTES, DEFAULT_ADVISORY_BYTES))
+    path = fresh_version(table.location)
+    _write_version(counted, path, advisory_bytes=advisory, max_records_per_file=max_records_per_file, rebalance=True)
+    if not versions.month_folders(spark, path):  # no rows; a plan without any may drop the observation
+        return Staged(path, 0, dict.fromkeys(audit or {}, 0))
+    counts = {k: int(v or 0) for k, v in seen.get.items()}
+    if target_bytes is not None:
+        staged, path = path, fresh_version(table.location)
+        rows = spark.read.schema(table.read().schema).option("basePath", staged).parquet(staged)
+        cut, files = numbered_files(rows, target_bytes, batch_rows=batch_rows)
+        _write_version(deal(cut, files), path, advisory_bytes=advisory, max_records_per_file=max_records_per_file, rebalance=False)
+        storage.delete(spark, staged)
+    return Staged(path, counts.pop("rows"), counts)
+
+
+def publish(table: Table, staged: Staged, *, sessions: Sequence[SparkSession] = ()) -> list[str]:
+    """Make the staged months the table's; returns them."""
+    written = versions.publish(table.spark, table.qualified, table.location, staged.path)
+    for session in sessions:  # a micro-batch runs in a clone
+        session.catalog.refreshTable(table.qualified)
+    return written
+
+
+def discard(table: Table, staged: Staged) -> None:
+    storage.delete(table.spark, staged.path)
 
 
 def replace_months(
@@ -241,33 +320,15 @@ def replace_months(
 ) -> dict[str, object]:
     """Swap the months present in ``df``; clear requested months left empty.
 
-    The set of months written is observed during the write itself; it is
-    bounded by the number of months. ``target_bytes`` bounds the uncompressed
-    bytes of a file: one aggregate over ``df`` turns it into a record cap.
-    Rows without a month are written to the partition without one.
+    ``target_bytes`` bounds the uncompressed bytes of a file. Rows without a
+    month are written to the partition without one.
     """
-    if target_bytes is not None:
-        budget = records_in_budget(df, target_bytes, batch_rows=batch_rows)
-        max_records_per_file = min(budget, max_records_per_file or budget)
-    obs = Observation("months_written")
-    aligned = align(df, table.read().schema).observe(
-        obs,
-        F.count(F.lit(1)).alias("rows"),
-        F.collect_set(PARTITION_COLUMN).alias("months"),
-    )
-    advisory = max(1 << 20, min(target_bytes or DEFAULT_ADVISORY_BYTES, DEFAULT_ADVISORY_BYTES))
-    _write(aligned, table, advisory_bytes=advisory, max_records_per_file=max_records_per_file)
-    for session in (table.spark, df.sparkSession):  # a micro-batch runs in a clone
-        session.catalog.refreshTable(table.qualified)
-    metrics = obs.get
-    written = sorted(m for m in metrics.get("months") or [] if m is not None)
+    staged = stage_months(df, table, target_bytes=target_bytes, batch_rows=batch_rows, max_records_per_file=max_records_per_file)
+    written = publish(table, staged, sessions=[df.sparkSession])
     emptied = sorted(set(months or []) - set(written))
     if emptied:
         drop_months(table, emptied)
-    return {"rows": int(metrics.get("rows") or 0), "months_written": written, "months_cleared": emptied}
-
-
-VERSION_PREFIX = "v-"
+    return {"rows": staged.rows, "months_written": written, "months_cleared": emptied}
 
 
 def current_location(table: Table) -> str | None:
@@ -311,7 +372,7 @@ def overwrite_table(
     Returns the new location.
     """
     spark = table.spark
-    version = f"{table.location}/{VERSION_PREFIX}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    version = fresh_version(table.location)
     if partition_cols:
         df = df.hint("rebalance", *partition_cols)
     writer = df.write.mode("errorifexists").format("parquet")

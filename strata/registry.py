@@ -442,17 +442,25 @@ def q_contract_raises(spark, sf_dir):
 
 
 def q_write_sized_files(spark, sf_dir):
-    """Bronze under a small byte budget: no file above it, and files enough for each month."""
+    """Bronze rows of very unequal width under a small byte budget: every file,
+    measured here in its own way, holds less than the budget and one row, and
+    no month has more files than its bytes fill."""
     with scratch_lake(spark, "sized") as lake:
-        b = bronze_frame(spark, sf_dir)
-        cap = tables.records_in_budget(b, SMALL_TARGET_BYTES)
-        jobs.land_bronze(lake, b, target_bytes=SMALL_TARGET_BYTES)
-        files = layout.file_inventory(_bronze_table(lake)).groupBy(F.col("partition_value").alias("trip_month"))
+        wide = F.repeat(F.lit("w"), F.pmod(F.xxhash64("total_amount", "tpep_pickup_datetime"), F.lit(13)).cast("int") * 40)
+        jobs.land_bronze(
+            lake, bronze_frame(spark, sf_dir).withColumn("store_and_fwd_flag", wide), target_bytes=SMALL_TARGET_BYTES
+        )
+        texts = ("store_and_fwd_flag", "trip_month", "_loaded_at", "_source_file")
+        fixed = 8 * (len(trips.RAW_COLUMNS) + 3 - len(texts))
+        width = sum((F.octet_length(c) for c in texts), F.lit(fixed))
+        files = _bronze_table(lake).read().groupBy("trip_month", "_metadata.file_path").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"), F.max(width).alias("widest")
+        )
         return kept(
-            files.agg(
-                F.sum("record_count").cast("bigint").alias("rows"),
-                (F.max("record_count") <= cap).alias("within_budget"),
-                (F.count(F.lit(1)) >= F.ceil(F.sum("record_count") / cap)).alias("enough_files"),
+            files.groupBy("trip_month").agg(
+                F.sum("n").cast("bigint").alias("rows"),
+                F.bool_and(F.col("bytes") < SMALL_TARGET_BYTES + F.col("widest")).alias("within_budget"),
+                (F.count(F.lit(1)) <= F.ceil(F.sum("bytes") / SMALL_TARGET_BYTES)).alias("no_more_than_needed"),
             )
         )
 
@@ -502,6 +510,51 @@ def q_compact_settles(spark, sf_dir):
         )
 
 
+def q_compact_bins(spark, sf_dir):
+    """Small files packed up to a size: a file of that size or more keeps its
+    path, nothing that is left fits together, and no new file is above it."""
+    with scratch_lake(spark, "bins") as lake:
+        t = _bronze_table(lake)
+        lake.ensure_namespace("bronze")
+        b = bronze_frame(spark, sf_dir)
+        tables.create_table(t, b.schema)
+        tables.replace_months(b, t, max_records_per_file=COMPACT_MAX_RECORDS)
+        sizes = [r.file_size for r in layout.file_inventory(t).select("file_size").collect()]
+        target = max(sizes)  # the largest file is not to be touched
+        before = kept(layout.file_inventory(t).select("file_path", F.col("file_size").alias("size_before")))
+        layout.compact_partitions(t, max_bytes_per_file=target)
+        after = layout.file_inventory(t).join(before, "file_path", "left")
+        in_order = F.sort_array(F.collect_list("file_size"))
+        large_before = before.filter(F.col("size_before") >= target).count()
+        large_kept = after.filter(F.col("size_before") >= target).count()
+        return kept(
+            after.groupBy(F.col("partition_value").alias("trip_month")).agg(
+                F.sum("record_count").cast("bigint").alias("rows"),
+                F.coalesce(F.get(in_order, F.lit(0)) + F.get(in_order, F.lit(1)) > target, F.lit(True)).alias("nothing_fits"),
+                (F.max("file_size") <= target).alias("none_above"),
+                F.lit(large_before == large_kept > 0).alias("large_stay"),
+            )
+        )
+
+
+def q_month_swap(spark, sf_dir):
+    """A run that ends after two of its months were pointed at their new rows
+    (every landed month twice over): each month is whole, old or new; the
+    run after it finishes the rest."""
+    from strata.plans import versions
+
+    with scratch_lake(spark, "swap") as lake:
+        b, t = bronze_frame(spark, sf_dir), _bronze_table(lake)
+        jobs.land_bronze(lake, b)
+        staged = tables.stage_months(b.unionByName(b), t)
+        storage.write_bytes(spark, f"{staged.path}/{versions.PUBLISHED}", b"")
+        places = versions.month_folders(spark, staged.path)
+        versions.point_at(spark, t.qualified, {m: places[m] for m in sorted(places)[:2]})
+        cut = kept(_month_rows(t.read()).withColumnRenamed("rows", "rows_when_cut"))
+        jobs.land_bronze(lake, b.filter(F.col("trip_month") == BENCH_MONTH))
+        return kept(_month_rows(t.read()).join(cut, "trip_month"))
+
+
 def q_compact_tables(spark, sf_dir):
     """Both layers compacted in one call."""
     with scratch_lake(spark, "both") as lake:
@@ -541,6 +594,30 @@ def q_partition_file_stats(spark, sf_dir):
     )
 
 
+def q_file_stats_median(spark, sf_dir):
+    """Months of one to several files: the report's median against the middle of
+    the sorted sizes, of an even number the truncated mean of the middle two."""
+    with scratch_lake(spark, "median") as lake:
+        t = _bronze_table(lake)
+        lake.ensure_namespace("bronze")
+        b = bronze_frame(spark, sf_dir)
+        tables.create_table(t, b.schema)
+        tables.replace_months(b, t, max_records_per_file=COMPACT_MAX_RECORDS)
+        in_order = F.sort_array(F.collect_list("file_size"))
+        sizes = layout.file_inventory(t).groupBy("partition_value").agg(in_order.alias("s"))
+        n = F.size("s")
+        low, high = F.get("s", F.floor((n - 1) / 2).cast("int")), F.get("s", F.floor(n / 2).cast("int"))
+        report = layout.partition_file_stats(t).join(sizes, "partition_value")
+        return kept(
+            report.select(
+                "partition_value",
+                "file_count",
+                "record_count",
+                (F.col("median_bytes") == F.floor((low + high) / 2)).alias("median_agrees"),
+            )
+        )
+
+
 def q_partition_file_counts(spark, sf_dir):
     """Per-partition file and record counts of bronze and silver (the byte
     columns of the layout report left out, so the counts can be checked)."""
@@ -554,6 +631,21 @@ def q_scan_audit(spark, sf_dir):
     return audit.select("table", "query", "trip_month", "files_read", "result_rows", "partition_pruned")
 
 
+def q_scan_audit_rows(spark, sf_dir):
+    """Rows that the scans and the whole plans of the benchmark pair gave, as
+    the executed plans counted them."""
+    audit = layout.scan_audit(_both_layers(shared_lake(spark, sf_dir)), BENCH_MONTH)
+    scans = F.filter("nodes", lambda n: n.node.startswith("Scan") & n.rows.isNotNull())
+    timed = F.exists("nodes", lambda n: n.millis.isNotNull())
+    return audit.select(
+        "table",
+        "query",
+        F.aggregate(scans, F.lit(0).cast("bigint"), lambda total, n: total + n.rows).alias("scanned_rows"),
+        "result_rows",
+        timed.alias("timed"),
+    )
+
+
 def q_layout_review(spark, sf_dir):
     """Before and after: files of the month that the benchmark pair reads."""
     with scratch_lake(spark, "review") as lake:

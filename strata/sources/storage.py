@@ -70,3 +70,20 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.write(bytearray(data))
     finally:
         out.close()
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """A small file (journals, markers), read by the driver."""
+    fs, p = _fs_and_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, source = _fs_and_path(spark, old)
+    _, target = _fs_and_path(spark, new)
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {old} to {new}")

@@ -49,11 +49,65 @@ def test_median_even_count_truncates(spark, lake):
     assert stats.min_bytes == inv[0] and stats.max_bytes == inv[1]
 
 
-def test_size_cap_rule():
-    assert layout.needs_compaction(2, 10) is True
-    assert layout.needs_compaction(1, 10) is False
-    assert layout.needs_compaction(3, 300, max_bytes_per_file=100) is False
-    assert layout.needs_compaction(4, 300, max_bytes_per_file=100) is True
+def test_pack_is_first_fit_decreasing():
+    assert layout.pack([50, 60, 40, 30], 100) == [1, 0, 0, 1]
+    assert layout.pack([100, 100, 1], 100) == [0, 1, 2]
+    assert layout.pack([], 100) == []
+    sizes = [(k * 7919) % 97 + 1 for k in range(200)]
+    held: dict[int, int] = {}
+    for size, number in zip(sizes, layout.pack(sizes, 100), strict=True):
+        held[number] = held.get(number, 0) + size
+    assert max(held.values()) <= 100 and len(held) <= 11 / 9 * -(-sum(sizes) // 100) + 1
+    smallest_two = sorted(held.values())[:2]
+    assert sum(smallest_two) > 100  # nothing left that fits together
+
+
+def test_large_files_stay_where_they_are(spark, lake):
+    t = lake.table("bronze", "partly")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    _append(spark, t, "2024-01", list(range(200_000)))
+    for i in range(3):
+        _append(spark, t, "2024-01", [i])
+        _append(spark, t, "2024-02", [i])
+    before = {r.file_path: r.file_size for r in layout.file_inventory(t).collect()}
+    large = max(before, key=before.get)
+    report = layout.compact_partitions(t, max_bytes_per_file=100_000).collect()
+    assert [(r.files_before, r.files_after, r.rewritten) for r in report] == [(4, 2, True), (3, 1, True)]
+    after = {r.file_path for r in layout.file_inventory(t).collect()}
+    assert large in after and len(after - set(before)) == 2
+    assert t.read().filter("trip_month = '2024-01'").count() == 200_003
+    assert not any(r.rewritten for r in layout.compact_partitions(t, max_bytes_per_file=100_000).collect())
+
+
+def test_a_swap_cut_short_is_finished(spark, lake, monkeypatch):
+    import pytest
+
+    from strata.plans import versions
+    from strata.sources import storage
+
+    t = lake.table("bronze", "cut_short")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    _append(spark, t, "2024-01", list(range(200_000)))
+    for i in range(3):
+        _append(spark, t, "2024-01", [i])
+    real, calls = storage.delete, []
+
+    def failing(spark_, path):
+        calls.append(path)
+        if len(calls) == 2:
+            raise OSError("driver lost")
+        return real(spark_, path)
+
+    monkeypatch.setattr(versions.storage, "delete", failing)
+    with pytest.raises(OSError, match="driver lost"):
+        layout.compact_partitions(t, max_bytes_per_file=100_000)
+    monkeypatch.undo()
+    layout.compact_partitions(t, max_bytes_per_file=100_000)
+    assert t.read().count() == 200_003
+    assert layout.partition_file_stats(t).first().file_count == 2
+    assert not [c for c in storage.list_children(spark, t.location) if c.startswith(versions.JOURNAL_PREFIX)]
 
 
 def test_month_filter_prunes_partitions(spark, lake):
@@ -113,6 +167,23 @@ def test_budget_is_kept(spark, lake):
     assert inv == [100] * 10
 
 
+def test_budget_holds_for_rows_of_unequal_width(spark, lake):
+    schema = T.StructType([T.StructField("trip_month", T.StringType()), T.StructField("s", T.StringType())])
+    t = lake.table("bronze", "unequal")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, schema)
+    width = F.when(F.col("id") % 50 == 0, 3000).otherwise(F.col("id") % 7).cast("int")
+    month = F.when(F.col("id") < 900, "2024-01").when(F.col("id") < 1000, "2024-02")
+    df = spark.range(1200).select(month.alias("trip_month"), F.repeat(F.lit("x"), width).alias("s")).repartition(5)
+    want = sorted(((r.trip_month, r.s) for r in df.collect()), key=str)
+    tables.replace_months(df, t, target_bytes=2000)
+    assert sorted(((r.trip_month, r.s) for r in t.read().collect()), key=str) == want
+    size = F.coalesce(F.octet_length("s"), F.lit(0)) + F.coalesce(F.octet_length("trip_month"), F.lit(0))
+    files = t.read().groupBy("trip_month", "_metadata.file_path").agg(F.sum(size).alias("b"), F.max(size).alias("w")).collect()
+    assert all(f.b < 2000 + f.w for f in files)
+    assert len(files) <= sum(size_ for size_ in [sum(len(s) + len(m or "") for m, s in want) // 2000 + 3])
+
+
 def test_compaction_settles_above_the_target(spark, lake):
     t = lake.table("bronze", "settles")
     lake.ensure_namespace("bronze")
@@ -153,3 +224,16 @@ def test_rebuild_swaps_versions_and_survives_a_failed_write(spark, lake):
         tables.overwrite_table(broken, t)
     assert sorted(r.n for r in t.read().collect()) == [10, 20]
     assert tables.latest_version(t).endswith(versions[0])
+
+
+def test_audit_counts_rows_and_time_of_every_node(spark, lake):
+    t = lake.table("bronze", "audited")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    _append(spark, t, "2024-01", list(range(1000)))
+    _append(spark, t, "2024-02", list(range(10)))
+    (row,) = layout.scan_audit({"audited": t}, "2024-01").collect()
+    scans = [n for n in row.nodes if n.node.startswith("Scan")]
+    assert [n.rows for n in scans] == [1000]
+    assert row.result_rows == 1 and any(n.millis is not None for n in row.nodes)
+    assert row.nodes[0].depth == 0 and max(n.depth for n in row.nodes) >= 2

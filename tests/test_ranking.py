@@ -50,3 +50,21 @@ def test_groups_with_null_keys_and_cut_pieces(spark):
     want = ranking.plain_rank(df, ["a"], [F.col(c).asc_nulls_last() for c in ("b", "c")], "r")
     assert _sorted(got.fillna(-1)) == _sorted(want.fillna(-1))
     assert ranking.skew_safe_rank(df.limit(0), ["a"], ["b", "c"]).count() == 0
+
+
+def test_identical_rows_span_pieces(spark, monkeypatch):
+    half = spark.range(20_000).select(F.lit(7).cast("long").alias("a"), F.lit(1).cast("long").alias("b"))
+    rest = spark.range(20_000).select((F.col("id") % 900).alias("a"), F.col("id").alias("b"))
+    df = half.unionByName(rest).repartition(5)
+    saved = {}
+    real = ranking._save
+    monkeypatch.setattr(ranking, "_save", lambda frame, purpose: saved.setdefault(purpose, real(frame, purpose)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ranking.skew_safe_rank(df, ["a"], ["b"], rank_col="r")
+        want = ranking.plain_rank(df, ["a"], [F.col("b").asc_nulls_last()], "r")
+        assert _sorted(got) == _sorted(want)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in saved["rank-pieces"].groupBy("_piece").count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 2 * sum(sizes) / len(sizes)

@@ -175,3 +175,113 @@ def test_months_in_statements_are_checked(spark, lake):
     jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 2))
     with pytest.raises(ValueError):
         jobs.clear_months(lake.table("bronze", jobs.TRIPS), ["2024-01') --"])
+
+
+def _lost_driver(monkeypatch, name, after=0):
+    """The driver ends in the middle of publishing: the call after ``after`` fails."""
+    from strata.plans import versions
+
+    real, calls = getattr(versions, name), []
+
+    def failing(*args, **kwargs):
+        calls.append(args)
+        if len(calls) > after:
+            raise OSError("driver lost")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(versions, name, failing)
+
+
+def test_failure_between_write_and_publish_changes_nothing(spark, lake, monkeypatch):
+    import pytest
+
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 2).unionByName(bronze_frame(spark, "2024-02", 3)))
+    _lost_driver(monkeypatch, "publish")
+    with pytest.raises(OSError, match="driver lost"):
+        jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 7).unionByName(bronze_frame(spark, "2024-02", 8)))
+    monkeypatch.undo()
+    assert _counts(lake) == {"2024-01": 2, "2024-02": 3}
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-02", 9))  # the unpublished months stay unseen
+    assert _counts(lake) == {"2024-01": 2, "2024-02": 9}
+
+
+def test_failure_between_two_months_leaves_whole_months_and_is_caught_up(spark, lake, monkeypatch):
+    import pytest
+
+    from strata.plans import versions
+
+    old = {"2024-01": 2, "2024-02": 3, "2024-03": 4}
+    new = {"2024-01": 5, "2024-02": 6}
+
+    def frame(counts):
+        frames = [bronze_frame(spark, m, n) for m, n in counts.items()]
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
+    jobs.land_bronze(lake, frame(old))
+    _lost_driver(monkeypatch, "_spec", after=1)  # the second month's statement
+    with pytest.raises(OSError, match="driver lost"):
+        jobs.land_bronze(lake, frame(new))
+    monkeypatch.undo()
+    t = lake.table("bronze", jobs.TRIPS)
+    spark.catalog.refreshTable(t.qualified)
+    assert _counts(lake) == {"2024-01": 5, "2024-02": 3, "2024-03": 4}  # each month whole, old or new
+    jobs.land_bronze(lake, frame({"2024-03": 1}))  # the next publish finishes the last
+    assert _counts(lake) == {"2024-01": 5, "2024-02": 6, "2024-03": 1}
+    spark.sql(f"DROP TABLE {t.qualified}")
+    jobs.attach(lake)  # as does a new session
+    assert _counts(lake) == {"2024-01": 5, "2024-02": 6, "2024-03": 1}
+    assert set(versions.month_versions(spark, t.location)) == set(old)
+
+
+def test_replaced_folders_are_kept_once_and_then_deleted(spark, lake):
+    from strata.plans import versions
+    from strata.sources import storage
+
+    t = lake.table("bronze", jobs.TRIPS)
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-02", 1))
+    held = None
+    for n in (1, 2, 3):
+        jobs.land_bronze(lake, bronze_frame(spark, "2024-01", n))
+        if n == 2:
+            held = versions.month_versions(spark, t.location)["2024-01"][-1]
+    assert spark.read.parquet(held).count() == 2  # for a reader that holds the folder before
+    assert [len(v) for _, v in sorted(versions.month_versions(spark, t.location).items())] == [2, 1]
+    jobs.clear_months(t, ["2024-01"])
+    assert _counts(lake) == {"2024-02": 1}
+    assert set(versions.month_versions(spark, t.location)) == {"2024-02"}
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-02", 4))
+    left = [c for c in storage.list_children(spark, t.location) if c.startswith(versions.VERSION_PREFIX)]
+    assert len(left) == 2  # folders without a month are gone
+
+
+def test_silver_reads_bronze_once_and_a_failed_audit_leaves_no_folder(spark, lake):
+    import pytest
+
+    from strata.operators.contract import ContractError
+    from strata.sources import storage
+
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 2))
+    scans = []
+    real = jobs.stage_months
+
+    def seen(df, *args, **kwargs):
+        scans.append(df._jdf.queryExecution().executedPlan().toString().count("FileScan"))
+        return real(df, *args, **kwargs)
+
+    jobs.stage_months = seen
+    try:
+        jobs.build_silver(lake, processed_at="p")
+    finally:
+        jobs.stage_months = real
+    assert scans == [1]  # checks and write in one scan; month counts come from footers
+    counted = jobs.rows_by_month(lake.table("bronze", jobs.TRIPS).read())
+    assert "ReadSchema: struct<>" in counted._jdf.queryExecution().toString()
+    silver_t = lake.table("silver", jobs.TRIPS)
+    folders = storage.list_children(spark, silver_t.location)
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 3, VendorID=None))
+    with pytest.raises(ContractError):
+        jobs.build_silver(lake, processed_at="p")
+    assert storage.list_children(spark, silver_t.location) == folders

@@ -332,6 +332,11 @@ FROM ({SILVER_SQL}) s GROUP BY trip_month""".replace(
     "silver_empty_bronze_clears": _silver_month_counts(f"trip_month NOT IN ({_in_list(CLEARED_MONTHS)})"),
     "write_sized_files": f"""SELECT trip_month, CAST(count(*) AS BIGINT) AS rows, true AS within_budget,
   true AS no_more_than_needed FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
+    "stale_months": f"""SELECT DISTINCT trip_month, CASE WHEN trip_month = '{SPLIT_MONTH}' THEN 'changed'
+  WHEN trip_month = '{CLEARED_MONTHS[0]}' THEN 'new' ELSE 'gone' END AS reason, CAST(0 AS BIGINT) AS left_after_build
+FROM ({BRONZE_SQL}) b WHERE trip_month IN ('{SPLIT_MONTH}', '{CLEARED_MONTHS[0]}', '{CLEARED_MONTHS[-1]}')""",
+    "stream_redelivered": f"""SELECT trip_month, CAST(count(*) * (CASE WHEN trip_month = '{FILTER_MONTHS[0]}' THEN 2 ELSE 1 END) AS BIGINT) AS rows
+FROM ({BRONZE_SQL}) b WHERE trip_month IN ({_in_list(FILTER_MONTHS)}) GROUP BY trip_month""",
     "compact_bins": f"""SELECT trip_month, CAST(count(*) AS BIGINT) AS rows, true AS nothing_fits, true AS none_above,
   true AS large_stay FROM ({BRONZE_SQL}) b GROUP BY trip_month""",
     "month_swap": f"""WITH m AS (SELECT trip_month, CAST(count(*) AS BIGINT) AS n, row_number() OVER (ORDER BY trip_month) AS k

@@ -23,6 +23,7 @@ from strata.operators import silver as silver_mod
 from strata.operators.marts import month_filter
 from strata.operators.rules import TripLimits, all_pass, silver_rules
 from strata.plans import versions
+from strata.plans.layout import file_inventory
 from strata.plans.tables import (
     WRITE_TARGET_FILE_SIZE_BYTES,
     WRITE_TARGET_PROPERTY,
@@ -222,6 +223,8 @@ def build_silver(
     create_table(silver_t, silver_table_schema(limits))
     evolve(silver_t, EVOLVED_COLUMNS)
     spark.catalog.refreshTable(silver_t.qualified)
+    # taken first: bronze files that come later leave their month stale
+    sources = month_filter(month_fingerprints(bronze_t), months).filter("trip_month is not null").collect()
     rows = projected.filter(kept).withColumn("_bad", bad)
     staged = stage_months(
         contract_mod.coerce(rows, contract, keep=("_bad",)), silver_t, target_bytes=target_bytes, audit={"bad": F.col("_bad")}
@@ -238,6 +241,9 @@ def build_silver(
     to_clear = empty + (all_rejected if on_all_rejected == "clear" else [])
     if to_clear:
         drop_months(silver_t, to_clear)
+    done = [(r.trip_month, r.fingerprint) for r in sources] + [(m, "") for m in empty]
+    if done:
+        record_built(lake, spark.createDataFrame(done, "trip_month string, fingerprint string"))
 
     where = (silver_t.qualified, silver_t.location)
     out = [(m, i, o, i - o, *where) for m, (i, o) in stats.items()] + [(m, 0, 0, 0, *where) for m in empty]
@@ -376,6 +382,52 @@ def backfill_coverage(lake: Lake, planned: DataFrame) -> DataFrame:
     return months_mod.backfill_coverage(planned, landed)
 
 
+BUILT = "trip_month string, fingerprint string, built_at string"
+
+
+def month_fingerprints(table: Table) -> DataFrame:
+    """``(trip_month, fingerprint)``: a digest of each month's data files, their
+    names, sizes and rows; a month that is landed again gets another one.
+    Metadata only."""
+    files = file_inventory(table).select(
+        F.col("partition_value").alias("trip_month"),
+        F.concat_ws("|", "file_path", F.col("file_size").cast("string"), F.col("record_count").cast("string")).alias("f"),
+    )
+    # an order-free digest: sums of hashes merge on the map side
+    parts = [F.sum(F.xxhash64("f", F.lit(k)).cast("decimal(38,0)")).cast("string") for k in (1, 2)]
+    return files.groupBy("trip_month").agg(F.concat_ws("-", F.count(F.lit(1)).cast("string"), *parts).alias("fingerprint"))
+
+
+def _built_path(lake: Lake) -> str:
+    return f"{lake.root}/silver/_built_months"
+
+
+def record_built(lake: Lake, fingerprints: DataFrame) -> None:
+    """Note from which bronze files silver months were built (rows: months)."""
+    stamped = fingerprints.withColumn("built_at", F.lit(utc_now_iso()))
+    stamped.coalesce(1).write.mode("append").parquet(_built_path(lake))
+
+
+def stale_months(lake: Lake, planned: DataFrame | None = None) -> DataFrame:
+    """``(trip_month, reason)``: months whose silver must be built: ``new`` (never
+    built), ``changed`` (bronze files are others than it was built from), or
+    ``gone`` (built, but bronze has no such month any more). ``planned``
+    limits the months. Rows without a month are never built, so never stale."""
+    now = month_fingerprints(lake.table("bronze", TRIPS)).filter("trip_month is not null")
+    if storage.exists(lake.spark, _built_path(lake)):
+        built = lake.spark.read.schema(BUILT).parquet(_built_path(lake))
+    else:
+        built = lake.spark.createDataFrame([], BUILT)
+    then = built.groupBy("trip_month").agg(F.max_by("fingerprint", "built_at").alias("_then")).filter("_then != ''")
+    reason = (
+        F.when(F.col("_then").isNull(), "new")
+        .when(F.col("fingerprint").isNull(), "gone")
+        .when(F.col("fingerprint") != F.col("_then"), "changed")
+    )
+    found = now.join(then, "trip_month", "full").select("trip_month", reason.alias("reason")).filter("reason is not null")
+    return found if planned is None else found.join(planned.select("trip_month").distinct(), "trip_month", "left_semi")
+
+
 def clear_months(table: Table, months: Sequence[str]) -> list[str]:
     return drop_months(table, months)
 

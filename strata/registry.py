@@ -441,6 +441,24 @@ def q_contract_raises(spark, sf_dir):
         return spark.createDataFrame(found, "column_name string, check_name string, failures bigint, silver_rows bigint")
 
 
+def q_stale_months(spark, sf_dir):
+    """After a full build one month is landed again twice over, one is cleared
+    and one is landed for the first time: these three, and no other, are stale."""
+    with scratch_lake(spark, "stale") as lake:
+        b = bronze_frame(spark, sf_dir)
+        first, *_, last = CLEARED_MONTHS
+        jobs.land_bronze(lake, b.filter(F.col("trip_month") != first))
+        jobs.build_silver(lake, processed_at=PROCESSED_AT, limits=LIMITS)
+        changed = b.filter(F.col("trip_month") == SPLIT_MONTH)
+        jobs.land_bronze(lake, changed.unionByName(changed))
+        jobs.land_bronze(lake, b.filter(F.col("trip_month") == first))
+        jobs.clear_months(_bronze_table(lake), [last])
+        found = kept(jobs.stale_months(lake))
+        jobs.build_silver(lake, [r.trip_month for r in found.collect()], processed_at=PROCESSED_AT, limits=LIMITS)
+        left = jobs.stale_months(lake).count()
+        return found.withColumn("left_after_build", F.lit(left).cast("bigint"))
+
+
 def q_write_sized_files(spark, sf_dir):
     """Bronze rows of very unequal width under a small byte budget: every file,
     measured here in its own way, holds less than the budget and one row, and
@@ -681,6 +699,38 @@ def q_stream_landing(spark, sf_dir):
         return kept(_month_rows(_bronze_table(lake).read()))
 
 
+def q_stream_redelivered(spark, sf_dir):
+    """A month's file delivered again under its path, with every trip twice,
+    after the stream has landed it: the next drain lands the new rows."""
+    from strata.streaming.landing import start_landing
+
+    with scratch_lake(spark, "again") as lake:
+        landing = f"{lake.root}/landing"
+        raw = bronze_frame(spark, sf_dir).filter(F.col("trip_month").isin(FILTER_MONTHS)).select(*trips.RAW_COLUMNS, "trip_month")
+        paths = {}
+        for month in FILTER_MONTHS:
+            folder = f"{lake.root}/out/{month}"
+            raw.filter(F.col("trip_month") == month).drop("trip_month").coalesce(1).write.parquet(folder)
+            paths[month] = f"{landing}/yellow_tripdata_{month}.parquet"
+            storage.mkdirs(spark, landing)
+            (part,) = [c for c in storage.list_children(spark, folder) if c.endswith(".parquet")]
+            storage.rename(spark, f"{folder}/{part}", paths[month])
+
+        def drain():
+            query = start_landing(lake, landing, checkpoint=f"{lake.root}/landing-checkpoint", loaded_at=LOADED_AT)
+            query.awaitTermination()
+
+        drain()
+        again, folder = FILTER_MONTHS[0], f"{lake.root}/out/again"
+        twice = raw.filter(F.col("trip_month") == again).drop("trip_month")
+        kept(twice.unionByName(twice)).coalesce(1).write.parquet(folder)
+        (part,) = [c for c in storage.list_children(spark, folder) if c.endswith(".parquet")]
+        storage.delete(spark, paths[again])
+        storage.rename(spark, f"{folder}/{part}", paths[again])
+        drain()
+        return kept(_month_rows(_bronze_table(lake).read()))
+
+
 def q_backfill_files(spark, sf_dir):
     """Bronze and silver of the planned months from delivered files, the range
     taken from the environment."""

@@ -90,7 +90,8 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def read_raw_files(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType = RAW_SCHEMA
 ) -> DataFrame:
-    """Scan monthly raw files; adds ``_file_month`` and ``_file_path``.
+    """Scan monthly raw files; adds ``_file_path``, ``_file_month``, ``_file_size``
+    and ``_file_modified``.
 
     All footers are merged in one distributed step, and the files are read by
     one scan, matched to the declared schema by name. Only if a column changed
@@ -111,7 +112,12 @@ def read_raw_files(
     out = None
     for raw in frames:
         conformed = _conform(raw, schema).withColumns(
-            {"_file_path": F.col("_metadata.file_path"), "_file_month": month_of_file()}
+            {
+                "_file_path": F.col("_metadata.file_path"),
+                "_file_month": month_of_file(),
+                "_file_size": F.col("_metadata.file_size"),
+                "_file_modified": F.col("_metadata.file_modification_time"),
+            }
         )
         out = conformed if out is None else out.unionByName(conformed)
     return out

@@ -285,3 +285,20 @@ def test_silver_reads_bronze_once_and_a_failed_audit_leaves_no_folder(spark, lak
     with pytest.raises(ContractError):
         jobs.build_silver(lake, processed_at="p")
     assert storage.list_children(spark, silver_t.location) == folders
+
+
+def test_only_months_whose_bronze_changed_are_stale(spark, lake):
+    def stale(planned=None):
+        return {r.trip_month: r.reason for r in jobs.stale_months(lake, planned).collect()}
+
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 2).unionByName(bronze_frame(spark, "2024-02", 3)))
+    assert stale() == {"2024-01": "new", "2024-02": "new"}
+    jobs.build_silver(lake, processed_at="p")
+    assert stale() == {}
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-02", 3))  # the same rows in other files
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-03", 1))
+    jobs.clear_months(lake.table("bronze", jobs.TRIPS), ["2024-01"])
+    assert stale() == {"2024-01": "gone", "2024-02": "changed", "2024-03": "new"}
+    assert stale(spark.createDataFrame([("2024-03",)], "trip_month string")) == {"2024-03": "new"}
+    jobs.build_silver(lake, list(stale()), processed_at="p")
+    assert stale() == {} and _counts(lake, "silver") == {"2024-02": 3, "2024-03": 1}

@@ -55,3 +55,22 @@ def test_files_of_a_month_are_all_kept():
     assert {m: len(p) for m, p in found.items()} == {"2024-01": 2, "2024-02": 1}
     with pytest.raises(ValueError, match="trips.parquet"):
         jobs.paths_by_month(["a/trips.parquet"])
+
+
+def test_file_delivered_again_replaces_its_rows(spark, tmp_path, lake):
+    from strata.streaming.landing import changed_files, reland_changed
+
+    src = tmp_path / "landing"
+    (src / "a").mkdir(parents=True)
+    (src / "b").mkdir()
+    _write_month(src / "a", "2024-01", n=2)
+    _write_month(src / "b", "2024-01", n=4)
+    q = start_landing(lake, str(src), checkpoint=str(tmp_path / "c"), loaded_at="l")
+    q.awaitTermination(120)
+    assert _counts(lake, "bronze") == {"2024-01": 6} and changed_files(lake, str(src)) == []
+    _write_month(src / "a", "2024-01", n=5)
+    assert len(changed_files(lake, str(src))) == 1
+    q = start_landing(lake, str(src), checkpoint=str(tmp_path / "c"), loaded_at="l", build_silver=True)
+    q.awaitTermination(120)
+    assert _counts(lake, "bronze") == _counts(lake, "silver") == {"2024-01": 9}
+    assert reland_changed(lake, str(src)) == []

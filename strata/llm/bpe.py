@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import map_arrow
 
-#: Words, stretches between spaces, and borders whose results a task keeps;
-#: longer words than this are not kept.
-KEPT, KEPT_LENGTH = 1 << 17, 64
+#: Stretches between spaces (words among them) and borders whose results a
+#: task keeps; longer stretches are not kept.
+KEPT, KEPT_LENGTH = 1 << 18, 64
 #: Tokens of an output batch (a longer text makes a batch of its own).
 BATCH_TOKENS = 1 << 20
 #: Added to a word's last symbol, to tell it from the same symbol inside.
@@ -102,7 +102,7 @@ class Vocabulary:
         self._library = (whole.normalizer, tokenizers.pre_tokenizers.Split(tokenizers.Regex(WORDS), "removed", invert=True))
         self._letters = {b: s for b, s in enumerate(byte_symbols())}
         self.border = functools.lru_cache(KEPT)(self._border)
-        self._words, self._stretches = _Kept(self._word_ids), _Kept(self._stretch_ids)
+        self._kept = _Kept(self._ids)
         strings = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self._special.items()}
         pool = [(strings.get(i, "") + " ").encode() for i in range(max(strings) + 1)]
         self.starts = np.concatenate([[0], np.cumsum([len(p) for p in pool])])
@@ -167,27 +167,27 @@ class Vocabulary:
         size = len(word)
         if self._mark_last:
             word = word[:-1] + chr(ord(word[-1]) + _LAST)
-        longest = [-1] * size
-        length, shorter = self.length, self.shorter
-        for end, token in self._backwards.iter(word[::-1]):  # an end here is a start there
-            if (best := longest[size - 1 - end]) < 0 or length[token] > length[best]:
-                longest[size - 1 - end] = token
-        tokens, at, token, dead = [], 0, longest[0], bytearray(size + 1)
-        while at < size:
-            last = tokens[-1] if tokens else -1
+        # An end in the reversed word is a start here; of one end the longest match
+        # comes first, so from back to front it is the one that stays.
+        longest = dict([*self._backwards.iter(word[::-1])][::-1])
+        length, shorter, border = self.length, self.shorter, self.border
+        tokens, at, token, last, dead = [], 0, longest[size - 1], -1, set()
+        while True:
             while token >= 0:
                 end = at + length[token]
-                if not dead[end] and (last < 0 or self.border(last, token)):
-                    tokens.append(token)
-                    at = end
-                    token = longest[at] if at < size else -1
+                if end not in dead and (last < 0 or border(last, token)):
                     break
                 token = shorter[token]
             else:
-                dead[at] = 1
-                token = shorter[tokens.pop()]
+                dead.add(at)
                 at -= length[last]
-        return tokens
+                token = shorter[tokens.pop()]
+                last = tokens[-1] if tokens else -1
+                continue
+            tokens.append(token)
+            if end == size:
+                return tokens
+            at, last, token = end, token, longest[size - 1 - end]
 
     def normalised(self, text: str) -> bytes:
         """UTF-8 of the normalised text (runs of spaces are left: no word holds one)."""
@@ -200,15 +200,20 @@ class Vocabulary:
 
     def split(self, stretch: str) -> list[str]:
         """Words of a normalised stretch of text."""
-        if newer_than_python(stretch):
+        if stretch.isalpha():  # letters, all known to this Python
+            return [stretch]
+        if not stretch.isascii() and newer_than_python(stretch):
             return [w for w, _ in self._library[1].pre_tokenize_str(stretch)]
         return _WORDS.findall(stretch)
 
-    def _word_ids(self, word: str) -> bytes:
-        return array("i", self.encode_word("".join(map(self._letters.__getitem__, word.encode())))).tobytes()
-
-    def _stretch_ids(self, stretch: bytes) -> bytes:
-        return b"".join(map(self._words.__getitem__, self.split(stretch.decode())))
+    def _ids(self, stretch: bytes) -> bytes:
+        text = stretch.decode()
+        words = self.split(text)
+        if words != [text]:
+            return b"".join([self._kept[w.encode()] for w in words])
+        plain = text.isascii() and text.isprintable()  # those bytes are shown as they are
+        symbols = text if plain else "".join(map(self._letters.__getitem__, stretch))
+        return array("i", self.encode_word(symbols)).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Token ids of a whole text, as native 32-bit integers.
@@ -217,7 +222,7 @@ class Vocabulary:
         parts, at = [], 0
         for special in chain(self._specials.finditer(text), [None]):
             piece = text[at : special.start()] if special else text[at:]
-            parts += map(self._stretches.__getitem__, self.normalised(piece).split())
+            parts += map(self._kept.__getitem__, self.normalised(piece).split())
             if special:
                 parts.append(array("i", [self._special[special[0]]]).tobytes())
                 at = special.end()

@@ -36,10 +36,20 @@ def save(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """``df``, saved, with a ``_row`` of its own for every row, so that rows
-    that share an id or have none can be told apart in several jobs."""
-    return save(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores added what no column of ``df`` is called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df``, saved, with a number of its own for every row, so that rows that
+    share an id or have none can be told apart in several jobs; and the new
+    column's name, which no other column has."""
+    name = unused(df, "_row")
+    return save(df.withColumn(name, F.monotonically_increasing_id()), "rows"), name
 
 
 _shipped: set[str] = set()

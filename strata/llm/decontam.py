@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_arrow, save
+from strata.llm.common import map_arrow, save, unused
 
 #: Token positions that count (1) or are ignored (0). Together they are lossless:
 #: whichever two tokens of a window of 13 are substituted, one of them fits.
@@ -337,5 +337,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, whole_ids: bool = Tr
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), own.alias("_text"), "text")
     # written first: the planner sees how few rows it is, so documents need no shuffle
     hits = save(_search(rows, benchmark).select("_id", "_text").distinct(), "contaminated")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (own == F.col("_text"))
+    hit_id, hit_text = unused(docs, "_id"), unused(docs, "_text")
+    hits = hits.toDF(hit_id, hit_text)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(hit_id)) & (own == F.col(hit_text))
     return docs.join(hits, same, "left_anti")

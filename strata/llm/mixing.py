@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import numbered, pieces, running_total, save, word_count
+from strata.llm.common import numbered, pieces, running_total, save, unused, word_count
 
 WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
@@ -208,10 +208,11 @@ def mixed_documents(docs: DataFrame, *, block: int = BLOCK_WORDS, seed: int = 0)
     source's last block cuts are taken whole. Every row is decided by itself,
     whatever other rows share its doc_id or have none.
     """
-    rows = numbered(docs)
-    taken = _mix(rows, block, seed, ["_row"]).documents
-    copies = taken.select(
-        "_row", F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int").alias("_copies")
-    ).filter("_copies > 0")
-    repeated = rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    rows, row = numbered(docs)
+    times, copy = unused(docs, "_copies"), unused(docs, "_copy")
+    taken = _mix(rows, block, seed, [row]).documents
+    copies = taken.select(row, F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int").alias(times)).filter(
+        F.col(times) > 0
+    )
+    repeated = rows.join(copies, row).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
     return repeated.select(docs.columns)

@@ -28,6 +28,8 @@ PASS_ROWS = 1 << 18
 CUT_SHARE = 0.0005
 #: A unit heavier than this part of a shard is cut by document id.
 UNIT_SHARE = 0.125
+#: Parts that a heavier one is cut into, for each such share.
+HEAVY_PARTS = 4
 DIMENSIONS = ("source_at", "lang_at", "length_at")
 OUTPUT = (
     "doc_id long, size long, text_crc32 long, law string, shard int, slot long, grown_shard int, "
@@ -65,11 +67,11 @@ def _units(rows: DataFrame, target: float) -> tuple[DataFrame, DataFrame]:
     limit = max(1.0, target * UNIT_SHARE)
     # at most shards / UNIT_SHARE units can be that heavy
     heavy = whole.filter((F.col("weight") > limit) & (F.col("weight") > F.col("size"))).select(
-        "unit", F.ceil(F.col("weight") / F.lit(limit)).cast("int").alias("parts")
+        "unit", F.ceil(F.col("weight") / F.lit(max(1.0, limit / HEAVY_PARTS))).cast("int").alias("parts")
     )
     split = (
         rows.join(F.broadcast(heavy), "unit")
-        .withColumn("part", F.pmod(F.xxhash64("doc_id"), "parts").cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("own"), "parts").cast("int"))
         .groupBy("unit", "part")
         .agg(F.sum("size").alias("part_weight"))
     )
@@ -213,6 +215,8 @@ def shard_documents(docs: DataFrame, *, shards: int | None = None, target_bytes:
             size.alias("size"),
             crc.alias("text_crc32"),
             F.xxhash64(text, crc).alias("unit"),
+            # tells rows apart that share an id or have none
+            F.monotonically_increasing_id().alias("own"),
         ),
         "rows",
     )
@@ -225,14 +229,14 @@ def shard_documents(docs: DataFrame, *, shards: int | None = None, target_bytes:
     units, heavy = _units(rows, total / shards)
     dealt = kd_shards(units, shards).select("unit", "part", "shard")
     parted = rows.join(F.broadcast(heavy), "unit", "left").withColumn(
-        "part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), "parts")).cast("int")
+        "part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("own"), "parts")).cast("int")
     )
     placed = save(parted.join(dealt, ["unit", "part"]).drop("parts", "part"), "sharded")
     slotted = running_total(
         placed,
         group=["shard"],
-        bucket=F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(pieces(totals.rows))),
-        order=["doc_id", "text_crc32"],
+        bucket=F.pmod(F.xxhash64("own"), F.lit(pieces(totals.rows))),
+        order=["doc_id", "text_crc32", "own"],
         value=F.lit(1),
         out="slot",
     )

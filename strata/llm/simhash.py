@@ -210,13 +210,13 @@ def deduplicate(docs: DataFrame, *, shingle: int = SHINGLE) -> DataFrame:
     Among rows of one id (or none) the least hash of the text decides, then
     that of all columns; of rows equal in everything any one stays.
     """
-    rows = numbered(docs)
+    rows, row = numbered(docs)
     hashed = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
     marked = rows.select(
         F.col("doc_id").cast("long").alias("id"),
         F.xxhash64("text").alias("text_hash"),
         F.xxhash64(*hashed).alias("row_hash"),
-        "_row",
+        F.col(row).alias("_row"),
         "text",
     )
     names = ["id", "text_hash", "row_hash", "_row"]
@@ -234,6 +234,6 @@ def deduplicate(docs: DataFrame, *, shingle: int = SHINGLE) -> DataFrame:
         first.join(roots, first.fp == roots.node, "left")
         .groupBy(F.coalesce("component", "fp").alias("root"))
         .agg(F.min("first").alias("first"))
-        .select("first._row")
+        .select(F.col("first._row").alias(row))
     )
-    return rows.join(kept, "_row", "left_semi").select(docs.columns)
+    return rows.join(kept, row, "left_semi").select(docs.columns)

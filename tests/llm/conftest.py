@@ -4,7 +4,8 @@ import pytest
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside or return, as extra columns of their input.
-CLASHES = ("score", "fp", "fingerprint", "shard", "slot", "unit", "size", "node", "block", "start", "bit", "key", "held_out")
+CLASHES = ("score", "fp", "fingerprint", "shard", "slot", "unit", "size", "node", "block", "start", "bit", "key", "held_out",
+           "_row", "_id", "_text", "_copies", "_copy", "own")
 
 
 def frame(spark, rows, schema=DOCS):

@@ -180,3 +180,19 @@ def test_mixed_documents_decides_by_row(spark):
         got[r.source] += words(r.text)
     for source, want in target.items():
         assert abs(got[source] - want) <= 64, source
+
+
+@pytest.mark.parametrize("shared", [None, 7])
+def test_equal_rows_under_one_id_are_spread(spark, shared):
+    """A third of the rows are one text under one id, or under none."""
+    rows = [(k, "y" * 400 + f"{k}", "en", "a", 0) for k in range(10_000, 12_000)]
+    rows += [(shared, "z" * 400, "fr", "b", 0)] * 1000
+    got = sharding.shard_documents(frame(spark, rows).repartition(4), shards=24).collect()
+    sums, slots = Counter(), defaultdict(list)
+    for r in got:
+        sums[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    mean = sum(sums.values()) / 24
+    assert len(got) == 3000 and len(sums) == 24
+    assert max(sums.values()) < 1.05 * mean and min(sums.values()) > 0.95 * mean
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())

@@ -355,6 +355,14 @@ def latest_version(table: Table) -> str | None:
     return None
 
 
+def _laid_out_as(table: Table, schema: T.StructType, partition_cols: Sequence[str]) -> bool:
+    """Whether the catalog's table has these columns, and these (at most the
+    month) as partitions, so that its folders can be swapped under it."""
+    columns = [(f.name, f.dataType) for f in table.read().schema.fields]
+    months = [c.name for c in table.spark.catalog.listColumns(table.qualified) if c.isPartition]
+    return columns == [(f.name, f.dataType) for f in schema.fields] and months == list(partition_cols) and set(months) <= {PARTITION_COLUMN}
+
+
 def overwrite_table(
     df: DataFrame,
     table: Table,
@@ -364,12 +372,14 @@ def overwrite_table(
     """Full rebuild with write-then-swap.
 
     The new content is written to a fresh version folder; only after that
-    job has committed is the catalog entry pointed at it (drop + create of
-    the external table: metadata only, so a reader that looks the name up in
-    between finds no table). A failure before the swap leaves readers on the
-    previous, complete version, whose folder is kept until the next rebuild
-    for readers that still hold it. An empty frame makes an empty table.
-    Returns the new location.
+    job has committed is the catalog pointed at it. A table of the same
+    columns is never dropped: its months and then the table itself change
+    their places one statement after another, so a reader always finds the
+    table, and every month whole, old or new. Only new columns (or none
+    before) make the table anew. A failure before the swap leaves readers on
+    the previous, complete version, whose folder is kept until the next
+    rebuild for readers that still hold it. An empty frame makes an empty
+    table. Returns the new location.
     """
     spark = table.spark
     version = fresh_version(table.location)
@@ -387,12 +397,20 @@ def overwrite_table(
         [f for f in schema.fields if f.name not in partition_cols]
         + [schema[c] for c in partition_cols]
     )
-    table.lake.ensure_namespace(table.layer)
-    spark.sql(f"DROP TABLE IF EXISTS {table.qualified}")
-    parts = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
-    spark.sql(f"CREATE TABLE {table.qualified} ({_ddl(ordered)}) USING parquet{parts} LOCATION '{version}'")
-    if partition_cols:
-        spark.sql(f"ALTER TABLE {table.qualified} RECOVER PARTITIONS")
+    if previous is not None and _laid_out_as(table, ordered, partition_cols):
+        if partition_cols:
+            places = versions.month_folders(spark, version)
+            versions.point_at(spark, table.qualified, places)
+            versions.forget(spark, table.qualified, versions.catalog_months(spark, table.qualified) - set(places))
+        spark.sql(f"ALTER TABLE {table.qualified} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(table.qualified)
+    else:
+        table.lake.ensure_namespace(table.layer)
+        spark.sql(f"DROP TABLE IF EXISTS {table.qualified}")
+        parts = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
+        spark.sql(f"CREATE TABLE {table.qualified} ({_ddl(ordered)}) USING parquet{parts} LOCATION '{version}'")
+        if partition_cols:
+            spark.sql(f"ALTER TABLE {table.qualified} RECOVER PARTITIONS")
     held = {version.rsplit("/", 1)[-1], (previous or "").rstrip("/").rsplit("/", 1)[-1]}
     for name in storage.list_children(spark, table.location):
         if name.startswith(VERSION_PREFIX) and name not in held:

@@ -87,28 +87,53 @@ def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
+def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """``(schema, paths)`` of files that one schema reads, every path once.
+
+    A merge is one distributed read of the footers. Where a column changed its
+    type between months (e.g. ``passenger_count`` as double) it fails, and the
+    halves, in the order given, are tried by themselves: ``c`` changes of type
+    along the months cost about ``c * log2(paths)`` merges, not a schema read
+    per path. Neighbouring parts that came out alike, or that differ in
+    missing columns only, are one group again.
+    """
+    try:
+        return [(spark.read.option("mergeSchema", True).parquet(*paths).schema, list(paths))]
+    except (PySparkException, Py4JJavaError) as error:
+        if len(paths) == 1 or not any(condition in str(error) for condition in MERGE_FAILURES):
+            raise
+    half = len(paths) // 2
+    groups: list[tuple[T.StructType, list[str]]] = []
+    for found, part in schema_groups(spark, paths[:half]) + schema_groups(spark, paths[half:]):
+        for k, (known, members) in enumerate(groups):
+            if (both := _union(known, found)) is not None:
+                groups[k] = (both, members + part)
+                break
+        else:
+            groups.append((found, part))
+    return groups
+
+
+def _union(left: T.StructType, right: T.StructType) -> T.StructType | None:
+    """All columns of both, whatever their case; None if one has two types."""
+    types = {f.name.lower(): f.dataType for f in left.fields}
+    if any(types.get(f.name.lower(), f.dataType) != f.dataType for f in right.fields):
+        return None
+    return T.StructType(left.fields + [f for f in right.fields if f.name.lower() not in types])
+
+
 def read_raw_files(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType = RAW_SCHEMA
 ) -> DataFrame:
     """Scan monthly raw files; adds ``_file_path``, ``_file_month``, ``_file_size``
     and ``_file_modified``.
 
-    All footers are merged in one distributed step, and the files are read by
-    one scan, matched to the declared schema by name. Only if a column changed
-    its type between months (e.g. ``passenger_count`` as double), so that no
-    single schema reads all files, are they grouped by their own schema and
-    the groups, each cast to the declared types, put together.
+    The files are matched to the declared schema by name. Footers are read
+    and merged in tasks; if one schema reads all files that is one step and
+    one scan, else :func:`schema_groups` finds the files that go together, and
+    the groups, each cast to the declared types, are put together.
     """
-    try:
-        merged = spark.read.option("mergeSchema", True).parquet(*paths)
-        frames = [merged]
-    except (PySparkException, Py4JJavaError) as error:
-        if not any(condition in str(error) for condition in MERGE_FAILURES):
-            raise
-        groups: dict[str, list[str]] = {}
-        for path in paths:
-            groups.setdefault(spark.read.parquet(path).schema.simpleString(), []).append(path)
-        frames = [spark.read.parquet(*group) for group in groups.values()]
+    frames = [spark.read.schema(found).parquet(*group) for found, group in schema_groups(spark, paths)]
     out = None
     for raw in frames:
         conformed = _conform(raw, schema).withColumns(

@@ -226,6 +226,53 @@ def test_rebuild_swaps_versions_and_survives_a_failed_write(spark, lake):
     assert tables.latest_version(t).endswith(versions[0])
 
 
+def test_a_reader_never_misses_a_table_that_is_rebuilt(spark, lake):
+    import threading
+
+    from pyspark.sql import functions as F
+
+    fact, flat = lake.table("gold", "fact"), lake.table("gold", "flat")
+    first = spark.createDataFrame([("2024-01", 1), ("2024-02", 2)], SCHEMA)
+    tables.overwrite_table(first, fact)
+    tables.overwrite_table(first, flat, partition_cols=())
+    seen, failed, stop = set(), [], threading.Event()
+
+    def look():
+        while not stop.is_set():
+            for t in (fact, flat):
+                try:
+                    # the name is looked up anew each time; the folder before is kept until the next rebuild
+                    seen.add((t.name, tuple(sorted(t.read().columns)), t.exists()))
+                except Exception as error:  # noqa: BLE001
+                    failed.append(error)
+
+    reader = threading.Thread(target=look)
+    reader.start()
+    statements, real = [], type(spark).sql
+    for k in (10, 100):
+        new = first.withColumn("n", F.col("n") * k)
+        for t, parts in ((fact, ("trip_month",)), (flat, ())):
+            tables.overwrite_table(new, t, partition_cols=parts)
+            assert sorted(r.n for r in t.read().collect()) == [k, 2 * k]
+    stop.set()
+    reader.join()
+    assert not failed and len(seen) == 2 and all(found for _, _, found in seen)
+    # months that are gone, new months, and no months at all
+    tables.overwrite_table(spark.createDataFrame([("2024-02", 7), ("2024-03", 8), (None, 9)], SCHEMA), fact)
+    assert sorted((r.trip_month or "", r.n) for r in fact.read().collect()) == [("", 9), ("2024-02", 7), ("2024-03", 8)]
+    tables.overwrite_table(first.limit(0), fact)
+    assert fact.read().count() == 0
+    monkey = lambda self, text, *a, **k: statements.append(text) or real(self, text, *a, **k)
+    type(spark).sql = monkey
+    try:
+        tables.overwrite_table(first, fact)
+        tables.overwrite_table(first.withColumn("more", F.lit(1)), flat, partition_cols=())
+    finally:
+        type(spark).sql = real
+    assert [s for s in statements if s.startswith("DROP TABLE")] == [f"DROP TABLE IF EXISTS {flat.qualified}"]
+    assert sorted(r.n for r in fact.read().collect()) == [1, 2] and "more" in flat.read().columns
+
+
 def test_audit_counts_rows_and_time_of_every_node(spark, lake):
     t = lake.table("bronze", "audited")
     lake.ensure_namespace("bronze")

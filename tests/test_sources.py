@@ -43,6 +43,24 @@ def test_raw_files_with_drifting_columns(spark, tmp_path, lake):
     assert out["rows"] == 8 and out["months_written"] == ["2024-01", "2024-02", "2024-03", "2024-04"]
 
 
+def test_a_retyped_month_is_found_without_a_schema_read_per_path(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    months = [f"2024-{m:02d}" for m in range(1, 13)] + ["2025-01", "2025-02", "2025-03", "2025-04"]
+    drop, rename = {"2024-02": "Airport_fee"}, {"2025-03": ("Airport_fee", "airport_fee")}
+    files = [_write_month(tmp_path, m, n=1, drop=drop.get(m), rename=rename.get(m), as_double="passenger_count" if m == "2024-07" else None) for m in months]
+    reads, real = [], DataFrameReader.parquet
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda self, *paths, **k: reads.append(paths) or real(self, *paths, **k))
+    groups = trips.schema_groups(spark, files)
+    assert len(reads) == 9  # the whole, then two halves on each of four levels
+    assert sorted(len(members) for _, members in groups) == [1, 15]
+    assert sorted(sum((members for _, members in groups), [])) == sorted(files)
+    assert {m[0][-15:-8] for _, m in groups if len(m) == 1} == {"2024-07"}
+    rows = trips.read_raw_files(spark, files).collect()
+    assert len(rows) == 16 and {r.passenger_count for r in rows} == {1}
+    assert [r["_file_month"] for r in rows if r.Airport_fee is None] == ["2024-02"]
+
+
 def test_zone_seed_keeps_na_strings(spark, tmp_path):
     csv = tmp_path / "zones.csv"
     csv.write_text(

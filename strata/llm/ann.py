@@ -7,9 +7,10 @@ the posting lists of its own nearest pivots, adds up the footrule distance
 between the two orders (a pivot missing from a prefix counts as placed just
 behind it), and reranks the nearest by the inner product.
 
-Rows are dealt by a hash of the id into blocks of bounded size; a block's
-inverted file lives in one task, the queries come in broadcast blocks of
-bounded size, and only the best of each block leave a task.
+Equal rows are one row with a count. Rows are dealt by a hash of id and vector
+into blocks of bounded size, one block a partition; a block's inverted file
+lives in one task, the queries come in broadcast blocks of bounded size, and
+only the best of each block leave a task.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ PIVOTS = 256
 PREFIX = 64
 #: Share of a block's distinct vectors that is reranked, and the least number.
 RERANK_SHARE = 0.16
-RERANK_LEAST = 512
+RERANK_LEAST = 256
 BLOCK_ROWS = 1 << 14
 #: Floats in one broadcast block of queries.
 QUERY_FLOATS = 1 << 22
@@ -87,38 +88,47 @@ class InvertedFile:
 
 
 def _search(block: pd.DataFrame, queries, pivots: np.ndarray, top: int) -> Iterator[tuple]:
-    """The block's nearest rows of each query, best first, ties to smaller ids."""
+    """The block's nearest rows of each query, best first, ties to smaller ids.
+
+    ``block`` has ``vec_id``, ``embedding`` and ``times``, the number of equal rows."""
     block = block.sort_values("vec_id")
     matrix = np.array(block["embedding"].tolist(), dtype=np.float64)
-    ids = block["vec_id"].to_numpy()
+    ids, times = block["vec_id"].to_numpy(), block["times"].to_numpy()
     values, owner = np.unique(matrix, axis=0, return_inverse=True)
     owner = owner.ravel()
-    order = np.argsort(owner, kind="stable")  # copies of a vector, ids ascending
+    order = np.argsort(owner, kind="stable")  # rows of a vector, ids ascending
     starts = np.searchsorted(owner[order], np.arange(len(values) + 1))
     index = InvertedFile(values, pivots, PREFIX)
     depth = min(len(values), max(RERANK_LEAST, int(RERANK_SHARE * len(values))))
     for query_id, query, near in zip(*queries, strict=True):
         distance = index.footrule(near)
         picked = np.argpartition(distance, depth - 1)[:depth]
+        # vectors that only rows of the query's own id have are no candidates
+        mine, mine_rows = np.unique(owner[slice(*np.searchsorted(ids, [query_id, query_id + 1]))], return_counts=True)
+        picked = np.setdiff1d(picked, mine[mine_rows == starts[mine + 1] - starts[mine]])
         scores = (values[picked] * query).sum(axis=1)
-        # copies share a score, so this many distinct vectors hold the block's best
-        best = picked[np.lexsort((ids[order[starts[picked]]], -scores))][: top + 1]
-        exact = (values[best] * query).sum(axis=1)
-        found = [
-            (-score, int(vec_id))
-            for score, v in zip(exact.tolist(), best, strict=True)
-            for vec_id in ids[order[starts[v] : starts[v + 1]][: top + 1]]
-            if vec_id != query_id
-        ]
+        # the rows of a vector share a score, so this many distinct vectors hold the block's best
+        best = np.lexsort((ids[order[starts[picked]]], -scores))[: top + 1]
+        found = []
+        for score, v in zip(scores[best].tolist(), picked[best], strict=True):
+            rows = order[starts[v] : starts[v + 1]]
+            if v in mine:
+                rows = rows[ids[rows] != query_id]
+            for row in rows[:top]:
+                found += [(-score, int(ids[row]))] * min(top, int(times[row]))
         found.sort()
         yield query_id, [v for _, v in found[:top]], [-s for s, _ in found[:top]]
 
 
 def _searcher(shared, top: int):
-    def run(block: pd.DataFrame) -> pd.DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [b for b in batches if len(b)]
+        if not rows:
+            return
         ids, matrix, near, pivots = shared.value
-        found = list(_search(block, (ids, matrix, near), pivots, top))
-        return pd.DataFrame(found, columns=["query_id", "vec_ids", "scores"])
+        for _, block in pd.concat(rows, ignore_index=True).groupby("block"):
+            found = list(_search(block, (ids, matrix, near), pivots, top))
+            yield pd.DataFrame(found, columns=["query_id", "vec_ids", "scores"])
 
     return run
 
@@ -129,14 +139,16 @@ def search(vectors: DataFrame, queries: DataFrame, *, top: int = TOP) -> DataFra
 
     ``vectors`` and ``queries`` have ``vec_id`` and ``embedding``; other columns
     are ignored. Vectors that :func:`usable` rejects, or whose length is not
-    the most common one, take no part on either side. Of repeated rows of one
-    vec_id the least vector stands. Fewer candidates than ``top`` give fewer
-    rows; an empty side gives none.
+    the most common one, take no part on either side. Every row is a
+    candidate, rows that share a vec_id and equal rows too: an id may come more
+    than once in an answer. Of several query rows of one vec_id the least
+    vector asks. Fewer candidates than ``top`` give fewer rows; an empty side
+    gives none.
     """
     spark = vectors.sparkSession
     ship_code(spark)
     result = "query_id long, rank int, vec_id long, score double"
-    kept = usable(vectors).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    kept = usable(vectors).groupBy("vec_id", "embedding").agg(F.count(F.lit(1)).alias("times"))
     kept = save(kept.withColumn("n", F.size("embedding")), "vectors")
     shape = kept.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "n").first()
     if shape is None:
@@ -145,7 +157,8 @@ def search(vectors: DataFrame, queries: DataFrame, *, top: int = TOP) -> DataFra
     kept = kept.filter(F.col("n") == size).drop("n")
     pivots = choose_pivots(kept)
     blocks = -(-rows // BLOCK_ROWS)
-    dealt = kept.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    dealt = kept.withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)).cast("int"))
+    dealt = dealt.repartitionById(blocks, F.col("block"))
     asked = usable(queries).filter(F.size("embedding") == size).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     asked = save(asked, "queries")
     parts = max(1, -(-asked.count() * size // QUERY_FLOATS))
@@ -158,7 +171,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, top: int = TOP) -> DataFra
         shared = spark.sparkContext.broadcast(
             ([r["vec_id"] for r in rows_of], matrix, prefixes(matrix, pivots, PREFIX), pivots)
         )
-        best = dealt.groupBy("block").applyInPandas(_searcher(shared, top), "query_id long, vec_ids array<long>, scores array<double>")
+        best = dealt.mapInPandas(_searcher(shared, top), "query_id long, vec_ids array<long>, scores array<double>")
         pairs = best.select("query_id", F.explode(F.arrays_zip("vec_ids", "scores")).alias("pair"))
         found = found.unionByName(pairs.select("query_id", F.col("pair.vec_ids").alias("vec_id"), F.col("pair.scores").alias("score")))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -1,8 +1,9 @@
 """Format-preserving pseudonyms for personal data.
 
-Card-like numbers, telephone and social security numbers, IPv4 and e-mail
-addresses and dates are found by one expression, checked, and replaced by a
-keyed permutation of their own format, so the same value gets the same
+Card, telephone and social security numbers, IPv4 and e-mail addresses and
+dates are found by one expression, checked (a card by its Luhn sum, a date by
+the calendar, an international telephone number by its digits), and replaced
+by a keyed permutation of their own format, so the same value gets the same
 pseudonym in every document and the key's holder can undo it.
 
 The permutation is a Feistel network over a row of symbols, each with a radix
@@ -10,8 +11,7 @@ of its own: in round ``t`` the symbols at places of one parity move, modulo
 their radix, by a SHA-512 of the key, the kind, the round and the symbols of
 the other parity. A date is two symbols (a day number written in radices
 whose product is the number of days), an address four of radix 256, a card
-its digits but the last, which is then set so that the Luhn remainder stays:
-valid numbers stay valid. DataFrame functions only; nothing is shuffled.
+its digits but the last, which is then set so that the Luhn sum stays right. DataFrame functions only; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -33,10 +33,11 @@ PATTERNS = {
     "email": rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}}",
     "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9])",
     "date": rf"(?<![0-9]){_YEAR}-{_MONTH}-{_DAY}(?![0-9])|(?<![0-9]){_YEAR}/{_MONTH}/{_DAY}(?![0-9])"
-    rf"|(?<![0-9]){_DAY}\.{_MONTH}\.{_YEAR}(?![0-9])",
+    rf"|(?<![0-9]){_DAY}\.{_MONTH}\.{_YEAR}(?![0-9])|(?<![0-9/]){_MONTH}/{_DAY}/{_YEAR}(?![0-9/])",
     "ssn": r"(?<![0-9\p{L}-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9\p{L}-])",
-    "phone": r"(?<![0-9\p{L}])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9\p{L}])",
-    "card": r"(?<![0-9\p{L}])(?:[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{13,19})(?![0-9\p{L}])",
+    "phone": r"(?<![0-9\p{L}])(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+    r"|\+[1-9][0-9]{0,2}(?:[ .-][0-9]{2,8}){2,4}|0[0-9]{2}[ -][0-9]{4}[ -][0-9]{4}|0[0-9]{3}[ -][0-9]{3}[ -][0-9]{4})(?![0-9\p{L}])",
+    "card": r"(?<![0-9\p{L}])(?:[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5}|[0-9]{13,19})(?![0-9\p{L}])",
 }
 KINDS = tuple(PATTERNS)
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -115,7 +116,8 @@ def _email(value: Column, key: str) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    country = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[ .(-])[ .-]?", 0)
+    # a country's number, or the zero of a national one, stays
+    country = F.regexp_extract(value, r"^(?:\+[0-9]{1,3}(?=[ .(-])[ .-]?|0(?=[0-9]{2}[ -][0-9]{4}[ -]|[0-9]{3}[ -]))", 0)
     rest = F.substr(value, F.length(country) + 1, F.length(value))
     digits = F.regexp_replace(rest, "[^0-9]", "")
     return F.concat(country, _refill(rest, _permuted_text(digits, key, "phone")))
@@ -182,8 +184,9 @@ def _ssn(value: Column, key: str) -> Column:
 
 def _day(value: Column) -> Column:
     """The date a match of the date pattern means; null if there is no such day."""
-    day_first = F.regexp_replace(value, r"^(..)\.(..)\.(....)$", "$3-$2-$1")
-    return F.replace(day_first, F.lit("/"), F.lit("-")).try_cast("date")
+    year_first = F.regexp_replace(value, r"^(..)\.(..)\.(....)$", "$3-$2-$1")
+    year_first = F.regexp_replace(year_first, r"^(..)/(..)/(....)$", "$3-$1-$2")
+    return F.replace(year_first, F.lit("/"), F.lit("-")).try_cast("date")
 
 
 def _date(value: Column, key: str) -> Column:
@@ -197,6 +200,7 @@ def _date(value: Column, key: str) -> Column:
         def show(s: Column) -> Column:
             new = F.date_add(start, s[0] * low + s[1])
             shaped = F.when(value.contains("."), F.date_format(new, "dd.MM.yyyy"))
+            shaped = shaped.when(value.rlike("^../"), F.date_format(new, "MM/dd/yyyy"))
             return shaped.when(value.contains("/"), F.date_format(new, "yyyy/MM/dd")).otherwise(
                 F.date_format(new, "yyyy-MM-dd")
             )
@@ -206,20 +210,35 @@ def _date(value: Column, key: str) -> Column:
     return _let(F.datediff(_day(value), start), permute)
 
 
+REJECTED = "rejected"
+
+
 def _kind(value: Column) -> Column:
-    """The kind of a match; null for an impossible day, which stays as it is."""
+    """The kind of a match; null for an impossible day and for a telephone
+    number of the wrong length, ``rejected`` for a card number whose Luhn sum
+    is no multiple of ten. All three stay as they are."""
     kind = F.lit(None).cast("string")
     for name in reversed(KINDS):
         kind = F.when(value.rlike(f"^(?:{PATTERNS[name]})$"), name).otherwise(kind)
-    return F.when((kind == "date") & _day(value).isNull(), F.lit(None)).otherwise(kind)
+
+    def check(kind: Column) -> Column:
+        digits = F.regexp_replace(value, "[^0-9]", "")
+        wrong = (kind == "date") & _day(value).isNull() | (kind == "phone") & ~F.length(digits).between(8, 15)
+        luhn = _let(digits, lambda d: F.pmod(_luhn(d, F.length(d)), F.lit(10)))
+        return F.when(wrong, F.lit(None)).when((kind == "card") & (luhn != 0), REJECTED).otherwise(kind)
+
+    return _let(kind, check)
 
 
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``doc_id``, ``text`` with
-    pseudonyms, and ``n_email, n_ip, n_date, n_ssn, n_phone, n_card``.
+    pseudonyms, ``n_email, n_ip, n_date, n_ssn, n_phone, n_card`` and
+    ``n_rejected``.
 
-    ``n_card`` counts card-like numbers whatever their Luhn remainder, which
-    the pseudonym keeps. Impossible dates stay and are not counted. Text
+    ``n_card`` counts numbers with a right Luhn sum, which the pseudonym
+    keeps; ``n_rejected`` counts those of a card's form without it (order
+    numbers, time stamps), which stay. Impossible dates and telephone numbers
+    of fewer than 8 or more than 15 digits stay and are not counted. Text
     around a value never changes. Null texts stay null and empty texts empty,
     with counts 0; null ids and repeated rows are kept; an empty table gives
     no rows; other columns are ignored. Whole texts are searched.
@@ -250,4 +269,4 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     def count(name: str) -> Column:
         return F.size(F.filter("found", lambda f: f["kind"] == name)).cast("long").alias(f"n_{name}")
 
-    return mapped.select("doc_id", changed.alias("text"), *map(count, KINDS))
+    return mapped.select("doc_id", changed.alias("text"), *map(count, (*KINDS, REJECTED)))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from strata.llm import ann
@@ -69,17 +70,48 @@ def test_footrule_is_the_distance_of_the_orders():
         np.testing.assert_array_equal(index.footrule(orders[q]), want)
 
 
-@pytest.mark.parametrize("rows", [6000])
-def test_recall(spark, rows):
+@pytest.mark.parametrize("rows, every", [(500, 20), (6000, 100), (40_000, 1000)])
+def test_recall(spark, rows, every):
     rng = np.random.default_rng(4)
-    data = rng.normal(size=(rows, 64))
+    data = rng.normal(size=(rows, 64)).astype(np.float32)
     data /= np.linalg.norm(data, axis=1, keepdims=True)
-    items = list(enumerate(data))
-    frame = vectors(spark, items)
-    got = answer(ann.search(frame, frame.filter("vec_id % 100 = 0")))
-    want = brute(items, range(0, rows, 100), 20)
-    hits = sum(len({k for k, _ in got[q]} & {k for k, _ in want[q]}) for q in want)
-    assert hits / (20 * len(want)) >= 0.9
+    frame = spark.createDataFrame(pd.DataFrame({"vec_id": range(rows), "embedding": data.tolist(), "label": 0}), SCHEMA)
+    got = answer(ann.search(frame, frame.filter(f"vec_id % {every} = 0")))
+    whole, hits = data.astype(float), 0
+    for q in range(0, rows, every):
+        scores = (whole * whole[q]).sum(axis=1)
+        scores[q] = -np.inf
+        hits += len({k for k, _ in got[q]} & set(np.argsort(-scores)[:20].tolist()))
+    assert hits / (20 * len(got)) >= 0.9 and len(got) == rows // every
+
+
+def test_every_row_of_a_repeated_id_is_a_candidate(spark):
+    rows = [(0, [1.0, 0.0]), (1, [9.0, 1.0]), (1, [0.5, 1.0]), (2, [0.25, 0.0]), (2, [0.25, 0.0]), (3, [0.1, 3.0])]
+    frame = vectors(spark, rows)
+    got = answer(ann.search(frame, frame.filter("vec_id = 0")))
+    assert [k for k, _ in got[0]] == [1, 1, 2, 2, 3]
+    np.testing.assert_allclose([s for _, s in got[0]], [9.0, 0.5, 0.25, 0.25, 0.1], rtol=1e-6)
+    assert [k for k, _ in answer(ann.search(frame, frame.filter("vec_id = 0"), top=3))[0]] == [1, 1, 2]
+    # many rows of the query's own id, nearer than all others, crowd none out
+    mine = [(0, [100.0 + k, k * 0.5]) for k in range(40)]
+    frame = vectors(spark, rows + mine + [(9, [100.0, 0.0])] * 30)
+    got = answer(ann.search(frame, frame.filter("vec_id = 0"), top=33))
+    assert [k for k, _ in got[0]] == [9] * 30 + [1, 1, 2]
+    got = answer(ann.search(frame, frame.filter("vec_id = 9"), top=41))
+    assert [k for k, _ in got[9]] == [0] * 40 + [1]
+
+
+def test_search_among_copies_of_every_vector(spark):
+    rng = np.random.default_rng(8)
+    data = rng.normal(size=(3000, 32)).astype(np.float32).astype(float)
+    rows = [(k + 3000 * c, data[k]) for c in range(4) for k in range(3000)]
+    frame = vectors(spark, rows)
+    got = answer(ann.search(frame, frame.filter("vec_id % 600 = 0")))
+    want, hits = brute(rows, [k for k, _ in rows if k % 600 == 0], 20), 0
+    for q, pairs in want.items():
+        hits += len({k for k, _ in pairs} & {k for k, _ in got[q]})
+        assert [s for _, s in got[q]] == sorted((s for _, s in got[q]), reverse=True)
+    assert hits / (20 * len(want)) >= 0.9 and len(want) == 20
 
 
 def test_recall_with_a_hundred_copies_of_every_vector(spark):

@@ -7,9 +7,11 @@ needs the fewest normalised phrases wins. A phrase costs a pointer into the
 labelled text, so counts are normalised by the logarithm of its length.
 
 The automata are deterministic: a phrase ends where no transition exists and
-the next begins with that symbol. They become one dense table whose rows are
-states, and a batch of texts advances through all languages at once, one
-symbol of every text a step.
+the next begins with that symbol. Their transitions, at most three a symbol
+of labelled text whatever the script, become a hash table in arrays, and a
+batch of texts advances through a language together, one symbol of every text
+a step; the ends of texts much longer than the others are walked alone, from
+the state they have reached.
 """
 
 from __future__ import annotations
@@ -24,20 +26,16 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import map_arrow, remainder_of_id
 
-#: Bounds of the fit: labelled rows that are drawn per language, the longest
-#: row drawn (characters), and characters per language given to an automaton.
+#: Bounds of the fit: labelled rows that are drawn per language, characters
+#: taken of a drawn row, and characters per language given to an automaton
+#: (its table takes about 3 MB). Every language and every letter is learned.
 SAMPLE_ROWS = 60
-SAMPLE_ROW_CHARS = 20_000
+SAMPLE_ROW_CHARS = 2_000
 TRAIN_CHARS = 24_000
-#: Most frequent languages learned, and characters of all automata together.
-MAX_LANGUAGES = 100
-ALL_CHARS = 400_000
-#: Distinct letters that get a symbol of their own; others match nothing.
-ALPHABET = 200
-#: A parse starts anew after so many symbols, so texts of any length advance together.
-BLOCK = 4096
 #: Characters of the texts that advance together.
 TOGETHER_CHARS = 1 << 22
+#: Fewer texts than this are walked one by one, which is quicker then.
+FEW = 64
 UNKNOWN = "und"
 _SPACE = 0
 
@@ -83,44 +81,93 @@ def normalise(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
 
 
+class Transitions:
+    """Transitions of an automaton as arrays: a hash table with linear probing.
+
+    Those of the initial state are ``fresh``, by symbol (0 where there is none).
+    """
+
+    _FREE, _FACTOR = np.uint64(2**64 - 1), np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, automaton: Automaton, width: int):
+        self.width = width
+        self.fresh = np.zeros(width, dtype=np.int32)
+        for symbol, to in automaton.next[0].items():
+            self.fresh[symbol] = to
+        edges = [(state * width + symbol, to) for state, out in enumerate(automaton.next) if state for symbol, to in out.items()]
+        wanted = np.array([k for k, _ in edges], dtype=np.uint64)
+        targets = np.array([to for _, to in edges], dtype=np.int32)
+        bits = max(4, (2 * len(edges)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, self._FREE, dtype=np.uint64)
+        self.targets = np.zeros(1 << bits, dtype=np.int32)
+        at = self._slot(wanted)
+        while len(wanted):  # each round one key takes a free slot, the others there go on to the next
+            _, first = np.unique(at, return_index=True)
+            first = first[self.keys[at[first]] == self._FREE]
+            self.keys[at[first]], self.targets[at[first]] = wanted[first], targets[first]
+            left = np.ones(len(wanted), dtype=bool)
+            left[first] = False
+            wanted, targets, at = wanted[left], targets[left], (at[left] + 1) & self.mask
+        self._walked: dict[int, int] = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"_walked": {}}
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * self._FACTOR) >> self.shift).astype(np.int64)
+
+    def step(self, states: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states, and where a new phrase begins."""
+        keys = (states * self.width + symbols).view(np.uint64)
+        at = self._slot(keys)
+        held = self.keys[at]
+        hit = held == keys
+        look = np.flatnonzero(~hit & (held != self._FREE))
+        while len(look):
+            at[look] = (at[look] + 1) & self.mask
+            held = self.keys[at[look]]
+            same = held == keys[look]
+            hit[look[same]] = True
+            look = look[~same & (held != self._FREE)]
+        return np.where(hit, self.targets[at], self.fresh[symbols]).astype(np.int64), ~hit
+
+    def walk(self, state: int, symbols: list[int]) -> int:
+        """Phrases that begin in ``symbols``, from a state on."""
+        if not self._walked:
+            used = self.keys != self._FREE
+            self._walked = dict(zip(self.keys[used].tolist(), self.targets[used].tolist(), strict=True))
+        follow, fresh, width, begun = self._walked.get, self.fresh.tolist(), self.width, 0
+        for symbol in symbols:
+            to = follow(state * width + symbol)
+            if to is None:
+                begun += 1
+                to = fresh[symbol]
+            state = to
+        return begun
+
+
 class Model:
-    """Dense transition table of all languages.
+    """The languages' automata over one alphabet, all letters of the samples.
 
-    ``table[state, symbol]`` is the next state shifted left by one, its lowest
-    bit set if a new phrase begins. ``lookup`` gives a code point's symbol:
-    0 space or no letter, 1 .. letters, the last for unknown letters.
+    ``lookup`` gives a code point's symbol: 0 space or no letter, 1 .. letters,
+    the last for letters of no sample, which match nothing. A phrase costs a
+    pointer into the language's text, but no less than naming a letter, so a
+    language of a few words does not win by short pointers.
     """
 
     def __init__(self, samples: dict[str, list[str]], chars: int = TRAIN_CHARS):
         self.languages = sorted(samples)
-        chars = min(chars, ALL_CHARS // max(1, len(samples)))
         joined = {lang: " ".join(map(normalise, samples[lang]))[:chars] for lang in self.languages}
-        letters = Counter("".join(joined.values()).replace(" ", ""))
-        common = sorted(letters, key=lambda c: (-letters[c], c))[:ALPHABET]
-        self.unknown = len(common) + 1
-        codes = np.arange(0x110000)
-        alpha = np.fromiter((chr(c).isalpha() for c in codes), dtype=bool, count=len(codes))
-        self.lookup = np.where(alpha, self.unknown, _SPACE).astype(np.uint8)
-        for symbol, letter in enumerate(common, 1):
+        letters = sorted(set().union(*joined.values()) - {" "})
+        self.unknown = len(letters) + 1
+        alpha = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+        self.lookup = np.where(alpha, self.unknown, _SPACE).astype(np.int32)
+        for symbol, letter in enumerate(letters, 1):
             self.lookup[ord(letter)] = symbol
-        self.width = self.unknown + 1
-        self.cost = np.log2([len(joined[lang]) + 2.0 for lang in self.languages])
-        tables, self.roots, base = [], [], 0
-        for lang in self.languages:
-            automaton = Automaton(self.lookup[self._codes(joined[lang])].tolist())
-            rows = np.full((len(automaton.next), self.width), -1, dtype=np.int64)
-            for state, edges in enumerate(automaton.next):
-                for symbol, to in edges.items():
-                    rows[state, symbol] = to
-            rows[:, self.unknown] = -1  # never matches
-            root = rows[0].copy()
-            fresh = np.where(root < 0, 0, root)  # an unseen symbol is a phrase of its own
-            rows = np.where(rows < 0, ((base + fresh) << 1) | 1, (base + rows) << 1)
-            rows[0] = ((base + fresh) << 1) | 1
-            tables.append(rows)
-            self.roots.append(base)
-            base += len(automaton.next)
-        self.table = np.concatenate(tables).astype(np.int32).ravel() if tables else np.zeros(0, dtype=np.int32)
+        width = self.unknown + 1
+        self.cost = np.log2([max(len(joined[lang]), len(letters)) + 2.0 for lang in self.languages])
+        self.tables = [Transitions(Automaton(self.lookup[self._codes(joined[lang])].tolist()), width) for lang in self.languages]
 
     @staticmethod
     def _codes(text: str) -> np.ndarray:
@@ -137,24 +184,26 @@ class Model:
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text (rows) in each language (columns)."""
         counts = np.zeros((len(texts), len(self.languages)), dtype=np.int64)
-        pieces = [(k, at) for k, t in enumerate(texts) for at in range(0, len(t), BLOCK)]
-        if not pieces or not self.languages:
+        order = sorted((k for k, t in enumerate(texts) if len(t)), key=lambda k: -len(texts[k]))
+        if not order:
             return counts
-        pieces.sort(key=lambda p: -min(BLOCK, len(texts[p[0]]) - p[1]))
-        owner = np.array([k for k, _ in pieces])
-        sizes = np.array([min(BLOCK, len(texts[k]) - at) for k, at in pieces])
-        flat = np.concatenate([texts[k][at : at + BLOCK] for k, at in pieces])
+        sizes = np.array([len(texts[k]) for k in order])
+        flat = np.concatenate([texts[k] for k in order])
         starts = np.cumsum(sizes) - sizes
-        alive = len(pieces) - np.searchsorted(sizes[::-1], np.arange(sizes[0]), side="right")
-        width = np.int32(self.width)
-        for number, root in enumerate(self.roots):
-            state = np.full(len(pieces), root, dtype=np.int32)
-            found = np.zeros(len(pieces), dtype=np.int32)
-            for step, n in enumerate(alive.tolist()):
-                move = self.table[state[:n] * width + flat[starts[:n] + step]]
-                found[:n] += move & 1
-                state[:n] = move >> 1
-            np.add.at(counts[:, number], owner, found)
+        steps = int(sizes[FEW - 1]) if len(order) >= FEW else 0
+        alive = len(order) - np.searchsorted(sizes[::-1], np.arange(steps + 1), side="right")
+        columns = [flat[starts[:n] + step] for step, n in enumerate(alive[:-1].tolist())]
+        ends = [texts[k][steps:].tolist() for k in order[: alive[-1]]]
+        for number, table in enumerate(self.tables):
+            states = np.zeros(len(order), dtype=np.int64)
+            found = np.zeros(len(order), dtype=np.int64)
+            for symbols in columns:
+                n = len(symbols)
+                states[:n], begun = table.step(states[:n], symbols)
+                found[:n] += begun
+            for k, end in enumerate(ends):
+                found[k] += table.walk(int(states[k]), end)
+            counts[order, number] = found
         return counts
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -175,7 +224,7 @@ class Model:
         return names, scores
 
     def _answers(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
-        coded = [self.symbols(t) if t else np.zeros(0, dtype=np.uint8) for t in texts]
+        coded = [self.symbols(t) if t else np.zeros(0, dtype=np.int32) for t in texts]
         counts = self.phrases(coded) * self.cost
         for symbols, row in zip(coded, counts, strict=True):
             if not len(symbols) or not len(row):
@@ -186,24 +235,30 @@ class Model:
             yield self.languages[order[0]], float(1 - 0.5 * row[order[0]] / second)
 
 
-def training_sample(docs: DataFrame, *, rows: int = SAMPLE_ROWS) -> dict[str, list[str]]:
-    """Labelled texts per language: a bounded draw by a hash of the id.
+def training_sample(docs: DataFrame, *, rows: int = SAMPLE_ROWS, row_chars: int = SAMPLE_ROW_CHARS) -> dict[str, list[str]]:
+    """Labelled texts of every language: a bounded draw by a hash of id and text.
 
-    Counts per language set the rate at which rows enter, so about four times
-    ``rows`` per language are ranked and no language's rows meet in one task.
+    Counts of distinct texts per language set the rate at which they enter, so
+    about four times ``rows`` per language are ranked, copies once, and no
+    language's rows meet in one task.
+    A text longer than ``row_chars`` gives a piece of that length from a place
+    that the hash chooses. Only rows without a language, without text or with
+    an empty one are left out.
     """
-    labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).filter(
-        F.length("text").between(1, SAMPLE_ROW_CHARS)
+    labelled = docs.filter(F.col("lang").isNotNull() & (F.length("text") > 0)).select(
+        "lang", "text", F.xxhash64("doc_id", "text", F.lit("langid")).alias("hash")
     )
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    few = labelled.join(F.broadcast(counts), "lang").withColumn("draw", draw).filter(F.col("draw") * F.col("n") < 4 * rows)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "text"))
-    chosen = few.withColumn("place", place).filter(F.col("place") <= rows)
+    draw = F.pmod("hash", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    counts = labelled.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n"))
+    few = labelled.join(counts, "lang").withColumn("draw", draw).filter(F.col("draw") * F.col("n") < 4 * rows)
+    start = F.pmod(F.shiftrightunsigned("hash", 30), F.greatest(F.length("text") - row_chars, F.lit(0)) + 1) + 1
+    piece = F.substr("text", start.cast("int"), F.lit(row_chars))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "hash"))
+    texts = few.select("lang", "hash", "draw", piece.alias("piece")).dropDuplicates(["lang", "hash"])
+    chosen = texts.withColumn("place", place).filter(F.col("place") <= rows)
     found: dict[str, list[str]] = {}
-    for row in chosen.select("lang", "place", "text").orderBy("lang", "place").toLocalIterator():
-        found.setdefault(row["lang"], []).append(row["text"])
+    for row in chosen.select("lang", "place", "piece").orderBy("lang", "place").toLocalIterator():
+        found.setdefault(row["lang"], []).append(row["piece"])
     return found
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from strata.llm import langid, quality
 from strata.llm.common import table
@@ -9,30 +10,94 @@ from tests.llm.conftest import docs_of
 SF = "/root/testdata/sf0.01"
 
 
-def phrases_by_search(text, train, block):
-    """Greedy longest matches by substring search."""
-    known, count = set(train) - {" "}, 0
-    for at in range(0, len(text), block):
-        part, i = text[at : at + block], 0
-        while i < len(part):
-            n = 0
-            while i + n < len(part) and part[i : i + n + 1] in train and all(c in known or c == " " for c in part[i : i + n + 1]):
-                n += 1
-            i += max(1, n)
-            count += 1
+def phrases_by_search(text, train):
+    """Greedy longest matches by substring search over the whole text."""
+    count = i = 0
+    while i < len(text):
+        n = 0
+        while i + n < len(text) and text[i : i + n + 1] in train:
+            n += 1
+        i += max(1, n)
+        count += 1
     return count
 
 
-def test_phrases_match_substring_search(monkeypatch):
-    train = {"x": ["the cat sat on the mat and the dog"], "y": ["le chat est sur la table du chien"], "z": ["q"]}
+@pytest.mark.parametrize("few", [1, 3, 1000])  # all together, partly alone, all alone
+def test_phrases_match_substring_search(monkeypatch, few):
+    train = {"x": ["the cat sat on the mat and the dog"], "y": ["le chat est sur la table du chien"], "z": ["q"], "none": ["12 ..."]}
     model = langid.Model(train)
-    texts = ["The cat! sat, on the TABLE", "le chien est sur le chat", "zzz 日本語 the", "", "a", "the the the " * 30]
-    monkeypatch.setattr(langid, "BLOCK", 16)
-    coded = [model.symbols(t) for t in texts]
-    got = model.phrases(coded)
+    rng = np.random.default_rng(3)
+    long = " ".join(rng.choice("the cat sat le chien sur zq 日本".split(), size=3000))
+    texts = ["The cat! sat, on the TABLE", "le chien est sur le chat", "zzz 日本語 the", "", "a", "the the the " * 30, long]
+    monkeypatch.setattr(langid, "FEW", few)
+    got = model.phrases([model.symbols(t) for t in texts])
     for t, row in zip(texts, got, strict=True):
         for lang, n in zip(model.languages, row, strict=True):
-            assert n == phrases_by_search(langid.normalise(t), langid.normalise(train[lang][0]), 16), (t, lang)
+            assert n == phrases_by_search(langid.normalise(t), langid.normalise(train[lang][0])), (t[:40], lang)
+
+
+def test_transitions_are_those_of_the_automaton():
+    rng = np.random.default_rng(5)
+    automaton = langid.Automaton(rng.integers(0, 900, size=5000).tolist())
+    table = langid.Transitions(automaton, 901)
+    for state, out in enumerate(automaton.next):
+        if state:
+            symbols = np.arange(901, dtype=np.int32)
+            to, begun = table.step(np.full(901, state, dtype=np.int64), symbols)
+            assert {int(s): int(t) for s, t, b in zip(symbols, to, begun, strict=True) if not b} == out
+            if state > 300:
+                break
+    assert int((table.keys != table._FREE).sum()) == sum(map(len, automaton.next[1:]))
+
+
+def words_of(rng, letters, n):
+    return ["".join(rng.choice(letters, size=rng.integers(1, 4))) for _ in range(n)]
+
+
+def test_every_letter_is_learned(spark):
+    """Two languages of disjoint Han letters, more than 200 each, and English."""
+    rng = np.random.default_rng(7)
+    han = [chr(0x4E00 + k) for k in range(1200)]
+    vocabulary = {"zh": words_of(rng, han[:600], 900), "ja": words_of(rng, han[600:], 900), "en": "the of and to in is that it was for".split()}
+    rows = [(k, " ".join(rng.choice(vocabulary[lang], size=40)), lang) for k, lang in enumerate(["zh", "ja", "en"] * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    got = langid.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert all(r.lang == r.lang_pred for r in got) and len(got) == 180
+
+
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(9)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    vocabulary = {f"l{k:03d}": words_of(rng, letters, 60) for k in range(120)}
+    rows = [(k, " ".join(rng.choice(vocabulary[lang], size=60)), lang) for k, lang in enumerate(sorted(vocabulary) * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model.languages == sorted(vocabulary)
+    got = langid.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert sum(r.lang == r.lang_pred for r in got) / len(got) > 0.97
+
+
+def test_long_labelled_texts_are_cut_not_left_out(spark):
+    english, german = "the of and to in is that it was for ".split(), "der die und das nicht ist mit von auf dem".split()
+    rng = np.random.default_rng(11)
+    rows = [(k, " ".join(rng.choice(english, size=150)), "en") for k in range(20)]
+    rows += [(100 + k, " ".join(rng.choice(german, size=8000)), "de") for k in range(20)]
+    rows += [(200, rows[0][1], "en")] * 300  # copies are one text of the draw
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = langid.training_sample(docs)
+    assert {k: len(v) for k, v in sample.items()} == {"en": 21, "de": 20}
+    assert {len(t) for t in sample["de"]} == {langid.SAMPLE_ROW_CHARS}
+    assert any(not rows[20 + k][1].startswith(t) for k in range(20) for t in sample["de"][:1])
+    model = langid.fit(docs)
+    got = langid.identify(docs, model).join(docs.select("doc_id", "lang").distinct(), "doc_id").collect()
+    assert all(r.lang == r.lang_pred for r in got)
+
+
+def test_a_language_of_one_word_wins_no_other_texts():
+    model = langid.Model({"en": ["the cat sat on the mat and the dog ran to the house " * 20], "one": ["the"], "bare": ["..."]})
+    names, _ = model.predict(["the dog sat on the house", "the", "and the cat ran"])
+    assert names[0] == names[2] == "en"
 
 
 def test_symbols_follow_normalise():

@@ -164,11 +164,15 @@ def _draw(rows: DataFrame, most: int, salt: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn from labelled-good and unlabelled rows outside the held-out fold."""
+    """Learn from labelled-good and unlabelled rows outside the held-out fold.
+
+    Both samples are bounded in rows: of a drawn good id one row is learned
+    from, the one whose text has the least hash, however many rows share it.
+    """
     learn = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text")
     good = labels.filter((F.col("quality") == 1) & ~held_out(F.col("doc_id"))).select("doc_id").distinct()
     good = _draw(good.withColumn("text", F.lit("")), POSITIVE_ROWS, "positive").select("doc_id")
-    positive = learn.join(good, "doc_id", "left_semi")
+    positive = learn.join(good, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     return train(_matrix(positive), _matrix(_draw(learn, UNLABELLED_ROWS, "unlabelled")))
 
 

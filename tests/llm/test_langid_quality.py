@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import math
+import zlib
+
 import numpy as np
 import pytest
 
@@ -149,6 +152,48 @@ def test_prior_and_risk_on_two_gaussians():
     assert (model.score(rng.normal(-2, 1, size=(500, 2))) < 0.5).mean() > 0.95
 
 
+def test_one_good_id_of_many_rows_is_one_positive(spark, monkeypatch):
+    docs = spark.createDataFrame([(5, f"good text {k}") for k in range(400)] + [(7, "other words"), (9, "more")], "doc_id long, text string")
+    labels = spark.createDataFrame([(5, 1), (7, 1)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda p, u: seen.append((len(p), len(u))))
+    quality.fit(docs, labels)
+    learnt = [k for k in (5, 7) if zlib.crc32(str(k).encode()) % 5]
+    assert seen[0][0] == len(learnt) and seen[0][1] >= 400 * (5 in learnt)
+
+
+def test_descent_follows_the_plain_non_negative_risk(monkeypatch):
+    """Against sums row by row, slopes by small differences and plain moments."""
+    rng = np.random.default_rng(1)
+    positive, mixed, prior = rng.normal(1, 1, size=(12, 2)), rng.normal(-0.5, 2, size=(20, 2)), 0.7
+    monkeypatch.setattr(quality, "STEPS", 60)
+
+    def chance(row, w):
+        return 1 / (1 + math.exp(-(row[0] * w[0] + row[1] * w[1] + w[2])))
+
+    def gain(w):
+        return prior * sum(-math.log(chance(r, w)) for r in positive) / len(positive)
+
+    def loss(w):
+        as_bad = sum(-math.log(1 - chance(r, w)) for r in mixed) / len(mixed)
+        return as_bad - prior * sum(-math.log(1 - chance(r, w)) for r in positive) / len(positive)
+
+    w, first, second, clipped = [0.0] * 3, [0.0] * 3, [0.0] * 3, 0
+    for step in range(1, 61):
+        clipped += loss(w) < 0
+        target = (lambda v: gain(v) + loss(v)) if loss(w) >= 0 else (lambda v: -loss(v))
+        new = []
+        for i in range(3):
+            up, down = list(w), list(w)
+            up[i], down[i] = w[i] + 1e-6, w[i] - 1e-6
+            slope = (target(up) - target(down)) / 2e-6 + (quality.RIDGE * w[i] if i < 2 else 0)
+            first[i], second[i] = 0.9 * first[i] + 0.1 * slope, 0.999 * second[i] + 0.001 * slope**2
+            new.append(w[i] - quality.RATE * (first[i] / (1 - 0.9**step)) / (math.sqrt(second[i] / (1 - 0.999**step)) + 1e-8))
+        w = new
+    np.testing.assert_allclose(quality._descend(positive, mixed, prior), w, atol=1e-4)
+    assert clipped  # the bound at zero was met
+
+
 def test_quality_edges(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(5, 1, 0), (7, 1, 0), (None, 1, None), (4, None, 0), (9, 0, 0)], "doc_id long, quality int, toxic int")
     model = quality.fit(edge_docs, labels)

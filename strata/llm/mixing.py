@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import numbered, pieces, running_total, save, unused, word_count
+from strata.llm.common import WORD, numbered, pieces, running_total, save, unused, word_count
 
 WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
@@ -28,11 +28,13 @@ _POINT_BITS = 52
 
 @dataclass
 class Mix:
-    """The parts of a mix: per document, per source, and the schedule."""
+    """The parts of a mix: per document, per source, the schedule, and where
+    each document lies in its source's line of words."""
 
     documents: DataFrame
     sources: DataFrame
     schedule: DataFrame
+    lines: DataFrame
 
 
 def _key(column: str):
@@ -134,15 +136,16 @@ def mix(docs: DataFrame, *, block: int = BLOCK_WORDS, seed: int = 0) -> Mix:
     """Take words of ``docs(doc_id, text, source)`` by source to the targets.
 
     ``Mix.documents`` has one row per row of ``docs``: ``doc_id``, ``source``,
-    ``size`` (words), ``source_size``, ``target`` (of its source) and ``taken``
-    (words of it in the mix, at most ``MAX_EPOCHS`` times its size).
+    ``size`` (words), ``source_size``, ``target`` (of its source), ``taken``
+    (words of it in the mix, at most ``MAX_EPOCHS`` times its size) and
+    ``first_slot`` (the first slot that takes words of it, null if none does).
     ``Mix.schedule`` lists ``slot, source_no, rank, block, words``.
 
     Null and blank texts have size 0 and are never taken; a null source is a
     source of its own, last in order; null ids and repeated rows are rows like
     any other. A source without words has target 0. An empty table gives empty
     frames. Columns beyond the three are ignored. Texts are only counted, not
-    moved: very long documents span many blocks.
+    moved (:func:`mixed_blocks` moves them): very long documents span many blocks.
     """
     return _mix(docs, block, seed, [])
 
@@ -189,15 +192,66 @@ def _mix(docs: DataFrame, block: int, seed: int, keep: list[str]) -> Mix:
     taken = (
         spans.join(plan, ["source_no", "block"])
         .groupBy("source_no", "start")
-        .agg(F.sum(F.greatest(last - first, F.lit(0))).alias("taken"))
+        .agg(
+            F.sum(F.greatest(last - first, F.lit(0))).alias("taken"),
+            F.min(F.when(last > first, F.col("slot"))).alias("first_slot"),
+        )
     )
     documents = (
         lined.filter("size > 0")
         .join(taken, ["source_no", "start"], "left")
-        .unionByName(lined.filter("size = 0").withColumn("taken", F.lit(0).cast("long")))
-        .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), *keep)
+        .unionByName(lined.filter("size = 0").withColumns({"taken": F.lit(0).cast("long"), "first_slot": F.lit(None).cast("long")}))
+        .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "first_slot", *keep)
+    )
+    return Mix(documents, sources, plan, lined.select("source_no", "source", "start", "size", "doc_id", *keep))
+
+
+def mixed_blocks(docs: DataFrame, *, block: int = BLOCK_WORDS, seed: int = 0) -> DataFrame:
+    """The text of the mix of ``docs(doc_id, text, source)`` in slot order.
+
+    One row per piece of a document in a slot's block: ``slot``, ``place`` (of
+    its first word in the block), ``source``, ``doc_id``, ``start`` and ``end``
+    (word numbers in the document, end exclusive) and ``text`` (its words
+    joined by one space). Range-partitioned and sorted by slot and place, so
+    files written from it follow each other as the schedule does.
+
+    Every text is cut once into its pieces before it meets the slots, so a very
+    long document is never repeated whole. Documents without words are in no
+    block; null and repeated ids are rows like any other; an empty table gives
+    no rows.
+    """
+    rows, row = numbered(docs.select("doc_id", "text", "source"))
+    made = _mix(rows, block, seed, [row])
+    whole = made.lines.filter("size > 0").join(rows.select(row, "text"), row)
+
+    def cut(at):
+        first = F.greatest(at * block - F.col("start"), F.lit(0))
+        upto = F.least((at + 1) * block - F.col("start"), F.col("size"))
+        words = F.slice("words", (first + 1).cast("int"), (upto - first).cast("int"))
+        return F.struct(at.alias("block"), first.alias("first"), words.alias("words"))
+
+    blocks = F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")
+    pieces_of = whole.withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).select(
+        "source_no", "source", "doc_id", "start", F.explode(F.transform(blocks, cut)).alias("piece")
+    )
+    pieces_of = pieces_of.select("source_no", "source", "doc_id", F.col("start").alias("line"), "piece.*")
+    taken = pieces_of.join(made.schedule.withColumnRenamed("words", "limit"), ["source_no", "block"])
+    place = F.col("line") + F.col("first") - F.col("block") * block
+    held = F.least(F.size("words").cast("long"), F.col("limit") - F.col("place"))
+    found = taken.withColumn("place", place).withColumn("held", held).filter("held > 0")
+    return (
+        found.select(
+            "slot",
+            "place",
+            "source",
+            "doc_id",
+            F.col("first").alias("start"),
+            (F.col("first") + F.col("held")).alias("end"),
+            F.array_join(F.slice("words", F.lit(1), F.col("held").cast("int")), " ").alias("text"),
+        )
+        .repartitionByRange("slot", "place")
+        .sortWithinPartitions("slot", "place")
     )
-    return Mix(documents, sources, plan)
 
 
 def mixed_documents(docs: DataFrame, *, block: int = BLOCK_WORDS, seed: int = 0) -> DataFrame:

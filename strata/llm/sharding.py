@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import pieces, running_total, save
+from strata.llm.common import numbered, pieces, running_total, save
 
 #: Bits of a coordinate and of the tie-break hash in the order key.
 COORD_BITS, TIE_BITS = 16, 46
@@ -202,6 +202,23 @@ def shard_documents(docs: DataFrame, *, shards: int | None = None, target_bytes:
     they exceed an eighth of one. One document larger than a shard stays
     whole. An empty table gives no rows. Other columns are ignored.
     """
+    return _shard(docs, shards, target_bytes, [])
+
+
+def sharded_documents(docs: DataFrame, *, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
+    """:func:`shard_documents` with the ``text`` of every row, in the order of
+    shard and slot: the shards themselves. Files written from it, also
+    ``partitionBy("shard")``, hold one stretch of slots each; a shard larger than a
+    task's share is several files.
+    """
+    rows, row = numbered(docs.select("doc_id", "text", "lang", "source"))
+    placed = _shard(rows, shards, target_bytes, [row])
+    joined = placed.join(rows.select(row, "text"), row).drop(row)
+    return joined.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+
+
+def _shard(docs: DataFrame, shards: int | None, target_bytes: int | None, keep: list[str]) -> DataFrame:
+    """:func:`shard_documents` with the columns ``keep``."""
     if (shards is None) == (target_bytes is None):
         raise ValueError("give either shards or target_bytes")
     text = F.coalesce("text", F.lit(""))
@@ -217,13 +234,14 @@ def shard_documents(docs: DataFrame, *, shards: int | None = None, target_bytes:
             F.xxhash64(text, crc).alias("unit"),
             # tells rows apart that share an id or have none
             F.monotonically_increasing_id().alias("own"),
+            *keep,
         ),
         "rows",
     )
     totals = rows.agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
     total = totals.bytes or 0
     if not totals.rows:
-        return docs.sparkSession.createDataFrame([], OUTPUT)
+        return docs.sparkSession.createDataFrame([], ", ".join([OUTPUT, *(f"`{c}` {t}" for c, t in docs.dtypes if c in keep)]))
     if shards is None:
         shards = max(1, -(-total // max(1, target_bytes)))
     units, heavy = _units(rows, total / shards)
@@ -250,4 +268,5 @@ def shard_documents(docs: DataFrame, *, shards: int | None = None, target_bytes:
         F.lit(None).cast("int").alias("grown_shard"),
         "lang",
         "source",
+        *keep,
     )

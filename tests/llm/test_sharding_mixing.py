@@ -148,6 +148,100 @@ def test_schedule_ranks_and_balance(spark):
         assert all(abs(seen[s] - share[s] * upto) <= 6 for s in need)
 
 
+def plain_slots(sources, slots):
+    """Van der Corput points through the cumulative needs, one after another."""
+    bounds, upto, total = [], 0, sum(r.need for r in sources)
+    for r in sorted(sources, key=lambda r: r.source_no):
+        bounds.append((r.source_no, upto / total, (upto + r.need) / total, r.need))
+        upto += r.need
+    ranks, out = Counter(), []
+    for n in range(slots):
+        x, half, k = 0.0, 0.5, n
+        while k:
+            x, half, k = x + half * (k & 1), half / 2, k >> 1
+        no, _, _, need = next(b for b in bounds if b[1] <= x < b[2])
+        if ranks[no] < need:
+            out.append((n, no, ranks[no]))
+            ranks[no] += 1
+    late = [(no, k) for no, _, _, need in bounds for k in range(ranks[no], need)]
+    return out + [(slots + n, no, k) for n, (no, k) in enumerate(late)]
+
+
+def mixed_table(spark):
+    rng = random.Random(5)
+    rows = [(k, " ".join(f"{s}{k}w{j}" for j in range(rng.randrange(60))), "en", s, 0) for k, s in enumerate(rng.choices(["a", "b", "c", "d"], [6, 3, 2, 1], k=400))]
+    rows += [(None, " ".join(f"n{j}" for j in range(3000)), "en", "a", 0), (7, "again  and\tagain", "en", "b", 0), (7, None, "en", None, 0)]
+    return frame(spark, rows)
+
+
+def test_slots_are_those_of_a_plain_van_der_corput_sequence(spark):
+    mix = mixing.mix(mixed_table(spark), block=16)
+    sources = mix.sources.collect()
+    want = plain_slots(sources, sum(r.need for r in sources))
+    assert [(r.slot, r.source_no, r["rank"]) for r in mix.schedule.orderBy("slot").collect()] == want
+
+
+def test_mixed_blocks_hold_the_words_of_the_mix_in_slot_order(spark, no_docs):
+    docs, block = mixed_table(spark), 16
+    got = save(mixing.mixed_blocks(docs, block=block), "test")
+    pieces, texts = got.orderBy("slot", "place").collect(), defaultdict(list)
+    for r in docs.collect():
+        texts[r.doc_id].append((r.text or "").split())
+    taken = Counter()
+    for r in pieces:
+        assert any(t[r.start : r.end] == r.text.split(" ") for t in texts[r.doc_id]) and r.end > r.start
+        taken[r.doc_id, r.source] += r.end - r.start
+    mix = mixing.mix(docs, block=block)
+    want = Counter()
+    for r in mix.documents.collect():
+        want[r.doc_id, r.source] += r.taken
+    assert taken == +want
+    first = {}
+    for r in pieces:
+        first.setdefault((r.doc_id, r.source), r.slot)
+    assert first[None, "a"] == next(r.first_slot for r in mix.documents.collect() if r.doc_id is None)
+    filled, source_of = defaultdict(list), {}
+    for r in pieces:
+        assert r.place == sum(filled[r.slot])  # pieces of a block follow each other
+        filled[r.slot].append(r.end - r.start)
+        source_of[r.slot] = r.source
+    plan = mix.schedule.orderBy("slot").collect()
+    assert {r.slot: r.words for r in plan if r.words} == {s: sum(n) for s, n in filled.items()}
+    # any stretch of slots is near the targets, by words
+    target = {r.source: r.target for r in mix.sources.collect()}
+    order = sorted(filled)
+    for low, high in ((0, 64), (40, 104), (100, 180)):
+        count = Counter()
+        for slot in order[low:high]:
+            count[source_of[slot]] += sum(filled[slot])
+        for source, words_wanted in target.items():
+            assert abs(count[source] / sum(count.values()) - words_wanted / sum(target.values())) < 0.08
+    assert mixing.mixed_blocks(no_docs).count() == 0
+
+
+def test_another_schedule_gives_another_mix(spark, monkeypatch):
+    docs = mixed_table(spark)
+    before = [(r.slot, r.text) for r in mixing.mixed_blocks(docs, block=16).orderBy("slot", "place").collect()]
+    firsts = mixing.mix(docs, block=16).documents.select("doc_id", "first_slot").collect()
+    real = mixing.schedule
+    monkeypatch.setattr(mixing, "schedule", lambda plan, slots: real(plan, slots).withColumn("slot", 2 * slots - F.col("slot")))
+    after = [(r.slot, r.text) for r in mixing.mixed_blocks(docs, block=16).orderBy("slot", "place").collect()]
+    assert [t for _, t in before] != [t for _, t in after]
+    assert sorted(map(str, firsts)) != sorted(map(str, mixing.mix(docs, block=16).documents.select("doc_id", "first_slot").collect()))
+
+
+def test_sharded_documents_hold_every_text_by_shard_and_slot(spark, edge_docs, no_docs):
+    for docs in (edge_docs, many(spark, 300, hot=60)):
+        got = sharding.sharded_documents(docs, shards=4)
+        parts = got.withColumn("part", F.spark_partition_id()).collect()
+        check_shards(parts, docs.collect(), 4)
+        assert Counter((r.doc_id, r.text) for r in parts) == Counter((r.doc_id, r.text) for r in docs.collect())
+        assert all(r.text_crc32 == zlib.crc32((r.text or "").encode()) for r in parts)
+        placed = [(r.part, r.shard, r.slot) for r in parts]
+        assert placed == sorted(placed) and [p[1:] for p in placed] == sorted(p[1:] for p in placed)
+    assert sharding.sharded_documents(no_docs, shards=3).count() == 0
+
+
 def test_mix_edges(spark, edge_docs, no_docs):
     got = mixing.mix(edge_docs).documents.collect()
     check_mix(edge_docs.collect(), got)

@@ -33,8 +33,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def kd_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every document of the mix."""
-    return sharding.shard_documents(docs, shards=SHARDS)
+    """The mix by shard and slot: every document's place and its text."""
+    return sharding.sharded_documents(docs, shards=SHARDS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -8,8 +8,8 @@ labelled text, so counts are normalised by the logarithm of its length.
 
 The automata are deterministic: a phrase ends where no transition exists and
 the next begins with that symbol. Their transitions, at most three a symbol
-of labelled text whatever the script, become a hash table in arrays, and a
-batch of texts advances through a language together, one symbol of every text
+of labelled text whatever the script, become arrays (a dense table of the
+language's common letters and a hash table of the others), and a batch of texts advances through a language together, one symbol of every text
 a step; the ends of texts much longer than the others are walked alone, from
 the state they have reached.
 """
@@ -28,12 +28,15 @@ from strata.llm.common import map_arrow, remainder_of_id
 
 #: Bounds of the fit: labelled rows that are drawn per language, characters
 #: taken of a drawn row, and characters per language given to an automaton
-#: (its table takes about 3 MB). Every language and every letter is learned.
+#: (its hash table takes 3 MB at most). Every language and letter is learned.
 SAMPLE_ROWS = 60
 SAMPLE_ROW_CHARS = 2_000
 TRAIN_CHARS = 24_000
 #: Characters of the texts that advance together.
 TOGETHER_CHARS = 1 << 22
+#: Cells (4 bytes) of all languages' dense tables, and columns at most. They
+#: decide how fast a letter is looked up, never what is found.
+DENSE_CELLS, DENSE_COLUMNS = 1 << 25, 200
 #: Fewer texts than this are walked one by one, which is quicker then.
 FEW = 64
 UNKNOWN = "und"
@@ -82,22 +85,42 @@ def normalise(text: str) -> str:
 
 
 class Transitions:
-    """Transitions of an automaton as arrays: a hash table with linear probing.
+    """Transitions of an automaton as arrays.
 
-    Those of the initial state are ``fresh``, by symbol (0 where there is none).
+    ``dense[state, column]`` is the next state shifted left by one, its lowest
+    bit set if a new phrase begins; columns are the language's commonest
+    symbols, then one for all symbols it does not have. Its other symbols are
+    in a hash table with linear probing. ``fresh`` is the state after the first
+    symbol of a phrase (the initial one, 0, if the language lacks the symbol).
     """
 
     _FREE, _FACTOR = np.uint64(2**64 - 1), np.uint64(0x9E3779B97F4A7C15)
 
-    def __init__(self, automaton: Automaton, width: int):
+    def __init__(self, automaton: Automaton, width: int, columns: int):
         self.width = width
         self.fresh = np.zeros(width, dtype=np.int32)
         for symbol, to in automaton.next[0].items():
             self.fresh[symbol] = to
-        edges = [(state * width + symbol, to) for state, out in enumerate(automaton.next) if state for symbol, to in out.items()]
-        wanted = np.array([k for k, _ in edges], dtype=np.uint64)
-        targets = np.array([to for _, to in edges], dtype=np.int32)
-        bits = max(4, (2 * len(edges)).bit_length())
+        edges = [(state, symbol, to) for state, out in enumerate(automaton.next) if state for symbol, to in out.items()]
+        states, symbols, targets = np.array(edges, dtype=np.int64).reshape(-1, 3).T
+        uses = np.bincount(symbols, minlength=width)
+        self.common = np.lexsort((np.arange(width), -uses))[:columns]
+        self.common = self.common[self.fresh[self.common] > 0]
+        self.none, self.rare = len(self.common), len(self.common) + 1
+        self.column = np.where(self.fresh > 0, self.rare, self.none).astype(np.int32)
+        self.column[self.common] = np.arange(len(self.common))
+        self.row = len(self.common) + 2
+        dense = np.ones((len(automaton.next), self.row), dtype=np.int32)
+        dense[:, : self.none] = (self.fresh[self.common] << 1) | 1
+        kept = self.column[symbols] < self.none
+        dense[states[kept], self.column[symbols[kept]]] = targets[kept] << 1
+        self.dense = dense.ravel()
+        self.has_rare = bool((self.column == self.rare).any())
+        self._hash((states * width + symbols)[~kept].astype(np.uint64), targets[~kept])
+        self._walked: dict[int, int] = {}
+
+    def _hash(self, wanted: np.ndarray, targets: np.ndarray) -> None:
+        bits = max(4, (2 * len(wanted)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys = np.full(1 << bits, self._FREE, dtype=np.uint64)
         self.targets = np.zeros(1 << bits, dtype=np.int32)
@@ -109,7 +132,6 @@ class Transitions:
             left = np.ones(len(wanted), dtype=bool)
             left[first] = False
             wanted, targets, at = wanted[left], targets[left], (at[left] + 1) & self.mask
-        self._walked: dict[int, int] = {}
 
     def __getstate__(self):
         return self.__dict__ | {"_walked": {}}
@@ -117,9 +139,19 @@ class Transitions:
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * self._FACTOR) >> self.shift).astype(np.int64)
 
-    def step(self, states: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Next states, and where a new phrase begins."""
-        keys = (states * self.width + symbols).view(np.uint64)
+    def step(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Next states shifted left by one, the lowest bit set where a new
+        phrase begins."""
+        columns = self.column[symbols]
+        moves = self.dense[states * self.row + columns]
+        if self.has_rare:
+            rare = np.flatnonzero(columns == self.rare)
+            if len(rare):
+                moves[rare] = self._step_rare(states[rare], symbols[rare])
+        return moves
+
+    def _step_rare(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        keys = (states.astype(np.int64) * self.width + symbols).view(np.uint64)
         at = self._slot(keys)
         held = self.keys[at]
         hit = held == keys
@@ -130,13 +162,17 @@ class Transitions:
             same = held == keys[look]
             hit[look[same]] = True
             look = look[~same & (held != self._FREE)]
-        return np.where(hit, self.targets[at], self.fresh[symbols]).astype(np.int64), ~hit
+        return np.where(hit, self.targets[at] << 1, (self.fresh[symbols] << 1) | 1)
 
     def walk(self, state: int, symbols: list[int]) -> int:
         """Phrases that begin in ``symbols``, from a state on."""
         if not self._walked:
             used = self.keys != self._FREE
-            self._walked = dict(zip(self.keys[used].tolist(), self.targets[used].tolist(), strict=True))
+            found = dict(zip(self.keys[used].tolist(), self.targets[used].tolist(), strict=True))
+            at = np.flatnonzero(self.dense & 1 == 0)
+            keys = at // self.row * self.width + self.common[at % self.row]
+            found.update(zip(keys.tolist(), (self.dense[at] >> 1).tolist(), strict=True))
+            self._walked = found
         follow, fresh, width, begun = self._walked.get, self.fresh.tolist(), self.width, 0
         for symbol in symbols:
             to = follow(state * width + symbol)
@@ -167,7 +203,11 @@ class Model:
             self.lookup[ord(letter)] = symbol
         width = self.unknown + 1
         self.cost = np.log2([max(len(joined[lang]), len(letters)) + 2.0 for lang in self.languages])
-        self.tables = [Transitions(Automaton(self.lookup[self._codes(joined[lang])].tolist()), width) for lang in self.languages]
+        states = 2 * sum(map(len, joined.values())) + len(joined)  # at most
+        columns = min(DENSE_COLUMNS, DENSE_CELLS // max(1, states))
+        self.tables = [
+            Transitions(Automaton(self.lookup[self._codes(joined[lang])].tolist()), width, columns) for lang in self.languages
+        ]
 
     @staticmethod
     def _codes(text: str) -> np.ndarray:
@@ -195,12 +235,12 @@ class Model:
         columns = [flat[starts[:n] + step] for step, n in enumerate(alive[:-1].tolist())]
         ends = [texts[k][steps:].tolist() for k in order[: alive[-1]]]
         for number, table in enumerate(self.tables):
-            states = np.zeros(len(order), dtype=np.int64)
+            states = np.zeros(len(order), dtype=np.int32)
             found = np.zeros(len(order), dtype=np.int64)
             for symbols in columns:
-                n = len(symbols)
-                states[:n], begun = table.step(states[:n], symbols)
-                found[:n] += begun
+                moves, n = table.step(states[: len(symbols)], symbols), len(symbols)
+                found[:n] += moves & 1
+                states[:n] = moves >> 1
             for k, end in enumerate(ends):
                 found[k] += table.walk(int(states[k]), end)
             counts[order, number] = found
@@ -250,7 +290,8 @@ def training_sample(docs: DataFrame, *, rows: int = SAMPLE_ROWS, row_chars: int
     )
     draw = F.pmod("hash", F.lit(1 << 30)) / F.lit(float(1 << 30))
     counts = labelled.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n"))
-    few = labelled.join(counts, "lang").withColumn("draw", draw).filter(F.col("draw") * F.col("n") < 4 * rows)
+    # one row a language, far less than the model, which goes everywhere too
+    few = labelled.join(F.broadcast(counts), "lang").withColumn("draw", draw).filter(F.col("draw") * F.col("n") < 4 * rows)
     start = F.pmod(F.shiftrightunsigned("hash", 30), F.greatest(F.length("text") - row_chars, F.lit(0)) + 1) + 1
     piece = F.substr("text", start.cast("int"), F.lit(row_chars))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "hash"))

@@ -25,8 +25,9 @@ def phrases_by_search(text, train):
     return count
 
 
-@pytest.mark.parametrize("few", [1, 3, 1000])  # all together, partly alone, all alone
-def test_phrases_match_substring_search(monkeypatch, few):
+@pytest.mark.parametrize("few, cells", [(1, 1 << 20), (1, 0), (3, 2000), (1000, 2000)])  # all together, partly alone, all alone
+def test_phrases_match_substring_search(monkeypatch, few, cells):
+    monkeypatch.setattr(langid, "DENSE_CELLS", cells)
     train = {"x": ["the cat sat on the mat and the dog"], "y": ["le chat est sur la table du chien"], "z": ["q"], "none": ["12 ..."]}
     model = langid.Model(train)
     rng = np.random.default_rng(3)
@@ -39,18 +40,18 @@ def test_phrases_match_substring_search(monkeypatch, few):
             assert n == phrases_by_search(langid.normalise(t), langid.normalise(train[lang][0])), (t[:40], lang)
 
 
-def test_transitions_are_those_of_the_automaton():
+@pytest.mark.parametrize("columns", [0, 1, 30, 2000])  # all hashed to all dense
+def test_transitions_are_those_of_the_automaton(columns):
     rng = np.random.default_rng(5)
-    automaton = langid.Automaton(rng.integers(0, 900, size=5000).tolist())
-    table = langid.Transitions(automaton, 901)
-    for state, out in enumerate(automaton.next):
-        if state:
-            symbols = np.arange(901, dtype=np.int32)
-            to, begun = table.step(np.full(901, state, dtype=np.int64), symbols)
-            assert {int(s): int(t) for s, t, b in zip(symbols, to, begun, strict=True) if not b} == out
-            if state > 300:
-                break
-    assert int((table.keys != table._FREE).sum()) == sum(map(len, automaton.next[1:]))
+    automaton = langid.Automaton((rng.integers(0, 800, size=5000) // rng.integers(1, 9, size=5000)).tolist())
+    table = langid.Transitions(automaton, 901, columns)
+    symbols = np.arange(901, dtype=np.int32)
+    for state in [0, *range(1, len(automaton.next), 40)]:
+        moves = table.step(np.full(901, state, dtype=np.int32), symbols)
+        assert {int(s): int(m) >> 1 for s, m in zip(symbols, moves, strict=True) if not m & 1} == (automaton.next[state] if state else {})
+        assert all(m >> 1 == automaton.next[0].get(int(s), 0) for s, m in zip(symbols, moves, strict=True) if m & 1)
+    assert table.walk(0, []) == 0
+    assert table._walked == {state * 901 + s: to for state, out in enumerate(automaton.next) if state for s, to in out.items()}
 
 
 def words_of(rng, letters, n):

@@ -284,3 +284,68 @@ def test_audit_counts_rows_and_time_of_every_node(spark, lake):
     assert [n.rows for n in scans] == [1000]
     assert row.result_rows == 1 and any(n.millis is not None for n in row.nodes)
     assert row.nodes[0].depth == 0 and max(n.depth for n in row.nodes) >= 2
+
+
+def test_months_share_write_tasks_and_no_task_has_two_files_of_one_month(spark, lake):
+    months = {"2024-01": 40, "2024-02": 3, None: 7}
+    first, total = tables.task_numbers(months, 1000)
+    assert total == 40 and set(first.values()) == {0}
+    first, total = tables.task_numbers(months, tables.DEALT_TASK_BYTES)
+    assert total == 50 and sorted(first.values()) == [0, 7, 47]
+    # rows dealt to files: many fewer tasks than files, stretches may go on in the next file read
+    t = lake.table("bronze", "dealt")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    df = spark.range(6000).select(F.format_string("2024-%02d", F.col("id") % 12 + 1).alias("trip_month"), F.col("id").alias("n"))
+    for part in range(3):
+        df.filter(F.col("n") % 3 == part).coalesce(1).select("n", "trip_month").write.mode("append").insertInto(t.qualified)
+    cut, tasks = tables.numbered_files(t.read(), 1500)
+    assert tasks == 5  # 500 rows of 15 bytes a month
+    files = cut.groupBy("trip_month", "_task").agg(F.count(F.lit(1)).alias("n")).collect()
+    assert sorted(r.n for r in files) == [100] * 60
+    assert sorted(r.n for r in cut.select("n").collect()) == list(range(6000))
+
+
+def test_sized_write_has_few_tasks_for_many_files(spark, lake):
+    t = lake.table("bronze", "few_tasks")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    df = spark.range(1200).select(F.format_string("2024-%02d", F.col("id") % 12 + 1).alias("trip_month"), F.col("id").alias("n"))
+    tables.replace_months(df, t, target_bytes=150)
+    files = [r.file_path.rsplit("/", 1)[-1] for r in layout.file_inventory(t).collect()]
+    assert len(files) == 120 and len({f.split("-")[1] for f in files}) == 10  # part numbers: a task writes one file a month
+
+
+def test_packing_many_files_is_first_fit_and_quick():
+    import time
+
+    def plain(sizes, target):
+        bins, placed = [], [0] * len(sizes)
+        for at in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
+            number = next((n for n, held in enumerate(bins) if held + sizes[at] <= target), len(bins))
+            bins += [0] * (number == len(bins))
+            bins[number] += sizes[at]
+            placed[at] = number
+        return placed
+
+    sizes = [(k * 7919) % 1009 + 1 for k in range(700)]
+    for target in (1, 100, 1009, 1500, 10**6):
+        assert layout.pack(sizes, target) == plain(sizes, target)
+    started = time.perf_counter()
+    assert max(layout.pack([51] * 30_000, 100)) == 29_999  # as many bins as files
+    assert time.perf_counter() - started < 5
+
+
+def test_compaction_looks_at_the_files_once_a_round(spark, lake, monkeypatch):
+    t = lake.table("bronze", "looks")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    for k in range(3):
+        _append(spark, t, "2024-01", [k])
+        _append(spark, t, "2024-02", [k])
+    looks, real = [], layout.file_inventory
+    monkeypatch.setattr(layout, "file_inventory", lambda table: looks.append(table) or real(table))
+    report = layout.compact_partitions(t).collect()
+    assert [(r.files_before, r.files_after, r.rows) for r in report] == [(3, 1, 3)] * 2 and len(looks) == 2
+    layout.compact_partitions(t)
+    assert len(looks) == 3

@@ -200,3 +200,37 @@ def test_serving_surface_over_a_reopened_lake(spark, tmp_path, lake):
     assert serving.register_silver_view(reopened, f"{lake.prefix}sv")["view"] == f"{lake.prefix}sv"
     with pytest.raises(FileNotFoundError):
         serving.open_gold(spark, str(tmp_path / "empty-lake"), prefix="nothing_here_")
+
+
+def test_delivered_months_are_several_files_and_no_row_is_lost(spark, tmp_path):
+    from collections import Counter
+
+    from strata import registry
+    from strata.session import session_conf
+    from strata.sources import trips
+
+    sf = "/root/testdata/sf0.001"
+    folder = str(tmp_path / "delivered")
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8192", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1024"}
+    with session_conf(spark, small):
+        paths = registry._monthly_files(spark, sf, folder)
+    months = Counter(trips.re_month(p) for p in paths)
+    want = Counter(r.trip_month for r in registry.bronze_frame(spark, sf).select("trip_month").collect())
+    assert set(months) == set(want) and max(months.values()) >= 2
+    read = trips.read_raw_files(spark, paths).groupBy("_file_month").count().collect()
+    assert {r["_file_month"]: r["count"] for r in read} == dict(want)
+    # the write is not cut to a fixed number of tasks: names tell the task
+    assert len({p.rsplit("/", 1)[-1].split("-")[1] for p in paths}) > 2
+
+
+def test_a_month_delivered_again_in_several_files(spark, monkeypatch):
+    from strata import registry
+
+    monkeypatch.setattr(registry, "DELIVERED_ROWS", 20)
+    sf = "/root/testdata/sf0.001"
+    got = {r.trip_month: r.rows for r in registry.q_stream_redelivered(spark, sf).collect()}
+    rows = registry.bronze_frame(spark, sf).groupBy("trip_month").count().collect()
+    want = {r.trip_month: r["count"] for r in rows if r.trip_month in registry.FILTER_MONTHS}
+    assert max(want.values()) > 20
+    assert got == {m: n * (2 if m == registry.FILTER_MONTHS[0] else 1) for m, n in want.items()}

@@ -33,8 +33,9 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def kd_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix by shard and slot: every document's place and its text."""
-    return sharding.sharded_documents(docs, shards=SHARDS)
+    """The mix by shard and slot: every document's place and its text. The mix
+    is in files (see :func:`run`)."""
+    return sharding.sharded_documents(docs, shards=SHARDS, stored=bool(docs.inputFiles()))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

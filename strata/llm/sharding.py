@@ -205,15 +205,26 @@ def shard_documents(docs: DataFrame, *, shards: int | None = None, target_bytes:
     return _shard(docs, shards, target_bytes, [])
 
 
-def sharded_documents(docs: DataFrame, *, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
+def sharded_documents(
+    docs: DataFrame, *, shards: int | None = None, target_bytes: int | None = None, stored: bool = False
+) -> DataFrame:
     """:func:`shard_documents` with the ``text`` of every row, in the order of
     shard and slot: the shards themselves. Files written from it, also
     ``partitionBy("shard")``, hold one stretch of slots each; a shard larger than a
     task's share is several files.
+
+    ``stored``: ``docs`` is read from files, so that a row is known by its file
+    and its place in it, and its text need not be saved once more.
     """
-    rows, row = numbered(docs.select("doc_id", "text", "lang", "source"))
-    placed = _shard(rows, shards, target_bytes, [row])
-    joined = placed.join(rows.select(row, "text"), row).drop(row)
+    columns = ["doc_id", "text", "lang", "source"]
+    if stored:
+        at = docs.metadataColumn("_metadata")
+        rows, row = docs.select(*columns, at["file_path"].alias("_file"), at["row_index"].alias("_row")), ["_file", "_row"]
+    else:
+        rows, number = numbered(docs.select(*columns))
+        row = [number]
+    placed = _shard(rows, shards, target_bytes, row)
+    joined = placed.join(rows.select(*row, "text"), row).drop(*row)
     return joined.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
 
 

@@ -290,3 +290,17 @@ def test_equal_rows_under_one_id_are_spread(spark, shared):
     assert len(got) == 3000 and len(sums) == 24
     assert max(sums.values()) < 1.05 * mean and min(sums.values()) > 0.95 * mean
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_stored_documents_are_not_saved_again(spark, edge_docs, tmp_path, monkeypatch):
+    path = str(tmp_path / "docs")
+    edge_docs.repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    saved, real = [], sharding.save
+    monkeypatch.setattr(sharding, "save", lambda df, purpose: saved.append(df.columns) or real(df, purpose))
+    monkeypatch.setattr(sharding, "numbered", lambda df: pytest.fail("the texts were saved once more"))
+    got = sharding.sharded_documents(docs, shards=4, stored=True)
+    assert sorted(str(r.text) for r in got.collect()) == sorted(str(r.text) for r in edge_docs.collect())
+    assert saved and not any("text" in columns for columns in saved)
+    monkeypatch.undo()
+    check_shards(got.collect(), edge_docs.collect(), 4)

@@ -16,6 +16,11 @@ third of all rows. So neither case goes through a window over whole groups:
    group in earlier pieces, which are counted per (group, piece).
 
 Rows equal in all order columns are interchangeable; no row id is needed.
+
+The first pass also counts the rows of the second way. Beyond ``PIECE_ROWS``
+they are dealt to tasks by that count: adaptive execution packs tasks by
+compressed bytes, and repeated rows compress so well that a task would sort,
+and spill, many times the rows it can hold.
 """
 
 from __future__ import annotations
@@ -23,13 +28,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.session import shared_scratch
 
 #: 64-bit words of the map of repeated hashes (2**20 words are 8 MiB).
 MARK_WORDS_LOG2 = 20
+#: Repeated rows that one task sorts, about.
+PIECE_ROWS = 250_000
 
 
 def plain_rank(df: DataFrame, key: Sequence[str], ordering: Sequence[Column], rank_col: str) -> DataFrame:
@@ -54,10 +61,16 @@ def _word(hash_: Column) -> Column:
 
 
 def _marks(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``(_word, _bits)``: at most ``2**MARK_WORDS_LOG2`` rows."""
+    """``(_word, _bits, _rows)``: at most ``2**MARK_WORDS_LOG2`` rows."""
     hashes = df.select(F.xxhash64(*key).alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-    repeated = hashes.filter("_n > 1").select(_word(F.col("_h")).alias("_word"), _bit(F.col("_h")).alias("_bit"))
-    return repeated.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    repeated = hashes.filter("_n > 1").select(_word(F.col("_h")).alias("_word"), _bit(F.col("_h")).alias("_bit"), "_n")
+    return repeated.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"), F.sum("_n").alias("_rows"))
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Tasks to sort so many rows in; 0 if they are few enough to be left to
+    adaptive execution."""
+    return 0 if rows <= PIECE_ROWS else max(spark.sparkContext.defaultParallelism, -(-rows // PIECE_ROWS))
 
 
 def skew_safe_rank(
@@ -67,7 +80,9 @@ def skew_safe_rank(
     columns = df.columns
     marks = _save(_marks(df, key), "rank-marks")
     hash_ = F.xxhash64(*key)
-    marked = df.join(F.broadcast(marks), _word(hash_) == F.col("_word"), "left")
+    tasks = tasks_for(df.sparkSession, marks.agg(F.sum("_rows")).first()[0] or 0)
+    dealt = [tasks] if tasks else []
+    marked = df.join(F.broadcast(marks.drop("_rows")), _word(hash_) == F.col("_word"), "left")
     repeated = F.coalesce(F.col("_bits").bitwiseAND(_bit(hash_)) != 0, F.lit(False))
     alone = marked.filter(~repeated).select(*columns, F.lit(1).cast("bigint").alias(rank_col))
 
@@ -75,7 +90,7 @@ def skew_safe_rank(
     # The row's own number ends the range key, so that rows equal in key and all
     # order columns, however many, are cut into pieces like any others.
     own = marked.filter(repeated).select(*columns, F.monotonically_increasing_id().alias("_own"))
-    pieces = own.repartitionByRange(*key, *ordering, "_own").drop("_own")
+    pieces = own.repartitionByRange(*dealt, *key, *ordering, "_own").drop("_own")
     placed = _save(pieces.withColumn("_piece", F.spark_partition_id()), "rank-pieces")
     sizes = placed.groupBy(*key, "_piece").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
@@ -87,6 +102,8 @@ def skew_safe_rank(
     )
     same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(r)) for c, r in renamed.items()))
     inside = Window.partitionBy(*key, "_piece").orderBy(*ordering)
+    if tasks:
+        placed = placed.repartition(tasks, *key, "_piece")
     ranked = placed.withColumn("_number", F.row_number().over(inside)).join(offsets, same, "left")
     rank = (F.col("_number") + F.coalesce("_offset", F.lit(0))).cast("bigint")
     return alone.unionByName(ranked.select(*columns, rank.alias(rank_col)))

@@ -68,3 +68,16 @@ def test_identical_rows_span_pieces(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     sizes = [r["count"] for r in saved["rank-pieces"].groupBy("_piece").count().collect()]
     assert len(sizes) > 4 and max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
+def test_repeated_rows_are_dealt_by_their_number(spark, monkeypatch):
+    # copies compress to next to nothing: by bytes one task would get them all
+    df = spark.range(6000).select((F.col("id") % 40).alias("a"), F.lit(1).cast("long").alias("b"))
+    saved = {}
+    real = ranking._save
+    monkeypatch.setattr(ranking, "_save", lambda frame, purpose: saved.setdefault(purpose, real(frame, purpose)))
+    monkeypatch.setattr(ranking, "PIECE_ROWS", 500)
+    got = ranking.skew_safe_rank(df, ["a"], ["b"], rank_col="r")
+    assert _sorted(got) == _sorted(ranking.plain_rank(df, ["a"], [F.col("b").asc_nulls_last()], "r"))
+    sizes = [r["count"] for r in saved["rank-pieces"].groupBy("_piece").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < 1500

@@ -73,3 +73,28 @@ def test_gold_checks_scan_the_fact_twice(spark):
     wide = [x for x in schemas if "total_amount" in x]
     assert len(wide) == 1  # not_null and all relationships
     assert sum("trip_sk" in x for x in schemas) <= 3  # and the two passes of unique
+
+
+def test_orders_too_large_to_broadcast_are_hashed_by_task(spark, monkeypatch):
+    from strata.sources import trips
+
+    small = sorted(map(repr, trips.raw_trips_from_tables(spark, SF_SMALL).collect()))
+    monkeypatch.setattr(trips, "BROADCAST_BYTES", 0, raising=False)
+    large = trips.raw_trips_from_tables(spark, SF_SMALL)
+    tree = explain_text(large).split("\n\n")[0]
+    assert "ShuffledHashJoin" in tree and "Sort" not in tree and "BroadcastExchange" not in tree
+    assert sorted(map(repr, large.collect())) == small
+
+
+def test_writes_do_not_sort_the_months_of_a_task(spark, lake, monkeypatch):
+    from strata.plans import tables
+
+    used = []
+    real = tables.session_conf
+    monkeypatch.setattr(tables, "session_conf", lambda s, conf: used.append(conf) or real(s, conf))
+    bronze = jobs.bronze_from_tables(spark, SF_SMALL, loaded_at="l")
+    months = bronze.select("trip_month").distinct().count()
+    jobs.land_bronze(lake, bronze)
+    tables.overwrite_table(bronze, lake.table("gold", "copy"))
+    assert len(used) == 2 and months > 4
+    assert all(int(c["spark.sql.maxConcurrentOutputFileWriters"]) >= months for c in used)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_arrow, numbered, save
+from strata.llm.common import map_arrow, numbered, save, unused
 from strata.llm.components import connected_components
 
 SHINGLE = 3
@@ -234,6 +234,24 @@ def deduplicate(docs: DataFrame, *, shingle: int = SHINGLE) -> DataFrame:
         first.join(roots, first.fp == roots.node, "left")
         .groupBy(F.coalesce("component", "fp").alias("root"))
         .agg(F.min("first").alias("first"))
-        .select(F.col("first._row").alias(row))
+        .select(F.col("first._row").alias("_row"))
     )
-    return rows.join(kept, row, "left_semi").select(docs.columns)
+    return _marked_rows(rows, row, kept).select(docs.columns)
+
+
+def _marked_rows(rows: DataFrame, row: str, kept: DataFrame) -> DataFrame:
+    """The rows of ``rows`` whose number in ``row`` is among ``kept(_row)``.
+
+    The numbers are joined as bitmaps, a bit a row and 4 KiB for 32,768 rows in
+    sequence, so that the texts stay where they are for as long as Spark finds
+    the bitmaps small enough to broadcast. Being saved, their size is known.
+    """
+    bucket, bits = unused(rows, "_bucket"), unused(rows, "_bits")
+    number = F.col("_row")
+    marks = kept.groupBy(F.bitmap_bucket_number(number).alias(bucket)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias(bits)
+    )
+    at = F.bitmap_bit_position(F.col(row))
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    placed = rows.join(save(marks, "kept-rows"), F.bitmap_bucket_number(F.col(row)) == F.col(bucket))
+    return placed.filter(F.getbit(byte, (at % 8).cast("int")) == 1).drop(bucket, bits)

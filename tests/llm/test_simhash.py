@@ -138,3 +138,18 @@ def test_deduplicate_decides_by_row(spark):
     assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, a), (1, c), (2, b)]
     nameless = frame(spark, [(None, b, "en", k, 0) for k in "xyz"])
     assert simhash.deduplicate(nameless).collect() == simhash.deduplicate(nameless.orderBy("source", ascending=False)).collect()
+
+
+def test_rows_that_stay_are_marked_in_bitmaps_and_texts_are_not_shuffled(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(0, 70_000, 1, 3).select(F.col("id").alias("doc_id"), F.lit("text").alias("_bits"))
+    rows, row = simhash.numbered(docs)
+    kept = rows.filter("doc_id % 7 in (0, 3) or doc_id > 60000").select(F.col(row).alias("_row"))
+    found = simhash._marked_rows(rows, row, kept)
+    assert found.columns == rows.columns
+    want = [k for k in range(70_000) if k % 7 in (0, 3) or k > 60_000]
+    assert sorted(r.doc_id for r in found.collect()) == want
+    plan = found._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert simhash._marked_rows(rows, row, kept.limit(0)).count() == 0

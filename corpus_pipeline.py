@@ -12,6 +12,11 @@ from strata.llm.common import save, table
 from strata.llm.queries import SHARDS
 
 
+def in_files(docs: DataFrame) -> bool:
+    """Whether there are files of ``docs``, which each stage reads from files (see :func:`run`)."""
+    return bool(docs.inputFiles())
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from the documents' own labels; documents without a language go."""
     return langid.drop_unidentified(docs, langid.fit(docs))
@@ -19,7 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each SimHash group stays, with an id or without."""
-    return simhash.deduplicate(docs)
+    return simhash.deduplicate(docs, stored=in_files(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,13 +34,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return mixing.mixed_documents(docs)
+    return mixing.mixed_documents(docs, stored=in_files(docs))
 
 
 def kd_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix by shard and slot: every document's place and its text. The mix
-    is in files (see :func:`run`)."""
-    return sharding.sharded_documents(docs, shards=SHARDS, stored=bool(docs.inputFiles()))
+    """The mix by shard and slot: every document's place and its text."""
+    return sharding.sharded_documents(docs, shards=SHARDS, stored=in_files(docs))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

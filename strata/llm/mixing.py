@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD, numbered, pieces, running_total, save, unused, word_count
+from strata.llm.common import WORD, located, numbered, pieces, repeated_rows, running_total, save, unused, word_count
 
 WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
@@ -254,19 +254,27 @@ def mixed_blocks(docs: DataFrame, *, block: int = BLOCK_WORDS, seed: int = 0) ->
     )
 
 
-def mixed_documents(docs: DataFrame, *, block: int = BLOCK_WORDS, seed: int = 0) -> DataFrame:
+def mixed_documents(docs: DataFrame, *, block: int = BLOCK_WORDS, seed: int = 0, stored: bool = False) -> DataFrame:
     """``docs`` as the mix takes them: every document as many times (0, 1 or
     2) as its taken words are nearest to; all columns as they are.
 
     Blocks follow the documents' line, so all but the few documents that a
     source's last block cuts are taken whole. Every row is decided by itself,
     whatever other rows share its doc_id or have none.
+
+    ``stored``: ``docs`` is read from files, so that a row is known by its file
+    and its place in it, and the texts need not be saved once more.
     """
-    rows, row = numbered(docs)
+    if stored:
+        rows, row = located(docs)
+    else:
+        rows, number = numbered(docs)
+        row = [number]
     times, copy = unused(docs, "_copies"), unused(docs, "_copy")
-    taken = _mix(rows, block, seed, [row]).documents
-    copies = taken.select(row, F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int").alias(times)).filter(
+    taken = _mix(rows, block, seed, row).documents
+    copies = taken.select(*row, F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int").alias(times)).filter(
         F.col(times) > 0
     )
-    repeated = rows.join(copies, row).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
+    marked = repeated_rows(rows, row, copies, times, MAX_EPOCHS)
+    repeated = marked.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
     return repeated.select(docs.columns)

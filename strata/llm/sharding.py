@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import numbered, pieces, running_total, save
+from strata.llm.common import located, numbered, pieces, running_total, save
 
 #: Bits of a coordinate and of the tie-break hash in the order key.
 COORD_BITS, TIE_BITS = 16, 46
@@ -218,8 +218,8 @@ def sharded_documents(
     """
     columns = ["doc_id", "text", "lang", "source"]
     if stored:
-        at = docs.metadataColumn("_metadata")
-        rows, row = docs.select(*columns, at["file_path"].alias("_file"), at["row_index"].alias("_row")), ["_file", "_row"]
+        rows, row = located(docs)
+        rows = rows.select(*columns, *row)
     else:
         rows, number = numbered(docs.select(*columns))
         row = [number]

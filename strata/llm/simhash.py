@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_arrow, numbered, save, unused
+from strata.llm.common import located, map_arrow, numbered, repeated_rows, save, unused
 from strata.llm.components import connected_components
 
 SHINGLE = 3
@@ -202,31 +202,41 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE) -> DataFrame:
     )
 
 
-def deduplicate(docs: DataFrame, *, shingle: int = SHINGLE) -> DataFrame:
+def deduplicate(docs: DataFrame, *, shingle: int = SHINGLE, stored: bool = False) -> DataFrame:
     """``docs`` with one row of every group; all columns as they are.
 
     Groups are decided by text, row by row: it is the row of the smallest
     doc_id that stays, and a row without one only if the group has no other.
     Among rows of one id (or none) the least hash of the text decides, then
     that of all columns; of rows equal in everything any one stays.
+
+    ``stored``: ``docs`` is read from files, so that a row is known by its file
+    and its place in it, and the texts need not be saved once more.
     """
-    rows, row = numbered(docs)
+    if stored:
+        rows, row = located(docs)
+    else:
+        rows, number = numbered(docs)
+        row = [number]
     hashed = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    at = ["_file", "_row"][-len(row) :]
     marked = rows.select(
         F.col("doc_id").cast("long").alias("id"),
         F.xxhash64("text").alias("text_hash"),
         F.xxhash64(*hashed).alias("row_hash"),
-        F.col(row).alias("_row"),
+        *[F.col(c).alias(name) for c, name in zip(row, at, strict=True)],
         "text",
     )
-    names = ["id", "text_hash", "row_hash", "_row"]
+    names = ["id", "text_hash", "row_hash", *at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(4)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(fps.view(np.int64))], [*names, "fp"])
+            *known, texts = batch.columns
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in texts], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*known, pa.array(fps.view(np.int64))], [*names, "fp"])
 
-    prints = map_arrow(marked, run, "id long, text_hash long, row_hash long, _row long, fp long")
+    schema = ", ".join(f"{c} {'string' if c == '_file' else 'long'}" for c in [*names, "fp"])
+    prints = map_arrow(marked, run, schema)
     order = F.struct(F.col("id").isNull().alias("nameless"), *names)
     first = save(prints.groupBy("fp").agg(F.min(order).alias("first")), "first-rows")
     roots = connected_components(links(first.select("fp")))
@@ -234,24 +244,15 @@ def deduplicate(docs: DataFrame, *, shingle: int = SHINGLE) -> DataFrame:
         first.join(roots, first.fp == roots.node, "left")
         .groupBy(F.coalesce("component", "fp").alias("root"))
         .agg(F.min("first").alias("first"))
-        .select(F.col("first._row").alias("_row"))
+        .select(*[F.col(f"first.{c}").alias(c) for c in at])
     )
     return _marked_rows(rows, row, kept).select(docs.columns)
 
 
-def _marked_rows(rows: DataFrame, row: str, kept: DataFrame) -> DataFrame:
-    """The rows of ``rows`` whose number in ``row`` is among ``kept(_row)``.
-
-    The numbers are joined as bitmaps, a bit a row and 4 KiB for 32,768 rows in
-    sequence, so that the texts stay where they are for as long as Spark finds
-    the bitmaps small enough to broadcast. Being saved, their size is known.
-    """
-    bucket, bits = unused(rows, "_bucket"), unused(rows, "_bits")
-    number = F.col("_row")
-    marks = kept.groupBy(F.bitmap_bucket_number(number).alias(bucket)).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias(bits)
-    )
-    at = F.bitmap_bit_position(F.col(row))
-    byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    placed = rows.join(save(marks, "kept-rows"), F.bitmap_bucket_number(F.col(row)) == F.col(bucket))
-    return placed.filter(F.getbit(byte, (at % 8).cast("int")) == 1).drop(bucket, bits)
+def _marked_rows(rows: DataFrame, row: str | list[str], kept: DataFrame) -> DataFrame:
+    """The rows of ``rows`` whose place in ``row`` is among ``kept(_row)``, or
+    ``kept(_file, _row)``."""
+    row = [row] if isinstance(row, str) else row
+    times = unused(rows, "_times")
+    marks = kept.select(*[F.col(k).alias(c) for k, c in zip(kept.columns, row, strict=True)], F.lit(1).alias(times))
+    return repeated_rows(rows, row, marks, times, 1).drop(times)

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, sharding
+from strata.llm import common, mixing, sharding
 from strata.llm.common import running_total, save, table
 from tests.llm.conftest import frame
 
@@ -304,3 +304,31 @@ def test_stored_documents_are_not_saved_again(spark, edge_docs, tmp_path, monkey
     assert saved and not any("text" in columns for columns in saved)
     monkeypatch.undo()
     check_shards(got.collect(), edge_docs.collect(), 4)
+
+
+def test_stored_documents_are_mixed_without_saving_texts(spark, edge_docs, tmp_path, monkeypatch):
+    path = str(tmp_path / "docs")
+    edge_docs.repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    monkeypatch.setattr(mixing, "numbered", lambda df: pytest.fail("the texts were saved once more"))
+    got = mixing.mixed_documents(docs, stored=True)
+    assert got.columns == docs.columns
+    # the rows that are taken are joined as bitmaps: texts stay where they are
+    assert not any("text" in line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hash" in line)
+    monkeypatch.undo()
+    copies = Counter(r.doc_id for r in got.collect())
+    for r in mixing.mix(edge_docs).documents.collect():
+        if r.doc_id in (4, 5, 8, 9, None):
+            assert copies[r.doc_id] == int(r.taken / r.size + 0.5)
+    assert not set(copies) & {1, 2, 3}
+
+
+def test_rows_are_repeated_as_often_as_marked(spark, tmp_path):
+    path = str(tmp_path / "numbers")
+    spark.range(0, 70_000, 1, 2).select(F.col("id").alias("doc_id"), F.lit("x").alias("_bits1")).write.parquet(path)
+    rows, row = common.located(spark.read.parquet(path))
+    times = rows.select(*row, F.pmod("doc_id", F.lit(3)).cast("int").alias("n")).filter("n > 0")
+    got = common.repeated_rows(rows, row, times, "n", 2)
+    assert got.columns == [*rows.columns, "n"]
+    assert got.filter("n != doc_id % 3").count() == 0
+    assert got.count() == got.select("doc_id").distinct().count() == sum(k % 3 > 0 for k in range(70_000))

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from tests.llm.conftest import docs_of
 
@@ -153,3 +154,13 @@ def test_rows_that_stay_are_marked_in_bitmaps_and_texts_are_not_shuffled(spark):
     plan = found._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
     assert simhash._marked_rows(rows, row, kept.limit(0)).count() == 0
+
+
+def test_stored_documents_are_deduplicated_without_saving_texts(spark, edge_docs, tmp_path, monkeypatch):
+    path = str(tmp_path / "docs")
+    edge_docs.repartition(3).write.parquet(path)
+    monkeypatch.setattr(simhash, "numbered", lambda df: pytest.fail("the texts were saved once more"))
+    kept = simhash.deduplicate(spark.read.parquet(path), stored=True)
+    assert kept.columns == edge_docs.columns
+    ids = sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect())
+    assert [i for _, i in ids] == [1, 4, 5, 7, 7, 8, 9, 0]

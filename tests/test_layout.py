@@ -349,3 +349,15 @@ def test_compaction_looks_at_the_files_once_a_round(spark, lake, monkeypatch):
     assert [(r.files_before, r.files_after, r.rows) for r in report] == [(3, 1, 3)] * 2 and len(looks) == 2
     layout.compact_partitions(t)
     assert len(looks) == 3
+
+
+def test_file_stats_median_opens_every_file_once(spark, monkeypatch):
+    from strata import registry
+    from strata.plans import layout
+
+    taken, real = [], layout.file_inventory
+    monkeypatch.setattr(layout, "file_inventory", lambda table: taken.append(table.qualified) or real(table))
+    found = registry.QUERIES["file_stats_median"](spark, "/root/testdata/sf0.001").collect()
+    assert len(taken) == 1
+    assert found and all(r.median_agrees for r in found)
+    assert all(r.file_count == -(-r.record_count // registry.COMPACT_MAX_RECORDS) for r in found)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import decontam, langid, mixing, sharding, simhash
-from strata.llm.common import save, table
+from strata.llm.common import bound_batches, save, table
 from strata.llm.queries import SHARDS
 
 
@@ -19,16 +19,19 @@ def in_files(docs: DataFrame) -> bool:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn from the documents' own labels; documents without a language go."""
+    bound_batches(spark)
     return langid.drop_unidentified(docs, langid.fit(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each SimHash group stays, with an id or without."""
+    bound_batches(spark)
     return simhash.deduplicate(docs, stored=in_files(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that overlap a benchmark item go, with an id or without."""
+    bound_batches(spark)
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), whole_ids=False)
 
 

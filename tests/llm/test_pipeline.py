@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from strata.llm import decontam
-from strata.llm.common import save, table
+from strata.llm.common import BATCH_BYTES, save, table
 from tests.llm.conftest import CLASHES
 from tests.llm.test_decontam import overlaps
 from tests.llm.test_sharding_mixing import check_mix, check_shards
@@ -71,3 +75,32 @@ def test_edge_rows(spark, edge_docs, monkeypatch):
         assert rows
         if name != "kd_sharding":  # extra columns keep their values, whatever they are called
             assert docs.columns == edge_docs.columns and all(r[c] == "clash" for r in rows for c in CLASHES), name
+
+
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def largest_batch(spark):
+    """Bytes of the largest Arrow batch that a worker gets of 40 MB of texts."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["bytes"])
+
+    rows = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), F.lit(10_000)).alias("text"))
+    return rows.mapInArrow(sizes, "bytes long").agg(F.max("bytes")).first()[0]
+
+
+@pytest.mark.parametrize("name", ["language_id", "simhash_near_duplicates", "decontamination"])
+def test_stages_bound_the_bytes_of_a_batch(spark, edge_docs, tmp_path, name):
+    table(spark, SF, "benchmark").write.parquet(f"{tmp_path}/benchmark.parquet")
+    before = spark.conf.get(BATCH_CONF, None)
+    try:
+        spark.conf.unset(BATCH_CONF)
+        dict(corpus_pipeline.STAGES)[name](spark, edge_docs, str(tmp_path))
+        assert largest_batch(spark) < 2 * BATCH_BYTES
+        spark.conf.set(BATCH_CONF, str(1 << 20))  # a bound that the session has stays
+        dict(corpus_pipeline.STAGES)[name](spark, edge_docs, str(tmp_path))
+        assert spark.conf.get(BATCH_CONF) == str(1 << 20)
+    finally:
+        spark.conf.unset(BATCH_CONF) if before is None else spark.conf.set(BATCH_CONF, before)

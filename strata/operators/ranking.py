@@ -1,15 +1,17 @@
 """``row_number()`` within groups that stays parallel at any group size.
 
-In a fact table almost every group has one row, and one group may hold a
-third of all rows. So neither case goes through a window over whole groups:
+In a fact table almost every group is small, and one group may hold a
+third of all rows. So no window goes over a whole large group:
 
 1. Rows of unrepeated groups have rank 1 and are never shuffled. A keys-only
    pass counts 64-bit hashes of the group key (8 bytes a row, combined before
    the shuffle); the hashes seen twice set bits in a map of ``MARK_WORDS``
    words, the only thing broadcast, whose size does not depend on the data. A
    row whose bit is clear is alone in its group. (A bit may be set by another
-   group's hash; such a row merely takes the second way, which is exact.)
-2. The other rows are range-partitioned by group key, order columns and, for
+   group's hash; such a row merely takes another way, which is exact.)
+2. Rows of groups of at most a ``GROUPS_A_PIECE``-th of a task's rows are
+   shuffled once, by key, and ranked by a window. A second map marks the others.
+3. Rows of larger groups are range-partitioned by group key, order columns and, for
    ties, a number of their own, which cuts a large group into consecutive
    pieces even if all its rows are equal, and written to the shared folder, so every later pass and every retried task sees the same pieces.
    A row's rank is its number within (group, piece) plus the rows of the
@@ -17,8 +19,8 @@ third of all rows. So neither case goes through a window over whole groups:
 
 Rows equal in all order columns are interchangeable; no row id is needed.
 
-The first pass also counts the rows of the second way. Beyond ``PIECE_ROWS``
-they are dealt to tasks by that count: adaptive execution packs tasks by
+The first pass also counts the rows of the second and third way. Beyond
+``PIECE_ROWS`` they are dealt to tasks by that count: adaptive execution packs tasks by
 compressed bytes, and repeated rows compress so well that a task would sort,
 and spill, many times the rows it can hold.
 """
@@ -37,6 +39,8 @@ from strata.session import shared_scratch
 MARK_WORDS_LOG2 = 20
 #: Repeated rows that one task sorts, about.
 PIECE_ROWS = 250_000
+#: Groups that such a task has at least, unless they are cut.
+GROUPS_A_PIECE = 250
 
 
 def plain_rank(df: DataFrame, key: Sequence[str], ordering: Sequence[Column], rank_col: str) -> DataFrame:
@@ -61,10 +65,21 @@ def _word(hash_: Column) -> Column:
 
 
 def _marks(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``(_word, _bits, _rows)``: at most ``2**MARK_WORDS_LOG2`` rows."""
+    """``(_word, _bits, _large, _rows, _large_rows)``: at most ``2**MARK_WORDS_LOG2``
+    rows; the bits and rows of repeated hashes, and of those of large groups."""
     hashes = df.select(F.xxhash64(*key).alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
-    repeated = hashes.filter("_n > 1").select(_word(F.col("_h")).alias("_word"), _bit(F.col("_h")).alias("_bit"), "_n")
-    return repeated.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"), F.sum("_n").alias("_rows"))
+    repeated = hashes.filter("_n > 1").select(
+        _word(F.col("_h")).alias("_word"),
+        _bit(F.col("_h")).alias("_bit"),
+        "_n",
+        (F.col("_n") > F.lit(PIECE_ROWS // GROUPS_A_PIECE)).alias("_cut"),
+    )
+    return repeated.groupBy("_word").agg(
+        F.bit_or("_bit").alias("_bits"),
+        F.bit_or(F.when(F.col("_cut"), F.col("_bit")).otherwise(F.lit(0))).alias("_large"),
+        F.sum("_n").alias("_rows"),
+        F.sum(F.when(F.col("_cut"), F.col("_n")).otherwise(F.lit(0))).alias("_large_rows"),
+    )
 
 
 def tasks_for(spark: SparkSession, rows: int) -> int:
@@ -80,16 +95,27 @@ def skew_safe_rank(
     columns = df.columns
     marks = _save(_marks(df, key), "rank-marks")
     hash_ = F.xxhash64(*key)
-    tasks = tasks_for(df.sparkSession, marks.agg(F.sum("_rows")).first()[0] or 0)
-    dealt = [tasks] if tasks else []
-    marked = df.join(F.broadcast(marks.drop("_rows")), _word(hash_) == F.col("_word"), "left")
-    repeated = F.coalesce(F.col("_bits").bitwiseAND(_bit(hash_)) != 0, F.lit(False))
-    alone = marked.filter(~repeated).select(*columns, F.lit(1).cast("bigint").alias(rank_col))
+    counts = marks.agg(F.sum("_rows").alias("rows"), F.sum("_large_rows").alias("large")).first()
+    rows, large = counts.rows or 0, counts.large or 0
+    marked = df.join(F.broadcast(marks.select("_word", "_bits", "_large")), _word(hash_) == F.col("_word"), "left")
+
+    def among(bits: str) -> Column:
+        return F.coalesce(F.col(bits).bitwiseAND(_bit(hash_)) != 0, F.lit(False))
 
     ordering = [F.col(c).asc_nulls_last() for c in order_cols]
+    found = marked.filter(~among("_bits")).select(*columns, F.lit(1).cast("bigint").alias(rank_col))
+    if rows > large:
+        small = marked.filter(among("_bits") & ~among("_large")).select(*columns)
+        tasks = tasks_for(df.sparkSession, rows - large)
+        found = found.unionByName(plain_rank(small.repartition(tasks, *key) if tasks else small, key, ordering, rank_col))
+    if not large:
+        return found
+
+    tasks = tasks_for(df.sparkSession, large)
+    dealt = [tasks] if tasks else []
     # The row's own number ends the range key, so that rows equal in key and all
     # order columns, however many, are cut into pieces like any others.
-    own = marked.filter(repeated).select(*columns, F.monotonically_increasing_id().alias("_own"))
+    own = marked.filter(among("_large")).select(*columns, F.monotonically_increasing_id().alias("_own"))
     pieces = own.repartitionByRange(*dealt, *key, *ordering, "_own").drop("_own")
     placed = _save(pieces.withColumn("_piece", F.spark_partition_id()), "rank-pieces")
     sizes = placed.groupBy(*key, "_piece").agg(F.count(F.lit(1)).alias("_n"))
@@ -106,4 +132,4 @@ def skew_safe_rank(
         placed = placed.repartition(tasks, *key, "_piece")
     ranked = placed.withColumn("_number", F.row_number().over(inside)).join(offsets, same, "left")
     rank = (F.col("_number") + F.coalesce("_offset", F.lit(0))).cast("bigint")
-    return alone.unionByName(ranked.select(*columns, rank.alias(rank_col)))
+    return found.unionByName(ranked.select(*columns, rank.alias(rank_col)))

@@ -81,3 +81,24 @@ def test_repeated_rows_are_dealt_by_their_number(spark, monkeypatch):
     assert _sorted(got) == _sorted(ranking.plain_rank(df, ["a"], [F.col("b").asc_nulls_last()], "r"))
     sizes = [r["count"] for r in saved["rank-pieces"].groupBy("_piece").count().collect()]
     assert len(sizes) >= 10 and max(sizes) < 1500
+
+
+def test_only_large_groups_are_cut_into_pieces(spark, monkeypatch):
+    pairs = spark.range(6000).select((F.col("id") % 3000).alias("a"), F.col("id").alias("b"))
+    giant = spark.range(4000).select(F.lit(-1).cast("long").alias("a"), (F.col("id") % 9).alias("b"))
+    nameless = spark.range(3).select(F.lit(None).cast("long").alias("a"), F.col("id").alias("b"))
+    saved = {}
+    real = ranking._save
+    monkeypatch.setattr(ranking, "_save", lambda frame, purpose: saved.setdefault(purpose, real(frame, purpose)))
+    df = pairs.unionByName(giant).unionByName(nameless).repartition(4)
+    got = ranking.skew_safe_rank(df, ["a"], ["b"], rank_col="r")
+    want = ranking.plain_rank(df, ["a"], [F.col("b").asc_nulls_last()], "r")
+    assert _sorted(got.fillna(-9)) == _sorted(want.fillna(-9))
+    assert saved["rank-pieces"].count() < 4100  # the giant, and what shares its bit
+    saved.clear()
+    monkeypatch.setattr(ranking, "PIECE_ROWS", 2000)  # dealt by number; groups of up to 8 rows stay whole
+    few = pairs.unionByName(nameless)
+    got = ranking.skew_safe_rank(few, ["a"], ["b"], rank_col="r")
+    want = ranking.plain_rank(few, ["a"], [F.col("b").asc_nulls_last()], "r")
+    assert _sorted(got.fillna(-9)) == _sorted(want.fillna(-9))
+    assert set(saved) == {"rank-marks"}

@@ -104,7 +104,7 @@ def skew_safe_rank(
 
     ordering = [F.col(c).asc_nulls_last() for c in order_cols]
     found = marked.filter(~among("_bits")).select(*columns, F.lit(1).cast("bigint").alias(rank_col))
-    if rows > large:
+    if rows > large or not large:
         small = marked.filter(among("_bits") & ~among("_large")).select(*columns)
         tasks = tasks_for(df.sparkSession, rows - large)
         found = found.unionByName(plain_rank(small.repartition(tasks, *key) if tasks else small, key, ordering, rank_col))

@@ -361,3 +361,30 @@ def test_file_stats_median_opens_every_file_once(spark, monkeypatch):
     assert len(taken) == 1
     assert found and all(r.median_agrees for r in found)
     assert all(r.file_count == -(-r.record_count // registry.COMPACT_MAX_RECORDS) for r in found)
+
+
+def _side_files(location):
+    from pathlib import Path
+
+    return [p for p in Path(location).rglob(".part-*.crc")]
+
+
+def test_sized_landing_writes_small_files_one_by_one_and_opens_none_of_them(spark, lake, monkeypatch):
+    from strata.plans import jobs
+    from tests.conftest import bronze_frame
+
+    settings, real, counted = [], tables.session_conf, []
+    monkeypatch.setattr(tables, "session_conf", lambda spark_, conf: settings.append(conf) or real(spark_, conf))
+    monkeypatch.setattr(jobs, "rows_by_month", lambda *a: counted.append(a))
+    rows = bronze_frame(spark, "2024-01", 40).unionByName(bronze_frame(spark, "2024-02", 25))
+    result = jobs.land_bronze(lake, rows, target_bytes=1000)
+    assert result["rows_by_month"] == {"2024-01": 40, "2024-02": 25} and not counted
+    assert [s["spark.sql.maxConcurrentOutputFileWriters"] for s in settings] == [str(tables.OPEN_MONTHS), "0"]
+    t = lake.table("bronze", jobs.TRIPS)
+    files = layout.file_inventory(t).collect()
+    assert len(files) > 10 and sum(f.record_count for f in files) == 65
+    assert not _side_files(t.location)  # a process each to make
+    # one large file a month is written as before
+    monkeypatch.undo()
+    assert jobs.land_bronze(lake, bronze_frame(spark, "2024-03", 3))["rows_by_month"] == {"2024-03": 3}
+    assert len(_side_files(t.location)) == 1

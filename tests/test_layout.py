@@ -388,3 +388,57 @@ def test_sized_landing_writes_small_files_one_by_one_and_opens_none_of_them(spar
     monkeypatch.undo()
     assert jobs.land_bronze(lake, bronze_frame(spark, "2024-03", 3))["rows_by_month"] == {"2024-03": 3}
     assert len(_side_files(t.location)) == 1
+
+
+def test_compaction_opens_only_files_that_move_and_looks_at_new_ones_only(spark, lake, monkeypatch):
+    t = lake.table("bronze", "few_move")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    for _ in range(6):  # too large to go together, but not too large to move
+        _append(spark, t, "2024-01", list(range(2000)))
+    for k in range(2):
+        _append(spark, t, "2024-01", [-k])
+    inventory = layout.file_inventory(t).collect()
+    largest = max(r.file_size for r in inventory)
+    looks, written, real, write = [], [], layout.file_inventory, tables._write_version
+    monkeypatch.setattr(layout, "file_inventory", lambda table: looks.append(real(table)) or looks[-1])
+
+    def count_first(df, *a, **k):
+        df.collect()
+        written.append([n for _, name, n, _ in layout.plan_nodes(df) if name.startswith("Scan") and "few_move" in name])
+        write(df, *a, **k)
+
+    monkeypatch.setattr(tables, "_write_version", count_first)
+    report = layout.compact_partitions(t, max_bytes_per_file=largest + 1).collect()
+    assert [(r.files_before, r.files_after, r.rows, r.rewritten) for r in report] == [(8, 7, 12_002, True)]
+    assert len(looks) == 2 and len(written) == 1
+    assert written == [[2]]  # rows read to write two rows
+    assert sorted(r.n for r in t.read().collect()) == sorted([*list(range(2000)) * 6, 0, -1])
+    assert len(layout.file_inventory(t).collect()) == 7
+
+
+def test_review_looks_at_the_files_once_before_compaction(spark, lake, monkeypatch):
+    t = lake.table("bronze", "reviewed")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    for k in range(3):
+        _append(spark, t, "2024-01", [k])
+    looks, real = [], layout.file_inventory
+    monkeypatch.setattr(layout, "file_inventory", lambda table: looks.append(table) or real(table))
+    out = layout.review({"reviewed": t}, "2024-01")
+    assert [r.file_count for r in out["layout_before"].collect()] == [3]
+    assert [(r.files_before, r.files_after, r.rows) for r in out["compaction"].collect()] == [(3, 1, 3)]
+    assert [r.file_count for r in out["layout_after"].collect()] == [1]
+    assert len(looks) == 3  # before, the new files, the report after
+
+
+def test_silver_is_built_with_one_look_at_the_bronze_files(spark, lake, monkeypatch):
+    from strata.plans import jobs
+    from tests.conftest import bronze_frame
+
+    jobs.land_bronze(lake, bronze_frame(spark, "2024-01", 4).unionByName(bronze_frame(spark, "2024-02", 3, passenger_count=-1)))
+    counted, real = [], jobs.rows_by_month
+    monkeypatch.setattr(jobs, "rows_by_month", lambda df, *a: counted.append(a) or real(df, *a))
+    record = jobs.build_silver(lake, target_bytes=500).collect()
+    assert [(r.trip_month, r.input_rows, r.output_rows, r.rejected_rows) for r in record] == [("2024-01", 4, 4, 0), ("2024-02", 3, 0, 3)]
+    assert not counted

@@ -302,3 +302,22 @@ def test_only_months_whose_bronze_changed_are_stale(spark, lake):
     assert stale(spark.createDataFrame([("2024-03",)], "trip_month string")) == {"2024-03": "new"}
     jobs.build_silver(lake, list(stale()), processed_at="p")
     assert stale() == {} and _counts(lake, "silver") == {"2024-02": 3, "2024-03": 1}
+
+
+def test_a_landing_leaves_no_shuffle_files(spark, lake):
+    import time
+    from pathlib import Path
+
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffled = lambda: {p for d in folders for p in Path(d).rglob("shuffle_*.data")}
+    before = shuffled()
+    t = lake.table("bronze", "swept")
+    lake.ensure_namespace("bronze")
+    schema = "n long, trip_month string"
+    tables.create_table(t, spark.createDataFrame([], schema).schema)
+    tables.replace_months(spark.range(1000).selectExpr("id AS n", "'2024-01' AS trip_month").repartition(4), t)
+    until = time.time() + 10
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert t.read().count() == 1000

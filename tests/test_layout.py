@@ -442,3 +442,21 @@ def test_silver_is_built_with_one_look_at_the_bronze_files(spark, lake, monkeypa
     record = jobs.build_silver(lake, target_bytes=500).collect()
     assert [(r.trip_month, r.input_rows, r.output_rows, r.rejected_rows) for r in record] == [("2024-01", 4, 4, 0), ("2024-02", 3, 0, 3)]
     assert not counted
+
+
+def test_rows_that_move_are_shuffled_to_their_files_only(spark, lake, monkeypatch):
+    from strata.session import session_conf
+
+    t = lake.table("bronze", "joined")
+    lake.ensure_namespace("bronze")
+    tables.create_table(t, SCHEMA)
+    for k in range(3):
+        _append(spark, t, "2024-01", [k])
+    plans, write = [], tables._write_version
+    monkeypatch.setattr(tables, "_write_version", lambda df, *a, **k: plans.append(layout.explain_text(df)) or write(df, *a, **k))
+    # as if the list of the files were too long for the session's threshold
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    with session_conf(spark, small):
+        report = layout.compact_partitions(t).collect()
+    assert [(r.files_before, r.files_after, r.rows) for r in report] == [(3, 1, 3)]
+    assert len(plans) == 1 and "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
